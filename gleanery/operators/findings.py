@@ -17,13 +17,15 @@ ERROR, WARNING, OK, NOT_EVALUABLE = "error", "aviso", "ok", "no-evaluable"
 SYMBOLS = {ERROR: "✗", WARNING: "⚠", OK: "✓", NOT_EVALUABLE: "–"}
 
 FACT = "metric string, value bigint, samples array<string>"
-_NO_SAMPLES = F.array().cast("array<string>")
+
+def no_samples() -> Column:
+    return F.array().cast("array<string>")
 
 
 def facts(stats: DataFrame) -> DataFrame:
     """A one-row aggregate as ``metric, value, samples`` rows."""
     entries = [
-        F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value"), _NO_SAMPLES.alias("samples"))
+        F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value"), no_samples().alias("samples"))
         for c in stats.columns
     ]
     return stats.select(F.explode(F.array(*entries)).alias("f")).select("f.*")
@@ -47,7 +49,7 @@ class Facts:
         return F.coalesce(F.try_element_at("_values", F.lit(metric)), F.lit(0).cast("bigint"))
 
     def samples(self, metric: str) -> Column:
-        return F.coalesce(F.try_element_at("_samples", F.lit(metric)), _NO_SAMPLES)
+        return F.coalesce(F.try_element_at("_samples", F.lit(metric)), no_samples())
 
 
 def finding(check: str, level: Column | str, n: Column, message: Column | str, samples: Column | None = None) -> Column:
@@ -56,7 +58,7 @@ def finding(check: str, level: Column | str, n: Column, message: Column | str, s
         (F.lit(level) if isinstance(level, str) else level).alias("level"),
         n.cast("bigint").alias("n"),
         (F.lit(message) if isinstance(message, str) else message).alias("message"),
-        (_NO_SAMPLES if samples is None else samples).alias("samples"),
+        (no_samples() if samples is None else samples).alias("samples"),
     )
 
 

@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.paging import page_of_index
 from gleanery.operators.findings import (
-    ERROR, NOT_EVALUABLE, OK, WARNING, Facts, facts, finding, findings, number, sample_facts,
+    ERROR, NOT_EVALUABLE, OK, WARNING, Facts, facts, finding, findings, no_samples, number, sample_facts,
 )
 from gleanery.operators.keep import MAX_SAMPLES, first_k, repeats
 from gleanery.operators.positions import first_missing
 from gleanery.operators.skew import null_safe, union_all
-from gleanery.sources.manifest import MANIFEST_SCHEMA
+from gleanery.sources.schema import MANIFEST_SCHEMA
 from gleanery.sources.spec import SourceSpec
 
 DATASET, DOCUMENTS, SITE = "dataset", "documents", "site"
@@ -140,7 +140,7 @@ def dataset_findings(
         _error_if("indice-duplicado", f["place_repeats"], "lines repeat a position", f.samples("place_repeats")),
         _error_if("pagina-incoherente", f["misplaced"], "records on another page than their position's", f.samples("misplaced")),
         finding("fuente-mezclada", F.when(f["sources"] > 1, ERROR).otherwise(OK), f["sources"], _says(f["sources"], "sources"),
-                F.when(f["sources"] > 1, f.samples("sources")).otherwise(F.array().cast("array<string>"))),
+                F.when(f["sources"] > 1, f.samples("sources")).otherwise(no_samples())),
         _error_if("indices-ausentes", missing, "positions without a record", f.samples("missing"), WARNING),
         coverage,
     ]

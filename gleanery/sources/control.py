@@ -4,14 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from gleanery.sources.paths import exists
-
-CHECKPOINT_SCHEMA = StructType.fromDDL(
-    "fuente string, tarea string, pageSize int, total bigint, ultimaPagina int, completo boolean,"
-    " registros bigint, actualizadoEn timestamp"
-)
+from gleanery.sources.schema import CHECKPOINT_SCHEMA
 
 
 def checkpoint_shape_ok():

@@ -4,19 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from gleanery.operators.keep import latest
 from gleanery.sources.jsonl import CORRUPT, scan_strict, scan_tolerant
+from gleanery.sources.schema import MANIFEST_SCHEMA, QUEUE_SCHEMA
 
-MANIFEST_SCHEMA = StructType.fromDDL(
-    "id string, fuente string, documentoUuid string, pagina bigint, indice bigint, archivo string,"
-    " bytes bigint, sha256 string, nombreServidor string, descargadoEn timestamp, seq bigint"
-)
-QUEUE_SCHEMA = StructType.fromDDL(
-    "seq bigint, id string, tipo string, error string, intentos int, ultimoTs timestamp,"
-    " detalle string, contexto map<string,string>"
-)
 REQUIRED = ("id", "documentoUuid", "archivo", "bytes", "sha256")
 
 

@@ -11,13 +11,7 @@ from pyspark.sql.types import StructType
 
 from gleanery.functions import identity
 from gleanery.functions.text import FIRST_YEAR, LAST_YEAR, is_blank, is_blank_list, slug
-
-BASE = "fuente string, id string, indice bigint, pagina bigint, capturadoEn timestamp, documentoUuid string"
-TYPED_SCHEMA = StructType.fromDDL(
-    BASE + ", expediente string, administrados array<string>, unidadFiscalizable string,"
-    " sector string, resolucion string, anioResolucion int"
-)
-FREE_SCHEMA = StructType.fromDDL(BASE + ", campos map<string,string>, texto string")
+from gleanery.sources.schema import FREE_SCHEMA, TYPED_SCHEMA
 
 
 def _missing(name: str) -> Column:
