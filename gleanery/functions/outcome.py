@@ -81,7 +81,8 @@ def retry_after_ms(header: Column, now: Column) -> Column:
         F.lit("dd MMM yyyy HH:mm:ss"),
     ).cast("timestamp_ntz")
     wait = F.timestamp_diff("MILLISECOND", now.cast("timestamp_ntz"), moment)
-    return F.coalesce(digits, F.greatest(F.lit(0).cast("bigint"), wait))
+    # greatest() skips NULLs, and no moment must stay no delay.
+    return F.coalesce(digits, F.when(wait < 0, F.lit(0).cast("bigint")).otherwise(wait))
 
 
 def file_problem(content: Column, length: Column, min_bytes: int = MIN_FILE_BYTES) -> Column:

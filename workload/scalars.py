@@ -194,9 +194,9 @@ def _(spark, sf):
     return c.select("event_id", outcome.failure_code(problem, F.col("outcome")).alias("code"))
 
 
-@query("thousands", f"SELECT o_orderkey, {S.thousands('o_totalprice')} AS shown FROM orders")
+@query("thousands", f"SELECT o_orderkey, {S.thousands('floor(o_totalprice)')} AS shown FROM orders")
 def _(spark, sf):
-    return T.table(spark, sf, "orders").select("o_orderkey", text.thousands(F.round("o_totalprice").cast("bigint")).alias("shown"))
+    return T.table(spark, sf, "orders").select("o_orderkey", text.thousands(F.floor("o_totalprice")).alias("shown"))
 
 
 @query("page_range", f"WITH {S.RECORDS} SELECT indice, pagina FROM records WHERE pagina BETWEEN 3 AND (SELECT max(pagina) FROM records)")
