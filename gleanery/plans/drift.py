@@ -44,6 +44,11 @@ def misaligned_index(rows: DataFrame, base: Column) -> DataFrame:
     return off.groupBy(*PAGE).agg(F.min("pos").alias("first_pos"), F.count(F.lit(1)).alias("n"))
 
 
+def misnumbered(rows: DataFrame) -> DataFrame:
+    """Rows whose printed number is not their index plus one; an unreadable number counts."""
+    return rows.where(~F.col("nro").eqNullSafe(F.col("indice") + 1))
+
+
 def page_findings(
     pages: DataFrame,
     rows: DataFrame,

@@ -83,6 +83,31 @@ def declared_total(live: int | None, given: int | None, checkpoint: int | None)
     return None, None
 
 
+def declared_total_columns(live: Column, given: Column, checkpoint: Column) -> list[Column]:
+    """The same for a table of sources: ``total`` and ``origin`` per row."""
+    origin = F.when(live.isNotNull(), "site").when(given.isNotNull(), "parameter").when(checkpoint.isNotNull(), "checkpoint")
+    return [F.coalesce(live, given, checkpoint).alias("total"), origin.alias("origin")]
+
+
+def year_missing(valid: DataFrame) -> DataFrame:
+    """Records without a ruling year: with a document that is an error, without one it is not."""
+    lacks, doc = F.col("anioResolucion").isNull(), F.col("documentoUuid").isNotNull()
+    return valid.agg(F.count_if(lacks & doc).alias("with_document"), F.count_if(lacks & ~doc).alias("without_document"))
+
+
+def no_document(valid: DataFrame) -> DataFrame:
+    """Records without a document, of how many identities."""
+    return valid.agg(F.count_if(F.col("documentoUuid").isNull()).alias("n"), F.count_distinct("id").alias("of"))
+
+
+def download_coverage(manifest: DataFrame, valid: DataFrame) -> DataFrame:
+    """Distinct ids noted against records with a document, as one row."""
+    noted = manifest.agg(F.count_distinct("id").alias("n")).select(F.lit("noted").alias("k"), "n")
+    with_doc = valid.where("documentoUuid <> ''").agg(F.count(F.lit(1)).alias("n")).select(F.lit("with_document").alias("k"), "n")
+    both = noted.unionByName(with_doc)
+    return both.agg(*[F.max(F.when(F.col("k") == k, F.col("n"))).alias(k) for k in ("noted", "with_document")])
+
+
 def dataset_findings(
     records: DataFrame, spec: SourceSpec, page_size: int, total: int | None = None, corrupt: int = 0
 ) -> DataFrame:
@@ -291,7 +316,7 @@ def first_page_present(records: DataFrame, site_page: DataFrame) -> DataFrame:
     return site_page.select("id").distinct().join(records.select("id"), "id", "left_anti")
 
 
-def site_findings(records: DataFrame, site_page: DataFrame | None, live_total: int | None, total_known: int | None) -> DataFrame:
+def site_findings(records: DataFrame, site_page: DataFrame | None, live_total: int | None) -> DataFrame:
     """Comparison with a snapshot of the site; an unreachable site is an error."""
     if site_page is None:
         spark = records.sparkSession
@@ -336,5 +361,5 @@ def validate(
         manifest = records.sparkSession.createDataFrame([], MANIFEST_SCHEMA)
     sections.append(documents_findings(valid, manifest, probe, queue, invalid_entries))
     if site:
-        sections.append(site_findings(valid, site[0], live, known))
+        sections.append(site_findings(valid, site[0], live))
     return union_all(sections)
