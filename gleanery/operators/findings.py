@@ -31,14 +31,24 @@ def facts(stats: DataFrame) -> DataFrame:
     return stats.select(F.explode(F.array(*entries)).alias("f")).select("f.*")
 
 
-def sample_facts(offenders: DataFrame, metric: str, label: Column, order: list[Column]) -> DataFrame:
-    """First samples of the offenders, as one ``metric, value, samples`` row."""
-    names = [f"_o{i}" for i in range(len(order))]
-    few = offenders.select(label.alias("_l"), *[o.alias(n) for o, n in zip(order, names)])
-    few = few.orderBy(*names).limit(MAX_SAMPLES)
-    listed = F.array_sort(F.collect_list(F.struct(*names, "_l")))
-    return few.agg(F.transform(listed, lambda s: s["_l"].cast("string")).alias("samples")).select(
-        F.lit(metric).alias("metric"), F.lit(None).cast("bigint").alias("value"), "samples"
+def sample_facts(rows: DataFrame, kinds: list[tuple[str, Column | None, Column]], order: list[Column]) -> DataFrame:
+    """First samples of each metric in one pass over ``rows``: (metric, condition, label).
+
+    A row may give several samples, in the order of ``kinds``. The rank limits every
+    metric before the shuffle.
+    """
+    given = F.array(
+        *[
+            F.when(F.lit(True) if cond is None else cond, F.struct(F.lit(m).alias("metric"), label.cast("string").alias("label")))
+            for m, cond, label in kinds
+        ]
+    )
+    names = [*[f"o{i}" for i in range(len(order))], "nth"]
+    listed = rows.select(F.posexplode(given).alias("nth", "k"), *[o.alias(n) for o, n in zip(order, names)])
+    few = first_k(listed.where("k is not null").select("k.*", *names), ["metric"], [F.col(n) for n in names], MAX_SAMPLES)
+    sorted_few = F.array_sort(F.collect_list(F.struct(*names, "label")))
+    return few.groupBy("metric").agg(F.transform(sorted_few, lambda x: x["label"]).alias("samples")).select(
+        "metric", F.lit(None).cast("bigint").alias("value"), "samples"
     )
 
 

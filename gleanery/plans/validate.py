@@ -141,13 +141,13 @@ def dataset_findings(
             F.count(F.lit(1)).alias("places"), F.sum(F.col("n") - 1).alias("place_repeats"), F.max("indice").alias("max_index")
         )),
         facts(sources.agg(F.count(F.lit(1)).alias("sources"))),
-        sample_facts(marked.where(~good), "invalid", F.array_join("_issues", " | "), [F.col("indice"), F.col("id")]),
-        sample_facts(repeated_lines(valid, "id", ["indice", "pagina"]), "id_repeats", F.col("id"), [F.col("indice"), F.col("id")]),
-        sample_facts(places.where("n > 1"), "place_repeats", F.col("indice"), [F.col("indice")]),
-        sample_facts(valid.where(page != F.col("pagina")), "misplaced", F.concat_ws(" ", F.lit("index"), "indice", F.lit("page"), "pagina"), [F.col("indice"), F.col("id")]),
-        sample_facts(sources, "sources", F.col("fuente"), [F.col("at"), F.col("fuente")]),
-        sample_facts(first_missing(valid, "indice"), "missing", F.col("indice"), [F.col("indice")]),
+        sample_facts(repeated_lines(valid, "id", ["indice", "pagina"]), [("id_repeats", None, F.col("id"))], [F.col("indice"), F.col("id")]),
+        sample_facts(places.where("n > 1"), [("place_repeats", None, F.col("indice"))], [F.col("indice")]),
+        sample_facts(sources, [("sources", None, F.col("fuente"))], [F.col("at"), F.col("fuente")]),
+        sample_facts(first_missing(places, "indice"), [("missing", None, F.col("indice"))], [F.col("indice")]),
     ]
+    misplaced = F.concat_ws(" ", F.lit("index"), "indice", F.lit("page"), "pagina")
+    shown = [("invalid", ~good, F.array_join("_issues", " | ")), ("misplaced", good & (page != F.col("pagina")), misplaced)]
     f = Facts()
     bound = F.when(f["places"] > 0, f["max_index"] + 1).otherwise(F.lit(0).cast("bigint"))
     missing = bound - f["places"]
@@ -176,14 +176,12 @@ def dataset_findings(
         for b in blanks[1:]:
             blank_total = blank_total + b
         fields = F.array_compact(F.array(*[F.when(f[f"blank:{n}"] > 0, F.lit(n)) for n in spec.blank_rules]))
-        blank_at = F.array_compact(F.array(*[F.when(rule(), F.concat("id", F.lit(f":{n}"))) for n, rule in spec.blank_rules.items()]))
-        hollow = valid.select("indice", F.posexplode(blank_at).alias("nth", "label"))
-        lacking = valid.where("documentoUuid is not null and anioResolucion is null")
+        for name, rule in spec.blank_rules.items():
+            shown.append(("blank", good & rule(), F.concat("id", F.lit(f":{name}"))))
+        shown.append(("no_year", good & with_doc & no_year, F.col("resolucion")))
         parts += [
             facts(shared.agg(F.count(F.lit(1)).alias("shared"), F.count_if("heterogeneous").alias("mixed"))),
-            sample_facts(hollow, "blank", F.col("label"), [F.col("indice"), F.col("nth"), F.col("label")]),
-            sample_facts(lacking, "no_year", F.col("resolucion"), [F.col("indice"), F.col("resolucion")]),
-            sample_facts(shared.where("heterogeneous"), "mixed", F.col("documentoUuid"), [F.col("first_index"), F.col("documentoUuid")]),
+            sample_facts(shared.where("heterogeneous"), [("mixed", None, F.col("documentoUuid"))], [F.col("first_index"), F.col("documentoUuid")]),
         ]
         checks += [
             finding("campos-vacios", F.when(blank_total > 0, ERROR).otherwise(OK), blank_total,
@@ -194,6 +192,7 @@ def dataset_findings(
             finding("documento-compartido", OK, f["shared"], _says(f["shared"], "documents reach several records")),
             _error_if("documento-compartido-heterogeneo", f["mixed"], "shared documents differ in case or ruling", f.samples("mixed"), WARNING),
         ]
+    parts.append(sample_facts(marked, shown, [F.col("indice"), F.col("id")]))
     return findings(parts, DATASET, 1, checks)
 
 
@@ -254,9 +253,9 @@ def documents_findings(
         facts(files.agg(F.count(F.lit(1)).alias("files"), F.count_if(F.col("n") > 1).alias("shared"))),
         facts(orphans.agg(F.sum("n").alias("orphans"))),
         facts(mismatch.agg(F.sum("n").alias("mismatch"))),
-        sample_facts(repeated_lines(manifest, "id", ["indice", "archivo"]), "repeats", F.col("id"), [F.col("indice"), F.col("id")]),
-        sample_facts(orphans, "orphans", F.col("id"), by),
-        sample_facts(mismatch, "mismatch", F.concat("id", F.lit(": "), "documentoUuid", F.lit(" / "), F.coalesce("record_uuid", F.lit("(none)"))), by + [F.col("documentoUuid")]),
+        sample_facts(repeated_lines(manifest, "id", ["indice", "archivo"]), [("repeats", None, F.col("id"))], [F.col("indice"), F.col("id")]),
+        sample_facts(orphans, [("orphans", None, F.col("id"))], by),
+        sample_facts(mismatch, [("mismatch", None, F.concat("id", F.lit(": "), "documentoUuid", F.lit(" / "), F.coalesce("record_uuid", F.lit("(none)"))))], [*by, F.col("documentoUuid")]),
     ]
     f = Facts()
     none = f["entries"] == 0
@@ -280,9 +279,11 @@ def documents_findings(
                 F.count_if("absent").alias("absent"), F.count_if("hashed").alias("hashed"),
                 F.sum("size_n").alias("size_differs"), F.sum("hash_n").alias("hash_differs"),
             )),
-            sample_facts(per_file.where("absent"), "absent", F.col("archivo"), [F.col("archivo")]),
-            sample_facts(per_file.where("size_n > 0"), "size_differs", F.col("archivo"), [F.col("archivo")]),
-            sample_facts(per_file.where("hash_n > 0"), "hash_differs", F.col("archivo"), [F.col("archivo")]),
+            sample_facts(per_file, [
+                ("absent", F.col("absent"), F.col("archivo")),
+                ("size_differs", F.col("size_n") > 0, F.col("archivo")),
+                ("hash_differs", F.col("hash_n") > 0, F.col("archivo")),
+            ], [F.col("archivo")]),
         ]
         hashed = f["hashed"] > 0
         disk = [
@@ -326,7 +327,7 @@ def site_findings(records: DataFrame, site_page: DataFrame | None, live_total: i
     parts = [
         facts(shown.agg(F.count(F.lit(1)).alias("shown"))),
         facts(lacking.agg(F.count(F.lit(1)).alias("lacking"))),
-        sample_facts(lacking, "lacking", F.col("id"), [F.col("id")]),
+        sample_facts(lacking, [("lacking", None, F.col("id"))], [F.col("id")]),
     ]
     f = Facts()
     gone = f["lacking"]

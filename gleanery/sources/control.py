@@ -23,9 +23,9 @@ def checked_checkpoints(state: DataFrame) -> DataFrame:
     return state.withColumn("fuente", F.when(checkpoint_shape_ok(), F.col("fuente")).otherwise(broken))
 
 
-def checkpoint_scan(spark: SparkSession, path: str) -> DataFrame:
-    """No file is no state."""
+def checkpoint_scan(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """No file is no state. One object per file, over several lines, or one per line."""
     if not exists(spark, path):
         return spark.createDataFrame([], CHECKPOINT_SCHEMA)
-    state = spark.read.schema(CHECKPOINT_SCHEMA).option("mode", "FAILFAST").option("multiLine", "true").json(path)
+    state = spark.read.schema(CHECKPOINT_SCHEMA).option("mode", "FAILFAST").option("multiLine", multi_line).json(path)
     return checked_checkpoints(state)

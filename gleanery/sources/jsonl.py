@@ -45,9 +45,12 @@ def torn_tail(spark: SparkSession, path: str) -> DataFrame:
     return per.select("file", torn.alias("torn_bytes"))
 
 
-def quarantine(scanned: DataFrame) -> DataFrame:
-    """Broken lines of a tolerant scan, each once, with their number."""
-    return scanned.where(F.col(CORRUPT).isNotNull()).groupBy(CORRUPT).agg(F.count(F.lit(1)).alias("n"))
+def quarantine(scanned: DataFrame, key: str = "id") -> DataFrame:
+    """Broken lines of a tolerant scan, each once: how often, and whether their key could still be read."""
+    broken = scanned.where(F.col(CORRUPT).isNotNull())
+    return broken.groupBy(F.col(CORRUPT).alias("line")).agg(
+        F.count(F.lit(1)).alias("n"), F.bool_or(F.col(key).isNotNull()).alias("key_read")
+    )
 
 
 def key_index(records: DataFrame) -> DataFrame:

@@ -67,3 +67,12 @@ def health(log: DataFrame, width: str = "1 hour", delay: str = "1 hour") -> Data
         throttled.alias("throttled"),
         F.percentile_approx("latency_ms", [0.5, 0.95], 1000).alias("latency_approx"),
     ).select("w.start", "w.end", "requests", "ok", "throttled", F.get("latency_approx", F.lit(0)).alias("p50_approx"), F.get("latency_approx", F.lit(1)).alias("p95_approx"))
+
+
+def replace_stream(totals: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Keep the whole current result of a streaming aggregation as a table."""
+
+    def write(batch: DataFrame, _: int) -> None:
+        replace_table(batch, path)
+
+    return totals.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

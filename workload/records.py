@@ -313,9 +313,9 @@ _REPORT = " UNION ALL ".join([
 ])
 
 def _report(spark, sf):
-    return validate.validate(
-        T.records(spark, sf), TYPED, 10, T.manifest(spark, sf), T.probe(spark, sf), retry.collapse(T.queue(spark, sf))
-    )
+    records, manifest = T.stored(T.records(spark, sf), "records"), T.stored(T.manifest(spark, sf), "manifest")
+    probe = T.stored(T.probe(spark, sf), "probe")
+    return validate.validate(records, TYPED, 10, manifest, probe, retry.collapse(T.queue(spark, sf)))
 
 
 @query("validate_report", f"WITH {_FACTS}, report AS ({_REPORT}) SELECT section, check_order, \"check\", level, n, message, array_to_string(samples, ', ') AS samples FROM report")
@@ -343,7 +343,7 @@ def _(spark, sf):
       SELECT section, check_order, "check", n FROM (SELECT 'site' AS section, 1 AS check_order, 'sitio-total' AS "check", bound AS n FROM f UNION ALL SELECT 'site', 2, 'sitio-primera-pagina', 0)""",
 )
 def _(spark, sf):
-    r = T.records(spark, sf)
+    r = T.stored(T.records(spark, sf), "records")
     total = T.table(spark, sf, "documents").count()
     dataset = validate.dataset_findings(r, TYPED, 10)
     site = validate.site_findings(r, r.where("pagina = 1"), total)
