@@ -1,0 +1,15 @@
+"""Enough tasks for work that is heavy on the processor."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(scan: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Shuffle a scan over more tasks, but only if its files give fewer splits than there are cores.
+
+    A large table has splits enough and is left as it is. For scans and what is projected
+    or filtered from them; counting the partitions of a plan with a shuffle would run it.
+    """
+    want = tasks or scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= want else scan.repartition(want)

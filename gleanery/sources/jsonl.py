@@ -46,11 +46,13 @@ def torn_tail(spark: SparkSession, path: str) -> DataFrame:
 
 
 def quarantine(scanned: DataFrame, key: str = "id") -> DataFrame:
-    """Broken lines of a tolerant scan, each once: how often, and whether their key could still be read."""
+    """Broken lines of a tolerant scan, each once, with how often they occur.
+
+    Spark refuses to read the corrupt column alone, so a key is read along; what could be
+    read of it follows from the line and does not split the groups.
+    """
     broken = scanned.where(F.col(CORRUPT).isNotNull())
-    return broken.groupBy(F.col(CORRUPT).alias("line")).agg(
-        F.count(F.lit(1)).alias("n"), F.bool_or(F.col(key).isNotNull()).alias("key_read")
-    )
+    return broken.groupBy(F.col(CORRUPT).alias("line"), key).agg(F.count(F.lit(1)).alias("n")).select("line", "n")
 
 
 def key_index(records: DataFrame) -> DataFrame:

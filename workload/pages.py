@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from gleanery.functions import markup
+from gleanery.operators.spread import spread
 from gleanery.plans import drift, extract
 from gleanery.sources import responses as resp
 from workload import tables as T
@@ -170,7 +171,7 @@ _LINKS = "SELECT page_id, regexp_extract(h, 'href=\"([^\"]*)\"', 1) AS href FROM
 
 @query("page_links", f"SELECT page_id, count(*) AS n, string_agg(DISTINCT href, ' ' ORDER BY href) AS hrefs FROM ({_LINKS}) GROUP BY page_id")
 def _(spark, sf):
-    p = extract.page_parts(T.table(spark, sf, "pages"), "html", ["controls"])
+    p = extract.page_parts(spread(T.table(spark, sf, "pages")), "html", ["controls"])
     links = F.transform(F.filter("controls", lambda c: (c["tag"] == "a") & c["href"].isNotNull()), lambda c: c["href"])
     return p.select("page_id", F.size(links).cast("bigint").alias("n"), F.array_join(F.array_sort(F.array_distinct(links)), " ").alias("hrefs")).where("n > 0")
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions import outcome, paging, text
 from gleanery.operators.keep import capped_samples
+from gleanery.operators.spread import spread
 from gleanery.plans import downloads, requestlog, resume, retry
 from gleanery.sources.spec import FREE, TYPED, file_name_policy
 from workload import sql as S
@@ -13,7 +14,7 @@ from workload.registry import query
 
 @query("normalize_ws", f"SELECT doc_id, {S.ws('text')} AS norm FROM documents")
 def _(spark, sf):
-    return T.table(spark, sf, "documents").select("doc_id", text.normalize_ws(F.col("text")).alias("norm"))
+    return spread(T.table(spark, sf, "documents")).select("doc_id", text.normalize_ws(F.col("text")).alias("norm"))
 
 
 @query(
@@ -22,7 +23,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     parts = text.split_multivalue(F.col("text"))
-    d = T.table(spark, sf, "documents")
+    d = spread(T.table(spark, sf, "documents"))
     return d.select("doc_id", F.size(parts).cast("bigint").alias("n"), F.array_join(parts, "|").alias("joined"))
 
 
@@ -47,7 +48,7 @@ def _(spark, sf):
 
 @query("slug", f"SELECT doc_id, {S.slug('text')} AS slug FROM documents")
 def _(spark, sf):
-    return T.table(spark, sf, "documents").select("doc_id", text.slug(F.col("text")).alias("slug"))
+    return spread(T.table(spark, sf, "documents")).select("doc_id", text.slug(F.col("text")).alias("slug"))
 
 
 @query("document_file_name", f"WITH {S.RECORDS} SELECT indice, archivo FROM records WHERE labelled")

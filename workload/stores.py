@@ -49,7 +49,7 @@ def _(spark, sf):
     return torn.withColumn("lines", F.lit(spark.read.text(path).count()))
 
 
-@query("quarantine", f"WITH {S.RECORDS}, b AS (SELECT '{{\"fuente\":\"' || fuente || '\",\"id\":\"' || id || '\",\"indice\":' || indice || ',\"pagina\":' || pagina || '}}' AS l FROM records WHERE toxic = 1) SELECT substr(l, 1, length(l) - 3) AS line, count(*) AS n, true AS key_read FROM b GROUP BY 1")
+@query("quarantine", f"WITH {S.RECORDS}, b AS (SELECT '{{\"fuente\":\"' || fuente || '\",\"id\":\"' || id || '\",\"indice\":' || indice || ',\"pagina\":' || pagina || '}}' AS l FROM records WHERE toxic = 1) SELECT substr(l, 1, length(l) - 3) AS line, count(*) AS n FROM b GROUP BY 1")
 def _(spark, sf):
     lines = jsonl.scan_tolerant(spark, _torn_lines(spark, sf), sch.schema(**sch.BASE))
     return jsonl.quarantine(lines)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import normalize_ws, ruling_year, split_multivalue
+from gleanery.operators.spread import spread
 from gleanery.plans.requestlog import attempts, classify
 from gleanery.sources.paths import scratch_dir
 from gleanery.sources.spec import FREE, TYPED
@@ -23,11 +24,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     labels = table(spark, sf, "labels").withColumn("labelled", F.lit(True))
-    return table(spark, sf, "documents").join(labels, "doc_id", "left").withColumn(
+    return spread(table(spark, sf, "documents")).join(labels, "doc_id", "left").withColumn(
         "documentoUuid", F.when(F.col("labelled"), F.substring(F.sha1(F.col("text").cast("binary")), 1, 24))
     )
 
 
+def _by_page(rows: DataFrame, page):
+    """Group by page in as many tasks as shuffles have: small as the bodies may be, reading
+    them is heavy, so the tasks should not be merged by size."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.withColumn("page_id", page).repartition(tasks, "page_id").groupBy("page_id")
+
+
 def _base(d: DataFrame) -> DataFrame:
     return d.select(
         "*",
@@ -200,7 +208,7 @@ HEADERS = ("No", "Case", "Party", "Unit", "Sector", "Ruling", "File")
 def table_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Parts as pages of a result table, ten rows each; a page holds no more than that."""
     p = table(spark, sf, "part").withColumn("row", F.expr(_row_markup()))
-    pages = p.groupBy(F.expr("p_partkey div 10").alias("page_id")).agg(
+    pages = _by_page(p, F.expr("p_partkey div 10")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "row"))), lambda r: r["row"]), "").alias("rows"),
         F.min("p_size").alias("low"),
     )
@@ -218,7 +226,7 @@ def named_pages(spark: SparkSession, sf: str) -> DataFrame:
     s = table(spark, sf, "supplier").withColumn("n", F.expr("s_suppkey % 10"))
     row = F.expr("""concat('<tr><td><span id="f:list:', n, ':a">', s_name, '</span></td><td id="f:list:', n, ':b"> ', s_nationkey, ' &amp; co</td><td>',
       if(s_acctbal < 0, '', concat('<input type="button" onclick="mojarra.jsfcljs(document.getElementById(\\'f\\'),{\\'f:b\\':\\'f:b\\',\\'uuid\\':\\'s-', s_suppkey, '\\'},\\'\\')">')), '</td></tr>')""")
-    pages = s.withColumn("row", row).groupBy(F.expr("s_suppkey div 10").alias("page_id")).agg(
+    pages = _by_page(s.withColumn("row", row), F.expr("s_suppkey div 10")).agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n", "row")), asc=False), lambda r: r["row"]), "").alias("rows"),
         F.count(F.lit(1)).alias("n_rows"),
     )
@@ -240,7 +248,7 @@ def form_pages(spark: SparkSession, sf: str) -> DataFrame:
       if(c_acctbal < 0, '', concat('<input type="hidden" name="javax.faces.ViewState" value="', c_custkey, ':77">')),
       '<button onclick="open(1)">Buscar</button><a onclick="mojarra.jsfcljs(document.getElementById(\\'f\\'),{\\'go\\':\\'', c_custkey, '\\'},\\'\\')" title="',
       if(c_mktsegment = 'BUILDING', 'Other', ' Buscar '), '">x</a></form>')""")
-    return table(spark, sf, "customer").select(F.col("c_custkey").alias("page_id"), F.lit("http://h.example/a/b").alias("url"), body.alias("body"))
+    return spread(table(spark, sf, "customer")).select(F.col("c_custkey").alias("page_id"), F.lit("http://h.example/a/b").alias("url"), body.alias("body"))
 
 
 def responses(spark: SparkSession, sf: str) -> DataFrame:
@@ -252,7 +260,7 @@ def responses(spark: SparkSession, sf: str) -> DataFrame:
       when p_size < 14 then concat('<partial-response><changes><update id="f:dt">', p_name)
       else concat('<?xml version="1.0" encoding="UTF-8"?>\\n<partial-response id="p"><changes><update id="f:dt"><![CDATA[<tr>', p_name, '</tr>]]></update><update id="x:g:list"><![CDATA[', p_type,
         ']]></update><update id="j1:javax.faces.ViewState:0"><![CDATA[', p_partkey, ':5]]></update></changes></partial-response>') end""")
-    return table(spark, sf, "part").select(F.col("p_partkey").alias("resp_id"), body.alias("body"))
+    return spread(table(spark, sf, "part")).select(F.col("p_partkey").alias("resp_id"), body.alias("body"))
 
 
 def checkpoints(spark: SparkSession, sf: str) -> DataFrame:
