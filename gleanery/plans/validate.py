@@ -20,6 +20,7 @@ from gleanery.operators.keep import MAX_SAMPLES, first_k, repeats
 from gleanery.operators.positions import first_missing
 from gleanery.operators.skew import null_safe, union_all
 from gleanery.sources.schema import MANIFEST_SCHEMA
+from gleanery.sources.sinks import settle
 from gleanery.sources.spec import SourceSpec
 
 DATASET, DOCUMENTS, SITE = "dataset", "documents", "site"
@@ -108,29 +109,46 @@ def download_coverage(manifest: DataFrame, valid: DataFrame) -> DataFrame:
     return both.agg(*[F.max(F.when(F.col("k") == k, F.col("n"))).alias(k) for k in ("noted", "with_document")])
 
 
+def marks(records: DataFrame, spec: SourceSpec, page_size: int) -> DataFrame:
+    """What the checks need of each record, in few narrow columns.
+
+    Rules read every column, lists and long texts too. They are evaluated once here, and
+    the checks, which pass over the records several times, read the settled result.
+    """
+    good, nothing = F.size("_issues") == 0, F.array().cast("array<string>")
+    blanks = [F.when(rule(), F.lit(n)) for n, rule in spec.blank_rules.items()]
+    kept = {
+        "good": good,
+        "issues": F.when(~good, F.array_join("_issues", " | ")),
+        "misplaced": good & (page_of_index(F.col("indice"), page_size) != F.col("pagina")),
+        "blanks": F.when(good, F.array_compact(F.array(*blanks))).otherwise(nothing) if blanks else nothing,
+        "no_year": good & F.col("anioResolucion").isNull() if spec.has_year else F.lit(False),
+    }
+    columns = ["fuente", "id", "indice", "pagina", "documentoUuid"]
+    columns += ["expediente", "resolucion"] if spec.blank_rules else []
+    marked = records.withColumn("_issues", spec.issues())
+    return marked.select(*columns, *[F.coalesce(c, F.lit(False)).alias(n) if n in ("good", "misplaced", "no_year") else c.alias(n) for n, c in kept.items()])
+
+
 def dataset_findings(
     records: DataFrame, spec: SourceSpec, page_size: int, total: int | None = None, corrupt: int = 0
 ) -> DataFrame:
     """The nine structural checks, then the domain checks of a source that has them."""
-    marked = records.withColumn("_issues", spec.issues())
-    valid = marked.where(F.size("_issues") == 0).drop("_issues")
-    page = page_of_index(F.col("indice"), page_size)
-    good = F.size("_issues") == 0
+    return findings_of_marks(settle(marks(records, spec, page_size), "marks"), spec, total, corrupt)
+
+
+def findings_of_marks(marked: DataFrame, spec: SourceSpec, total: int | None = None, corrupt: int = 0) -> DataFrame:
+    valid = marked.where("good")
+    with_doc = F.col("documentoUuid").isNotNull()
     scalars = {
         "lines": F.count(F.lit(1)),
-        "valid": F.count_if(good),
-        "invalid": F.count_if(~good),
-        "misplaced": F.count_if(good & (page != F.col("pagina"))),
+        "valid": F.count_if("good"),
+        "invalid": F.count_if(~F.col("good")),
+        "misplaced": F.count_if("misplaced"),
+        "without_doc": F.count_if(F.col("good") & ~with_doc),
+        "no_year": F.count_if(F.col("no_year") & with_doc),
+        **{f"blank:{n}": F.count_if(F.array_contains("blanks", n)) for n in spec.blank_rules},
     }
-    if spec.has_year:
-        with_doc, no_year = F.col("documentoUuid").isNotNull(), F.col("anioResolucion").isNull()
-        scalars |= {
-            "with_doc": F.count_if(good & with_doc),
-            "without_doc": F.count_if(good & ~with_doc),
-            "no_year": F.count_if(good & with_doc & no_year),
-            "no_year_no_doc": F.count_if(good & ~with_doc & no_year),
-        }
-        scalars |= {f"blank:{n}": F.count_if(good & rule()) for n, rule in spec.blank_rules.items()}
     ids = valid.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     places = valid.groupBy("indice").agg(F.count(F.lit(1)).alias("n"))
     sources = valid.groupBy("fuente").agg(F.min("indice").alias("at"))
@@ -146,8 +164,8 @@ def dataset_findings(
         sample_facts(sources, [("sources", None, F.col("fuente"))], [F.col("at"), F.col("fuente")]),
         sample_facts(first_missing(places, "indice"), [("missing", None, F.col("indice"))], [F.col("indice")]),
     ]
-    misplaced = F.concat_ws(" ", F.lit("index"), "indice", F.lit("page"), "pagina")
-    shown = [("invalid", ~good, F.array_join("_issues", " | ")), ("misplaced", good & (page != F.col("pagina")), misplaced)]
+    place = F.concat_ws(" ", F.lit("index"), "indice", F.lit("page"), "pagina")
+    shown = [("invalid", ~F.col("good"), F.col("issues")), ("misplaced", F.col("misplaced"), place)]
     f = Facts()
     bound = F.when(f["places"] > 0, f["max_index"] + 1).otherwise(F.lit(0).cast("bigint"))
     missing = bound - f["places"]
@@ -176,9 +194,8 @@ def dataset_findings(
         for b in blanks[1:]:
             blank_total = blank_total + b
         fields = F.array_compact(F.array(*[F.when(f[f"blank:{n}"] > 0, F.lit(n)) for n in spec.blank_rules]))
-        for name, rule in spec.blank_rules.items():
-            shown.append(("blank", good & rule(), F.concat("id", F.lit(f":{name}"))))
-        shown.append(("no_year", good & with_doc & no_year, F.col("resolucion")))
+        shown += [("blank", F.array_contains("blanks", n), F.concat("id", F.lit(f":{n}"))) for n in spec.blank_rules]
+        shown.append(("no_year", F.col("no_year") & with_doc, F.col("resolucion")))
         parts += [
             facts(shared.agg(F.count(F.lit(1)).alias("shared"), F.count_if("heterogeneous").alias("mixed"))),
             sample_facts(shared.where("heterogeneous"), [("mixed", None, F.col("documentoUuid"))], [F.col("first_index"), F.col("documentoUuid")]),
@@ -356,8 +373,9 @@ def validate(
     """The whole report: dataset, documents and, where asked for, site."""
     live = site[1] if site else None
     known, _ = declared_total(live, total, None)
-    sections = [dataset_findings(records, spec, page_size, known, corrupt)]
-    valid = records.where(F.size(spec.issues()) == 0)
+    marked = settle(marks(records, spec, page_size), "marks")
+    sections = [findings_of_marks(marked, spec, known, corrupt)]
+    valid = marked.where("good")
     if manifest is None:  # nothing was ever downloaded: the same as an empty manifest
         manifest = records.sparkSession.createDataFrame([], MANIFEST_SCHEMA)
     sections.append(documents_findings(valid, manifest, probe, queue, invalid_entries))

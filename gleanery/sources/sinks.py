@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gleanery.operators.keep import first_occurrence
-from gleanery.sources.paths import children, exists
+from gleanery.sources.paths import children, exists, scratch_dir
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -66,3 +66,14 @@ def replace_table(rows: DataFrame, path: str) -> str:
 def write_checkpoint(spark: SparkSession, path: str, state: DataFrame) -> str:
     """Replace the resume state. To be called after the data was written, never before."""
     return replace_table(state, path)
+
+
+def settle(rows: DataFrame, name: str) -> DataFrame:
+    """Write rows to shared scratch space and read them back.
+
+    For what is derived once and read many times: the reads see plain columns, and losing an
+    executor costs no more than a file read.
+    """
+    path = scratch_dir(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -6,7 +6,7 @@ from gleanery.operators import findings as fnd
 from gleanery.operators.keep import first_occurrence, repeats
 from gleanery.operators.positions import missing_positions
 from gleanery.plans import downloads, drift, retry, validate
-from gleanery.sources.sinks import new_records
+from gleanery.sources.sinks import new_records, settle
 from gleanery.sources.spec import TYPED
 from workload import sql as S
 from workload import tables as T
@@ -313,8 +313,8 @@ _REPORT = " UNION ALL ".join([
 ])
 
 def _report(spark, sf):
-    records, manifest = T.stored(T.records(spark, sf), "records"), T.stored(T.manifest(spark, sf), "manifest")
-    probe = T.stored(T.probe(spark, sf), "probe")
+    records, manifest = settle(T.records(spark, sf), "records"), settle(T.manifest(spark, sf), "manifest")
+    probe = settle(T.probe(spark, sf), "probe")
     return validate.validate(records, TYPED, 10, manifest, probe, retry.collapse(T.queue(spark, sf)))
 
 
@@ -343,7 +343,7 @@ def _(spark, sf):
       SELECT section, check_order, "check", n FROM (SELECT 'site' AS section, 1 AS check_order, 'sitio-total' AS "check", bound AS n FROM f UNION ALL SELECT 'site', 2, 'sitio-primera-pagina', 0)""",
 )
 def _(spark, sf):
-    r = T.stored(T.records(spark, sf), "records")
+    r = settle(T.records(spark, sf), "records")
     total = T.table(spark, sf, "documents").count()
     dataset = validate.dataset_findings(r, TYPED, 10)
     site = validate.site_findings(r, r.where("pagina = 1"), total)

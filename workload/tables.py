@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from gleanery.functions.text import normalize_ws, ruling_year, split_multivalue
 from gleanery.operators.spread import spread
 from gleanery.plans.requestlog import attempts, classify
-from gleanery.sources.paths import scratch_dir
 from gleanery.sources.spec import FREE, TYPED
 
 RECORD = [f.name for f in TYPED.schema.fields]
@@ -65,16 +64,6 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
     return rich_records(spark, sf).select(*RECORD)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The table written to shared scratch space and read back, as stored harvest tables are.
-
-    Worth it where a job reads its input many times: deriving it is not repeated.
-    """
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def free_records(spark: SparkSession, sf: str) -> DataFrame:
     rows = _base(documents(spark, sf)).withColumns(
         {"campos": F.create_map("lang", "source"), "texto": normalize_ws(F.col("text"))}
