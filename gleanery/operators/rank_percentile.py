@@ -22,11 +22,12 @@ def rank_percentiles(
     rows = rows if keys else rows.withColumn("_all", F.lit(1))
     counts = rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
     b = running(blocks(counts, by, [value], hot_rows), {"_upto": ("sum", F.col("_c"))})
+    ranked = b.rows.withColumn("_n", F.sum("_c").over(Window.partitionBy(*b.partition)))
     if b.split:
-        totals = counts.groupBy(*by).agg(F.sum("_c").alias("_n"))
-        ranked = b.rows.join(totals, by)
-    else:
-        ranked = b.rows.withColumn("_n", F.sum("_c").over(Window.partitionBy(*by)))
+        # A cut key's total comes from its blocks; there are at most MAX_HOT_KEYS such keys.
+        totals = b.rows.where("_hot").groupBy(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(by)]).agg(F.sum("_c").alias("_total"))
+        same = [ranked[k].eqNullSafe(totals[f"_h{i}"]) for i, k in enumerate(by)]
+        ranked = ranked.join(F.broadcast(totals), same, "left").withColumn("_n", F.coalesce("_total", "_n"))
 
     def statistic(p: float):
         at = F.least(F.col("_n"), F.floor(F.lit(p) * F.col("_n")) + 1)
