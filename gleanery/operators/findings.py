@@ -1,89 +1,74 @@
 """Findings: one row per check, with a level out of four.
 
 ``no-evaluable`` is a level of its own: a check whose input is absent never passes.
+
+The work is in the aggregates that give the numbers and samples. What is left, a fixed few
+dozen numbers and five samples per check, is put together on the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.functions.text import thousands
 from gleanery.operators.keep import MAX_SAMPLES, first_k
-from gleanery.operators.skew import union_all
+from gleanery.sources.schema import COUNT, SMALL, TEXT, TEXTS, schema
 
 # Levels and their symbols in a text report.
 ERROR, WARNING, OK, NOT_EVALUABLE = "error", "aviso", "ok", "no-evaluable"
 SYMBOLS = {ERROR: "✗", WARNING: "⚠", OK: "✓", NOT_EVALUABLE: "–"}
 
-FACT = "metric string, value bigint, samples array<string>"
+FINDINGS = schema(
+    section_order=SMALL, section=TEXT, check_order=SMALL, check=TEXT, level=TEXT, n=COUNT, message=TEXT, samples=TEXTS
+)
 
-def no_samples() -> Column:
-    return F.array().cast("array<string>")
 
+@dataclass(frozen=True)
+class Finding:
+    check: str
+    level: str
+    n: int
+    message: str
+    samples: list[str] = field(default_factory=list)
 
-def facts(stats: DataFrame) -> DataFrame:
-    """A one-row aggregate as ``metric, value, samples`` rows."""
-    entries = [
-        F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value"), no_samples().alias("samples"))
-        for c in stats.columns
-    ]
-    return stats.select(F.explode(F.array(*entries)).alias("f")).select("f.*")
 
+def shown(n: int) -> str:
+    return f"{n:,}".replace(",", ".")
 
-def sample_facts(rows: DataFrame, kinds: list[tuple[str, Column | None, Column]], order: list[Column]) -> DataFrame:
-    """First samples of each metric in one pass over ``rows``: (metric, condition, label).
 
-    A row may give several samples, in the order of ``kinds``. The rank limits every
-    metric before the shuffle.
-    """
-    given = F.array(
-        *[
-            F.when(F.lit(True) if cond is None else cond, F.struct(F.lit(m).alias("metric"), label.cast("string").alias("label")))
-            for m, cond, label in kinds
-        ]
-    )
-    names = [*[f"o{i}" for i in range(len(order))], "nth"]
-    listed = rows.select(F.posexplode(given).alias("nth", "k"), *[o.alias(n) for o, n in zip(order, names)])
-    few = first_k(listed.where("k is not null").select("k.*", *names), ["metric"], [F.col(n) for n in names], MAX_SAMPLES)
-    sorted_few = F.array_sort(F.collect_list(F.struct(*names, "label")))
-    return few.groupBy("metric").agg(F.transform(sorted_few, lambda x: x["label"]).alias("samples")).select(
-        "metric", F.lit(None).cast("bigint").alias("value"), "samples"
-    )
+def counted(check: str, n: int, words: str, bad: str = ERROR, samples: list[str] | None = None) -> Finding:
+    """A check that fails with the given level as soon as there is one case."""
+    return Finding(check, bad if n else OK, n, f"{shown(n)} {words}", samples or [])
 
 
-class Facts:
-    """Facts by name inside the one row that :func:`findings` builds."""
+def findings_frame(spark: SparkSession, section: str, section_order: int, found: list[Finding]) -> DataFrame:
+    rows = [(section_order, section, i + 1, f.check, f.level, f.n, f.message, f.samples) for i, f in enumerate(found)]
+    return spark.createDataFrame(rows, FINDINGS)
 
-    def __getitem__(self, metric: str) -> Column:
-        return F.coalesce(F.try_element_at("_values", F.lit(metric)), F.lit(0).cast("bigint"))
 
-    def samples(self, metric: str) -> Column:
-        return F.coalesce(F.try_element_at("_samples", F.lit(metric)), no_samples())
+def numbers(stats: DataFrame) -> dict[str, int]:
+    """A one-row aggregate as numbers; an empty sum is 0."""
+    return {k: v or 0 for k, v in stats.first().asDict().items()}
 
 
-def finding(check: str, level: Column | str, n: Column, message: Column | str, samples: Column | None = None) -> Column:
-    return F.struct(
-        F.lit(check).alias("check"),
-        (F.lit(level) if isinstance(level, str) else level).alias("level"),
-        n.cast("bigint").alias("n"),
-        (F.lit(message) if isinstance(message, str) else message).alias("message"),
-        (no_samples() if samples is None else samples).alias("samples"),
-    )
+def samples(rows: DataFrame, kinds: list[tuple[str, Column, Column]], order: list[Column]) -> dict[str, list[str]]:
+    """First samples of each kind in one pass over ``rows``: (kind, condition, label).
 
-
-def findings(parts: list[DataFrame], section: str, section_order: int, checks: list[Column]) -> DataFrame:
-    """Turn facts (a few dozen rows, all from aggregates) into the section's findings."""
-    pairs = F.collect_list(F.when(F.col("value").isNotNull(), F.struct("metric", "value")))
-    listed = F.collect_list(F.when(F.size("samples") > 0, F.struct("metric", "samples")))
-    row = union_all(parts).agg(F.map_from_entries(pairs).alias("_values"), F.map_from_entries(listed).alias("_samples"))
-    rows = row.select(F.posexplode(F.array(*checks)).alias("check_order", "f"))
-    return rows.select(
-        F.lit(section_order).alias("section_order"),
-        F.lit(section).alias("section"),
-        (F.col("check_order") + 1).alias("check_order"),
-        "f.*",
-    )
+    A row may give several samples, in the order of ``kinds``. The rank limits every kind
+    before the shuffle.
+    """
+    if not kinds:
+        return {}
+    given = F.array(*[F.when(cond, F.struct(F.lit(k).alias("kind"), label.cast("string").alias("label"))) for k, cond, label in kinds])
+    names = [*[f"o{i}" for i in range(len(order))], "nth"]
+    listed = rows.select(F.posexplode(given).alias("nth", "k"), *[o.alias(n) for o, n in zip(order, names)])
+    few = first_k(listed.where("k is not null").select("k.*", *names), ["kind"], [F.col(n) for n in names], MAX_SAMPLES)
+    out: dict[str, list[str]] = {}
+    for r in few.orderBy("kind", *names).collect():  # at most MAX_SAMPLES rows per kind
+        out.setdefault(r["kind"], []).append(r["label"])
+    return out
 
 
 def levels(found: DataFrame) -> DataFrame:
@@ -106,7 +91,3 @@ def report_lines(found: DataFrame) -> DataFrame:
     line = F.concat(F.lit("  "), symbol, F.lit(" "), F.rpad("check", F.col("_w"), F.lit(" ")), F.lit("  "), F.col("message"), shown)
     joined = found.join(F.broadcast(width), F.col("_w").isNotNull())
     return joined.select("section_order", "check_order", "section", line.alias("line"))
-
-
-def number(n: Column) -> Column:
-    return thousands(n)

@@ -3,8 +3,8 @@
 A check that has no input to look at is ``no-evaluable``: an absent DataFrame (``None``)
 means that, an empty one does not. Every check is emitted, always in the same order.
 
-The scalar checks share one aggregate over the records. The checks on sets group by their
-key, with partial aggregation before the shuffle, so copies of one key are merged early.
+The scalar checks share one aggregate over the records. The checks on sets share one shuffle
+by key, with partial aggregation before it, so copies of one key are merged early.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.paging import page_of_index
 from gleanery.operators.findings import (
-    ERROR, NOT_EVALUABLE, OK, WARNING, Facts, facts, finding, findings, no_samples, number, sample_facts,
+    ERROR, NOT_EVALUABLE, OK, WARNING, Finding, counted, findings_frame, numbers, samples, shown,
 )
 from gleanery.operators.keep import MAX_SAMPLES, first_k, repeats
 from gleanery.operators.positions import first_missing
@@ -26,20 +26,11 @@ from gleanery.sources.spec import SourceSpec
 DATASET, DOCUMENTS, SITE = "dataset", "documents", "site"
 
 
-def _says(n: Column, words: str) -> Column:
-    return F.concat(number(n), F.lit(" " + words))
-
-
-def _error_if(check: str, n: Column, words: str, samples: Column | None = None, level: str = ERROR) -> Column:
-    return finding(check, F.when(n > 0, level).otherwise(OK), n, _says(n, words), samples)
-
-
 def repeated_lines(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The first lines that repeat a key already seen, enough of each key to show samples."""
-    dup = rows.join(repeats(rows.select(key), key).select(key), key, "left_semi").select(key, *order)
     w = Window.partitionBy(key).orderBy(*order)
     # The upper bound on the rank limits every key before the shuffle.
-    ranked = dup.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= MAX_SAMPLES + 1)
+    ranked = rows.select(key, *order).withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= MAX_SAMPLES + 1)
     return ranked.where("_rank >= 2").drop("_rank")
 
 
@@ -137,80 +128,98 @@ def dataset_findings(
     return findings_of_marks(settle(marks(records, spec, page_size), "marks"), spec, total, corrupt)
 
 
+def _sets(valid: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Rows per id, position, source and document, all in one shuffle: ``kind, key, n, at, differ``."""
+    kinds = [("id", F.col("id")), ("place", F.col("indice").cast("string")), ("source", F.col("fuente"))]
+    fields = []
+    if spec.blank_rules:
+        kinds.append(("document", F.col("documentoUuid")))
+        fields = ["expediente", "resolucion"]
+    listed = F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("key")) for k, c in kinds])
+    # What documents are compared by is carried for them alone.
+    carried = [F.when(F.col("k.kind") == "document", F.xxhash64(F.col(f))).alias(f) for f in fields]
+    keyed = valid.select(F.explode(listed).alias("k"), "indice", *fields).select("k.*", "indice", *carried)
+    differ = F.lit(False)
+    for f in fields:
+        differ = differ | F.coalesce(F.min(f) != F.max(f), F.lit(False))
+    return keyed.where("key is not null").groupBy("kind", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("indice").alias("at"), differ.alias("differ")
+    )
+
+
 def findings_of_marks(marked: DataFrame, spec: SourceSpec, total: int | None = None, corrupt: int = 0) -> DataFrame:
-    valid = marked.where("good")
-    with_doc = F.col("documentoUuid").isNotNull()
-    scalars = {
-        "lines": F.count(F.lit(1)),
-        "valid": F.count_if("good"),
-        "invalid": F.count_if(~F.col("good")),
-        "misplaced": F.count_if("misplaced"),
-        "without_doc": F.count_if(F.col("good") & ~with_doc),
-        "no_year": F.count_if(F.col("no_year") & with_doc),
-        **{f"blank:{n}": F.count_if(F.array_contains("blanks", n)) for n in spec.blank_rules},
-    }
-    ids = valid.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    places = valid.groupBy("indice").agg(F.count(F.lit(1)).alias("n"))
-    sources = valid.groupBy("fuente").agg(F.min("indice").alias("at"))
-    parts = [
-        facts(marked.agg(*[c.alias(n) for n, c in scalars.items()])),
-        facts(ids.agg(F.count(F.lit(1)).alias("ids"), F.sum(F.col("n") - 1).alias("id_repeats"))),
-        facts(places.agg(
-            F.count(F.lit(1)).alias("places"), F.sum(F.col("n") - 1).alias("place_repeats"), F.max("indice").alias("max_index")
-        )),
-        facts(sources.agg(F.count(F.lit(1)).alias("sources"))),
-        sample_facts(repeated_lines(valid, "id", ["indice", "pagina"]), [("id_repeats", None, F.col("id"))], [F.col("indice"), F.col("id")]),
-        sample_facts(places.where("n > 1"), [("place_repeats", None, F.col("indice"))], [F.col("indice")]),
-        sample_facts(sources, [("sources", None, F.col("fuente"))], [F.col("at"), F.col("fuente")]),
-        sample_facts(first_missing(places, "indice"), [("missing", None, F.col("indice"))], [F.col("indice")]),
-    ]
-    place = F.concat_ws(" ", F.lit("index"), "indice", F.lit("page"), "pagina")
-    shown = [("invalid", ~F.col("good"), F.col("issues")), ("misplaced", F.col("misplaced"), place)]
-    f = Facts()
-    bound = F.when(f["places"] > 0, f["max_index"] + 1).otherwise(F.lit(0).cast("bigint"))
-    missing = bound - f["places"]
+    """Two jobs count everything; samples are looked for only where a check has cases."""
+    valid, with_doc = marked.where("good"), F.col("documentoUuid").isNotNull()
+    n = numbers(marked.agg(
+        F.count_if("good").alias("valid"),
+        F.count_if(~F.col("good")).alias("invalid"),
+        F.count_if("misplaced").alias("misplaced"),
+        (F.max(F.when(F.col("good"), F.col("indice"))) + 1).alias("bound"),
+        F.count_if(F.col("good") & ~with_doc).alias("without_doc"),
+        F.count_if(F.col("no_year") & with_doc).alias("no_year"),
+        *[F.count_if(F.array_contains("blanks", f)).alias(f"blank:{f}") for f in spec.blank_rules],
+    ))
+    sets = _sets(valid, spec)
+    several = F.col("n") > 1
+    per_kind = sets.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("keys"), F.sum(F.col("n") - 1).alias("repeats"),
+        F.count_if(several).alias("several"), F.count_if(several & F.col("differ")).alias("mixed"),
+    )
+    none = {"keys": 0, "repeats": 0, "several": 0, "mixed": 0}
+    by = {"id": none, "place": none, "source": none, "document": none} | {r["kind"]: r.asDict() for r in per_kind.collect()}
+    missing = n["bound"] - by["place"]["keys"]
+    blanks = {f: n[f"blank:{f}"] for f in spec.blank_rules}
+
+    kinds = [("invalid", ~F.col("good"), F.col("issues")),
+             ("misplaced", F.col("misplaced"), F.concat_ws(" ", F.lit("index"), "indice", F.lit("page"), "pagina")),
+             ("no_year", F.col("no_year") & with_doc, F.col("resolucion") if spec.has_year else F.lit(""))]
+    few = samples(marked, [
+        *[k for k in kinds if n[k[0]]],
+        *[("blank", F.array_contains("blanks", f), F.concat("id", F.lit(f":{f}"))) for f, c in blanks.items() if c],
+    ], [F.col("indice"), F.col("id")])
+    if by["id"]["repeats"]:
+        every = [("id", F.lit(True), F.col("id"))]
+        few |= samples(repeated_lines(valid, "id", ["indice", "pagina"]), every, [F.col("indice"), F.col("id")])
+    if by["source"]["keys"] > 1:
+        few |= samples(sets.where("kind = 'source'"), [("source", F.lit(True), F.col("key"))], [F.col("at"), F.col("key")])
+    if by["document"]["mixed"]:
+        mixed = several & F.col("differ")
+        few |= samples(sets.where("kind = 'document'"), [("mixed", mixed, F.col("key"))], [F.col("at"), F.col("key")])
+    if by["place"]["repeats"]:
+        # Every further row of a position is a case; five of one position fill the samples.
+        again = F.explode(F.sequence(F.lit(1), F.least(F.col("n") - 1, F.lit(MAX_SAMPLES)).cast("int")))
+        twice = sets.where(several & (F.col("kind") == "place")).select("key", "at", again.alias("nth_row"))
+        few |= samples(twice, [("place", F.lit(True), F.col("key"))], [F.col("at"), F.col("nth_row")])
+    if missing:
+        few |= samples(first_missing(valid, "indice"), [("missing", F.lit(True), F.col("indice"))], [F.col("indice")])
+
     if total is None:
-        coverage = finding("cobertura", NOT_EVALUABLE, bound, _says(bound, "rows at least; no declared total"))
+        coverage = Finding("cobertura", NOT_EVALUABLE, n["bound"], f"{shown(n['bound'])} rows at least; no declared total")
     else:
-        met = bound == total
-        coverage = finding("cobertura", F.when(met, OK).otherwise(ERROR), F.lit(total) - bound,
-                           F.concat(number(bound), F.lit(f" of {total} declared rows")))
-    checks = [
-        finding("jsonl-ilegible", ERROR if corrupt else OK, F.lit(corrupt), _says(F.lit(corrupt), "unreadable lines")),
-        finding("dataset-vacio", F.when(f["valid"] == 0, ERROR).otherwise(OK), f["valid"], _says(f["valid"], "valid records")),
-        _error_if("esquema", f["invalid"], "records break a rule", f.samples("invalid")),
-        _error_if("id-duplicado", f["id_repeats"], "lines repeat an identity", f.samples("id_repeats")),
-        _error_if("indice-duplicado", f["place_repeats"], "lines repeat a position", f.samples("place_repeats")),
-        _error_if("pagina-incoherente", f["misplaced"], "records on another page than their position's", f.samples("misplaced")),
-        finding("fuente-mezclada", F.when(f["sources"] > 1, ERROR).otherwise(OK), f["sources"], _says(f["sources"], "sources"),
-                F.when(f["sources"] > 1, f.samples("sources")).otherwise(no_samples())),
-        _error_if("indices-ausentes", missing, "positions without a record", f.samples("missing"), WARNING),
+        met = n["bound"] == total
+        coverage = Finding("cobertura", OK if met else ERROR, total - n["bound"], f"{shown(n['bound'])} of {shown(total)} declared rows")
+    sources = by["source"]["keys"]
+    found = [
+        counted("jsonl-ilegible", corrupt, "unreadable lines"),
+        Finding("dataset-vacio", OK if n["valid"] else ERROR, n["valid"], f"{shown(n['valid'])} valid records"),
+        counted("esquema", n["invalid"], "records break a rule", samples=few.get("invalid")),
+        counted("id-duplicado", by["id"]["repeats"], "lines repeat an identity", samples=few.get("id")),
+        counted("indice-duplicado", by["place"]["repeats"], "lines repeat a position", samples=few.get("place")),
+        counted("pagina-incoherente", n["misplaced"], "records on another page than their position's", samples=few.get("misplaced")),
+        Finding("fuente-mezclada", ERROR if sources > 1 else OK, sources, f"{shown(sources)} sources", few.get("source", [])),
+        counted("indices-ausentes", missing, "positions without a record", WARNING, few.get("missing")),
         coverage,
     ]
     if spec.blank_rules:
-        shared = shared_documents(valid)
-        blanks = [f[f"blank:{n}"] for n in spec.blank_rules]
-        blank_total = blanks[0]
-        for b in blanks[1:]:
-            blank_total = blank_total + b
-        fields = F.array_compact(F.array(*[F.when(f[f"blank:{n}"] > 0, F.lit(n)) for n in spec.blank_rules]))
-        shown += [("blank", F.array_contains("blanks", n), F.concat("id", F.lit(f":{n}"))) for n in spec.blank_rules]
-        shown.append(("no_year", F.col("no_year") & with_doc, F.col("resolucion")))
-        parts += [
-            facts(shared.agg(F.count(F.lit(1)).alias("shared"), F.count_if("heterogeneous").alias("mixed"))),
-            sample_facts(shared.where("heterogeneous"), [("mixed", None, F.col("documentoUuid"))], [F.col("first_index"), F.col("documentoUuid")]),
-        ]
-        checks += [
-            finding("campos-vacios", F.when(blank_total > 0, ERROR).otherwise(OK), blank_total,
-                    F.concat(number(blank_total), F.lit(" blank required fields"), F.when(F.size(fields) > 0, F.concat(F.lit(": "), F.array_join(fields, ", "))).otherwise("")),
-                    f.samples("blank")),
-            _error_if("anio-sin-parsear", f["no_year"], "records with a document and no ruling year", f.samples("no_year")),
-            finding("sin-documento", OK, f["without_doc"], _says(f["without_doc"], "records without a document")),
-            finding("documento-compartido", OK, f["shared"], _says(f["shared"], "documents reach several records")),
-            _error_if("documento-compartido-heterogeneo", f["mixed"], "shared documents differ in case or ruling", f.samples("mixed"), WARNING),
+        where = ", ".join(f for f, c in blanks.items() if c)
+        found += [
+            counted("campos-vacios", sum(blanks.values()), "blank required fields" + (f": {where}" if where else ""), samples=few.get("blank")),
+            counted("anio-sin-parsear", n["no_year"], "records with a document and no ruling year", samples=few.get("no_year")),
+            Finding("sin-documento", OK, n["without_doc"], f"{shown(n['without_doc'])} records without a document"),
+            Finding("documento-compartido", OK, by["document"]["several"], f"{shown(by['document']['several'])} documents reach several records"),
+            counted("documento-compartido-heterogeneo", by["document"]["mixed"], "shared documents differ in case or ruling", WARNING, few.get("mixed")),
         ]
-    parts.append(sample_facts(marked, shown, [F.col("indice"), F.col("id")]))
-    return findings(parts, DATASET, 1, checks)
+    return findings_frame(marked.sparkSession, DATASET, 1, found)
 
 
 def manifest_orphans(manifest: DataFrame, records: DataFrame) -> DataFrame:
@@ -252,6 +261,18 @@ def shared_files(manifest: DataFrame) -> DataFrame:
 _DISK = ("archivo-ausente", "tamano-distinto", "hash-distinto")
 
 
+def _against_records(manifest: DataFrame, records: DataFrame) -> DataFrame:
+    """Manifest ids and documents with their entries, and what the records say of them."""
+    entries = manifest.groupBy("id", "documentoUuid").agg(F.count(F.lit(1)).alias("n"), F.min("indice").alias("first_index"))
+    last = first_k(records.select("id", "indice", F.col("documentoUuid").alias("record_uuid")), ["id"], [F.desc("indice"), F.asc("record_uuid")])
+    joined = entries.join(last.select("id", "record_uuid", F.lit(True).alias("known")), "id", "left")
+    known = F.coalesce(F.col("known"), F.lit(False))
+    return joined.select(
+        "id", "documentoUuid", "record_uuid", "n", "first_index", (~known).alias("orphan"),
+        (known & null_safe(F.col("documentoUuid"), F.col("record_uuid"))).alias("mismatch"),
+    )
+
+
 def documents_findings(
     records: DataFrame,
     manifest: DataFrame,
@@ -259,74 +280,67 @@ def documents_findings(
     queue: DataFrame | None,
     invalid_entries: int = 0,
 ) -> DataFrame:
-    """The ten checks on manifest, files and queue. ``queue`` is collapsed: one row per id."""
-    ids = manifest.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("indice").alias("first_index"))
-    orphans, mismatch = manifest_orphans(manifest, records), manifest_uuid_mismatch(manifest, records)
-    files = manifest.groupBy("archivo").agg(F.count(F.lit(1)).alias("n"))
-    by = [F.col("first_index"), F.col("id")]
-    parts = [
-        facts(records.agg(F.count_if(F.coalesce(F.col("documentoUuid") != "", F.lit(False))).alias("with_doc"))),
-        facts(ids.agg(F.sum("n").alias("entries"), F.count(F.lit(1)).alias("ids"), F.sum(F.col("n") - 1).alias("repeats"))),
-        facts(files.agg(F.count(F.lit(1)).alias("files"), F.count_if(F.col("n") > 1).alias("shared"))),
-        facts(orphans.agg(F.sum("n").alias("orphans"))),
-        facts(mismatch.agg(F.sum("n").alias("mismatch"))),
-        sample_facts(repeated_lines(manifest, "id", ["indice", "archivo"]), [("repeats", None, F.col("id"))], [F.col("indice"), F.col("id")]),
-        sample_facts(orphans, [("orphans", None, F.col("id"))], by),
-        sample_facts(mismatch, [("mismatch", None, F.concat("id", F.lit(": "), "documentoUuid", F.lit(" / "), F.coalesce("record_uuid", F.lit("(none)"))))], [*by, F.col("documentoUuid")]),
-    ]
-    f = Facts()
-    none = f["entries"] == 0
-
-    def unless_empty(check: str, n: Column, words: str, level: str = ERROR, samples: Column | None = None) -> Column:
-        found = F.when(none, NOT_EVALUABLE).when(n > 0, level).otherwise(OK)
-        return finding(check, found, n, F.when(none, F.lit("no entries to look at")).otherwise(_says(n, words)), samples)
-
-    if probe is None:
-        reason = F.when(none, "no entries to look at").otherwise("the download folder is not there")
-        disk = [finding(c, NOT_EVALUABLE, F.lit(0), reason) for c in _DISK]
-    else:
+    """The eleven checks on manifest, files and queue. ``queue`` is collapsed: one row per id."""
+    every = F.lit(True)
+    with_doc = numbers(records.agg(F.count_if(F.coalesce(F.col("documentoUuid") != "", F.lit(False))).alias("n")))["n"]
+    keyed = manifest.select(F.explode(F.array(
+        F.struct(F.lit("id").alias("kind"), F.col("id").alias("key")), F.struct(F.lit("file").alias("kind"), F.col("archivo").alias("key"))
+    )).alias("k")).select("k.*").groupBy("kind", "key").agg(F.count(F.lit(1)).alias("n"))
+    per_kind = keyed.groupBy("kind").agg(
+        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("keys"), F.sum(F.col("n") - 1).alias("repeats"), F.count_if(F.col("n") > 1).alias("several")
+    )
+    none = {"rows": 0, "keys": 0, "repeats": 0, "several": 0}
+    by = {"id": none, "file": none} | {r["kind"]: r.asDict() for r in per_kind.collect()}
+    entries, repeated = by["id"]["rows"], by["id"]["repeats"]
+    against = _against_records(manifest, records)
+    n = numbers(against.agg(F.sum(F.when(F.col("orphan"), F.col("n"))).alias("orphan"), F.sum(F.when(F.col("mismatch"), F.col("n"))).alias("mismatch")))
+    said = F.concat("id", F.lit(": "), "documentoUuid", F.lit(" / "), F.coalesce("record_uuid", F.lit("(none)")))
+    kinds = [("orphan", F.col("orphan"), F.col("id")), ("mismatch", F.col("mismatch"), said)]
+    few = samples(against, [k for k in kinds if n[k[0]]], [F.col("first_index"), F.col("id"), F.col("documentoUuid")])
+    if repeated:
+        few |= samples(repeated_lines(manifest, "id", ["indice", "archivo"]), [("id", every, F.col("id"))], [F.col("indice"), F.col("id")])
+    if probe is not None and entries:
         seen = manifest_vs_disk(manifest, probe)
         per_file = seen.groupBy("archivo").agg(
             F.bool_or("absent").alias("absent"), F.bool_or("hashed").alias("hashed"),
-            F.sum(F.when(F.col("size_differs"), F.col("n")).otherwise(0)).alias("size_n"),
-            F.sum(F.when(F.col("hash_differs"), F.col("n")).otherwise(0)).alias("hash_n"),
+            F.sum(F.when(F.col("size_differs"), F.col("n")).otherwise(0)).alias("size"),
+            F.sum(F.when(F.col("hash_differs"), F.col("n")).otherwise(0)).alias("hash"),
         )
-        parts += [
-            facts(per_file.agg(
-                F.count_if("absent").alias("absent"), F.count_if("hashed").alias("hashed"),
-                F.sum("size_n").alias("size_differs"), F.sum("hash_n").alias("hash_differs"),
-            )),
-            sample_facts(per_file, [
-                ("absent", F.col("absent"), F.col("archivo")),
-                ("size_differs", F.col("size_n") > 0, F.col("archivo")),
-                ("hash_differs", F.col("hash_n") > 0, F.col("archivo")),
-            ], [F.col("archivo")]),
-        ]
-        hashed = f["hashed"] > 0
+        n |= numbers(per_file.agg(
+            F.count_if("absent").alias("absent"), F.count_if("hashed").alias("hashed"), F.sum("size").alias("size"), F.sum("hash").alias("hash")
+        ))
+        kinds = [("absent", F.col("absent"), F.col("archivo")), ("size", F.col("size") > 0, F.col("archivo")), ("hash", F.col("hash") > 0, F.col("archivo"))]
+        few |= samples(per_file, [k for k in kinds if n[k[0]]], [F.col("archivo")])
+
+    def on_entries(check: str, cases: int, words: str, bad: str = ERROR, few: list[str] | None = None) -> Finding:
+        return counted(check, cases, words, bad, few) if entries else Finding(check, NOT_EVALUABLE, 0, "no entries to look at")
+
+    if probe is None or not entries:
+        reason = "the download folder is not there" if entries else "no entries to look at"
+        disk = [Finding(c, NOT_EVALUABLE, 0, reason) for c in _DISK]
+    else:
         disk = [
-            unless_empty(_DISK[0], f["absent"], "files are not on disk", samples=f.samples("absent")),
-            unless_empty(_DISK[1], f["size_differs"], "entries with another size than the file", samples=f.samples("size_differs")),
-            finding(_DISK[2], F.when(none | ~hashed, NOT_EVALUABLE).when(f["hash_differs"] > 0, ERROR).otherwise(OK), f["hash_differs"],
-                    F.when(none, F.lit("no entries to look at")).when(~hashed, F.lit("no file was hashed")).otherwise(_says(f["hash_differs"], "entries with another hash than the file")),
-                    f.samples("hash_differs")),
+            counted(_DISK[0], n["absent"], "files are not on disk", samples=few.get("absent")),
+            counted(_DISK[1], n["size"], "entries with another size than the file", samples=few.get("size")),
+            counted(_DISK[2], n["hash"], "entries with another hash than the file", samples=few.get("hash"))
+            if n["hashed"] else Finding(_DISK[2], NOT_EVALUABLE, 0, "no file was hashed"),
         ]
     if queue is None:
-        pending = finding("dlq-pendientes", NOT_EVALUABLE, F.lit(0), "the failure queue could not be read")
+        pending = Finding("dlq-pendientes", NOT_EVALUABLE, 0, "the failure queue could not be read")
     else:
-        parts.append(facts(queue.agg(F.count(F.lit(1)).alias("queued"))))
-        pending = _error_if("dlq-pendientes", f["queued"], "documents wait in the failure queue", level=WARNING)
-    checks = [
-        finding("manifiesto-invalido", ERROR if invalid_entries else OK, F.lit(invalid_entries), _says(F.lit(invalid_entries), "malformed entries")),
-        finding("manifiesto-vacio", F.when(none, WARNING).otherwise(OK), f["entries"], _says(f["entries"], "entries")),
-        unless_empty("manifiesto-duplicado", f["repeats"], "entries repeat an identity", samples=f.samples("repeats")),
-        unless_empty("manifiesto-huerfano", f["orphans"], "entries without a record", samples=f.samples("orphans")),
-        unless_empty("manifiesto-uuid", f["mismatch"], "entries name another document than the record", samples=f.samples("mismatch")),
-        finding("archivo-compartido", F.when(none, NOT_EVALUABLE).otherwise(OK), f["shared"], _says(f["shared"], "files serve several entries")),
-        finding("cobertura-descargas", OK, f["ids"], F.concat(number(f["ids"]), F.lit(" of "), number(f["with_doc"]), F.lit(" records with a document"))),
+        pending = counted("dlq-pendientes", queue.count(), "documents wait in the failure queue", WARNING)
+    found = [
+        counted("manifiesto-invalido", invalid_entries, "malformed entries"),
+        Finding("manifiesto-vacio", OK if entries else WARNING, entries, f"{shown(entries)} entries"),
+        on_entries("manifiesto-duplicado", repeated, "entries repeat an identity", few=few.get("id")),
+        on_entries("manifiesto-huerfano", n["orphan"], "entries without a record", few=few.get("orphan")),
+        on_entries("manifiesto-uuid", n["mismatch"], "entries name another document than the record", few=few.get("mismatch")),
+        on_entries("archivo-compartido", by["file"]["several"], "files serve several entries", OK),
+        Finding("cobertura-descargas", OK, by["id"]["keys"], f"{shown(by['id']['keys'])} of {shown(with_doc)} records with a document"),
         *disk,
         pending,
     ]
-    return findings(parts, DOCUMENTS, 2, checks)
+    return findings_frame(manifest.sparkSession, DOCUMENTS, 2, found)
 
 
 def first_page_present(records: DataFrame, site_page: DataFrame) -> DataFrame:
@@ -337,25 +351,23 @@ def first_page_present(records: DataFrame, site_page: DataFrame) -> DataFrame:
 def site_findings(records: DataFrame, site_page: DataFrame | None, live_total: int | None) -> DataFrame:
     """Comparison with a snapshot of the site; an unreachable site is an error."""
     if site_page is None:
-        spark = records.sparkSession
-        none = facts(spark.range(1).select(F.col("id").alias("none")))
-        return findings([none], SITE, 3, [finding("sitio-alcanzable", ERROR, F.lit(1), "the site could not be asked")])
-    shown, lacking = site_page.select("id").distinct(), first_page_present(records, site_page)
-    parts = [
-        facts(shown.agg(F.count(F.lit(1)).alias("shown"))),
-        facts(lacking.agg(F.count(F.lit(1)).alias("lacking"))),
-        sample_facts(lacking, [("lacking", None, F.col("id"))], [F.col("id")]),
-    ]
-    f = Facts()
-    gone = f["lacking"]
-    said = F.when(gone == 0, _says(f["shown"], "ids of the first page are all stored")).when(
-        gone == f["shown"], F.lit("none of the first page is stored: the identity rule may have changed")
-    ).otherwise(_says(gone, "ids of the first page are not stored yet"))
-    checks = [
-        finding("sitio-total", OK, F.lit(live_total), F.lit(f"the site declares {live_total} rows")),
-        finding("sitio-primera-pagina", F.when(gone > 0, ERROR).otherwise(OK), gone, said, f.samples("lacking")),
+        found = [Finding("sitio-alcanzable", ERROR, 1, "the site could not be asked")]
+        return findings_frame(records.sparkSession, SITE, 3, found)
+    ids = site_page.select("id").distinct().count()
+    lacking = first_page_present(records, site_page)
+    gone = lacking.count()
+    few = samples(lacking, [("id", F.lit(True), F.col("id"))], [F.col("id")]) if gone else {}
+    if gone == 0:
+        said = f"{shown(ids)} ids of the first page are all stored"
+    elif gone == ids:
+        said = "none of the first page is stored: the identity rule may have changed"
+    else:
+        said = f"{shown(gone)} of {shown(ids)} ids of the first page are not stored yet"
+    found = [
+        Finding("sitio-total", OK, live_total, f"the site declares {shown(live_total)} rows"),
+        Finding("sitio-primera-pagina", ERROR if gone else OK, gone, said, few.get("id", [])),
     ]
-    return findings(parts, SITE, 3, checks)
+    return findings_frame(records.sparkSession, SITE, 3, found)
 
 
 def validate(

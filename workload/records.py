@@ -179,8 +179,10 @@ def _(spark, sf):
 
 
 def _plan(spark, sf, dry_run=False):
-    noted = T.manifest(spark, sf).where("fuente <> 'src5'")
-    return downloads.download_plan(T.records(spark, sf), noted, T.probe(spark, sf), TYPED.file_name(), dry_run=dry_run)
+    base = settle(T.harvest(spark, sf), "harvest")
+    noted = T.manifest(spark, sf, base).where("fuente <> 'src5'")
+    records = base.select(*T.RECORD)
+    return downloads.download_plan(records, noted, T.probe(spark, sf, base), TYPED.file_name(), dry_run=dry_run)
 
 
 def _plan_sql(dry_run):
@@ -313,9 +315,9 @@ _REPORT = " UNION ALL ".join([
 ])
 
 def _report(spark, sf):
-    records, manifest = settle(T.records(spark, sf), "records"), settle(T.manifest(spark, sf), "manifest")
-    probe = settle(T.probe(spark, sf), "probe")
-    return validate.validate(records, TYPED, 10, manifest, probe, retry.collapse(T.queue(spark, sf)))
+    base = settle(T.harvest(spark, sf), "harvest")
+    manifest, probe = T.manifest(spark, sf, base), T.probe(spark, sf, base)
+    return validate.validate(base.select(*T.RECORD), TYPED, 10, manifest, probe, retry.collapse(T.queue(spark, sf)))
 
 
 @query("validate_report", f"WITH {_FACTS}, report AS ({_REPORT}) SELECT section, check_order, \"check\", level, n, message, array_to_string(samples, ', ') AS samples FROM report")

@@ -71,31 +71,41 @@ def free_records(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("id", FREE.record_id()).select(*[f.name for f in FREE.schema.fields])
 
 
-def manifest(spark: SparkSession, sf: str) -> DataFrame:
+def harvest(spark: SparkSession, sf: str) -> DataFrame:
+    """Records with what their files hold: the base of manifest and disk, without the texts."""
+    text = F.col("text")
+    on_disk = F.when(F.col("source") == "src3", F.concat(text, F.lit("!"))).otherwise(text)
+    return rich_records(spark, sf).select(
+        *RECORD, "lang", "n_chars", "quality", "toxic", "labelled",
+        TYPED.file_name().alias("archivo"),
+        F.octet_length(text).cast("bigint").alias("file_bytes"),
+        F.sha2(text.cast("binary"), 256).alias("sha256"),
+        F.sha2(on_disk.cast("binary"), 256).alias("disk_sha256"),
+    )
+
+
+def manifest(spark: SparkSession, sf: str, base: DataFrame | None = None) -> DataFrame:
     """One entry per labelled record; toxic ones lost their record, those of low quality name another document."""
-    r = rich_records(spark, sf).where("labelled").withColumn("archivo", TYPED.file_name())
-    return r.select(
-        F.when(F.col("toxic") == 1, F.substring(F.sha1(F.concat(F.lit("lost:"), "id").cast("binary")), 1, 24)).otherwise(F.col("id")).alias("id"),
+    lost = F.substring(F.sha1(F.concat(F.lit("lost:"), "id").cast("binary")), 1, 24)
+    return (harvest(spark, sf) if base is None else base).where("labelled").select(
+        F.when(F.col("toxic") == 1, lost).otherwise(F.col("id")).alias("id"),
         "fuente",
         F.when(F.col("quality") == 0, F.reverse("documentoUuid")).otherwise(F.col("documentoUuid")).alias("documentoUuid"),
         "pagina",
         "indice",
         "archivo",
         F.col("n_chars").alias("bytes"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("sha256"),
+        "sha256",
         F.lit(None).cast("string").alias("nombreServidor"),
         F.col("capturadoEn").alias("descargadoEn"),
         F.col("indice").alias("seq"),
     )
 
 
-def probe(spark: SparkSession, sf: str) -> DataFrame:
+def probe(spark: SparkSession, sf: str, base: DataFrame | None = None) -> DataFrame:
     """Files on disk: none for German documents, other content for those of one source."""
-    r = rich_records(spark, sf).where("labelled and lang <> 'de'").withColumn("archivo", TYPED.file_name())
-    content = F.when(F.col("source") == "src3", F.concat("text", F.lit("!"))).otherwise(F.col("text"))
-    return r.groupBy("archivo").agg(
-        F.max(F.octet_length("text").cast("bigint")).alias("bytes"), F.max(F.sha2(content.cast("binary"), 256)).alias("sha256")
-    )
+    files = (harvest(spark, sf) if base is None else base).where("labelled and lang <> 'de'")
+    return files.groupBy("archivo").agg(F.max("file_bytes").alias("bytes"), F.max("disk_sha256").alias("sha256"))
 
 
 def log(spark: SparkSession, sf: str) -> DataFrame:
