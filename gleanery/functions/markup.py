@@ -63,6 +63,15 @@ def row_indices(html: Column) -> Column:
     return F.transform(found, lambda d: d.try_cast("bigint"))
 
 
+def _last_of_each(pairs: Column) -> Column:
+    """Pairs ``k, v`` with the last value of each key, whatever the session's map policy.
+
+    A fold, because a filter that looks at the whole list would evaluate it per element.
+    """
+    start = F.array().cast("array<struct<k:string,v:string>>")
+    return F.aggregate(pairs, start, lambda kept, p: F.concat(F.filter(kept, lambda a: a["k"] != p["k"]), F.array(p)))
+
+
 def _unescape(js: Column) -> Column:
     return F.regexp_replace(js, r"\\(['\"\\])", "$1")
 
@@ -71,15 +80,8 @@ def _read_call(js: Column) -> Column:
     head, body = F.regexp_extract(js, _CALL, 1), F.regexp_extract(js, _CALL, 2)
     names = F.regexp_extract_all(body, F.lit(_PAIR), F.lit(1))
     values = F.regexp_extract_all(body, F.lit(_PAIR), F.lit(2))
-    pairs = F.arrays_zip(names.alias("k"), values.alias("v"))
-    # A repeated name keeps its last value, independently of the session's map policy.
-    last = F.filter(
-        pairs,
-        lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["k"] == p["k"]),
-    )
-    params = F.map_from_entries(
-        F.transform(last, lambda p: F.struct(_unescape(p["k"]).alias("k"), _unescape(p["v"]).alias("v")))
-    )
+    pairs = F.zip_with(names, values, lambda k, v: F.struct(_unescape(k).alias("k"), _unescape(v).alias("v")))
+    params = F.map_from_entries(_last_of_each(pairs))
     return F.when(
         F.size(names) > 0, F.struct(_capture(head, _FORM).alias("form_id"), params.alias("params"))
     )
@@ -96,7 +98,8 @@ def click_command(onclick: Column) -> Column:
 def document_link(onclick: Column, command: Column | None = None) -> Column:
     """State of a row's document link: ``ok`` with its document, ``sin-enlace`` or ``ilegible``.
 
-    The document is the value of the only pair whose name and value differ.
+    The document is the value of the only pair whose name and value differ. Jobs over many
+    rows pass the command as a column of its own, so that it is read once per row.
     """
     command = click_command(onclick) if command is None else command
     telling = F.filter(F.map_entries(command["params"]), lambda p: p["key"] != p["value"])
@@ -123,11 +126,7 @@ def label_cells(cells: Column, headers: Column) -> Column:
             c.alias("v"),
         ),
     )
-    last = F.filter(
-        labelled,
-        lambda p, i: ~F.exists(F.slice(labelled, i + 2, F.size(labelled)), lambda q: q["k"] == p["k"]),
-    )
-    return F.map_from_entries(last)
+    return F.map_from_entries(_last_of_each(labelled))
 
 
 def is_token_id(element_id: Column) -> Column:

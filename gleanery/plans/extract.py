@@ -63,6 +63,7 @@ def typed_rows(parsed: DataFrame) -> DataFrame:
     """Rows of ``indexed_rows``: position, printed number, fields (only with all cells), link."""
     keep = [c for c in parsed.columns if c not in PARTS]
     rows = parsed.select(*keep, F.posexplode("indexed_rows").alias("pos", "r"))
+    rows = rows.withColumn("_command", markup.click_command(F.col("r.onclick")))
     cells = F.col("r.cells")
     whole = F.size(cells) == TYPED_COLUMNS
 
@@ -81,7 +82,7 @@ def typed_rows(parsed: DataFrame) -> DataFrame:
         normalize_ws(cell(4)).alias("sector"),
         normalize_ws(cell(5)).alias("resolucion"),
         ruling_year(normalize_ws(cell(5))).alias("anioResolucion"),
-        markup.document_link(F.col("r.onclick")).alias("documento"),
+        markup.document_link(F.col("r.onclick"), F.col("_command")).alias("documento"),
     ).where("indice is not null")
 
 
@@ -106,6 +107,7 @@ def free_rows(parsed: DataFrame) -> DataFrame:
     keep = [c for c in parsed.columns if c not in PARTS]
     heads = F.transform("headers", normalize_ws)
     rows = parsed.withColumn("headers", heads).select(*keep, "headers", F.explode("named_rows").alias("r"))
+    rows = rows.withColumn("_command", markup.click_command(F.col("r.onclick")))
     cells = F.transform("r.cells", normalize_ws)
     return rows.select(
         *keep,
@@ -114,7 +116,7 @@ def free_rows(parsed: DataFrame) -> DataFrame:
         normalize_ws(F.col("r.text")).alias("texto"),
         cells.alias("celdas"),
         markup.label_cells(cells, F.col("headers")).alias("campos"),
-        markup.document_link(F.col("r.onclick")).alias("documento"),
+        markup.document_link(F.col("r.onclick"), F.col("_command")).alias("documento"),
     ).where("texto <> ''")
 
 

@@ -132,7 +132,8 @@ def _(spark, sf):
     "SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN 'ok' ELSE 'ilegible' END AS estado, CASE WHEN c_acctbal >= 0 THEN c_mktsegment || '''s' END AS uuid FROM customer",
 )
 def _(spark, sf):
-    return _clicks(spark, sf).select("c_custkey", markup.document_link(F.col("onclick")).alias("d")).select("c_custkey", "d.estado", "d.uuid")
+    c = _clicks(spark, sf).withColumn("command", markup.click_command(F.col("onclick")))
+    return c.select("c_custkey", markup.document_link(F.col("onclick"), F.col("command")).alias("d")).select("c_custkey", "d.estado", "d.uuid")
 
 
 @query(
