@@ -19,6 +19,7 @@ from gleanery.operators.findings import (
 from gleanery.operators.keep import MAX_SAMPLES, first_k, repeats
 from gleanery.operators.positions import first_missing
 from gleanery.operators.skew import null_safe, union_all
+from gleanery.operators.together import together
 from gleanery.sources.schema import MANIFEST_SCHEMA
 from gleanery.sources.sinks import settle
 from gleanery.sources.spec import SourceSpec
@@ -147,10 +148,18 @@ def _sets(valid: DataFrame, spec: SourceSpec) -> DataFrame:
     )
 
 
+def _samples(wanted: list[tuple], spark) -> dict[str, list[str]]:
+    few: dict[str, list[str]] = {}
+    for found in together(spark, [lambda w=w: samples(*w) for w in wanted]):
+        few |= found
+    return few
+
+
 def findings_of_marks(marked: DataFrame, spec: SourceSpec, total: int | None = None, corrupt: int = 0) -> DataFrame:
     """Two jobs count everything; samples are looked for only where a check has cases."""
     valid, with_doc = marked.where("good"), F.col("documentoUuid").isNotNull()
-    n = numbers(marked.agg(
+    spark, every = marked.sparkSession, F.lit(True)
+    scalars = marked.agg(
         F.count_if("good").alias("valid"),
         F.count_if(~F.col("good")).alias("invalid"),
         F.count_if("misplaced").alias("misplaced"),
@@ -158,7 +167,7 @@ def findings_of_marks(marked: DataFrame, spec: SourceSpec, total: int | None = N
         F.count_if(F.col("good") & ~with_doc).alias("without_doc"),
         F.count_if(F.col("no_year") & with_doc).alias("no_year"),
         *[F.count_if(F.array_contains("blanks", f)).alias(f"blank:{f}") for f in spec.blank_rules],
-    ))
+    )
     sets = _sets(valid, spec)
     several = F.col("n") > 1
     per_kind = sets.groupBy("kind").agg(
@@ -166,32 +175,35 @@ def findings_of_marks(marked: DataFrame, spec: SourceSpec, total: int | None = N
         F.count_if(several).alias("several"), F.count_if(several & F.col("differ")).alias("mixed"),
     )
     none = {"keys": 0, "repeats": 0, "several": 0, "mixed": 0}
-    by = {"id": none, "place": none, "source": none, "document": none} | {r["kind"]: r.asDict() for r in per_kind.collect()}
+    n, counts = together(spark, [lambda: numbers(scalars), per_kind.collect])
+    by = {"id": none, "place": none, "source": none, "document": none} | {r["kind"]: r.asDict() for r in counts}
     missing = n["bound"] - by["place"]["keys"]
     blanks = {f: n[f"blank:{f}"] for f in spec.blank_rules}
 
     kinds = [("invalid", ~F.col("good"), F.col("issues")),
              ("misplaced", F.col("misplaced"), F.concat_ws(" ", F.lit("index"), "indice", F.lit("page"), "pagina")),
              ("no_year", F.col("no_year") & with_doc, F.col("resolucion") if spec.has_year else F.lit(""))]
-    few = samples(marked, [
+    here = [
         *[k for k in kinds if n[k[0]]],
         *[("blank", F.array_contains("blanks", f), F.concat("id", F.lit(f":{f}"))) for f, c in blanks.items() if c],
-    ], [F.col("indice"), F.col("id")])
+    ]
+    wanted = [(marked, here, [F.col("indice"), F.col("id")])] if here else []
     if by["id"]["repeats"]:
-        every = [("id", F.lit(True), F.col("id"))]
-        few |= samples(repeated_lines(valid, "id", ["indice", "pagina"]), every, [F.col("indice"), F.col("id")])
+        again = repeated_lines(valid, "id", ["indice", "pagina"])
+        wanted.append((again, [("id", every, F.col("id"))], [F.col("indice"), F.col("id")]))
     if by["source"]["keys"] > 1:
-        few |= samples(sets.where("kind = 'source'"), [("source", F.lit(True), F.col("key"))], [F.col("at"), F.col("key")])
+        wanted.append((sets.where("kind = 'source'"), [("source", every, F.col("key"))], [F.col("at"), F.col("key")]))
     if by["document"]["mixed"]:
         mixed = several & F.col("differ")
-        few |= samples(sets.where("kind = 'document'"), [("mixed", mixed, F.col("key"))], [F.col("at"), F.col("key")])
+        wanted.append((sets.where("kind = 'document'"), [("mixed", mixed, F.col("key"))], [F.col("at"), F.col("key")]))
     if by["place"]["repeats"]:
         # Every further row of a position is a case; five of one position fill the samples.
-        again = F.explode(F.sequence(F.lit(1), F.least(F.col("n") - 1, F.lit(MAX_SAMPLES)).cast("int")))
-        twice = sets.where(several & (F.col("kind") == "place")).select("key", "at", again.alias("nth_row"))
-        few |= samples(twice, [("place", F.lit(True), F.col("key"))], [F.col("at"), F.col("nth_row")])
+        nth = F.explode(F.sequence(F.lit(1), F.least(F.col("n") - 1, F.lit(MAX_SAMPLES)).cast("int")))
+        twice = sets.where(several & (F.col("kind") == "place")).select("key", "at", nth.alias("nth_row"))
+        wanted.append((twice, [("place", every, F.col("key"))], [F.col("at"), F.col("nth_row")]))
     if missing:
-        few |= samples(first_missing(valid, "indice"), [("missing", F.lit(True), F.col("indice"))], [F.col("indice")])
+        wanted.append((first_missing(valid, "indice"), [("missing", every, F.col("indice"))], [F.col("indice")]))
+    few = _samples(wanted, spark)
 
     if total is None:
         coverage = Finding("cobertura", NOT_EVALUABLE, n["bound"], f"{shown(n['bound'])} rows at least; no declared total")
@@ -281,36 +293,42 @@ def documents_findings(
     invalid_entries: int = 0,
 ) -> DataFrame:
     """The eleven checks on manifest, files and queue. ``queue`` is collapsed: one row per id."""
-    every = F.lit(True)
-    with_doc = numbers(records.agg(F.count_if(F.coalesce(F.col("documentoUuid") != "", F.lit(False))).alias("n")))["n"]
+    every, spark = F.lit(True), manifest.sparkSession
+    with_document = records.agg(F.count_if(F.coalesce(F.col("documentoUuid") != "", F.lit(False))).alias("n"))
     keyed = manifest.select(F.explode(F.array(
         F.struct(F.lit("id").alias("kind"), F.col("id").alias("key")), F.struct(F.lit("file").alias("kind"), F.col("archivo").alias("key"))
     )).alias("k")).select("k.*").groupBy("kind", "key").agg(F.count(F.lit(1)).alias("n"))
     per_kind = keyed.groupBy("kind").agg(
         F.sum("n").alias("rows"), F.count(F.lit(1)).alias("keys"), F.sum(F.col("n") - 1).alias("repeats"), F.count_if(F.col("n") > 1).alias("several")
     )
-    none = {"rows": 0, "keys": 0, "repeats": 0, "several": 0}
-    by = {"id": none, "file": none} | {r["kind"]: r.asDict() for r in per_kind.collect()}
-    entries, repeated = by["id"]["rows"], by["id"]["repeats"]
     against = _against_records(manifest, records)
-    n = numbers(against.agg(F.sum(F.when(F.col("orphan"), F.col("n"))).alias("orphan"), F.sum(F.when(F.col("mismatch"), F.col("n"))).alias("mismatch")))
-    said = F.concat("id", F.lit(": "), "documentoUuid", F.lit(" / "), F.coalesce("record_uuid", F.lit("(none)")))
-    kinds = [("orphan", F.col("orphan"), F.col("id")), ("mismatch", F.col("mismatch"), said)]
-    few = samples(against, [k for k in kinds if n[k[0]]], [F.col("first_index"), F.col("id"), F.col("documentoUuid")])
-    if repeated:
-        few |= samples(repeated_lines(manifest, "id", ["indice", "archivo"]), [("id", every, F.col("id"))], [F.col("indice"), F.col("id")])
-    if probe is not None and entries:
-        seen = manifest_vs_disk(manifest, probe)
-        per_file = seen.groupBy("archivo").agg(
+    entries_off = against.agg(F.sum(F.when(F.col("orphan"), F.col("n"))).alias("orphan"), F.sum(F.when(F.col("mismatch"), F.col("n"))).alias("mismatch"))
+    jobs = [lambda: numbers(with_document)["n"], per_kind.collect, lambda: numbers(entries_off), lambda: None if queue is None else queue.count()]
+    if probe is not None:
+        per_file = manifest_vs_disk(manifest, probe).groupBy("archivo").agg(
             F.bool_or("absent").alias("absent"), F.bool_or("hashed").alias("hashed"),
             F.sum(F.when(F.col("size_differs"), F.col("n")).otherwise(0)).alias("size"),
             F.sum(F.when(F.col("hash_differs"), F.col("n")).otherwise(0)).alias("hash"),
         )
-        n |= numbers(per_file.agg(
+        files = per_file.agg(
             F.count_if("absent").alias("absent"), F.count_if("hashed").alias("hashed"), F.sum("size").alias("size"), F.sum("hash").alias("hash")
-        ))
+        )
+        jobs.append(lambda: numbers(files))
+    with_doc, counts, n, queued, *on_disk = together(spark, jobs)
+    none = {"rows": 0, "keys": 0, "repeats": 0, "several": 0}
+    by = {"id": none, "file": none} | {r["kind"]: r.asDict() for r in counts}
+    entries, repeated = by["id"]["rows"], by["id"]["repeats"]
+    said = F.concat("id", F.lit(": "), "documentoUuid", F.lit(" / "), F.coalesce("record_uuid", F.lit("(none)")))
+    kinds = [("orphan", F.col("orphan"), F.col("id")), ("mismatch", F.col("mismatch"), said)]
+    wanted = [(against, [k for k in kinds if n[k[0]]], [F.col("first_index"), F.col("id"), F.col("documentoUuid")])]
+    if repeated:
+        again = repeated_lines(manifest, "id", ["indice", "archivo"])
+        wanted.append((again, [("id", every, F.col("id"))], [F.col("indice"), F.col("id")]))
+    if on_disk:
+        n |= on_disk[0]
         kinds = [("absent", F.col("absent"), F.col("archivo")), ("size", F.col("size") > 0, F.col("archivo")), ("hash", F.col("hash") > 0, F.col("archivo"))]
-        few |= samples(per_file, [k for k in kinds if n[k[0]]], [F.col("archivo")])
+        wanted.append((per_file, [k for k in kinds if n[k[0]]], [F.col("archivo")]))
+    few = _samples(wanted, spark)
 
     def on_entries(check: str, cases: int, words: str, bad: str = ERROR, few: list[str] | None = None) -> Finding:
         return counted(check, cases, words, bad, few) if entries else Finding(check, NOT_EVALUABLE, 0, "no entries to look at")
@@ -328,7 +346,7 @@ def documents_findings(
     if queue is None:
         pending = Finding("dlq-pendientes", NOT_EVALUABLE, 0, "the failure queue could not be read")
     else:
-        pending = counted("dlq-pendientes", queue.count(), "documents wait in the failure queue", WARNING)
+        pending = counted("dlq-pendientes", queued, "documents wait in the failure queue", WARNING)
     found = [
         counted("manifiesto-invalido", invalid_entries, "malformed entries"),
         Finding("manifiesto-vacio", OK if entries else WARNING, entries, f"{shown(entries)} entries"),
@@ -386,11 +404,13 @@ def validate(
     live = site[1] if site else None
     known, _ = declared_total(live, total, None)
     marked = settle(marks(records, spec, page_size), "marks")
-    sections = [findings_of_marks(marked, spec, known, corrupt)]
     valid = marked.where("good")
     if manifest is None:  # nothing was ever downloaded: the same as an empty manifest
         manifest = records.sparkSession.createDataFrame([], MANIFEST_SCHEMA)
-    sections.append(documents_findings(valid, manifest, probe, queue, invalid_entries))
+    sections = [
+        lambda: findings_of_marks(marked, spec, known, corrupt),
+        lambda: documents_findings(valid, manifest, probe, queue, invalid_entries),
+    ]
     if site:
-        sections.append(site_findings(valid, site[0], live))
-    return union_all(sections)
+        sections.append(lambda: site_findings(valid, site[0], live))
+    return union_all(together(records.sparkSession, sections))
