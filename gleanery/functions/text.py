@@ -8,7 +8,7 @@ from functools import cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The white space of ECMAScript's \\s other than the blank. Java's \\s is ASCII only.
+# The white space of ECMAScript's \s other than the blank. Java's \s is ASCII only.
 OTHER_SPACE = "\t\n\x0b\f\r\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 # Bounds of a plausible ruling year, and the longest slug.
