@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from gleanery.llm import quality, toxicity
+from gleanery.llm import fingerprints, licenses, packing, quality, toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
         quality.op1_quality_classifier,
+        packing.op4_packing,
+        fingerprints.op5_fingerprints,
+        licenses.op6_license_scans,
         toxicity.op7_toxicity,
     )
 }
