@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleanery.llm import fingerprints, licenses, packing, quality, toxicity
+from gleanery.llm import decontamination, fingerprints, language, licenses, packing, quality, toxicity, urls
 
 QUERIES = {
     f.__name__: f
@@ -12,6 +12,9 @@ QUERIES = {
         fingerprints.op5_fingerprints,
         licenses.op6_license_scans,
         toxicity.op7_toxicity,
+        language.op8_language_id,
+        decontamination.op9_decontamination,
+        urls.op10_url_filters,
     )
 }
 
