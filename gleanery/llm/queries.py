@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from gleanery.llm import decontamination, fingerprints, language, licenses, packing, quality, toxicity, urls
+from gleanery.llm import decontamination, extraction, fingerprints, language, licenses, neardup, packing, quality, toxicity, urls
 
 QUERIES = {
     f.__name__: f
     for f in (
         quality.op1_quality_classifier,
+        neardup.op2_minhash_near_dedup,
+        extraction.op3_html_extraction,
         packing.op4_packing,
         fingerprints.op5_fingerprints,
         licenses.op6_license_scans,
