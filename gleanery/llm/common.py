@@ -74,7 +74,8 @@ def map_texts(df: DataFrame, schema: str | StructType, fn: Callable[[list[str],
         for part, texts in text_blocks(batches, column):
             made = fn(texts, part)
             cols = [made[f.name] if f.name in made else part.column(f.name) for f in wanted]
-            yield pa.RecordBatch.from_arrays([c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type) for c, f in zip(cols, wanted, strict=True)], schema=wanted)
+            arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, wanted, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=wanted.names)
 
     return df.mapInArrow(run, schema)
 

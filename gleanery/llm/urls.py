@@ -22,7 +22,7 @@ from gleanery.llm import common as C
 # Host, path and verdict of the stated rules.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 SUPPORT = 0.001
-CONFIDENCE = 0.5
+CONFIDENCE = 0.6
 LEAST_URLS = 5  # labelled URLs that a rule must rest on, however few there are
 BLOCK = "=block"
 
