@@ -1,11 +1,12 @@
 """Running and rolling windows per key that also hold for a key with a third of all rows.
 
-A hot key's rows are cut into blocks along their order, at split points sampled from the
-key itself. Each block is a window partition of its own; what it needs from the blocks
-before it is one small row per block, which is joined back. The split points decide only
-the balance, never the result. Without hot keys the plan is the plain window.
+Rows are cut into blocks by ranges of (key, order) and written once, so that a block stays what it is. A block holds rows of
+many small keys, or a stretch of a large one; each key in a block is a window partition of its own. What a key's rows need from
+the blocks before is one small row, for at most one key per block: only the key that a block starts with can go on from the
+block before. As data grows, there are more blocks (``spark.sql.shuffle.partitions``), not larger ones. No key is looked for,
+counted or limited beforehand, and the result does not depend on where blocks are cut.
 
-``order`` must order the rows of a key totally.
+``order`` must order the rows of a key totally. Rows should be narrow.
 """
 
 from __future__ import annotations
@@ -14,99 +15,62 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructField, StructType
 
-from gleanery.operators.skew import HOT_ROWS, hot_keys
+from gleanery.sources.sinks import settle
 
-MAX_BLOCKS = 2000  # bounds both the split points kept and the carried rows
-SAMPLES_PER_BLOCK = 20
+CHUNK_ROWS = 1_000_000  # rows of a key that make a window partition of a rolling sum
 
 
 @dataclass(frozen=True)
 class Blocks:
-    """Rows, with their block where a key is hot."""
+    """Rows with their block."""
 
     rows: DataFrame
     keys: list[str]
     order: list[str]
-    hot_rows: int
-    split: bool
 
     @property
     def partition(self) -> list[str]:
-        return [*self.keys, "_block"] if self.split else self.keys
+        return [*self.keys, "_block"]
 
     def where_rows(self, rows: DataFrame) -> Blocks:
         return replace(self, rows=rows)
 
 
-def blocks(rows: DataFrame, keys: list[str], order: list[str], hot_rows: int = HOT_ROWS) -> Blocks:
-    """Cut the hot keys of ``rows`` into blocks of about ``hot_rows`` rows."""
-    hot = hot_keys(rows, keys, hot_rows)
-    if not hot:
-        return Blocks(rows, keys, order, hot_rows, False)
-    spark = rows.sparkSession
-    block_rows = max(hot_rows, sum(t[-1] for t in hot) // MAX_BLOCKS)
-    key_fields = [StructField(f"_k{i}", rows.schema[k].dataType) for i, k in enumerate(keys)]
+def blocks(rows: DataFrame, keys: list[str], order: list[str], parts: int | None = None) -> Blocks:
+    """Cut rows into blocks, as many as a shuffle has partitions, or ``parts``."""
+    columns = [*keys, *order]
+    ranged = rows.repartitionByRange(parts, *columns) if parts else rows.repartitionByRange(*columns)
+    return Blocks(settle(ranged.withColumn("_block", F.spark_partition_id()), "blocks"), keys, order)
 
-    def on_keys(small: DataFrame) -> list[Column]:
-        return [rows[k].eqNullSafe(small[f"_k{i}"]) for i, k in enumerate(keys)]
 
-    hot_df = spark.createDataFrame([t[:-1] for t in hot], StructType(key_fields))
-    narrow = rows.join(F.broadcast(hot_df), on_keys(hot_df), "left_semi").select(
-        F.struct(*keys).alias("k"), F.struct(*order).alias("o")
-    )
-    # About MAX_BLOCKS * SAMPLES_PER_BLOCK narrow rows reach the driver, whatever the data.
-    sample = narrow.sample(min(1.0, SAMPLES_PER_BLOCK / block_rows), seed=1).orderBy("k", "o")
-    seen: dict[tuple, list[tuple]] = {}
-    for r in sample.collect():
-        seen.setdefault(tuple(r["k"]), []).append(tuple(r["o"]))
-    point = StructType([StructField(o, rows.schema[o].dataType) for o in order])
-    cuts = [(*t[:-1], seen.get(t[:-1], [])[SAMPLES_PER_BLOCK::SAMPLES_PER_BLOCK]) for t in hot]
-    bounds = spark.createDataFrame(cuts, StructType([*key_fields, StructField("_bounds", ArrayType(point))]))
-    here = F.struct(*[F.col(o) for o in order])
-    block = F.when(
-        F.col("_bounds").isNotNull(), F.size(F.filter("_bounds", lambda b: b <= here))
-    ).otherwise(0)
-    cut = rows.join(F.broadcast(bounds), on_keys(bounds), "left").withColumn("_block", block)
-    cut = cut.withColumn("_hot", F.col("_bounds").isNotNull()).drop("_bounds", *[f.name for f in key_fields])
-    return Blocks(cut, keys, order, hot_rows, True)
+def over(kind: str, value: Column, window) -> Column:
+    if kind == "sum":
+        return F.coalesce(F.sum(value).over(window), F.lit(0))
+    return F.max(value).over(window) if kind == "max" else F.last(value, ignorenulls=True).over(window)
+
+
+def total(kind: str, value: Column, order: list[str]) -> Column:
+    if kind == "sum":
+        return F.sum(value)
+    return F.max(value) if kind == "max" else F.max_by(value, F.when(value.isNotNull(), F.struct(*order)))
 
 
 def running(b: Blocks, specs: dict[str, tuple[str, Column]], inclusive: bool = True) -> Blocks:
     """Add running columns: name → (``sum`` | ``max`` | ``last``, expression).
 
-    Over all rows of the key up to this one, or before it. ``last`` is the last value that
-    is not NULL. An empty sum is 0.
+    Over all rows of the key up to this one, or before it. ``last`` is the last value that is not NULL. An empty sum is 0.
     """
-    frame = Window.partitionBy(*b.partition).orderBy(*b.order)
-    frame = frame.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-
-    def over(kind: str, value: Column, w) -> Column:
-        if kind == "sum":
-            return F.coalesce(F.sum(value).over(w), F.lit(0))
-        return F.max(value).over(w) if kind == "max" else F.last(value, ignorenulls=True).over(w)
-
-    if not b.split:
-        return b.where_rows(b.rows.withColumns({n: over(k, e, frame) for n, (k, e) in specs.items()}))
-
-    def total(kind: str, value: Column) -> Column:
-        if kind == "sum":
-            return F.sum(value)
-        if kind == "max":
-            return F.max(value)
-        return F.max_by(value, F.when(value.isNotNull(), F.struct(*b.order)))
-
-    totals = b.rows.where("_hot").groupBy(*b.partition).agg(
-        *[total(k, e).alias(f"_t_{n}") for n, (k, e) in specs.items()]
-    )
-    earlier = Window.partitionBy(*b.keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(
-        *[F.col(k).alias(f"_c{i}") for i, k in enumerate(b.partition)],
-        *[over(k, F.col(f"_t_{n}"), earlier).alias(f"_c_{n}") for n, (k, _) in specs.items()],
+    frame = Window.partitionBy(*b.partition).orderBy(*b.order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    along = Window.partitionBy(*b.keys).orderBy("_block")
+    totals = b.rows.groupBy(*b.partition).agg(*[total(k, e, b.order).alias(f"_t_{n}") for n, (k, e) in specs.items()])
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.withColumns({f"_c_{n}": over(k, F.col(f"_t_{n}"), earlier) for n, (k, _) in specs.items()})
+    carried = carried.withColumn("_nth", F.row_number().over(along)).where("_nth > 1").select(
+        *[F.col(k).alias(f"_c{i}") for i, k in enumerate(b.partition)], *[f"_c_{n}" for n in specs]
     )
     same = [b.rows[k].eqNullSafe(carried[f"_c{i}"]) for i, k in enumerate(b.partition)]
-    local = b.rows.join(F.broadcast(carried), same, "left")  # at most about MAX_BLOCKS rows
+    local = b.rows.join(F.broadcast(carried), same, "left")  # a row per block at most
 
     def joined(name: str, kind: str, value: Column) -> Column:
         here, before = over(kind, value, frame), F.col(f"_c_{name}")
@@ -123,25 +87,21 @@ def rank(b: Blocks, name: str = "rn") -> Blocks:
     return running(b, {name: ("sum", F.lit(1).cast("bigint"))})
 
 
-def rolling_sum(b: Blocks, size: int, specs: dict[str, Column]) -> DataFrame:
-    """Sums over each row and the ``size - 1`` rows before it."""
-    if not b.split:
-        w = Window.partitionBy(*b.keys).orderBy(*b.order).rowsBetween(1 - size, 0)
-        return b.rows.withColumns({n: F.sum(e).over(w) for n, e in specs.items()})
-    # Even chunks by rank; the last rows of a chunk are repeated ahead of the next one.
-    width = max(b.hot_rows, size)
+def rolling_sum(b: Blocks, size: int, specs: dict[str, Column], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Sums over each row and the ``size - 1`` rows before it.
+
+    A key's rows are cut into even chunks by rank; the last rows of a chunk are repeated ahead of the next one.
+    """
+    width = max(chunk_rows, size)
     at = F.floor((F.col("_rn") - 1) / width)
     tail = F.pmod(F.col("_rn") - 1, F.lit(width)) >= width - size + 1
-    places = F.when(F.col("_hot") & tail, F.array(at, at + 1)).otherwise(
-        F.array(F.when(F.col("_hot"), at).otherwise(F.lit(0).cast("bigint")))
-    )
     ranked = rank(b, "_rn").rows
-    spread = ranked.select("*", F.posexplode(places).alias("_halo", "_chunk"))
+    spread = ranked.select("*", F.posexplode(F.when(tail, F.array(at, at + 1)).otherwise(F.array(at))).alias("_halo", "_chunk"))
     w = Window.partitionBy(*b.keys, "_chunk").orderBy("_rn").rowsBetween(1 - size, 0)
     summed = spread.withColumns({n: F.sum(e).over(w) for n, e in specs.items()})
-    return summed.where("_halo = 0").select(*[c for c in b.rows.columns if c not in ("_block", "_hot")], *specs)
+    return summed.where("_halo = 0").select(*[c for c in b.rows.columns if c != "_block"], *specs)
 
 
 def finish(b: Blocks) -> DataFrame:
-    """The rows without the columns that served to cut them."""
-    return b.rows.drop("_block", "_hot") if b.split else b.rows
+    """The rows without the column that served to cut them."""
+    return b.rows.drop("_block")

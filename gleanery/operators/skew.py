@@ -1,57 +1,18 @@
-"""Hot keys: finding them, and joining without sending one key to one task.
-
-A key can hold a third of all rows. Aggregations cope (partial results are merged before
-the shuffle), first-k windows cope (Spark limits each group before the shuffle), but a
-join or a running window sends every row of a key to one task. Both are split here, and
-only for keys counted as hot: the others keep Spark's ordinary plan.
-"""
+"""Joins of many rows to one row per key, where a key may hold a third of all rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
-
-HOT_ROWS = 1_000_000  # rows of one key that a single task may hold
-MAX_HOT_KEYS = 1024  # the heaviest keys; any further one holds under 1/1024 of the rows
-MAX_SPLITS = 4096
-
-
-def hot_keys(rows: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> list[tuple]:
-    """``(key values..., rows)`` of the heaviest keys above the bound, at most MAX_HOT_KEYS."""
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    heavy = counts.where(F.col("_rows") > hot_rows).orderBy(F.desc("_rows")).limit(MAX_HOT_KEYS)
-    return [tuple(r) for r in heavy.collect()]
 
 
-def lookup(
-    rows: DataFrame,
-    dim: DataFrame,
-    keys: list[str],
-    spread: list[str],
-    how: str = "left",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Join ``rows`` to ``dim`` (one row per key), salting the hot keys of ``rows``.
+def lookup(rows: DataFrame, dim: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join ``rows`` to ``dim``, which has one row per key.
 
-    ``spread`` names columns that tell apart the rows of a key; the salt is their hash, so
-    a task that is run again sends each row where it went before. Every hot key's ``dim``
-    row is repeated once per salt; the list of hot keys is what is broadcast.
+    Adaptive execution sees from the shuffle which partitions a hot key (or NULL) has made too large, and gives pieces of them
+    to several tasks, each with that key's one row of ``dim`` (``spark.sql.adaptive.skewJoin``). Nothing is counted beforehand.
+    It leaves a join alone if that would cost a further shuffle: what comes after should not group by the same keys.
     """
-    hot = [t for t in hot_keys(rows, keys, hot_rows) if None not in t]
-    if not hot:
-        return rows.join(dim, keys, how)
-    spark = rows.sparkSession
-    schema = StructType(
-        [StructField(k, rows.schema[k].dataType) for k in keys] + [StructField("_splits", LongType())]
-    )
-    splits = [(*t[:-1], min(MAX_SPLITS, -(-t[-1] // hot_rows))) for t in hot]
-    hot_df = F.broadcast(spark.createDataFrame(splits, schema))
-    salt = F.pmod(F.xxhash64(*spread), F.coalesce(F.col("_splits"), F.lit(1)))
-    salted = rows.join(hot_df, keys, "left").withColumn("_salt", salt).drop("_splits")
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_splits"), F.lit(1)) - 1))
-    copies = dim.join(hot_df, keys, "left").withColumn("_salt", every).drop("_splits")
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    return rows.join(dim, keys, how)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

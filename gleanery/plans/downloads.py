@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.outcome import MIN_FILE_BYTES
 from gleanery.operators.keep import first_k, latest
-from gleanery.operators.skew import HOT_ROWS, lookup
+from gleanery.operators.skew import lookup
 
 HAS_DOCUMENT = "documentoUuid is not null and documentoUuid <> ''"
 
@@ -24,7 +24,6 @@ def download_plan(
     file_name: Column,
     min_bytes: int = MIN_FILE_BYTES,
     dry_run: bool = False,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Records with ``state`` and ``archivo``.
 
@@ -32,8 +31,8 @@ def download_plan(
     the first record of the document is ``pending`` and later ones are ``shared``. A dry
     run fetches nothing, so there every record of the document is pending.
 
-    What decides is worked out once per document. Only the last join is per record, and it
-    salts documents that very many records share.
+    What decides is worked out once per document. Only the last join is per record, and documents
+    that very many records share are split there by adaptive execution.
     """
     probe = probe.where(F.col("bytes") >= min_bytes)
     named = records.where(HAS_DOCUMENT).withColumn("_name", file_name)
@@ -49,7 +48,7 @@ def download_plan(
     later = F.lit(False) if dry_run else F.col("indice") > F.col("_first")
     present = F.col("_noted").isNotNull() | F.coalesce(own, F.lit(False))
     state = F.when(present, "present").when(later, "shared").otherwise("pending")
-    planned = lookup(named, documents, ["documentoUuid"], ["id", "indice"], hot_rows=hot_rows)
+    planned = lookup(named, documents, ["documentoUuid"])
     planned = planned.select(*records.columns, state.alias("state"), F.coalesce("_noted", "_name").alias("archivo"))
     without = records.where(f"not coalesce({HAS_DOCUMENT}, false)").select(
         "*", F.lit("no-document").alias("state"), F.lit(None).cast("string").alias("archivo")
@@ -62,11 +61,11 @@ def next_downloads(plan: DataFrame, n: int) -> DataFrame:
     return plan.where("state = 'pending'").orderBy("indice").limit(n)
 
 
-def shared_downloads(records: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def shared_downloads(records: DataFrame) -> DataFrame:
     """Records whose document an earlier record has already brought."""
     with_doc = records.where(HAS_DOCUMENT)
     first = with_doc.groupBy("documentoUuid").agg(F.min("indice").alias("_first"))
-    joined = lookup(with_doc, first, ["documentoUuid"], ["id", "indice"], hot_rows=hot_rows)
+    joined = lookup(with_doc, first, ["documentoUuid"])
     return joined.where("indice > _first").drop("_first")
 
 
@@ -76,7 +75,7 @@ def manifest_entries(plan: DataFrame, probe: DataFrame, manifest: DataFrame, now
     # One entry per record: of identical rows the first is noted.
     there = first_k(there, ["id"], [F.col("indice")])
     new = there.join(manifest.select("id").distinct(), "id", "left_anti")
-    return new.join(probe.select("archivo", "bytes", "sha256"), "archivo").select(
+    return lookup(new, probe.select("archivo", "bytes", "sha256"), ["archivo"], "inner").select(
         "id", "fuente", "documentoUuid", "pagina", "indice", "archivo", "bytes", "sha256",
         F.lit(None).cast("string").alias("nombreServidor"), now.alias("descargadoEn"),
     )

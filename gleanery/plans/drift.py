@@ -10,12 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.paging import expected_rows
-from gleanery.operators.skew import HOT_ROWS, lookup
+from gleanery.operators.skew import lookup
 
 PAGE = ["run_id", "numero"]
 
 
-def repeated_in_run(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def repeated_in_run(rows: DataFrame) -> DataFrame:
     """Per page: rows, rows equal to another of the page, rows seen on an earlier page of the run.
 
     Copies within a page are counted before anything is joined, so what is looked up is one
@@ -23,7 +23,7 @@ def repeated_in_run(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """
     per = rows.groupBy(*PAGE, "id").agg(F.count(F.lit(1)).alias("c"))
     first = per.groupBy("run_id", "id").agg(F.min("numero").alias("_first"))
-    seen = lookup(per, first, ["run_id", "id"], ["numero"], hot_rows=hot_rows)
+    seen = lookup(per, first, ["run_id", "id"])
     return seen.groupBy(*PAGE).agg(
         F.sum("c").alias("n_rows"),
         F.sum(F.col("c") - 1).alias("n_identical"),
@@ -31,9 +31,9 @@ def repeated_in_run(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     )
 
 
-def page_overlap(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def page_overlap(rows: DataFrame) -> DataFrame:
     """Pages with rows seen on an earlier page of the run: all → error, some → warning."""
-    found = repeated_in_run(rows, hot_rows).where("n_seen > 0")
+    found = repeated_in_run(rows).where("n_seen > 0")
     level = F.when(F.col("n_seen") == F.col("n_rows"), "error").otherwise("aviso")
     return found.select(*PAGE, "n_rows", "n_seen", level.alias("level"))
 
@@ -54,7 +54,6 @@ def page_findings(
     rows: DataFrame,
     columns: int = 7,
     numbered_per_page: bool = False,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``run_id, numero, kind, level, precedence, n, first_pos`` of every sign on every page.
 
@@ -76,7 +75,7 @@ def page_findings(
         *[F.count_if(c).alias(f"n:{k}") for k, c in bad.items()],
         *[F.min(F.when(c, F.col("pos"))).alias(f"p:{k}") for k, c in bad.items()],
     )
-    p = pages.join(counted, PAGE, "left").join(repeated_in_run(rows, hot_rows), PAGE, "left")
+    p = pages.join(counted, PAGE, "left").join(repeated_in_run(rows), PAGE, "left")
     n = F.coalesce(F.col("n_rows"), F.lit(0))
     none = F.lit(None).cast("bigint")
     empty_search = F.col("is_search") & (F.coalesce(F.col("total"), F.lit(-1)) == 0) & F.col("marked_empty")

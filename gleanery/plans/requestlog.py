@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from gleanery.functions import outcome as oc
 from gleanery.operators import ordered
 from gleanery.operators.rank_percentile import rank_percentiles
-from gleanery.operators.skew import HOT_ROWS
 
 # Invalid downloads in a row that mean drift; the degradation window.
 MAX_INVALID_STREAK = 3
@@ -47,9 +46,9 @@ def run_metrics(classified: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def latency(log: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def latency(log: DataFrame, keys: list[str], parts: int | None = None) -> DataFrame:
     """Exact p50 and p95 per key, rounded half up."""
-    stats = rank_percentiles(log, keys, "latency_ms", {"p50": 0.5, "p95": 0.95}, hot_rows)
+    stats = rank_percentiles(log, keys, "latency_ms", {"p50": 0.5, "p95": 0.95}, parts)
     return stats.withColumns({c: F.floor(F.col(c) + 0.5).cast("bigint") for c in ("p50", "p95")})
 
 
@@ -69,12 +68,12 @@ def error_histogram(classified: DataFrame, problem: Column) -> DataFrame:
     return failed.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
 
 
-def invalid_streak(downloads: DataFrame, session: str, result: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def invalid_streak(downloads: DataFrame, session: str, result: str, parts: int | None = None) -> DataFrame:
     """Invalid downloads in a row; only a success resets the count, other failures leave it.
 
     The streak is the running count of invalid ones, less that count at the last success.
     """
-    b = ordered.blocks(downloads, [session], ["ts", "event_id"], hot_rows)
+    b = ordered.blocks(downloads, [session], ["ts", "event_id"], parts)
     b = ordered.running(b, {"_bad": ("sum", (F.col(result) == "invalid").cast("bigint"))})
     b = ordered.running(b, {"_at_ok": ("max", F.when(F.col(result) == "ok", F.col("_bad")))})
     streak = F.col("_bad") - F.coalesce(F.col("_at_ok"), F.lit(0))
@@ -82,18 +81,18 @@ def invalid_streak(downloads: DataFrame, session: str, result: str, hot_rows: in
     return out.withColumn("drift", (F.col(result) == "invalid") & (F.col("streak") >= MAX_INVALID_STREAK))
 
 
-def rolling_degradation(classified: DataFrame, session: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def rolling_degradation(classified: DataFrame, session: str, parts: int | None = None, chunk_rows: int = ordered.CHUNK_ROWS) -> DataFrame:
     """Degraded outcomes among the last 20, and whether they are half of at least 5."""
-    b = ordered.blocks(classified, [session], ["ts", "event_id"], hot_rows)
+    b = ordered.blocks(classified, [session], ["ts", "event_id"], parts)
     sums = {"window_n": F.lit(1).cast("bigint"), "window_degraded": F.col("degrades").cast("bigint")}
-    out = ordered.rolling_sum(b, WINDOW_SIZE, sums)
+    out = ordered.rolling_sum(b, WINDOW_SIZE, sums, chunk_rows)
     half = F.col("window_degraded") * 2 >= F.col("window_n")
     return out.withColumn("would_open", F.col("degrades") & (F.col("window_n") >= MIN_SAMPLES) & half)
 
 
-def attempts(log: DataFrame, request: list[str], previous: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def attempts(log: DataFrame, request: list[str], previous: str | None = None, parts: int | None = None) -> DataFrame:
     """Number the tries of each logical request, and add those of earlier runs."""
-    b = ordered.rank(ordered.blocks(log, request, ["ts", "event_id"], hot_rows), "attempt")
+    b = ordered.rank(ordered.blocks(log, request, ["ts", "event_id"], parts), "attempt")
     before = F.coalesce(F.col(previous), F.lit(0)) if previous else F.lit(0)
     return ordered.finish(b).withColumn("attempts_total", F.col("attempt") + before)
 
@@ -105,19 +104,19 @@ def retry_budget(classified: DataFrame) -> DataFrame:
     return classified.withColumn("would_retry", again).withColumn("delay_bound_ms", F.when(again, bound))
 
 
-def changed_since_last(rows: DataFrame, keys: list[str], order: list[str], value: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def changed_since_last(rows: DataFrame, keys: list[str], order: list[str], value: str, parts: int | None = None) -> DataFrame:
     """Add ``previous`` (last known value before the row) and ``changed``; absent values do not count."""
-    b = ordered.blocks(rows, keys, order, hot_rows)
+    b = ordered.blocks(rows, keys, order, parts)
     b = ordered.running(b, {"previous": ("last", F.col(value))}, inclusive=False)
     changed = F.col(value).isNotNull() & F.col("previous").isNotNull() & (F.col(value) != F.col("previous"))
     return ordered.finish(b).withColumn("changed", changed)
 
 
-def total_change(searches: DataFrame, run: str, order: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def total_change(searches: DataFrame, run: str, order: list[str], parts: int | None = None) -> DataFrame:
     """Searches of a run whose declared total differs from the search before."""
-    return changed_since_last(searches, [run], order, "total", hot_rows).where("changed").drop("changed")
+    return changed_since_last(searches, [run], order, "total", parts).where("changed").drop("changed")
 
 
-def token_rotation(views: DataFrame, session: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def token_rotation(views: DataFrame, session: str, parts: int | None = None) -> DataFrame:
     """Views whose token differs from the last known one."""
-    return changed_since_last(views, [session], ["ts", "event_id"], "token", hot_rows)
+    return changed_since_last(views, [session], ["ts", "event_id"], "token", parts)

@@ -96,18 +96,17 @@ def planned(spark, records, manifest, files, **kw):
 RECORDS = [("a", 0, "d1", "n1"), ("b", 1, "d1", "n2"), ("c", 2, None, "x"), ("d", 3, "d2", "n4"), ("e", 4, "d3", "n5"), ("f", 5, "d3", "n6"), ("g", 6, "d3", "n7"), ("h", 7, "", "x")]
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 1])
-def test_download_plan(spark, hot_rows):
+def test_download_plan(spark):
     manifest = [("a", "d1", "old"), ("z", "d1", "m1"), ("d", "d2", "m2")]
     files = [("m1", 5000), ("m2", 100), ("n4", 1023), ("n6", 2000)]
-    got = planned(spark, RECORDS, manifest, files, hot_rows=hot_rows)
+    got = planned(spark, RECORDS, manifest, files)
     assert got == {
         "a": ("present", "m1"), "b": ("present", "m1"), "c": ("no-document", None), "h": ("no-document", None),
         "d": ("pending", "n4"), "e": ("pending", "n5"), "f": ("shared", "n6"), "g": ("shared", "n7"),
     }
-    dry = planned(spark, RECORDS, manifest, files, dry_run=True, hot_rows=hot_rows)
+    dry = planned(spark, RECORDS, manifest, files, dry_run=True)
     assert [dry[i][0] for i in "efg"] == ["pending", "present", "present"]
-    first_there = planned(spark, RECORDS, [], [("n5", 1024)], hot_rows=hot_rows)
+    first_there = planned(spark, RECORDS, [], [("n5", 1024)])
     assert [first_there[i][0] for i in "aefg"] == ["pending", "present", "present", "present"]
 
 

@@ -9,10 +9,10 @@ from gleanery.operators import ordered
 from gleanery.operators.keep import capped_samples, first_occurrence, latest
 from gleanery.operators.positions import first_missing, missing_positions
 from gleanery.operators.rank_percentile import rank_percentiles
-from gleanery.operators.skew import hot_keys, lookup
+from gleanery.operators.skew import lookup
 from gleanery.plans import downloads, drift, requestlog
 
-HOT = [10**9, 25]
+PARTS = [1, 9, None]  # blocks: one, many, as many as a shuffle has
 
 
 @pytest.fixture(scope="module")
@@ -31,8 +31,8 @@ def by_key(data):
     return keys
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_invalid_streak(rows, hot_rows):
+@pytest.mark.parametrize("parts", PARTS)
+def test_invalid_streak(rows, parts):
     df, data = rows
     want = {}
     for rs in by_key(data).values():
@@ -40,24 +40,24 @@ def test_invalid_streak(rows, hot_rows):
         for r in rs:
             n = 0 if r[3] == "ok" else n + (r[3] == "invalid")
             want[r[0]] = (n, r[3] == "invalid" and n >= 3)
-    got = requestlog.invalid_streak(df, "k", "result", hot_rows)
+    got = requestlog.invalid_streak(df, "k", "result", parts)
     assert {r["event_id"]: (r["streak"], r["drift"]) for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_rolling_degradation(rows, hot_rows):
+@pytest.mark.parametrize("parts", PARTS)
+def test_rolling_degradation(rows, parts):
     df, data = rows
     want = {}
     for rs in by_key(data).values():
         for i, r in enumerate(rs):
             window = [x[4] for x in rs[max(0, i - 19) : i + 1]]
             want[r[0]] = (len(window), sum(window), r[4] and len(window) >= 5 and sum(window) * 2 >= len(window))
-    got = requestlog.rolling_degradation(df, "k", hot_rows)
+    got = requestlog.rolling_degradation(df, "k", parts, 25)
     assert {r["event_id"]: (r["window_n"], r["window_degraded"], r["would_open"]) for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_token_rotation_and_attempts(rows, hot_rows):
+@pytest.mark.parametrize("parts", PARTS)
+def test_token_rotation_and_attempts(rows, parts):
     df, data = rows
     want, tries = {}, {}
     for rs in by_key(data).values():
@@ -66,31 +66,44 @@ def test_token_rotation_and_attempts(rows, hot_rows):
             want[r[0]] = (last, r[5] is not None and last is not None and r[5] != last)
             tries[r[0]] = i + 1
             last = r[5] or last
-    got = requestlog.token_rotation(df, "k", hot_rows)
+    got = requestlog.token_rotation(df, "k", parts)
     assert {r["event_id"]: (r["previous"], r["changed"]) for r in got.collect()} == want
-    got = requestlog.attempts(df, ["k"], None, hot_rows)
+    got = requestlog.attempts(df, ["k"], None, parts)
     assert {r["event_id"]: r["attempt"] for r in got.collect()} == tries
 
 
 def test_blocks_do_split_a_hot_key(rows):
     df, _ = rows
-    assert not ordered.blocks(df, ["k"], ["ts", "event_id"]).split
-    b = ordered.blocks(df, ["k"], ["ts", "event_id"], 25)
+    b = ordered.blocks(df, ["k"], ["ts", "event_id"], 9)
     sizes = [r["count"] for r in b.rows.where("k = 'hot'").groupBy("_block").count().collect()]
-    assert b.split and len(sizes) > 3 and max(sizes) < 120
+    assert len(sizes) > 2 and max(sizes) < 150
     assert b.rows.count() == df.count()
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 10])
+def test_many_hot_keys_and_a_hot_null(spark):
+    """2,000 keys over several blocks each, and NULL with as many rows as all of them."""
+    n = 2000
+    df = spark.range(n * 12).select(
+        F.when(F.col("id") % 2 == 0, F.floor(F.col("id") / 12)).alias("k"), (F.col("id") % 7).alias("ts"), F.col("id").alias("event_id"), F.lit("invalid").alias("result")
+    )
+    got = requestlog.invalid_streak(df, "k", "result", 64).groupBy("k").agg(F.max("streak").alias("top"), F.count("*").alias("n"), F.countDistinct("streak").alias("d")).collect()
+    assert len(got) == n + 1 and all(r["top"] == r["n"] == r["d"] for r in got)
+    assert {r["n"] for r in got if r["k"] is None} == {n * 6}
+    stats = rank_percentiles(df, ["k"], "event_id", {"p50": 0.5}, 64).collect()
+    assert all(r["p50"] == r["k"] * 12 + 6 for r in stats if r["k"] is not None)
+    assert {r["p50"] for r in stats if r["k"] is None} == {n * 6 * 2 // 2 + 1}
+
+
+@pytest.mark.parametrize("parts", PARTS)
 @pytest.mark.parametrize("keys", [["k"], []])
-def test_rank_percentiles(spark, rows, keys, hot_rows):
+def test_rank_percentiles(spark, rows, keys, parts):
     df, data = rows
     groups = {}
     for r in data:
         groups.setdefault(r[1] if keys else "all", []).append(r[2])
     at = lambda v, p: sorted(v)[min(len(v) - 1, int(p * len(v)))]
     want = {k: (len(v), at(v, 0.5), at(v, 0.95), at(v, 1.0)) for k, v in groups.items()}
-    got = rank_percentiles(df, keys, "ts", {"p50": 0.5, "p95": 0.95, "p100": 1.0}, hot_rows)
+    got = rank_percentiles(df, keys, "ts", {"p50": 0.5, "p95": 0.95, "p100": 1.0}, parts)
     assert {(r["k"] if keys else "all"): (r["n"], r["p50"], r["p95"], r["p100"]) for r in got.collect()} == {k: v for k, v in want.items()}
 
 
@@ -99,11 +112,10 @@ def test_percentile_is_not_interpolated(spark):
     assert tuple(requestlog.latency(df, []).first()) == (4, 2, 3)
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_lookup(spark, rows, hot_rows):
+def test_lookup(spark, rows):
     df, data = rows
     dim = df.where("k is not null").groupBy("k").agg(F.max("event_id").alias("top"))
-    got = lookup(df, dim, ["k"], ["event_id"], hot_rows=hot_rows)
+    got = lookup(df, dim, ["k"])
     top = {}
     for r in data:
         if r[1] is not None:
@@ -112,10 +124,25 @@ def test_lookup(spark, rows, hot_rows):
     assert got.count() == len(data)
 
 
-def test_hot_keys(rows):
-    df, data = rows
-    n = sum(r[1] == "hot" for r in data)
-    assert hot_keys(df, ["k"], n - 1) == [("hot", n)] and hot_keys(df, ["k"], n) == []
+def test_adaptive_execution_splits_a_hot_key_and_a_hot_null(spark):
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "5k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        for hot in ("hot", None):
+            rows = spark.range(0, 60_000, numPartitions=12).select(F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.concat(F.lit("k"), F.col("id") % 5000)).alias("k"), F.xxhash64("id").alias("v"))
+            dim = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("x")).unionByName(spark.createDataFrame([("hot", -1)], "k string, x bigint"))
+            joined = lookup(rows, dim, ["k"])
+            assert len(joined.collect()) == 60_000
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "skew=true" in plan or "AQEShuffleRead skewed" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_limits_come_before_the_shuffle(rows):
@@ -155,8 +182,7 @@ def test_no_positions(spark):
     assert missing_positions(df, "indice").count() == 0 and first_missing(df, "indice").count() == 0
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 3])
-def test_pages_of_a_hot_id(spark, hot_rows):
+def test_pages_of_a_hot_id(spark):
     rnd = random.Random(5)
     data = [(run, page, pos, rnd.choice(["hot", "hot", f"x{page}{pos}", f"y{rnd.randrange(9)}"])) for run in (1, 2) for page in range(1, 9) for pos in range(5)]
     df = spark.createDataFrame(data, "run_id int, numero int, pos int, id string")
@@ -167,12 +193,11 @@ def test_pages_of_a_hot_id(spark, hot_rows):
             ids = [r[3] for r in data if r[:2] == (run, page)]
             want[run, page] = (5, 5 - len(set(ids)), sum(i in seen for i in ids))
             seen |= set(ids)
-    got = drift.repeated_in_run(df, hot_rows).collect()
+    got = drift.repeated_in_run(df).collect()
     assert {(r["run_id"], r["numero"]): (r["n_rows"], r["n_identical"], r["n_seen"]) for r in got} == want
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 3])
-def test_shared_download_of_a_hot_document(spark, hot_rows):
+def test_shared_download_of_a_hot_document(spark):
     data = [(f"r{i}", i, "hot" if i % 3 else (f"d{i % 4}" if i % 2 else None)) for i in range(60)]
     df = spark.createDataFrame(data, "id string, indice bigint, documentoUuid string")
     first, want = set(), []
@@ -181,4 +206,4 @@ def test_shared_download_of_a_hot_document(spark, hot_rows):
             want.append(i)
         if d:
             first.add(d)
-    assert sorted(r["indice"] for r in downloads.shared_downloads(df, hot_rows).collect()) == want
+    assert sorted(r["indice"] for r in downloads.shared_downloads(df).collect()) == want
