@@ -9,7 +9,7 @@ EMPTY_MARK = "ui-datatable-empty-message"  # fixed value: class of an empty resu
 
 # Fixed patterns: a script-submitted link, its form, and its quoted pairs.
 _CALL = r"mojarra\.jsfcljs\(([^{]*)\{([^}]*)\}"
-_PAIR = r"'((?:[^'\\]|\\.)*)'\s*:\s*'((?:[^'\\]|\\.)*)'"
+_PAIR = r"'([^']*+)'\s*+:\s*+'([^']*+)'"  # after _HELD: an alternation under a star would recurse once per character
 _FORM = r"getElementById\(\s*'([^']+)'"
 # Fixed pattern: id of a view token.
 _TOKEN_ID = r"(?:^|:)(?:javax|jakarta)\.faces\.ViewState(?::|$)"
@@ -72,15 +72,29 @@ def _last_of_each(pairs: Column) -> Column:
     return F.aggregate(pairs, start, lambda kept, p: F.concat(F.filter(kept, lambda a: a["k"] != p["k"]), F.array(p)))
 
 
+# Three code points that no text may hold stand for escaped signs while quotes are matched.
+_HELD = {"\\\\": "\ufdd0", "\\'": "\ufdd1", '\\"': "\ufdd2"}
+
+
+def _hold(js: Column) -> Column:
+    for escaped, sign in _HELD.items():  # the backslash first: pairs are read from the left
+        js = F.replace(js, F.lit(escaped), F.lit(sign))
+    return js
+
+
+def _release(js: Column) -> Column:
+    return F.translate(js, "\ufdd0\ufdd1\ufdd2", "\\'\"")
+
+
 def _unescape(js: Column) -> Column:
-    return F.regexp_replace(js, r"\\(['\"\\])", "$1")
+    return _release(_hold(js))
 
 
 def _read_call(js: Column) -> Column:
-    head, body = F.regexp_extract(js, _CALL, 1), F.regexp_extract(js, _CALL, 2)
+    head, body = F.regexp_extract(js, _CALL, 1), _hold(F.regexp_extract(js, _CALL, 2))
     names = F.regexp_extract_all(body, F.lit(_PAIR), F.lit(1))
     values = F.regexp_extract_all(body, F.lit(_PAIR), F.lit(2))
-    pairs = F.zip_with(names, values, lambda k, v: F.struct(_unescape(k).alias("k"), _unescape(v).alias("v")))
+    pairs = F.zip_with(names, values, lambda k, v: F.struct(_release(k).alias("k"), _release(v).alias("v")))
     params = F.map_from_entries(_last_of_each(pairs))
     return F.when(
         F.size(names) > 0, F.struct(_capture(head, _FORM).alias("form_id"), params.alias("params"))

@@ -68,18 +68,30 @@ def backoff_bound_ms(outcome: Column, attempt: Column) -> Column:
     return F.least(F.lit(float(BACKOFF_CAP_MS)), doubled).cast("bigint")
 
 
+# The three standard forms of a date in a header, and the places of day, month, year and time in them.
+HTTP_DATES = [
+    (r"^(?:[A-Za-z]+,\s*)?(\d{1,2})\s+([A-Z][a-z]{2})\s+(\d{4})\s+(\d{2}:\d{2}:\d{2})(?:\s*GMT)?$", (1, 2, 3, 4)),
+    (r"^[A-Za-z]+,\s*(\d{1,2})-([A-Z][a-z]{2})-(\d{2})\s+(\d{2}:\d{2}:\d{2})\s*GMT$", (1, 2, 3, 4)),
+    (r"^[A-Z][a-z]{2}\s+([A-Z][a-z]{2})\s+(\d{1,2})\s+(\d{2}:\d{2}:\d{2})\s+(\d{4})$", (2, 1, 4, 3)),
+]
+
+
+def _date(value: Column, pattern: str, order: tuple[int, ...]) -> Column:
+    """"day month year time" of a date in one form; two digits of a year below 50 are of this century."""
+    day, month, year, time = (F.regexp_extract(value, pattern, i) for i in order)
+    century = F.when(F.length(year) == 2, F.when(year < "50", "20").otherwise("19")).otherwise("")
+    return F.when(value.rlike(pattern), F.concat_ws(" ", day, month, F.concat(century, year), time))
+
+
 def retry_after_ms(header: Column, now: Column) -> Column:
     """Delay asked for by a Retry-After header, in ms; NULL (not 0) where it says nothing.
 
     ``now`` is a UTC timestamp without time zone: the clock is an input, so reruns agree.
     """
     value = F.trim(header)
-    digits = F.when(value.rlike(r"^\d{1,15}$"), value).cast("bigint") * 1000
-    bare = F.regexp_replace(F.regexp_replace(value, r"^[A-Za-z]+,\s*", ""), r"\s*GMT$", "")
-    moment = F.try_to_timestamp(
-        F.when(bare.rlike(r"^\d{2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2}$"), bare),
-        F.lit("dd MMM yyyy HH:mm:ss"),
-    ).cast("timestamp_ntz")
+    seconds = F.try_multiply(value.try_cast("bigint"), F.lit(1000).cast("bigint"))
+    digits = F.when(value.rlike(r"^\d+$"), F.coalesce(seconds, F.lit((1 << 63) - 1)))  # more than a bigint holds: the longest wait
+    moment = F.try_to_timestamp(F.coalesce(*[_date(value, p, order) for p, order in HTTP_DATES]), F.lit("d MMM yyyy HH:mm:ss")).cast("timestamp_ntz")
     wait = F.timestamp_diff("MILLISECOND", now.cast("timestamp_ntz"), moment)
     # greatest() skips NULLs, and no moment must stay no delay.
     return F.coalesce(digits, F.when(wait < 0, F.lit(0).cast("bigint")).otherwise(wait))

@@ -115,13 +115,13 @@ def indexed_rows(root: Node) -> list[dict]:
 
 
 def named_rows(root: Node) -> list[dict]:
-    first: dict[int, tuple[str, Node]] = {}
+    first: dict[str, tuple[str, Node]] = {}  # by digits without leading zeros: a number may have any length
     for node in root.walk():
         match = ROW_ID.match(node.attrs.get("id", node.attrs.get("name", "")))
         if match:
-            first.setdefault(int(match[3]), (match[2], node))
+            first.setdefault(match[3].lstrip("0") or "0", (match[2], node))
     rows = []
-    for number in sorted(first):
+    for number in sorted(first, key=lambda digits: (len(digits), digits)):
         iterator, node = first[number]
         box = node.up("tr") or node.up("div") or node.parent
         clicks = (n.attrs["onclick"] for n in box.walk() if "jsfcljs" in n.attrs.get("onclick", ""))

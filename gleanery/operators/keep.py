@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+PLACE = "place"
 MAX_SAMPLES = 5  # fixed value: samples shown per finding
 
 
@@ -24,9 +25,14 @@ def first_occurrence(rows: DataFrame, key: str, order: list[Column]) -> DataFram
     return first_k(rows, [key], order)
 
 
-def latest(rows: DataFrame, key: str, seq: str) -> DataFrame:
-    """Last row of each key in file order."""
-    return first_k(rows, [key], [F.desc(seq)])
+def latest(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """Last row of each key by the columns named; without any, in file order."""
+    return first_k(rows, [key], [F.desc_nulls_last(c) for c in order or file_order(rows)])
+
+
+def file_order(rows: DataFrame) -> list[str]:
+    """What tells file order: a stored ``seq`` where a line has one, and the ``place`` of the line that a scan lands."""
+    return [c for c in ("seq", PLACE) if c in rows.columns]
 
 
 def repeats(rows: DataFrame, key: str) -> DataFrame:

@@ -6,13 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.operators.keep import MAX_SAMPLES
+from gleanery.operators.ordered import blocks, running
+
+PIECE = 100_000  # positions of a gap that are spelled out at a time
 
 
 def missing_positions(rows: DataFrame, position: str) -> DataFrame:
     """Every position from 0 to the greatest one that no row has."""
-    top = rows.agg(F.max(position)).first()[0]
-    whole = rows.sparkSession.range(0 if top is None else top + 1).withColumnRenamed("id", position)
-    return whole.join(rows.select(position), position, "left_anti")
+    present = rows.where(F.col(position) >= 0).select(F.col(position).alias("p")).distinct()
+    b = running(blocks(present, [], ["p"]), {"_before": ("max", F.col("p"))}, inclusive=False)
+    gaps = b.rows.select((F.coalesce("_before", F.lit(-1)) + 1).alias("a"), (F.col("p") - 1).alias("b")).where("a <= b")
+    pieces = gaps.select("b", F.explode(F.sequence("a", "b", F.lit(PIECE))).alias("a"))
+    return pieces.select(F.explode(F.sequence("a", F.least(F.col("b"), F.col("a") + PIECE - 1))).alias(position))
 
 
 def first_missing(rows: DataFrame, position: str, k: int = MAX_SAMPLES) -> DataFrame:

@@ -13,8 +13,8 @@ HAS_DOCUMENT = "documentoUuid is not null and documentoUuid <> ''"
 
 
 def by_document(manifest: DataFrame) -> DataFrame:
-    """Last manifest entry of each document (``seq`` is file order)."""
-    return latest(manifest, "documentoUuid", "seq").select("documentoUuid", "archivo", "bytes", "sha256")
+    """Last manifest entry of each document, in file order."""
+    return latest(manifest, "documentoUuid").select("documentoUuid", "archivo", "bytes", "sha256")
 
 
 def download_plan(

@@ -20,7 +20,7 @@ TYPED_COLUMNS = 7  # fixed value: cells of a typed row
 PARTS = {
     "headers": "array<string>",
     "indexed_rows": "array<struct<mark:string,cells:array<string>,onclick:string>>",
-    "named_rows": "array<struct<number:bigint,iterator:string,cells:array<string>,text:string,onclick:string>>",
+    "named_rows": "array<struct<number:string,iterator:string,cells:array<string>,text:string,onclick:string>>",
     "controls": "array<struct<tag:string,label:string,onclick:string,href:string>>",
     "forms": "array<struct<form_id:string,action:string,fields:array<struct<name:string,values:array<string>>>,token:string>>",
     "page_token": "string",
@@ -42,11 +42,15 @@ def page_parts(pages: DataFrame, body: str, parts: list[str], url: str | None =
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            roots = [tree.parse(b) for b in frame[body]]
             addresses = frame[url] if url else [""] * len(frame)
+            found: dict[str, list] = {part: [] for part in parts}
+            for text, address in zip(frame[body], addresses):  # one tree at a time
+                root = tree.parse(text)
+                for part in parts:
+                    found[part].append(read(part, root, address))
             out = frame[keep].copy()
             for part in parts:
-                out[part] = pd.Series([read(part, r, a) for r, a in zip(roots, addresses)], index=frame.index, dtype=object)
+                out[part] = pd.Series(found[part], index=frame.index, dtype=object)
             yield out
 
     return pages.mapInPandas(batches, schema)
@@ -111,7 +115,7 @@ def free_rows(parsed: DataFrame) -> DataFrame:
     cells = F.transform("r.cells", normalize_ws)
     return rows.select(
         *keep,
-        F.col("r.number").alias("indice"),
+        F.col("r.number").try_cast("bigint").alias("indice"),
         F.col("r.iterator").alias("iterador"),
         normalize_ws(F.col("r.text")).alias("texto"),
         cells.alias("celdas"),

@@ -14,8 +14,8 @@ FIELDS = ["id", "tipo", "error", "intentos", "ultimoTs", "detalle", "contexto"]
 
 
 def collapse(queue: DataFrame) -> DataFrame:
-    """Latest entry per id, in file order (``seq``)."""
-    return latest(queue, "id", "seq")
+    """Latest entry per id, in file order."""
+    return latest(queue, "id")
 
 
 def retryable_entries(queue: DataFrame, max_tries: int = MAX_TRIES) -> DataFrame:

@@ -2,28 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from gleanery.operators.keep import PLACE
 from gleanery.sources.paths import exists
 
 CORRUPT = "_corrupt_record"
 
 
-def scan_strict(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Lines as rows. No file is no rows; blank lines are skipped; a broken line is an error that shows it."""
+def _place() -> Column:
+    """Where a line stands: files by time of change and name, then the split, then the row in it."""
+    m = F.col("_metadata")
+    return F.struct(m["file_modification_time"].alias("at"), m["file_path"].alias("file"), m["file_block_start"].alias("start"), F.monotonically_increasing_id().alias("row")).alias(PLACE)
+
+
+def _parsed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Lines read whole, whatever is asked for later: ``value``, place, ``_row`` and whether the line is ``_broken``."""
+    wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    lines = spark.read.text(path).select("value", _place()).where(F.trim("value") != "")
+    parsed = lines.withColumn("_row", F.from_json("value", wide, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}))
+    return parsed.withColumn("_broken", F.col("_row").isNull() | F.col(f"_row.{CORRUPT}").isNotNull())
+
+
+def _empty(spark: SparkSession, schema: StructType, place: bool) -> DataFrame:
+    none = spark.createDataFrame([], schema)
+    return none.withColumn(PLACE, F.lit(None).cast("struct<at:timestamp,file:string,start:bigint,row:bigint>")) if place else none
+
+
+def scan_strict(spark: SparkSession, path: str, schema: StructType, place: bool = False) -> DataFrame:
+    """Lines as rows. No file is no rows; blank lines are skipped; a broken line is an error that shows it.
+
+    A line is read whole and judged whole, so that the outcome does not depend on which columns are asked for.
+    With ``place``, rows keep where their line stands.
+    """
     if not exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+        return _empty(spark, schema, place)
+    parsed = _parsed(spark, path, schema)
+    checked = parsed.where(F.when(F.col("_broken"), F.raise_error(F.concat(F.lit("corrupt line: "), F.substring("value", 1, 2000))).cast("boolean")).otherwise(True))
+    return checked.select(*[F.col("_row")[f.name].alias(f.name) for f in schema.fields], *([PLACE] if place else []))
 
 
-def scan_tolerant(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def scan_tolerant(spark: SparkSession, path: str, schema: StructType, place: bool = False) -> DataFrame:
     """As the strict scan, but broken lines stay as rows with their text in ``_corrupt_record``."""
     wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     if not exists(spark, path):
-        return spark.createDataFrame([], wide)
-    return spark.read.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+        return _empty(spark, wide, place)
+    rows = spark.read.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    return rows.select("*", _place()) if place else rows
 
 
 def torn_tail(spark: SparkSession, path: str) -> DataFrame:
@@ -58,3 +85,16 @@ def quarantine(scanned: DataFrame, key: str = "id") -> DataFrame:
 def key_index(records: DataFrame) -> DataFrame:
     """Ids already stored. Broken lines have none."""
     return records.select("id").where("id is not null").distinct()
+
+
+def key_index_of(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Ids stored in files. The last line of a file may be broken, as a write that was cut short leaves it; another one is an error."""
+    if not exists(spark, path):
+        return key_index(spark.createDataFrame([], schema))
+    parsed = _parsed(spark, path, schema)
+    ends = parsed.groupBy(F.col(f"{PLACE}.file").alias("file")).agg(
+        F.max(PLACE).alias("last"), F.min_by(F.struct(PLACE, "value"), F.when(F.col("_broken"), F.col(PLACE))).alias("first_broken")
+    )
+    for r in ends.where(f"first_broken.{PLACE} < last").select("file", "first_broken.value").head(1):
+        raise ValueError(f"broken line before the end of {r[0]}: {r[1][:2000]}")
+    return key_index(parsed.where("not _broken").select("_row.*"))

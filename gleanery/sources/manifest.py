@@ -10,6 +10,7 @@ from gleanery.sources.jsonl import CORRUPT, scan_strict, scan_tolerant
 from gleanery.sources.schema import MANIFEST_SCHEMA, QUEUE_SCHEMA
 
 REQUIRED = ("id", "documentoUuid", "archivo", "bytes", "sha256")
+NAMED = ("id", "documentoUuid", "archivo")
 
 
 def is_whole(columns: tuple[str, ...] = REQUIRED):
@@ -20,16 +21,19 @@ def is_whole(columns: tuple[str, ...] = REQUIRED):
     return whole
 
 
-def manifest_scan(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Valid entries, and the malformed ones."""
-    scanned = scan_tolerant(spark, path, MANIFEST_SCHEMA)
-    whole = is_whole() & F.col(CORRUPT).isNull()
+def manifest_scan(spark: SparkSession, path: str, required: tuple[str, ...] = REQUIRED) -> tuple[DataFrame, DataFrame]:
+    """Valid entries with their place in the files, and the malformed ones.
+
+    The report asks for all of ``REQUIRED``; a plan can use an entry that names record, document and file (``NAMED``).
+    """
+    scanned = scan_tolerant(spark, path, MANIFEST_SCHEMA, place=True)
+    whole = is_whole(required) & F.col(CORRUPT).isNull()
     return scanned.where(whole).drop(CORRUPT), scanned.where(~whole)
 
 
 def queue_scan(spark: SparkSession, path: str) -> DataFrame:
     """The queue collapsed to the latest entry per id. A malformed entry fails the job."""
-    return latest(checked_queue(scan_strict(spark, path, QUEUE_SCHEMA)), "id", "seq")
+    return latest(checked_queue(scan_strict(spark, path, QUEUE_SCHEMA, place=True)), "id")
 
 
 def checked_queue(entries: DataFrame) -> DataFrame:

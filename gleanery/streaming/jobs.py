@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from gleanery.operators.keep import latest
+from gleanery.operators.keep import PLACE, latest
 from gleanery.sources.sinks import append_new_records, read_current, replace_table
 
 
-def arriving(spark: SparkSession, folder: str, schema: StructType, fmt: str = "json", files_per_batch: int | None = None) -> DataFrame:
+def arriving(spark: SparkSession, folder: str, schema: StructType, fmt: str = "json", files_per_batch: int | None = None, place_of_lines: bool = False) -> DataFrame:
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(folder)
+    m = F.col("_metadata")
+    place = F.struct(m["file_modification_time"].alias("at"), m["file_path"].alias("file"), m["file_block_start"].alias("start"))
+    return reader.load(folder).select("*", place.alias(PLACE)) if place_of_lines else reader.load(folder)
 
 
 def ingest_stream(rows: DataFrame, records_path: str, checkpoint: str, expected_total: int | None = None, total: str | None = None) -> StreamingQuery:
@@ -52,8 +54,10 @@ def queue_stream(entries: DataFrame, queue_path: str, checkpoint: str) -> Stream
     """Keep the latest entry per id: each batch is merged into a new version of the queue."""
 
     def merge(batch: DataFrame, _: int) -> None:
+        if PLACE in batch.columns:  # rows of a split come in order; a stream can't number them, a batch can
+            batch = batch.withColumn(PLACE, F.col(PLACE).withField("row", F.monotonically_increasing_id()))
         current = read_current(batch.sparkSession, queue_path, batch.schema)
-        replace_table(latest(current.unionByName(batch), "id", "seq"), queue_path)
+        replace_table(latest(current.unionByName(batch), "id"), queue_path)
 
     return entries.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

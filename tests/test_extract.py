@@ -111,3 +111,9 @@ def test_partial_responses(spark):
     assert (r[0]["exact"], r[0]["tail"], r[0]["no"], r[0]["token"]) == ("<tr>&amp;</tr>", "new", None, "t1")
     assert r[1]["redirect"] == "/home" and r[2]["error"] == {"name": "E1", "message": "gone"}
     assert r[4]["updates"] == [] and r[4]["token"] is None
+
+
+def test_row_numbers_of_any_length(spark):
+    body = f"<table><tr><td id='f:t:{'9' * 30}:x'>far</td></tr><tr><td id='f:t:002:x'>two</td></tr><tr><td id='f:t:2:y'>again</td></tr></table>"
+    rows = extract.free_rows(parts(spark, body, ["named_rows", "headers"])).orderBy(F.col("indice").isNull()).collect()
+    assert [(r["indice"], r["texto"]) for r in rows] == [(2, "two"), (None, "far")]

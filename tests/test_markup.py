@@ -59,3 +59,11 @@ def test_tokens(values):
 def test_form_recognised(values):
     got = values(lambda c: markup.form_recognised(F.split(c, ","), ["year", "court"]), ["f:year,x", "court", "f:years", "x"])
     assert got == [True, True, False, False]
+
+
+def test_long_values_and_many_escapes(values):
+    """A value of a million characters, plain or escaped, is read like a short one."""
+    long, escaped = "v" * 1_000_000, "\\'" * 500_000
+    given = [f"mojarra.jsfcljs(f,{{'a':'{long}','b':'1'}},'')", f"mojarra.jsfcljs(f,{{'a':'{escaped}','b':'\\\\'}},'')"]
+    got = values(lambda c: markup.click_command(c), given)
+    assert got[0]["params"] == {"a": long, "b": "1"} and got[1]["params"] == {"a": "'" * 500_000, "b": "\\"}

@@ -4,7 +4,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from gleanery.plans import ingest
+from gleanery.plans import downloads, ingest
 from gleanery.sources import control, files, jsonl, manifest, paths, sinks
 from gleanery.sources.schema import CHECKPOINT_SCHEMA, QUEUE_SCHEMA, schema, COUNT, TEXT, TIME
 from gleanery.streaming import jobs
@@ -24,6 +24,56 @@ def test_strict_scan(spark, tmp_path):
         jsonl.scan_strict(spark, str(bad), ROW).collect()
 
 
+def test_strict_whatever_is_selected(spark, tmp_path):
+    bad = tmp_path / "bad.jsonl"
+    bad.write_text('{"id":"a","indice":0}\n{"id":"b","indice":"zz"}\n')
+    for asked in (["id"], ["indice"], []):
+        with pytest.raises(Exception, match="corrupt line"):
+            jsonl.scan_strict(spark, str(bad), ROW).select(*asked).collect()
+    with pytest.raises(Exception, match="corrupt line"):
+        jsonl.scan_strict(spark, str(bad), ROW).count()
+
+
+def test_key_index_of_files(spark, tmp_path):
+    cut = tmp_path / "cut"
+    cut.mkdir()
+    (cut / "a.jsonl").write_text('{"id":"a","indice":0}\n{"id":"a","indice":1}\n{"id":"x","ind')
+    (cut / "b.jsonl").write_text('{"id":"b","indice":0}\n')
+    assert sorted(r["id"] for r in jsonl.key_index_of(spark, str(cut), ROW).where("id <> 'x'").collect()) == ["a", "b"]
+    bad = tmp_path / "bad.jsonl"
+    bad.write_text('{"id":"a"}\nbroken\n{"id":"b"}\n')
+    with pytest.raises(ValueError, match="broken"):
+        jsonl.key_index_of(spark, str(bad), ROW)
+    assert jsonl.key_index_of(spark, str(tmp_path / "none"), ROW).count() == 0
+
+
+def test_last_wins_by_place_in_the_files(spark, tmp_path):
+    """Lines without a number of their own, in several files and splits."""
+    import os
+    import time
+
+    q = tmp_path / "queue"
+    q.mkdir()
+    entry = '{{"id":"{}","tipo":"pdf","error":"network","intentos":{},"ultimoTs":"2024-01-01T00:00:00.000Z","detalle":"{}"}}\n'
+    now = time.time()
+    for n, name in enumerate(("z.jsonl", "a.jsonl")):  # the later file has the earlier name
+        f = q / name
+        f.write_text("".join(entry.format(f"k{i % 50}", 100 * n + i // 50, "x" * 300) for i in range(1000 if n == 0 else 500)))
+        os.utime(f, (now + n * 10, now + n * 10))
+    m = tmp_path / "m.jsonl"
+    m.write_text("".join(f'{{"id":"r{i}","documentoUuid":"d","archivo":"f{i}"}}\n' for i in range(30)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        got = {r["id"]: r["intentos"] for r in manifest.queue_scan(spark, str(q)).collect()}
+        assert got == {f"k{i}": 109 for i in range(50)}
+        entries, broken = manifest.manifest_scan(spark, str(m), manifest.NAMED)
+        assert broken.count() == 0 and [r["archivo"] for r in downloads.by_document(entries).collect()] == ["f29"]
+        assert manifest.manifest_scan(spark, str(m))[0].count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_tolerant_scan_and_torn_tail(spark, tmp_path):
     p = tmp_path / "t"
     p.mkdir()

@@ -70,6 +70,12 @@ def test_retry_after(values):
     assert values(lambda c: outcome.retry_after_ms(c, now), given) == [120000, 0, None, None, None, 60000, 0, None, None]
 
 
+def test_retry_after_dates_and_long_numbers(values):
+    now = F.expr("timestamp_ntz'2024-05-01 10:00:00'")
+    given = ["Wed, 1 May 2024 10:01:00 GMT", "Wednesday, 01-May-24 10:02:00 GMT", "Wed May  1 10:03:00 2024", "Wed May 01 10:03:00 2024", "Friday, 01-May-99 10:00:00 GMT", "9999999999999999", "9" * 40, "Wed, 41 May 2024 10:01:00 GMT"]
+    assert values(lambda c: outcome.retry_after_ms(c, now), given) == [60000, 120000, 180000, 180000, 0, (1 << 63) - 1, (1 << 63) - 1, None]
+
+
 def test_status_class(spark):
     rows = [(200, None), (204, None), (301, None), (404, None), (403, None), (429, None), (500, None), (None, "ENOTFOUND"), (None, "ETIMEDOUT"), (None, "EPROTO"), (None, None)]
     df = spark.createDataFrame(rows, "s int, c string").withColumn("k", outcome.status_class(F.col("s"), F.col("c")))
