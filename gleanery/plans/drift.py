@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.paging import expected_rows
 from gleanery.operators.skew import lookup
+from gleanery.sources.sinks import settle
 
 PAGE = ["run_id", "numero"]
+FLAGS = ("sin_administrado", "sin_expediente", "sin_celdas")  # fixed values: fields counted where a row lacks them
 
 
 def repeated_in_run(rows: DataFrame) -> DataFrame:
@@ -59,7 +61,13 @@ def page_findings(
 
     ``pages``: ``run_id, numero, first, total, page_size, widget_page_size, is_search,
     previous_total, label_total, has_component, marked_empty, headers, expected_headers``.
-    ``rows``: ``run_id, numero, pos, indice, nro, columnas, estado, id, valid``.
+    ``rows``: ``run_id, numero, pos, indice, nro, columnas, estado, id, valid``, and where a source has them the flags
+    ``sin_administrado, sin_expediente, sin_celdas`` of fields that a row lacks.
+
+    ``numbered_per_page`` is the naming-container mode: rows are numbered from 0 on each page, and ``has_component`` tells
+    whether any id has the form of a row's.
+
+    Rows are read once: what they tell is summed by page, id and offset (index less place), written, and looked up from there.
     """
     bad = {
         "columnas": F.col("columnas") != columns,
@@ -67,15 +75,30 @@ def page_findings(
         "sin-uuid": F.col("estado") == "ilegible",
         "registro-invalido": ~F.col("valid"),
         "sin_documento": F.col("estado") == "sin-enlace",
+        **{flag: F.col(flag) for flag in FLAGS if flag in rows.columns},
     }
-    base = F.lit(0) if numbered_per_page else (F.col("numero") - 1) * F.col("page_size")
-    sized = rows.join(pages.select(*PAGE, "page_size"), PAGE)
-    bad["indices-desalineados"] = F.col("indice") != base + F.col("pos")
-    counted = sized.groupBy(*PAGE).agg(
+    per = rows.withColumn("_off", F.col("indice") - F.col("pos")).groupBy(*PAGE, "id", "_off").agg(
+        F.count(F.lit(1)).alias("c"),
+        F.min("pos").alias("_pos"),
         *[F.count_if(c).alias(f"n:{k}") for k, c in bad.items()],
         *[F.min(F.when(c, F.col("pos"))).alias(f"p:{k}") for k, c in bad.items()],
     )
-    p = pages.join(counted, PAGE, "left").join(repeated_in_run(rows), PAGE, "left")
+    per = settle(per, "drift")
+    first = per.groupBy("run_id", "id").agg(F.min("numero").alias("_first"))
+    rest = [c for c in pages.columns if c not in PAGE]
+    found = pages.select(*PAGE, F.struct(*rest).alias("page")).join(lookup(per, first, ["run_id", "id"]), PAGE, "left")
+    base = F.lit(0) if numbered_per_page else (F.col("numero") - 1) * F.col("page.page_size")
+    off = F.col("_off") != base
+    p = found.groupBy(*PAGE).agg(
+        F.first("page").alias("page"),
+        F.sum("c").alias("n_rows"),
+        (F.sum("c") - F.count_distinct("id") - F.max(F.when(F.col("c").isNotNull() & F.col("id").isNull(), 1).otherwise(0))).alias("n_identical"),
+        F.sum(F.when(F.col("_first") < F.col("numero"), F.col("c")).otherwise(0)).alias("n_seen"),
+        F.sum(F.when(off, F.col("c"))).alias("n:indices-desalineados"),
+        F.min(F.when(off, F.col("_pos"))).alias("p:indices-desalineados"),
+        *[F.sum(f"`n:{k}`").alias(f"n:{k}") for k in bad],
+        *[F.min(f"`p:{k}`").alias(f"p:{k}") for k in bad],
+    ).select(*PAGE, "page.*", "n_rows", "n_identical", "n_seen", *[F.col(f"`{x}:{k}`") for k in [*bad, "indices-desalineados"] for x in "np"])
     n = F.coalesce(F.col("n_rows"), F.lit(0))
     none = F.lit(None).cast("bigint")
     empty_search = F.col("is_search") & (F.coalesce(F.col("total"), F.lit(-1)) == 0) & F.col("marked_empty")
@@ -99,7 +122,8 @@ def page_findings(
     want = expected_rows(F.col("total"), F.col("first"), F.col("page_size"))
     one = F.lit(1)
     signs = [
-        sign("sin-filas", "error", 0, ~F.col("has_component"), one),
+        sign("sin-iterador", "error", 0, ~F.col("has_component") & F.col("is_search") & F.lit(numbered_per_page), one),
+        sign("sin-filas", "error", 0, ~F.col("has_component") & ~(F.col("is_search") & F.lit(numbered_per_page)), one),
         sign("page-size", "error", 1, F.col("widget_page_size") != F.col("page_size"), F.col("widget_page_size")),
         sign("sin-total", "error", 2, F.col("is_search") & F.col("total").isNull(), one),
         sign("total-inestable", "error", 3, F.col("is_search") & (F.col("previous_total") != F.col("total")), F.col("total")),
@@ -116,6 +140,7 @@ def page_findings(
         sign("cabeceras", "aviso", 22, (F.size("headers") > 0) & (F.col("headers") != F.col("expected_headers")), one),
         sign("totales-distintos", "aviso", 23, F.col("label_total") != F.col("total"), F.col("label_total")),
         row_sign("sin_documento", "dato", 30),
+        *[row_sign(flag, "dato", 31 + i) for i, flag in enumerate(FLAGS) if flag in bad],
     ]
     return p.select(*PAGE, F.explode(F.array_compact(F.array(*signs))).alias("s")).select(*PAGE, "s.*")
 

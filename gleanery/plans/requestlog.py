@@ -81,6 +81,14 @@ def invalid_streak(downloads: DataFrame, session: str, result: str, parts: int |
     return out.withColumn("drift", (F.col(result) == "invalid") & (F.col("streak") >= MAX_INVALID_STREAK))
 
 
+def download_findings(streaks: DataFrame, session: str) -> DataFrame:
+    """``descarga-no-pdf`` for each session whose downloads were invalid too often in a row: where that was, and how many by then."""
+    at = F.struct("ts", "event_id")
+    return streaks.where("drift").groupBy(session).agg(F.min_by("streak", at).alias("n"), F.min_by("event_id", at).alias("event_id")).select(
+        session, F.lit("descarga-no-pdf").alias("kind"), F.lit("error").alias("level"), "event_id", "n"
+    )
+
+
 def rolling_degradation(classified: DataFrame, session: str, parts: int | None = None, chunk_rows: int = ordered.CHUNK_ROWS) -> DataFrame:
     """Degraded outcomes among the last 20, and whether they are half of at least 5."""
     b = ordered.blocks(classified, [session], ["ts", "event_id"], parts)

@@ -131,12 +131,12 @@ def test_run_summary(spark):
 
 PAGE = dict(run_id=1, numero=1, first=0, total=20, page_size=2, widget_page_size=2, is_search=False, previous_total=None, label_total=20, has_component=True, marked_empty=False, headers=["A"], expected_headers=["A"])
 PAGE_DDL = "run_id int, numero int, first bigint, total bigint, page_size bigint, widget_page_size bigint, is_search boolean, previous_total bigint, label_total bigint, has_component boolean, marked_empty boolean, headers array<string>, expected_headers array<string>"
-ROW_DDL = "run_id int, numero int, pos bigint, indice bigint, nro bigint, columnas int, estado string, id string, valid boolean"
+ROW_DDL = "run_id int, numero int, pos bigint, indice bigint, nro bigint, columnas int, estado string, id string, valid boolean, sin_administrado boolean, sin_expediente boolean, sin_celdas boolean"
 
 
 def good_rows(numero, ids):
     base = (numero - 1) * 2
-    return [dict(run_id=1, numero=numero, pos=p, indice=base + p, nro=base + p + 1, columnas=7, estado="ok", id=i, valid=True) for p, i in enumerate(ids)]
+    return [dict(run_id=1, numero=numero, pos=p, indice=base + p, nro=base + p + 1, columnas=7, estado="ok", id=i, valid=True, sin_administrado=False, sin_expediente=False, sin_celdas=False) for p, i in enumerate(ids)]
 
 
 def signs(spark, page=None, row=None, ids=("c", "d"), drop=0, earlier=("a", "b")):
@@ -173,12 +173,13 @@ def signs(spark, page=None, row=None, ids=("c", "d"), drop=0, earlier=("a", "b")
         ({"page": {"headers": []}}, []),
         ({"page": {"label_total": 21}}, ["totales-distintos"]),
         ({"row": {"estado": "sin-enlace"}}, ["sin_documento"]),
+        ({"row": {"sin_administrado": True, "sin_expediente": True, "sin_celdas": True}}, ["sin_administrado", "sin_celdas", "sin_expediente"]),
     ],
 )
 def test_every_kind_of_drift(spark, kw, kinds):
     got, first = signs(spark, **kw)
     assert got == kinds
-    quiet = {"duplicados", "filas_identicas", "cabeceras", "totales-distintos", "sin_documento"}
+    quiet = {"duplicados", "filas_identicas", "cabeceras", "totales-distintos", "sin_documento", "sin_administrado", "sin_expediente", "sin_celdas"}
     assert first == [k for k in kinds if k not in quiet]
 
 
@@ -197,3 +198,7 @@ def test_numbering_per_page(spark):
     pages = spark.createDataFrame([tuple((PAGE | dict(numero=2, first=2)).values())], PAGE_DDL)
     found = drift.page_findings(pages, spark.createDataFrame([tuple(r.values()) for r in rows], ROW_DDL), numbered_per_page=True)
     assert found.count() == 0
+    lost = spark.createDataFrame([tuple((PAGE | dict(is_search=True, total=None, has_component=False)).values()), tuple((PAGE | dict(numero=2, first=2, has_component=False)).values())], PAGE_DDL)
+    found = drift.page_findings(lost, spark.createDataFrame([], ROW_DDL), numbered_per_page=True)
+    assert sorted((r["numero"], r["kind"]) for r in found.collect()) == [(1, "sin-iterador"), (1, "sin-total"), (2, "sin-filas")]
+    assert sorted((r["numero"], r["kind"]) for r in drift.first_sign(found).collect()) == [(1, "sin-iterador"), (2, "sin-filas")]

@@ -381,24 +381,36 @@ def _page_sign(kind, cond, level, prec, n):
     return f"SELECT run_id, numero, '{kind}', '{level}', {prec}, CAST({n} AS BIGINT), CAST(NULL AS BIGINT) FROM full_pages WHERE {cond}"
 
 
-_FINDINGS = f"""{S.LANDED}, full_pages AS (SELECT l.*, coalesce(r.n_rows, 0) AS n_rows, r.n_identical, r.n_seen FROM landed l LEFT JOIN repeated r ON l.run_id = r.run_id AND l.numero = r.numero), found AS (""" + " UNION ALL ".join([
-    _row_sign("indices-desalineados", "indice <> (numero - 1) * 10 + pos", "error", 6),
-    _row_sign("columnas", "columnas <> 7", "error", 7),
-    _row_sign("numeracion", "nro <> indice + 1", "error", 8),
-    _row_sign("sin-uuid", "estado = 'ilegible'", "error", 9),
-    _row_sign("registro-invalido", "NOT valid", "error", 10),
-    _row_sign("sin_documento", "estado = 'sin-enlace'", "dato", 30),
-    _page_sign("sin-filas", "low < 1200", "error", 0, 1),
-    _page_sign("page-size", "widget_page_size <> 10", "error", 1, "widget_page_size"),
-    _page_sign("total-inestable", "numero = 1 AND previous_total <> 5000", "error", 3, 5000),
-    _page_sign("sin-filas", "low >= 1200 AND n_rows = 0", "error", 4, 1),
-    _page_sign("pagina-incompleta", "n_rows > 0 AND n_rows <> least(10, 5000 - first)", "error", 5, "n_rows"),
-    _page_sign("solapamiento", "n_rows > 0 AND n_seen = n_rows", "error", 11, "n_rows"),
-    _page_sign("filas_identicas", "n_identical > 0", "aviso", 20, "n_identical"),
-    _page_sign("duplicados", "n_seen > 0 AND n_seen < n_rows", "aviso", 21, "n_seen"),
-    _page_sign("cabeceras", "low BETWEEN 5000 AND 5500", "aviso", 22, 1),
-    _page_sign("totales-distintos", "label_total <> 5000", "aviso", 23, "label_total"),
-]) + ")"
+def _findings(naming=False):
+    base = "0" if naming else "(numero - 1) * 10"
+    numbered = [] if naming else [_row_sign("numeracion", "nro <> indice + 1", "error", 8)]
+    no_rows = "low < 1200 AND numero = 1" if naming else "false"
+    return f"""{S.LANDED}, full_pages AS (SELECT l.*, coalesce(r.n_rows, 0) AS n_rows, r.n_identical, r.n_seen FROM landed l LEFT JOIN repeated r ON l.run_id = r.run_id AND l.numero = r.numero), found AS (""" + " UNION ALL ".join([
+        _row_sign("indices-desalineados", f"indice <> {base} + pos", "error", 6),
+        _row_sign("columnas", "columnas <> 7", "error", 7),
+        *numbered,
+        _row_sign("sin-uuid", "estado = 'ilegible'", "error", 9),
+        _row_sign("registro-invalido", "NOT valid", "error", 10),
+        _row_sign("sin_documento", "estado = 'sin-enlace'", "dato", 30),
+        _row_sign("sin_administrado", "sin_administrado", "dato", 31),
+        _row_sign("sin_expediente", "sin_expediente", "dato", 32),
+        _row_sign("sin_celdas", "sin_celdas", "dato", 33),
+        _page_sign("sin-iterador", no_rows, "error", 0, 1),
+        _page_sign("sin-filas", f"low < 1200 AND NOT ({no_rows})", "error", 0, 1),
+        _page_sign("page-size", "widget_page_size <> 10", "error", 1, "widget_page_size"),
+        _page_sign("sin-total", "numero = 1 AND total IS NULL", "error", 2, 1),
+        _page_sign("total-inestable", "numero = 1 AND previous_total <> total", "error", 3, "total"),
+        _page_sign("sin-filas", "low >= 1200 AND n_rows = 0", "error", 4, 1),
+        _page_sign("pagina-incompleta", "n_rows > 0 AND n_rows <> least(10, total - first) AND total IS NOT NULL", "error", 5, "n_rows"),
+        _page_sign("solapamiento", "n_rows > 0 AND n_seen = n_rows", "error", 11, "n_rows"),
+        _page_sign("filas_identicas", "n_identical > 0", "aviso", 20, "n_identical"),
+        _page_sign("duplicados", "n_seen > 0 AND n_seen < n_rows", "aviso", 21, "n_seen"),
+        _page_sign("cabeceras", "low BETWEEN 5000 AND 5500", "aviso", 22, 1),
+        _page_sign("totales-distintos", "label_total <> total", "aviso", 23, "label_total"),
+    ]) + ")"
+
+
+_FINDINGS = _findings()
 
 
 def _drift(spark, sf):
@@ -410,6 +422,11 @@ def _(spark, sf):
     return _drift(spark, sf)
 
 
+@query("drift_findings_naming", f"WITH {_findings(naming=True)} SELECT * FROM found")
+def _(spark, sf):
+    return drift.page_findings(T.landed_pages(spark, sf), T.page_rows(spark, sf), numbered_per_page=True)
+
+
 @query(
     "drift_first",
     f"""WITH {_FINDINGS} SELECT run_id, numero, kind FROM (SELECT *, CASE WHEN precedence BETWEEN 7 AND 10 THEN 1 WHEN precedence = 11 THEN 2 ELSE 0 END AS stage FROM found WHERE level = 'error')

@@ -83,13 +83,14 @@ PAGE_ROWS = f"""page_rows AS (
     o_orderkey % 5000 + 1 + CASE WHEN o_totalprice BETWEEN 3000 AND 4000 THEN 1 ELSE 0 END AS nro,
     CASE WHEN o_totalprice < 2000 THEN 6 ELSE 7 END AS columnas,
     CASE WHEN o_totalprice BETWEEN 2000 AND 3000 THEN 'ilegible' WHEN o_orderstatus = 'P' THEN 'sin-enlace' ELSE 'ok' END AS estado,
-    {sha24("o_custkey || '/' || o_orderpriority")} AS id, o_totalprice NOT BETWEEN 4000 AND 4500 AS valid
-  FROM orders WHERE o_totalprice < 499000), seen AS (
+    {sha24("o_custkey || '/' || o_orderpriority")} AS id, o_totalprice NOT BETWEEN 4000 AND 4500 AS valid,
+    o_custkey % 50 = 0 AS sin_administrado, o_custkey % 51 = 0 AS sin_expediente, o_custkey % 97 = 0 AS sin_celdas
+  FROM orders), seen AS (
   SELECT *, min(numero) OVER (PARTITION BY run_id, id) AS first_page, count(*) OVER (PARTITION BY run_id, numero, id) AS copies FROM page_rows), repeated AS (
   SELECT run_id, numero, count(*) AS n_rows, count(*) - count(DISTINCT id) AS n_identical, count(*) FILTER (first_page < numero) AS n_seen
   FROM seen GROUP BY run_id, numero)"""
 
 LANDED = PAGE_ROWS + """, landed AS (
-  SELECT *, (numero - 1) * 10 AS first, CASE WHEN top > 498000 THEN 20 ELSE 10 END AS widget_page_size,
+  SELECT *, (numero - 1) * 10 AS first, CASE run_id % 3 WHEN 0 THEN 5000 WHEN 2 THEN 4995 END AS total, CASE WHEN top > 498000 THEN 20 ELSE 10 END AS widget_page_size,
     CASE WHEN run_id > 0 THEN 4999 + run_id % 2 END AS previous_total, CASE WHEN low < 2500 THEN 4999 ELSE 5000 END AS label_total
   FROM (SELECT o_orderkey // 5000 AS run_id, (o_orderkey % 5000) // 10 + 1 AS numero, max(o_totalprice) AS top, min(o_totalprice) AS low FROM orders GROUP BY ALL))"""

@@ -154,7 +154,7 @@ def queue(spark: SparkSession, sf: str) -> DataFrame:
 
 def page_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Rows as a portal would have shown them, ten orders to a page, five hundred pages to a run."""
-    o = table(spark, sf, "orders").where("o_totalprice < 499000")
+    o = table(spark, sf, "orders")
     return o.select(
         F.expr("o_orderkey div 5000").alias("run_id"),
         F.expr("(o_orderkey % 5000) div 10 + 1").alias("numero"),
@@ -165,6 +165,9 @@ def page_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.expr("case when o_totalprice between 2000 and 3000 then 'ilegible' when o_orderstatus = 'P' then 'sin-enlace' else 'ok' end").alias("estado"),
         F.substring(F.sha1(F.concat_ws("/", F.col("o_custkey").cast("string"), "o_orderpriority").cast("binary")), 1, 24).alias("id"),
         F.expr("o_totalprice not between 4000 and 4500").alias("valid"),
+        F.expr("o_custkey % 50 = 0").alias("sin_administrado"),
+        F.expr("o_custkey % 51 = 0").alias("sin_expediente"),
+        F.expr("o_custkey % 97 = 0").alias("sin_celdas"),
     )
 
 
@@ -179,7 +182,7 @@ def landed_pages(spark: SparkSession, sf: str) -> DataFrame:
         "run_id",
         "numero",
         F.expr("(numero - 1) * 10").alias("first"),
-        F.lit(5000).cast("bigint").alias("total"),
+        F.expr("case run_id % 3 when 0 then 5000L when 2 then 4995L end").alias("total"),
         F.lit(10).cast("bigint").alias("page_size"),
         F.expr("if(top > 498000, 20L, 10L)").alias("widget_page_size"),
         (F.col("numero") == 1).alias("is_search"),
