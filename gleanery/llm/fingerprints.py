@@ -84,50 +84,47 @@ def remove(a: Column, b: Column) -> Column:
     return F.transform(F.arrays_zip(a.alias("a"), b.alias("b")), lambda x, i: (x["a"] - x["b"]).bitwiseAND(_modulo(i)))
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """0 to 1: twice the common sentences over those of both, estimated from the sign sums; 1 if all lanes are equal."""
+def signs(lanes: Column) -> Column:
+    """The sign sums of the 64 bit counts: what two documents are compared by."""
+    counts = F.slice(lanes, STRICT + 2, 64)
+    return F.transform(counts, lambda c: (2 * c - F.element_at(lanes, STRICT + 1)).cast("int"))
+
 
-    def square(x: Column, y: Column) -> Column:
-        def signs(v: Column) -> Column:
-            return F.transform(F.slice(v, STRICT + 2, 64), lambda c: (2 * c - F.element_at(v, STRICT + 1)).cast("double"))
+def likeness(a: Column, b: Column) -> Column:
+    """0 to 1, from sign sums: twice the common sentences over those of both, as far as 64 signs tell; 1 if all are equal."""
 
-        return F.aggregate(F.zip_with(signs(x), signs(y), lambda p, q: p * q), F.lit(0.0), lambda t, p: t + p)
+    def product(x: Column, y: Column) -> Column:
+        return F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda t, p: t + p)
 
-    shared = 2 * square(a, b) / F.nullif(square(a, a) + square(b, b), F.lit(0.0))
+    shared = 2 * product(a, b) / F.nullif(product(a, a) + product(b, b), F.lit(0.0))
     return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(shared, F.lit(0.0)))))
 
 
 def edited(docs: DataFrame) -> DataFrame:
     """Each document with its edited text: the last quarter replaced by as much of the start of the next document.
 
-    Columns doc_id, h (hash of the text), text, n_chars, edited and the struct next (doc_id, h). Only ids, hashes and lengths are
-    ordered; texts are shuffled by their own id, and their starts to the documents before.
+    Columns doc_id, text, n_chars, edited, and next_signs, the sign sums of the next document. Only ids, hashes and lengths are
+    ordered. Texts are shuffled once, by id and hash, and read twice from there: to hand their start and signs to the document
+    before, and to meet what they are handed themselves.
     """
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    rows = docs.select("doc_id", "h", F.char_length("text").alias("n")).groupBy("doc_id", "h", "n").count()
-    order = with_next(rows.withColumnRenamed("count", "copies"), ["doc_id", "h"], wrap=True)
-    order = C.settle(order.select("doc_id", "h", "n", "copies", F.struct("next.doc_id", "next.h").alias("next")))
-    start_of = order.select(F.col("next.doc_id").alias("p_id"), F.col("next.h").alias("p_h"), F.col("doc_id").alias("for_id"), F.col("h").alias("for_h"), F.floor(F.col("n") / 4).cast("int").alias("need"))
-    given = docs if order.filter("copies > 1").isEmpty() else docs.dropDuplicates(["doc_id", "h"])
-    starts = given.join(start_of, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("h") == F.col("p_h"))).select("for_id", "for_h", F.expr("left(text, need)").alias("start"))
-    # a null id joins by the struct, which is never null
-    starts = starts.select(F.struct(F.col("for_id").alias("doc_id"), F.col("for_h").alias("h")).alias("row"), "start")
-    pairs = order.select(F.struct("doc_id", "h").alias("row"), "n", "next")
-    return (
-        docs.withColumn("row", F.struct("doc_id", "h"))
-        .join(starts, "row")
-        .join(pairs, "row")
-        .select("doc_id", "h", "text", F.col("n").cast("long").alias("n_chars"), F.expr("concat(left(text, cast(n - floor(n / 4) as int)), start)").alias("edited"), "next")
-    )
+    first = F.lit(-(1 << 63))  # a null id comes first in the order
+    texts = docs.select(F.coalesce("doc_id", first).alias("key"), F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    rows = texts.select("key", "h", F.char_length("text").alias("n")).groupBy("key", "h", "n").agg(F.count("*").alias("copies"))
+    order = C.settle(with_next(rows, ["key", "h"], wrap=True).select("key", "h", "n", "copies", F.struct("next.key", "next.h").alias("next")))
+    asked = order.select(F.col("next.key").alias("key"), F.col("next.h").alias("h"), F.col("key").alias("for_key"), F.col("h").alias("for_h"), "n")
+    given = texts if order.filter("copies > 1").isEmpty() else texts.dropDuplicates(["key", "h"])
+    handed = with_lanes(given.join(asked, ["key", "h"]), "text", "lanes")
+    handed = handed.select(F.col("for_key").alias("key"), F.col("for_h").alias("h"), "n", F.expr("left(text, cast(floor(n / 4) as int))").alias("start"), signs(F.col("lanes")).alias("next_signs"))
+    kept = F.expr("left(text, cast(n - floor(n / 4) as int))")
+    return texts.join(handed, ["key", "h"]).select(F.nullif("key", first).alias("doc_id"), "text", F.col("n").cast("long").alias("n_chars"), F.concat(kept, "start").alias("edited"), "next_signs")
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = edited(C.table(spark, sf_dir, "documents"))
-    rows = with_lanes(with_lanes(rows.withColumn("edited_sha256", F.sha2("edited", 256)), "text", "lanes"), "edited", "edited_lanes")
-    rows = C.settle(rows.select("doc_id", "h", "n_chars", "edited_sha256", "lanes", "edited_lanes", "next"))
-    following = rows.dropDuplicates(["doc_id", "h"]).select(F.struct("doc_id", "h").alias("next"), F.col("lanes").alias("next_lanes"))
-    return rows.join(following, "next").select(
+    rows = edited(C.table(spark, sf_dir, "documents")).withColumn("edited_sha256", F.sha2("edited", 256))
+    rows = with_lanes(with_lanes(rows, "text", "lanes"), "edited", "edited_lanes")
+    rows = rows.withColumns({"own_signs": signs(F.col("lanes")), "edited_signs": signs(F.col("edited_lanes"))})
+    return rows.select(
         "doc_id", "n_chars", "edited_sha256",
         text_of(F.col("lanes")).alias("fingerprint"), text_of(F.col("edited_lanes")).alias("edited_fingerprint"),
-        likeness(F.col("lanes"), F.col("edited_lanes")).alias("near_edited"), likeness(F.col("lanes"), F.col("next_lanes")).alias("near_next"),
+        likeness(F.col("own_signs"), F.col("edited_signs")).alias("near_edited"), likeness(F.col("own_signs"), F.col("next_signs")).alias("near_next"),
     )
