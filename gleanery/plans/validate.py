@@ -9,7 +9,7 @@ by key, with partial aggregation before it, so copies of one key are merged earl
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions.paging import page_of_index
@@ -20,6 +20,9 @@ from gleanery.operators.keep import MAX_SAMPLES, first_k, repeats
 from gleanery.operators.positions import first_missing
 from gleanery.operators.skew import null_safe, union_all
 from gleanery.operators.together import together
+from gleanery.sources.control import checkpoint_scan
+from gleanery.sources.jsonl import CORRUPT, scan_whole
+from gleanery.sources.manifest import manifest_scan, queue_scan
 from gleanery.sources.schema import MANIFEST_SCHEMA
 from gleanery.sources.sinks import settle
 from gleanery.sources.spec import SourceSpec
@@ -399,10 +402,11 @@ def validate(
     corrupt: int = 0,
     invalid_entries: int = 0,
     site: tuple[DataFrame | None, int | None] | None = None,
+    checkpoint: int | None = None,
 ) -> DataFrame:
-    """The whole report: dataset, documents and, where asked for, site."""
+    """The whole report: dataset, documents and, where asked for, site. The total is the site's, else ``total``, else the checkpoint's."""
     live = site[1] if site else None
-    known, _ = declared_total(live, total, None)
+    known, _ = declared_total(live, total, checkpoint)
     marked = settle(marks(records, spec, page_size), "marks")
     valid = marked.where("good")
     if manifest is None:  # nothing was ever downloaded: the same as an empty manifest
@@ -414,3 +418,44 @@ def validate(
     if site:
         sections.append(lambda: site_findings(valid, site[0], live))
     return union_all(together(records.sparkSession, sections))
+
+
+def validate_files(
+    spark: SparkSession,
+    spec: SourceSpec,
+    page_size: int,
+    paths: dict[str, str],
+    probe: DataFrame | None = None,
+    total: int | None = None,
+    site: tuple[DataFrame | None, int | None] | None = None,
+) -> tuple[DataFrame, list[str]]:
+    """The report over files as a harvest leaves them (``paths``: records, manifest, queue, checkpoint, as ``default_paths`` names
+    them), and notes on what could not be read. Unreadable lines and malformed entries are counted from the scans; a broken
+    queue makes its check not evaluable, a broken resume state is a note.
+    """
+    notes: list[str] = []
+    scanned = scan_whole(spark, paths["records"], spec.schema)
+    entries, malformed = manifest_scan(spark, paths["manifest"])
+
+    def queue_or_none() -> DataFrame | None:
+        try:
+            queue = queue_scan(spark, paths["queue"])
+            queue.count()
+            return queue
+        except Exception as e:  # any line of it may be broken in any way
+            notes.append(f"queue unreadable: {str(e).splitlines()[0][:300]}")
+            return None
+
+    def total_or_none() -> int | None:
+        try:
+            state = checkpoint_scan(spark, paths["checkpoint"]).select("fuente", "total", "actualizadoEn").orderBy(F.desc("actualizadoEn")).first()
+            return state["total"] if state else None
+        except Exception as e:
+            notes.append(f"checkpoint unreadable: {str(e).splitlines()[0][:300]}")
+            return None
+
+    corrupt, invalid, queue, resumed = together(
+        spark, [lambda: scanned.where(F.col(CORRUPT).isNotNull()).count(), lambda: malformed.groupBy("id").count().agg(F.sum("count")).first()[0] or 0, queue_or_none, total_or_none]
+    )
+    records = scanned.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return validate(records, spec, page_size, entries, probe, queue, total, corrupt, invalid, site, resumed), notes

@@ -53,6 +53,15 @@ def scan_tolerant(spark: SparkSession, path: str, schema: StructType, place: boo
     return rows.select("*", _place()) if place else rows
 
 
+def scan_whole(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """As the tolerant scan, but each line is judged whole, whichever columns are asked for later."""
+    wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    if not exists(spark, path):
+        return spark.createDataFrame([], wide)
+    line = F.when(F.col("_broken"), F.col("value")).alias(CORRUPT)
+    return _parsed(spark, path, schema).select(*[F.col("_row")[f.name].alias(f.name) for f in schema.fields], line)
+
+
 def torn_tail(spark: SparkSession, path: str) -> DataFrame:
     """Per file, the bytes after its last line break (0 where the last line is whole).
 

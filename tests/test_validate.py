@@ -177,3 +177,27 @@ def test_specs(spark):
     only = SourceSpec("only", TYPED.schema, 10, TYPED.rules, TYPED.record_id, TYPED.file_name, literal_source="mine")
     bad = spark.createDataFrame([record(0)], TYPED_SCHEMA).select(only.issues()).first()[0]
     assert bad == ["fuente: expected mine"]
+
+
+def test_report_over_files(spark, tmp_path):
+    """Torn lines and malformed entries are counted, the resume state gives the total, a broken queue or state does not end the report."""
+    from gleanery.plans.validate import validate_files
+    from gleanery.sources.spec import default_paths
+
+    p = default_paths(str(tmp_path), "typed", "scrape")
+    none, notes = validate_files(spark, TYPED, 10, p)
+    got = {r["check"]: r for r in none.collect()}
+    assert notes == [] and got["dataset-vacio"]["level"] == "error" and got["cobertura"]["level"] == "no-evaluable"
+    line = '{{"fuente":"s","id":"{}","indice":{},"pagina":1,"capturadoEn":"2024-01-01T00:00:00Z","expediente":"e","administrados":["a"],"unidadFiscalizable":"u","sector":"x","resolucion":"r"}}\n'
+    (tmp_path / "typed.jsonl").write_text("".join(line.format("i" * 20 + f"{i:04d}", i) for i in (0, 1, 3)) + '{"id":"x","indice":"zz"}\n{"fuente":"s","id"')
+    (tmp_path / "typed.descargas.jsonl").write_text('{"id":"a","documentoUuid":"d","archivo":"f"}\nxx\n')
+    (tmp_path / "typed.failed.jsonl").write_text("no queue\n")
+    (tmp_path / "typed.scrape.checkpoint.json").write_text('{"fuente":"typed","tarea":"scrape","pageSize":10,"total":4,"ultimaPagina":1,"completo":false,"registros":3,"actualizadoEn":"2024-01-01T00:00:00Z"}')
+    report, notes = validate_files(spark, TYPED, 10, p)
+    got = {r["check"]: (r["level"], r["n"]) for r in report.collect()}
+    assert got["jsonl-ilegible"] == ("error", 2) and got["manifiesto-invalido"] == ("error", 2)
+    assert got["cobertura"] == ("ok", 0) and got["indices-ausentes"] == ("aviso", 1)
+    assert got["dlq-pendientes"][0] == "no-evaluable" and len(notes) == 1 and "queue" in notes[0]
+    (tmp_path / "typed.scrape.checkpoint.json").write_text('{"fuente":"","total":-1}')
+    report, notes = validate_files(spark, TYPED, 10, p)
+    assert {r["check"]: r["level"] for r in report.collect()}["cobertura"] == "no-evaluable" and any("checkpoint" in n for n in notes)

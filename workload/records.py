@@ -6,8 +6,9 @@ from gleanery.operators import findings as fnd
 from gleanery.operators.keep import first_occurrence, repeats
 from gleanery.operators.positions import missing_positions
 from gleanery.plans import downloads, drift, retry, validate
+from gleanery.sources.paths import scratch_dir
 from gleanery.sources.sinks import new_records, settle
-from gleanery.sources.spec import TYPED
+from gleanery.sources.spec import TYPED, default_paths
 from workload import sql as S
 from workload import tables as T
 from workload.registry import query
@@ -178,10 +179,19 @@ def _(spark, sf):
     return validate.download_coverage(T.manifest(spark, sf), T.records(spark, sf))
 
 
-def _plan(spark, sf, dry_run=False):
-    base = settle(T.harvest(spark, sf), "harvest")
-    noted = T.manifest(spark, sf, base).where("fuente <> 'src5'")
-    records = base.select(*T.RECORD)
+def _base(spark, sf):
+    return settle(T.harvest(spark, sf), "harvest")
+
+
+def _noted(spark, sf, base=None):
+    """The manifest, of which one source names files that nobody has."""
+    return T.manifest(spark, sf, base).withColumn("archivo", F.expr("if(fuente = 'src5', concat('lost-', archivo), archivo)"))
+
+
+def _plan(spark, sf, dry_run=False, base=None):
+    base = _base(spark, sf) if base is None else base
+    noted = _noted(spark, sf, base)
+    records = base.select(*T.NARROW)
     return downloads.download_plan(records, noted, T.probe(spark, sf, base), TYPED.file_name(), dry_run=dry_run)
 
 
@@ -190,7 +200,7 @@ def _plan_sql(dry_run):
     later = "false" if dry_run else "indice > first"
     return f"""{S.MANIFEST}, big AS (SELECT * FROM probe WHERE bytes >= 1024), named AS (SELECT r.*, b.archivo IS NOT NULL AS there FROM records r LEFT JOIN big b ON r.archivo = b.archivo WHERE r.documentoUuid <> ''),
       docinfo AS (SELECT documentoUuid AS doc, min(indice) AS first, min(CASE WHEN there THEN indice END) AS first_there FROM named GROUP BY 1),
-      noted AS (SELECT documentoUuid AS doc, archivo AS noted FROM (SELECT * FROM manifest WHERE fuente <> 'src5' QUALIFY row_number() OVER (PARTITION BY documentoUuid ORDER BY seq DESC) = 1) WHERE archivo IN (SELECT archivo FROM big)),
+      noted AS (SELECT documentoUuid AS doc, archivo AS noted FROM (SELECT * REPLACE (CASE WHEN fuente = 'src5' THEN 'lost-' || archivo ELSE archivo END AS archivo) FROM manifest QUALIFY row_number() OVER (PARTITION BY documentoUuid ORDER BY seq DESC) = 1) WHERE archivo IN (SELECT archivo FROM big)),
       planned AS (SELECT n.id, n.indice, n.fuente, n.pagina, n.documentoUuid, CASE WHEN noted IS NOT NULL OR coalesce({own}, false) THEN 'present' WHEN {later} THEN 'shared' ELSE 'pending' END AS state, coalesce(noted, n.archivo) AS archivo
         FROM named n JOIN docinfo d ON n.documentoUuid = d.doc LEFT JOIN noted o ON n.documentoUuid = o.doc
         UNION ALL SELECT id, indice, fuente, pagina, documentoUuid, 'no-document', NULL FROM records WHERE documentoUuid IS NULL)"""
@@ -219,11 +229,12 @@ def _(spark, sf):
 @query(
     "manifest_append",
     f"""WITH {_plan_sql(False)} SELECT p.id, p.indice, p.archivo, b.bytes, b.sha256 FROM
-      (SELECT * FROM planned WHERE state = 'present' QUALIFY row_number() OVER (PARTITION BY id ORDER BY indice) = 1) p JOIN probe b ON p.archivo = b.archivo WHERE p.id NOT IN (SELECT id FROM manifest WHERE fuente <> 'src5')""",
+      (SELECT * FROM planned WHERE state = 'present' QUALIFY row_number() OVER (PARTITION BY id ORDER BY indice) = 1) p JOIN probe b ON p.archivo = b.archivo WHERE p.id NOT IN (SELECT id FROM manifest)""",
 )
 def _(spark, sf):
-    noted = T.manifest(spark, sf).where("fuente <> 'src5'")
-    new = downloads.manifest_entries(_plan(spark, sf), T.probe(spark, sf), noted, F.expr("timestamp_ntz'2030-01-01 00:00:00'"))
+    base = _base(spark, sf)
+    noted = _noted(spark, sf, base)
+    new = downloads.manifest_entries(_plan(spark, sf, base=base), T.probe(spark, sf, base), noted, F.expr("timestamp_ntz'2030-01-01 00:00:00'"))
     return new.select("id", "indice", "archivo", "bytes", "sha256")
 
 
@@ -317,7 +328,7 @@ _REPORT = " UNION ALL ".join([
 def _report(spark, sf):
     base = settle(T.harvest(spark, sf), "harvest")
     manifest, probe = T.manifest(spark, sf, base), T.probe(spark, sf, base)
-    return validate.validate(base.select(*T.RECORD), TYPED, 10, manifest, probe, retry.collapse(T.queue(spark, sf)))
+    return validate.validate(T.records(spark, sf), TYPED, 10, manifest, probe, retry.collapse(T.queue(spark, sf)))
 
 
 @query("validate_report", f"WITH {_FACTS}, report AS ({_REPORT}) SELECT section, check_order, \"check\", level, n, message, array_to_string(samples, ', ') AS samples FROM report")
@@ -325,6 +336,42 @@ def _(spark, sf):
     return _report(spark, sf).drop("section_order").withColumn("samples", F.array_join("samples", ", "))
 
 
+_VALID = f"""{S.RECORDS}, lines AS (SELECT *, coalesce(toxic, 0) = 1 AS torn, coalesce(quality, 1) = 0 AS nameless FROM (SELECT * FROM records UNION ALL SELECT * FROM records WHERE n_chars % 13 = 0)),
+  valid AS (SELECT * FROM lines WHERE NOT torn AND NOT nameless), docs2 AS (SELECT documentoUuid, count(*) AS n, count(DISTINCT expediente) > 1 OR count(DISTINCT resolucion) > 1 AS mixed FROM valid WHERE documentoUuid IS NOT NULL GROUP BY 1 HAVING count(*) > 1),
+  f AS (SELECT (SELECT count(*) FROM lines WHERE torn) AS torn, (SELECT count(*) FROM lines WHERE NOT torn AND nameless) AS nameless, count(*) AS valid, count(*) - count(DISTINCT id) AS ids, count(*) - count(DISTINCT indice) AS places,
+    count(*) FILTER (pagina <> indice // 10 + 1) AS misplaced, count(DISTINCT fuente) AS sources, max(indice) + 1 - count(DISTINCT indice) AS missing, (SELECT count(*) FROM documents) + 5 AS declared, max(indice) + 1 AS bound,
+    count(*) FILTER (trim(sector) = '') AS blanks, count(*) FILTER (documentoUuid IS NOT NULL AND anioResolucion IS NULL) AS no_year, count(*) FILTER (documentoUuid IS NULL) AS no_doc, (SELECT count(*) FROM docs2) AS shared_n, (SELECT count(*) FROM docs2 WHERE mixed) AS mixed,
+    (SELECT count(*) FROM records WHERE labelled AND (doc_id % 5 = 1)) AS malformed, (SELECT count(*) FROM records WHERE labelled AND doc_id % 5 <> 1) AS entries FROM valid)"""
+_FILE_CHECKS = " UNION ALL ".join(
+    f"SELECT '{section}' AS section, {order} AS check_order, '{check}' AS \"check\", {level} AS level, CAST({n} AS BIGINT) AS n FROM f"
+    for section, order, check, level, n in [
+        ("dataset", 1, "jsonl-ilegible", _err("torn"), "torn"), ("dataset", 2, "dataset-vacio", "CASE WHEN valid > 0 THEN 'ok' ELSE 'error' END", "valid"), ("dataset", 3, "esquema", _err("nameless"), "nameless"),
+        ("dataset", 4, "id-duplicado", _err("ids"), "ids"), ("dataset", 5, "indice-duplicado", _err("places"), "places"), ("dataset", 6, "pagina-incoherente", _err("misplaced"), "misplaced"),
+        ("dataset", 7, "fuente-mezclada", "CASE WHEN sources > 1 THEN 'error' ELSE 'ok' END", "sources"), ("dataset", 8, "indices-ausentes", _err("missing", "aviso"), "missing"),
+        ("dataset", 9, "cobertura", "CASE WHEN bound = declared THEN 'ok' ELSE 'error' END", "declared - bound"), ("dataset", 10, "campos-vacios", _err("blanks"), "blanks"), ("dataset", 11, "anio-sin-parsear", _err("no_year"), "no_year"),
+        ("dataset", 12, "sin-documento", "'ok'", "no_doc"), ("dataset", 13, "documento-compartido", "'ok'", "shared_n"), ("dataset", 14, "documento-compartido-heterogeneo", _err("mixed", "aviso"), "mixed"),
+        ("documents", 1, "manifiesto-invalido", _err("malformed"), "malformed"), ("documents", 2, "manifiesto-vacio", "CASE WHEN entries > 0 THEN 'ok' ELSE 'aviso' END", "entries"),
+    ]
+)
+
+
+@query("validate_files", f"WITH {_VALID} {_FILE_CHECKS}")
+def _(spark, sf):
+    """Files with torn lines, nameless records, lines that occur twice, entries without a hash, and a total in the resume state."""
+    r = T.rich_records(spark, sf)
+    lines = r.unionByName(r.where("n_chars % 13 = 0")).withColumn("id", F.expr("if(quality = 0, '', id)"))
+    whole = F.to_json(F.struct(*T.RECORD))
+    root = scratch_dir(spark, "files")
+    paths = default_paths(root, "typed", "scrape")
+    lines.select(F.when(F.col("toxic") == 1, F.substr(whole, F.lit(1), F.length(whole) - 3)).otherwise(whole).alias("value")).write.text(paths["records"])
+    entries = T.manifest(spark, sf).drop("seq").withColumn("sha256", F.expr("if(indice % 5 = 1, null, sha256)"))
+    entries.write.json(paths["manifest"])
+    state = spark.range(1).select(F.lit("typed").alias("fuente"), F.lit("scrape").alias("tarea"), F.lit(10).alias("pageSize"), F.lit(T.table(spark, sf, "documents").count() + 5).alias("total"), F.lit(1).alias("ultimaPagina"), F.lit(False).alias("completo"), F.lit(1).alias("registros"), F.lit("2024-01-01T00:00:00.000Z").alias("actualizadoEn"))
+    state.write.json(paths["checkpoint"])
+    report, _ = validate.validate_files(spark, TYPED, 10, paths)
+    return report.where("section = 'dataset' or check_order <= 2").select("section", "check_order", "check", "level", "n")
+
+
 @query("level_counts", f"WITH {_FACTS}, report AS ({_REPORT}) SELECT count(*) FILTER (level = 'error') AS errors, count(*) FILTER (level = 'aviso') AS warnings, count(*) FILTER (level = 'ok') AS ok, count(*) FILTER (level = 'no-evaluable') AS not_evaluable, count(*) FILTER (level = 'error') > 0 AS failed FROM report")
 def _(spark, sf):
     return fnd.levels(_report(spark, sf))
