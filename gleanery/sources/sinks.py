@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gleanery.operators.keep import first_occurrence
-from gleanery.sources.paths import children, exists, scratch_dir
+from gleanery.sources.paths import children, exists, file_system, scratch_dir
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -63,6 +63,18 @@ def replace_table(rows: DataFrame, path: str) -> str:
     return version
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a table or state of ours, if it is there."""
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)
+
+
+def drop_versions(spark: SparkSession, path: str, keep: int) -> None:
+    """Delete all but the newest ``keep`` whole versions of a table."""
+    for name in _versions(spark, path)[:-keep]:
+        drop(spark, f"{path}/{name}")
+
+
 def write_checkpoint(spark: SparkSession, path: str, state: DataFrame) -> str:
     """Replace the resume state. To be called after the data was written, never before."""
     return replace_table(state, path)

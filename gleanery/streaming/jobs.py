@@ -6,13 +6,14 @@ on from its checkpoint location. Sinks are written batch by batch and stand a re
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from gleanery.operators.keep import PLACE, latest
-from gleanery.sources.sinks import append_new_records, read_current, replace_table
+from gleanery.sources.sinks import append_new_records, drop, drop_versions, read_current, read_table, replace_table
 
 
 def arriving(spark: SparkSession, folder: str, schema: StructType, fmt: str = "json", files_per_batch: int | None = None, place_of_lines: bool = False) -> DataFrame:
@@ -51,15 +52,31 @@ def dedup_stream(rows: DataFrame, delay: str | None = None, event_time: str = "c
 
 
 def queue_stream(entries: DataFrame, queue_path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the latest entry per id: each batch is merged into a new version of the queue."""
+    """Add the latest entry per id of each batch as a change; the queue is the latest over all changes.
 
-    def merge(batch: DataFrame, _: int) -> None:
+    A batch writes what it brings and no more, under its own number, so a repeated batch replaces itself.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
         if PLACE in batch.columns:  # rows of a split come in order; a stream can't number them, a batch can
             batch = batch.withColumn(PLACE, F.col(PLACE).withField("row", F.monotonically_increasing_id()))
-        current = read_current(batch.sparkSession, queue_path, batch.schema)
-        replace_table(latest(current.unionByName(batch), "id"), queue_path)
+        latest(batch, "id").write.mode("overwrite").parquet(f"{queue_path}/changes/batch={number}")
+
+    return entries.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def queue_now(spark: SparkSession, queue_path: str, schema: StructType) -> DataFrame:
+    """The queue as it stands: the last version of :func:`compact_queue` and the changes since, latest entry per id."""
+    base = read_current(spark, f"{queue_path}/base", schema)
+    changes = read_table(spark, f"{queue_path}/changes", schema).select(*schema.names)
+    return latest(base.unionByName(changes), "id")
 
-    return entries.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+def compact_queue(spark: SparkSession, queue_path: str, schema: StructType) -> None:
+    """Fold the changes into a new version of the base, and let go of what it replaces. To run between two runs of the stream."""
+    replace_table(queue_now(spark, queue_path, schema), f"{queue_path}/base")
+    drop_versions(spark, f"{queue_path}/base", keep=1)
+    drop(spark, f"{queue_path}/changes")
 
 
 def health(log: DataFrame, width: str = "1 hour", delay: str = "1 hour") -> DataFrame:
@@ -73,10 +90,22 @@ def health(log: DataFrame, width: str = "1 hour", delay: str = "1 hour") -> Data
     ).select("w.start", "w.end", "requests", "ok", "throttled", F.get("latency_approx", F.lit(0)).alias("p50_approx"), F.get("latency_approx", F.lit(1)).alias("p95_approx"))
 
 
-def replace_stream(totals: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the whole current result of a streaming aggregation as a table."""
+def finished_stream(totals: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append the windows of a streaming aggregation that the watermark has closed; their state is let go."""
+    return totals.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
 
-    def write(batch: DataFrame, _: int) -> None:
-        replace_table(batch, path)
 
-    return totals.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def ingest_or_restart(rows: DataFrame, records_path: str, checkpoint: str, expected_total: int, total: str) -> bool:
+    """Resume an ingest; if the site declares another total, drop the resume state and read from the start. True if it started over.
+
+    Records that are stored already stay: reading them again appends nothing.
+    """
+    try:
+        ingest_stream(rows, records_path, checkpoint, expected_total, total).awaitTermination()
+        return False
+    except StreamingQueryException as e:
+        if TotalChanged.__name__ not in str(e):
+            raise
+    drop(rows.sparkSession, checkpoint)
+    ingest_stream(rows, records_path, checkpoint).awaitTermination()
+    return True

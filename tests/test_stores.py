@@ -224,8 +224,29 @@ def test_stream_queue_keeps_the_latest(spark, tmp_path):
         row = [(seq, "a", "pdf", "network", tries, T0, "", {}), (seq + 10, f"b{seq}", "pdf", "network", 1, T0, "", {})]
         spark.createDataFrame(row, QUEUE_SCHEMA).write.mode("append").json(src)
         jobs.queue_stream(jobs.arriving(spark, src, QUEUE_SCHEMA), q, cp).awaitTermination()
-    got = {r["id"]: r["intentos"] for r in sinks.read_current(spark, q, QUEUE_SCHEMA).collect()}
+        if seq == 2:
+            jobs.compact_queue(spark, q, QUEUE_SCHEMA)
+    got = {r["id"]: r["intentos"] for r in jobs.queue_now(spark, q, QUEUE_SCHEMA).collect()}
     assert got == {"a": 3, "b1": 1, "b2": 1, "b3": 1}
+    jobs.compact_queue(spark, q, QUEUE_SCHEMA)
+    assert len(paths.children(spark, f"{q}/base")) == 1 and not paths.exists(spark, f"{q}/changes")
+    assert {r["id"]: r["intentos"] for r in jobs.queue_now(spark, q, QUEUE_SCHEMA).collect()} == got
+
+
+def test_queue_stream_by_place(spark, tmp_path):
+    """Entries without a number: later files and lines win."""
+    src, q, cp = tmp_path / "in", str(tmp_path / "q"), str(tmp_path / "cp")
+    src.mkdir()
+    schema = QUEUE_SCHEMA.fields
+    from pyspark.sql.types import StructType
+
+    bare = StructType([f for f in schema if f.name != "seq"])
+    for name, tries in (("z", (1, 2)), ("a", (3, 4))):
+        (src / f"{name}.json").write_text("".join(f'{{"id":"k","tipo":"pdf","error":"network","intentos":{t},"ultimoTs":"2024-01-01T00:00:00Z"}}\n' for t in tries))
+        rows = jobs.arriving(spark, str(src), bare, place_of_lines=True)
+        jobs.queue_stream(rows, q, cp).awaitTermination()
+    wide = spark.read.parquet(f"{q}/changes/batch=0").schema
+    assert [r["intentos"] for r in jobs.queue_now(spark, q, wide).collect()] == [4]
 
 
 def test_stream_health(spark, tmp_path):
@@ -233,6 +254,11 @@ def test_stream_health(spark, tmp_path):
     data = [(T0 + dt.timedelta(minutes=20 * i), "throttled" if i % 3 == 0 else "ok", float(i)) for i in range(9)]
     spark.createDataFrame(data, log).write.parquet(src)
     hourly = jobs.health(jobs.arriving(spark, src, spark.createDataFrame([], log).schema, "parquet"))
-    jobs.replace_stream(hourly, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    got = sinks.read_current(spark, str(tmp_path / "out"), hourly.schema).orderBy("start").collect()
+    jobs.finished_stream(hourly, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    got = sinks.read_table(spark, str(tmp_path / "out"), hourly.schema).orderBy("start").collect()
+    assert [(r["requests"], r["ok"], r["throttled"], r["p50_approx"]) for r in got] == [(3, 2, 1, 1.0)]  # the next hours are not past by an hour
+    more = [(T0 + dt.timedelta(hours=5), "ok", 1.0)]
+    spark.createDataFrame(more, log).write.mode("append").parquet(src)
+    jobs.finished_stream(hourly, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    got = sinks.read_table(spark, str(tmp_path / "out"), hourly.schema).orderBy("start").collect()
     assert [(r["requests"], r["ok"], r["throttled"], r["p50_approx"]) for r in got] == [(3, 2, 1, 1.0), (3, 2, 1, 4.0), (3, 2, 1, 7.0)]

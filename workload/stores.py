@@ -1,6 +1,7 @@
 """Scans, sinks and streams: tables are written to shared scratch space and read back."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from gleanery.plans import ingest, retry
 from gleanery.sources import control, files, jsonl, manifest, sinks
@@ -42,11 +43,23 @@ def _(spark, sf):
     return lines.select(F.when(F.col(jsonl.CORRUPT).isNull(), F.col("indice")).alias("indice"), F.col(jsonl.CORRUPT).isNotNull().alias("broken"))
 
 
-@query("torn_tail", f"WITH {S.RECORDS} SELECT CAST(0 AS BIGINT) AS torn_bytes, count(*) AS lines FROM records")
+def _cut_files(spark, sf):
+    """Records as JSON lines in files that end within a line: what begins each further line also stands at the end, as a separator."""
+    r = T.rich_records(spark, sf)
+    line = F.to_json(F.struct("fuente", "id", "indice", "pagina"))
+    path = scratch_dir(spark, "lines")
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    head = '{"fue'
+    r.select(F.when(first, line).otherwise(F.substr(line, F.lit(len(head) + 1))).alias("value")).write.option("lineSep", "\n" + head).text(path)
+    return path
+
+
+@query("torn_tail", f"WITH {S.RECORDS} SELECT CAST(5 AS BIGINT) AS least, CAST(5 AS BIGINT) AS most, count(*) AS whole_lines FROM records")
 def _(spark, sf):
-    path = _torn_lines(spark, sf)
-    torn = jsonl.torn_tail(spark, path).agg(F.sum("torn_bytes").alias("torn_bytes"))
-    return torn.withColumn("lines", F.lit(spark.read.text(path).count()))
+    path = _cut_files(spark, sf)
+    torn = jsonl.torn_tail(spark, path)
+    lines = spark.read.text(path).count()
+    return torn.agg(F.min("torn_bytes").alias("least"), F.max("torn_bytes").alias("most"), (F.lit(lines) - F.count("*")).alias("whole_lines"))
 
 
 @query("quarantine", f"WITH {S.RECORDS}, b AS (SELECT '{{\"fuente\":\"' || fuente || '\",\"id\":\"' || id || '\",\"indice\":' || indice || ',\"pagina\":' || pagina || '}}' AS l FROM records WHERE toxic = 1) SELECT substr(l, 1, length(l) - 3) AS line, count(*) AS n FROM b GROUP BY 1")
@@ -57,8 +70,7 @@ def _(spark, sf):
 
 @query("key_index", f"WITH {S.RECORDS} SELECT DISTINCT id FROM records")
 def _(spark, sf):
-    path = _as_json(T.records(spark, sf), "records")
-    return jsonl.key_index(jsonl.scan_strict(spark, path, TYPED.schema))
+    return jsonl.key_index_of(spark, _cut_files(spark, sf), sch.schema(**sch.BASE))
 
 
 @query(
@@ -139,11 +151,12 @@ def _(spark, sf):
     return sinks.read_current(spark, path, q.schema).select("id", "intentos")
 
 
-@query("dlq_append", f"WITH {S.QUEUE} SELECT id, seq, error FROM queue WHERE tipo = 'pdf'")
+@query("dlq_append", f"WITH {S.QUEUE} SELECT id, seq, error FROM queue")
 def _(spark, sf):
     q, path = T.queue(spark, sf), scratch_dir(spark, "queue")
     sinks.append_if_any(q.where("tipo = 'none'"), path)
     sinks.append_if_any(q.where("tipo = 'pdf'"), path)
+    sinks.append_if_any(q.where("tipo <> 'pdf'"), path)
     return sinks.read_table(spark, path, q.schema).select("id", "seq", "error")
 
 
@@ -163,7 +176,7 @@ def _(spark, sf):
 def _(spark, sf):
     r, root = T.records(spark, sf), scratch_dir(spark, "stream")
     r.write.json(f"{root}/in")
-    stream = jobs.arriving(spark, f"{root}/in", TYPED.schema)
+    stream = jobs.arriving(spark, f"{root}/in", TYPED.schema, files_per_batch=2)
     jobs.ingest_stream(stream, f"{root}/records", f"{root}/checkpoint").awaitTermination()
     return sinks.read_table(spark, f"{root}/records", TYPED.schema).select("id")
 
@@ -171,8 +184,8 @@ def _(spark, sf):
 @query("stream_dedup", f"WITH {S.RECORDS} SELECT DISTINCT id FROM records")
 def _(spark, sf):
     r, root = T.records(spark, sf), scratch_dir(spark, "stream")
-    r.write.json(f"{root}/in")
-    first = jobs.dedup_stream(jobs.arriving(spark, f"{root}/in", TYPED.schema).select("id"))
+    r.repartition(4, "indice").write.json(f"{root}/in")
+    first = jobs.dedup_stream(jobs.arriving(spark, f"{root}/in", TYPED.schema, files_per_batch=2).select("id", "capturadoEn"), delay="400 days").select("id")
     first.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(f"{root}/out").awaitTermination()
     return sinks.read_table(spark, f"{root}/out", first.schema)
 
@@ -180,20 +193,42 @@ def _(spark, sf):
 @query("stream_dlq_latest", f"WITH {S.QUEUE} SELECT id, seq, intentos FROM latest")
 def _(spark, sf):
     q, root = T.queue(spark, sf), scratch_dir(spark, "stream")
-    q.write.json(f"{root}/in")
-    stream = jobs.arriving(spark, f"{root}/in", sch.QUEUE_SCHEMA)
-    jobs.queue_stream(stream, f"{root}/queue", f"{root}/checkpoint").awaitTermination()
-    return sinks.read_current(spark, f"{root}/queue", sch.QUEUE_SCHEMA).select("id", "seq", "intentos")
+    for part in (q.where("hour(ultimoTs) < 12"), q.where("hour(ultimoTs) >= 12")):
+        part.write.mode("append").json(f"{root}/in")
+        jobs.queue_stream(jobs.arriving(spark, f"{root}/in", sch.QUEUE_SCHEMA), f"{root}/queue", f"{root}/checkpoint").awaitTermination()
+        jobs.compact_queue(spark, f"{root}/queue", sch.QUEUE_SCHEMA)
+    return jobs.queue_now(spark, f"{root}/queue", sch.QUEUE_SCHEMA).select("id", "seq", "intentos")
 
 
-@query("stream_health", f"WITH {S.LOG} SELECT date_trunc('hour', ts) AS start, count(*) AS requests, count(*) FILTER (kind = 'ok') AS ok, count(*) FILTER (kind = 'throttled') AS throttled FROM classified GROUP BY 1")
+@query(
+    "stream_health",
+    f"""WITH {S.LOG} SELECT date_trunc('hour', ts) AS start, count(*) AS requests, count(*) FILTER (kind = 'ok') AS ok, count(*) FILTER (kind = 'throttled') AS throttled
+      FROM classified WHERE date_trunc('hour', ts) + INTERVAL 2 HOUR <= (SELECT date_trunc('millisecond', max(ts)) FROM events) GROUP BY 1""",
+)
 def _(spark, sf):
+    """The log arrives in two parts; an hour is written once it is past by an hour."""
     from gleanery.plans.requestlog import classify
 
     log, root = classify(T.log(spark, sf)).select("ts", "outcome", "latency_ms"), scratch_dir(spark, "stream")
-    log.withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(f"{root}/in")
+    log = log.withColumn("ts", F.col("ts").cast("timestamp"))
+    middle = log.agg(F.expr("timestamp_micros(cast((unix_micros(min(ts)) + unix_micros(max(ts))) / 2 as bigint))")).first()[0]
     schema = sch.schema(ts=sch.TIME, outcome=sch.TEXT, latency_ms=log.schema["latency_ms"].dataType)
-    hourly = jobs.health(jobs.arriving(spark, f"{root}/in", schema, "parquet"))
-    jobs.replace_stream(hourly, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    out = sinks.read_current(spark, f"{root}/out", hourly.schema)
+    for part in (log.where(F.col("ts") < F.lit(middle)), log.where(F.col("ts") >= F.lit(middle))):
+        part.write.mode("append").parquet(f"{root}/in")
+        hourly = jobs.health(jobs.arriving(spark, f"{root}/in", schema, "parquet"))
+        jobs.finished_stream(hourly, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    out = sinks.read_table(spark, f"{root}/out", hourly.schema)
     return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "requests", "ok", "throttled")
+
+
+@query("stream_restart", f"WITH {S.RECORDS} SELECT DISTINCT id, true AS started_over FROM records")
+def _(spark, sf):
+    """A run is cut short, the site then declares another total: the state is dropped, all is read again, nothing is stored twice."""
+    r, root = T.records(spark, sf), scratch_dir(spark, "stream")
+    wide = StructType([*TYPED.schema.fields, StructField("total", LongType())])
+    r.where("pagina % 2 = 0").withColumn("total", F.lit(10).cast("bigint")).write.json(f"{root}/in")
+    rows = jobs.arriving(spark, f"{root}/in", wide)
+    first = jobs.ingest_or_restart(rows, f"{root}/records", f"{root}/checkpoint", 10, "total")
+    r.where("pagina % 2 = 1").withColumn("total", F.lit(11).cast("bigint")).write.mode("append").json(f"{root}/in")
+    second = jobs.ingest_or_restart(rows, f"{root}/records", f"{root}/checkpoint", 10, "total")
+    return sinks.read_table(spark, f"{root}/records", TYPED.schema).select("id", F.lit(second and not first).alias("started_over"))
