@@ -155,6 +155,17 @@ def form_fields(parsed: DataFrame) -> DataFrame:
 def labelled_control(parsed: DataFrame, label_pattern: str) -> DataFrame:
     """Per page, the first control whose label matches and whose command can be read."""
     keep = [c for c in parsed.columns if c not in PARTS]
+    first = _first_control(label_pattern)
+    return parsed.select(*keep, first["label"].alias("label"), first["command"].alias("command"))
+
+
+def labelled_commands(parsed: DataFrame, patterns: dict[str, str]) -> DataFrame:
+    """Per page, the command of the first control for each label pattern, in a column of the name given; pages are read once."""
+    keep = [c for c in parsed.columns if c not in PARTS]
+    return parsed.select(*keep, *[_first_control(p)["command"].alias(name) for name, p in patterns.items()])
+
+
+def _first_control(label_pattern: str) -> Column:
     fitting = F.filter(
         F.transform(
             F.filter("controls", lambda c: c["onclick"].isNotNull() & c["label"].rlike(label_pattern)),
@@ -162,8 +173,7 @@ def labelled_control(parsed: DataFrame, label_pattern: str) -> DataFrame:
         ),
         lambda c: c["command"].isNotNull(),
     )
-    first = F.get(fitting, F.lit(0))
-    return parsed.select(*keep, first["label"].alias("label"), first["command"].alias("command"))
+    return F.get(fitting, F.lit(0))
 
 
 # Fixed patterns: labels of the search control and of the next-page control.

@@ -32,16 +32,18 @@ def classify(log: DataFrame) -> DataFrame:
     )
 
 
-def run_metrics(classified: DataFrame, keys: list[str]) -> DataFrame:
-    """Requests, good ones, throttled, failed, retries and the throttling rate (0 without requests)."""
-    requests = F.count(F.lit(1))
-    throttled = F.count_if(F.col("outcome") == "throttled")
-    return classified.groupBy(*keys).agg(
-        requests.alias("requests"),
-        F.count_if(F.col("outcome") == "ok").alias("ok"),
-        throttled.alias("throttled"),
+def run_metrics(classified: DataFrame, keys: list[str], request: list[str]) -> DataFrame:
+    """Requests, good ones, throttled, failed, retries and the throttling rate (0 without requests).
+
+    All tries of a logical request but its first are retries, so nothing has to be put in order: tries are counted by request.
+    """
+    tries = classified.groupBy(*dict.fromkeys([*keys, *request])).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("outcome") == "ok").alias("ok"), F.count_if(F.col("outcome") == "throttled").alias("throttled"),
         F.count_if(~F.col("outcome").isin("ok", "throttled")).alias("failed"),
-        F.count_if(F.col("attempt") > 1).alias("retries"),
+    )
+    throttled, requests = F.sum("throttled"), F.sum("n")
+    return tries.groupBy(*keys).agg(
+        requests.alias("requests"), F.sum("ok").alias("ok"), throttled.alias("throttled"), F.sum("failed").alias("failed"), F.sum(F.col("n") - 1).alias("retries"),
         F.coalesce(F.try_divide(throttled, requests), F.lit(0.0)).alias("throttle_rate"),
     )
 

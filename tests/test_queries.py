@@ -1,15 +1,13 @@
-"""Registered queries against DuckDB. A selection by default; HARVEST_ALL_QUERIES=1 runs them all."""
-
-import os
+"""Every registered query of the harvest tables against DuckDB. Those of the training-data operators are tested in tests/llm."""
 
 import pytest
 
 import __spark_entry__ as entry
 from workload.check import compare, duck
+from workload.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
-SOME = ["record_id", "slug", "validate_report", "download_plan", "drift_findings", "invalid_streak", "latency_percentile", "dlq_reconcile", "extract_rows_index", "partial_xml_scan"]
-KEYS = list(entry.queries()) if os.environ.get("HARVEST_ALL_QUERIES") else SOME
+KEYS = list(QUERIES)
 
 
 @pytest.fixture(scope="module")

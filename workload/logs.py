@@ -16,7 +16,18 @@ from workload.registry import query
       count(*) FILTER (kind = 'throttled') / count(*) AS throttle_rate FROM classified GROUP BY session""",
 )
 def _(spark, sf):
-    return requestlog.run_metrics(T.classified(spark, sf), ["session"])
+    return requestlog.run_metrics(requestlog.classify(T.log(spark, sf)), ["session"], ["session", "request"])
+
+
+@query(
+    "download_drift",
+    f"""WITH {S.LOG}, d AS (SELECT session, ts, event_id, CASE WHEN k >= 40 THEN 'ok' WHEN k < 25 THEN 'invalid' ELSE 'failed' END AS result FROM log),
+      g AS (SELECT *, sum(CASE WHEN result = 'ok' THEN 1 ELSE 0 END) OVER (PARTITION BY session ORDER BY ts, event_id) AS grp FROM d),
+      s AS (SELECT *, sum(CASE WHEN result = 'invalid' THEN 1 ELSE 0 END) OVER (PARTITION BY session, grp ORDER BY ts, event_id) AS streak FROM g)
+      SELECT session, 'descarga-no-pdf' AS kind, 'error' AS level, event_id, CAST(streak AS BIGINT) AS n FROM s WHERE result = 'invalid' AND streak >= 3 QUALIFY row_number() OVER (PARTITION BY session ORDER BY ts, event_id) = 1""",
+)
+def _(spark, sf):
+    return requestlog.download_findings(requestlog.invalid_streak(T.downloads(spark, sf), "session", "result"), "session")
 
 
 def _percentile_sql(keys: str, p: float) -> str:

@@ -202,9 +202,7 @@ def _(spark, sf):
 @query("discovery_signs", "SELECT c_custkey AS page_id, CASE WHEN c_mktsegment = 'BUILDING' THEN 'busqueda-no-descubierta' ELSE 'paginacion-no-descubierta' END AS kind FROM customer WHERE c_mktsegment = 'BUILDING' OR c_acctbal > 0")
 def _(spark, sf):
     p = extract.page_parts(T.form_pages(spark, sf).drop("url"), "body", ["controls"])
-    search = extract.labelled_control(p, extract.SEARCH_LABEL).select("page_id", F.col("command").alias("search"))
-    with_next = extract.labelled_control(p, extract.NEXT_LABEL).select("page_id", F.col("command").alias("next"))
-    both = search.join(with_next, "page_id").join(T.table(spark, sf, "customer").select(F.col("c_custkey").alias("page_id"), "c_acctbal"), "page_id")
+    both = extract.labelled_commands(p, {"search": extract.SEARCH_LABEL, "next": extract.NEXT_LABEL}).join(T.table(spark, sf, "customer").select(F.col("c_custkey").alias("page_id"), "c_acctbal"), "page_id")
     signs = drift.discovery_signs(both.select("page_id", F.lit(True).alias("needs_search"), (F.col("c_acctbal") > 0).alias("needs_next"), "search", "next"))
     return signs.select("page_id", "kind")
 
