@@ -21,7 +21,7 @@ CLASSES = {
     "host-unreachable": (True, True, 1, 0),
     "circuit-open": (True, False, 4, 1000),
 }
-BACKOFF_CAP_MS, RETRY_AFTER_CAP_MS = 60_000, 120_000
+BACKOFF_CAP_MS = 60_000
 
 # What a downloaded document must look like.
 PDF_MAGIC, MIN_FILE_BYTES = b"%PDF-", 1024
