@@ -171,17 +171,6 @@ def ramp(counts: np.ndarray) -> np.ndarray:
     return np.arange(n) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def occurrence(values: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """How many equal values the same owner has before each one."""
-    order = np.lexsort((values, owner))
-    v, o = values[order], owner[order]
-    new = np.concatenate([[True], (v[1:] != v[:-1]) | (o[1:] != o[:-1])]) if len(v) else np.zeros(0, bool)
-    start = np.flatnonzero(new)
-    out = np.empty(len(v), np.int64)
-    out[order] = np.arange(len(v)) - np.repeat(start, np.diff(np.concatenate([start, [len(v)]])))
-    return out
-
-
 def group_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Sums of consecutive groups (0 for an empty one)."""
     total = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])

@@ -10,11 +10,12 @@ equals the similarity. If a coordinate stays empty, the limit is doubled.
 
 Steps: (1) texts with equal weighted sets are one class from the start, told by a 128-bit sum and the number of shingles. (2) Each
 distinct text is filed under ``BANDS`` bands of ``ROWS`` coordinates (a pair of similarity 0.8 is missed with a chance of 2e-5).
-(3) In a bucket every text is compared with the bucket's first one, a star instead of all pairs. (4) Texts of a bucket that
-this leaves in other classes than the first one are compared with the bucket's members outside their own class; bits of both
-signatures, compared inside the join, let only those pairs through that may reach the threshold (a true pair is held back with a
-chance of 3e-5). So a group of copies costs one comparison each, and no link that a bucket shows is lost. (5) All compared
-pairs are verified on the whole texts; components of the links are the classes.
+(3) In a bucket every text is compared with the bucket's first one, a star instead of all pairs. (4) In buckets that still hold
+several classes, texts outside the main class are compared with four of its members: a text that is linked to some of a group
+meets one of those in one of its buckets. (5) What is then left outside the main class of a bucket, texts with few links or none, is compared with the bucket's
+members outside its own class; bits of both signatures, compared inside the join, let only those pairs through that may reach the
+threshold (a true pair is held back with a chance of 3e-5). So a group of copies costs a few comparisons each, and no link that a
+bucket shows is lost. All compared pairs are verified on the whole texts; components of the links are the classes.
 
 Null, empty and word-free texts have no shingles: each row is a class of its own. Texts of one to four words are one shingle.
 Rows with the same id are one document. Rows without an id are left out of the classes (and kept by ``keep_one``).
@@ -23,10 +24,11 @@ Rows with the same id are one document. Rows without an id are left out of the c
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanery.llm import common as C
@@ -37,6 +39,7 @@ BANDS = 60
 ROWS = 8
 WIDTH = BANDS * ROWS
 SKETCH = -(-WIDTH // 64)
+STARS, TESTS = 4, 64  # further stars in a bucket of several classes, and tests of a text against a class; what they leave is compared in full
 # Agreeing bits that a pair of the least similarity has, less four standard deviations (a bit agrees by chance in half of the rest).
 LEAST_BITS = math.floor(WIDTH * (1 + SIMILAR) / 2 - 4 * math.sqrt(WIDTH * (1 + SIMILAR) * (1 - SIMILAR) / 4))
 POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(12)])
@@ -171,33 +174,50 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     filed = texts.select("doc_id", F.explode("bands").alias("bucket"))
     shared = filed.groupBy("bucket").agg(F.min("doc_id").alias("head"), F.count("*").alias("size")).filter("size > 1").select("bucket", "head")
     filed = C.settle(filed.join(shared, "bucket"))
-    stars = C.settle(filed.filter("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct())
-    links = C.settle(verified(stars, docs, similar))
-    root = components(links)
-
-    filed = (
-        filed.join(root.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").withColumn("class", F.coalesce("root", "doc_id")).drop("root")
-        .join(root.select(F.col("node").alias("head"), "root"), "head", "left").withColumn("head_class", F.coalesce("root", "head")).drop("root")
-    )
-    filed = C.settle(filed)
-    apart = filed.filter(F.col("class") != F.col("head_class"))
-    if not apart.isEmpty():
-        sketch = signed.select("doc_id", "sketch")
-        mixed = filed.join(apart.select("bucket").distinct(), "bucket", "left_semi").join(sketch, "doc_id").select("bucket", "doc_id", "class", "head_class", "sketch")
-        mixed = C.settle(mixed)
-        x = mixed.filter(F.col("class") != F.col("head_class")).select("bucket", F.col("doc_id").alias("b"), F.col("class").alias("class_b"), F.col("sketch").alias("sketch_b"))
-        y = mixed.select("bucket", F.col("doc_id").alias("a"), F.col("class").alias("class_a"), F.col("sketch").alias("sketch_a"))
-        differing = sum((F.bit_count(F.element_at("sketch_a", i + 1).bitwiseXOR(F.element_at("sketch_b", i + 1))) for i in range(SKETCH)), F.lit(0))
-        pairs = (
-            y.join(x, (y["bucket"] == x["bucket"]) & (F.col("class_a") != F.col("class_b")) & (differing <= WIDTH - LEAST_BITS))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-        )
-        more = C.settle(verified(pairs, docs, similar))
+    pool = C.settle(docs.join(filed.select("doc_id").distinct(), "doc_id", "left_semi"))
+    tried = C.settle(filed.filter("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct())
+    root = components(C.settle(verified(tried, pool, similar)))
+    filed = filed.select("bucket", "doc_id")
+    for last in (False, True):
+        placed = filed.join(root.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("root", "doc_id").alias("class"))
+        placed = C.settle(placed)
+        heads = placed.groupBy("bucket").agg(
+            F.mode("class", True).alias("main"), F.min("class").alias("low"), F.max("class").alias("high")
+        )
+        mixed = C.settle(placed.join(heads.filter("low < high").select("bucket", "main"), "bucket"))
+        if mixed.isEmpty():
+            break
+        if not last:
+            pairs = _stars(mixed)
+        else:
+            pairs = _across(mixed.join(signed.select("doc_id", "sketch").dropDuplicates(["doc_id"]), "doc_id"))
+        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        pairs = C.settle(pairs.join(tried, ["a", "b"], "left_anti"))
+        more = C.settle(verified(pairs, pool, similar))
         if not more.isEmpty():
             root = components(root.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(more))
+        tried, filed = tried.unionAll(pairs), mixed.select("bucket", "doc_id")
     return rows.join(root.withColumnRenamed("node", "text_id"), "text_id", "left").select("doc_id", "n_shingles", "text_id", F.coalesce("root", "text_id").alias("class_id"))
 
 
+def _stars(mixed: DataFrame) -> DataFrame:
+    """Pairs x, y of a bucket's texts outside its main class with some within: for a text and a class up to TESTS of those it meets."""
+    heads = mixed.filter(F.col("class") == F.col("main")).groupBy("bucket").agg(*[F.min_by("doc_id", F.xxhash64("doc_id", F.lit(i))).alias(f"x{i}") for i in range(STARS)])
+    meets = mixed.filter(F.col("class") != F.col("main")).join(heads, "bucket")
+    met = reduce(DataFrame.unionAll, [meets.select(F.col(f"x{i}").alias("x"), F.col("doc_id").alias("y"), "main") for i in range(STARS)]).distinct()
+    order = Window.partitionBy("y", "main").orderBy(F.xxhash64("x"), "x")
+    return met.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= TESTS).select("x", "y")
+
+
+def _across(mixed: DataFrame) -> DataFrame:
+    """Pairs x, y of a bucket in different classes, one of them outside the bucket's main class, whose sketches allow the threshold."""
+    mixed = C.settle(mixed)
+    x = mixed.filter(F.col("class") != F.col("main")).select(F.col("bucket").alias("bucket_x"), F.col("doc_id").alias("x"), F.col("class").alias("class_x"), F.col("sketch").alias("sketch_x"))
+    y = mixed.select("bucket", F.col("doc_id").alias("y"), "class", "sketch")
+    differing = sum((F.bit_count(F.element_at("sketch", i + 1).bitwiseXOR(F.element_at("sketch_x", i + 1))) for i in range(SKETCH)), F.lit(0))
+    return y.join(x, (F.col("bucket") == F.col("bucket_x")) & (F.col("class") != F.col("class_x")) & (differing <= WIDTH - LEAST_BITS)).select("x", "y")
+
+
 def keep_one(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """docs with one row for each class: the one of the least id. Rows without an id stay."""
     gone = C.settle(classes(docs, similar).filter("doc_id <> class_id").select("doc_id"))

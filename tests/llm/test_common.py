@@ -31,7 +31,6 @@ def test_hashes_do_not_depend_on_the_block():
 def test_helpers():
     assert C.ramp(np.array([2, 0, 3])).tolist() == [0, 1, 0, 1, 2]
     assert C.group_sums(np.array([1.0, 2, 3]), np.array([1, 0, 2])).tolist() == [1, 0, 5]
-    assert C.occurrence(np.array([5, 5, 7, 5]), np.array([0, 0, 0, 1])).tolist() == [0, 1, 0, 0]
 
 
 def test_next_row_over_ranges(spark):
