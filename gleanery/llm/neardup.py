@@ -126,12 +126,13 @@ def _sign(texts: list[str], part: pa.RecordBatch) -> dict:
     }
 
 
-def _chunks(elements, weights, counts, most: int = 64):
-    """A few sets at a time: each throws thousands of darts."""
+def _chunks(elements, weights, counts, cells: int = 150_000):
+    """A few sets at a time: a set throws about as many darts as its weight and the limit ask for."""
     ends = np.concatenate([[0], np.cumsum(counts)])
-    for i in range(0, len(counts), most):
-        a, b = ends[i], ends[min(i + most, len(counts))]
-        yield elements[a:b], weights[a:b], counts[i : i + most]
+    cost = np.cumsum(C.group_sums(weights, counts) + WIDTH * (math.log(WIDTH) + 2)) // cells
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(cost) > 0])) if len(counts) else np.zeros(0, np.int64)
+    for i, j in zip(starts, np.append(starts[1:], len(counts)), strict=True):
+        yield elements[ends[i] : ends[j]], weights[ends[i] : ends[j]], counts[i:j]
 
 
 def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
