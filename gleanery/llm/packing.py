@@ -25,7 +25,7 @@ from gleanery.llm import common as C
 
 WINDOW = 2048
 END_ID = 1
-KEPT_CHUNKS = 300_000  # chunks whose ids a worker remembers; it starts over beyond that
+KEPT_CHUNKS = 500_000  # chunks whose ids a worker remembers; it starts over beyond that
 TOGETHER = 20  # new chunks that are tokenized in one call
 # A space before white space is no safe place to cut: such texts are tokenized whole.
 UNSAFE = r" [\s\v\x1c-\x1f\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
