@@ -1,11 +1,11 @@
 """License scans: fixed phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line of at most ``BLOCK`` words; a longer line is cut into such blocks, each starting half a block after the one
-before, so that a notice of half a block lies whole in one. A block meets a template if it holds at least ``CONTAINED`` of the
-template's distinct words. The join is exact: words are ordered by how many places they have in the corpus, rarest first (a
-pass over all documents counts them); if a block meets a template, it holds one of the first ``|T| - need + 1`` words of
-the template (prefix filter), it has ``need`` distinct words at least (length filter), and from the position of its first such
-word enough words must follow to reach ``need`` (positional filter). What passes is counted word by word.
+A block is ``BLOCK`` words of the whole text, whatever lines they stand on, each starting half a block after the one before, so
+that a notice of half a block lies whole in one; lines of more than half a block are cut into such blocks of their own besides.
+A block meets a template if it holds at least ``CONTAINED`` of the template's distinct words. The join is exact: words are
+ordered by how many places they have in the corpus, rarest first (a pass over all documents counts them); if a block meets a
+template, it holds one of the first ``|T| - need + 1`` words of the template (prefix filter), and it has ``need`` distinct words
+at least (length filter; only words of templates count). What passes is counted word by word.
 
 Null, empty and word-free texts have no words, no labels and score 0. Repeated rows are scanned each.
 """
@@ -89,58 +89,76 @@ def phrase_places(w: Words) -> dict[str, np.ndarray]:
     return found
 
 
+def blocks(w: Words, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each block that one of the words ``hit`` lies in with the number of that word in hit, and the text of every block."""
+    step = BLOCK // 2
+    line_at = np.flatnonzero(np.concatenate([[True], np.diff(w.line) != 0]))
+    line_size = np.diff(np.append(line_at, len(w.h)))
+    of, number, docs, total = [], [], [], 0
+    for starts, size, unit, own in (
+        (w.first, w.n, w.doc[hit], np.arange(len(w.n))),
+        # a line of at most half a block lies whole in a block of the text
+        (line_at, np.where(line_size > step, line_size, 0), np.searchsorted(line_at, hit, "right") - 1, w.doc[line_at]),
+    ):
+        n = np.where(size > 0, 1 + np.maximum(0, -((BLOCK - size) // step)), 0)
+        base = total + np.cumsum(n) - n
+        k = np.flatnonzero(n[unit])
+        unit = unit[k]
+        offset = hit[k] - starts[unit]
+        last = np.minimum(offset // step, n[unit] - 1)  # the last block of the unit reaches its end
+        both = (last > 0) & (offset < (last - 1) * step + BLOCK)
+        of += [base[unit] + last, (base[unit] + last - 1)[both]]
+        number += [k, k[both]]
+        docs.append(np.repeat(own, n))
+        total += int(n.sum())
+    return np.concatenate(of), np.concatenate(number), np.concatenate(docs)
+
+
 class Templates:
-    """Distinct words of every template, rarest first, and the index of their prefixes."""
+    """Distinct words of every template, rarest first, and the prefixes of the templates."""
 
     def __init__(self, counts: dict[int, int]):
-        self.labels, self.words, self.need, index = [], [], [], []
-        for t, (text, label) in enumerate(TEMPLATES.items()):
-            own = sorted({int(h) for h in word_hashes(text)}, key=lambda h: (counts.get(h, 0), h))
-            need = math.ceil(CONTAINED * len(own) - 1e-9)
-            self.labels.append(label)
-            self.words.append(np.array(sorted(own), np.uint64))
-            self.need.append(need)
-            index += [(h, t, len(own) - p) for p, h in enumerate(own[: len(own) - need + 1])]
-        index.sort()
-        self.key = np.array([h for h, _, _ in index], np.uint64)
-        self.of = np.array([t for _, t, _ in index], np.int64)
-        self.left = np.array([n for _, _, n in index], np.int64)  # words of the template from this one on
-        self.need = np.array(self.need, np.int64)
+        own = [{int(h) for h in word_hashes(text)} for text in TEMPLATES]
+        order = sorted(set().union(*own), key=lambda h: (counts.get(h, 0), h))
+        self.labels = list(TEMPLATES.values())
+        self.size = np.array([len(words) for words in own])
+        self.need = np.array([math.ceil(CONTAINED * len(words) - 1e-9) for words in own])
+        self.vocab = np.array(sorted(order), np.uint64)
+        self.place = np.argsort(np.array(order, np.uint64))  # in the order, of each word of vocab
+        self.member = np.array([[h in words for words in own] for h in order])
+        left = self.member[::-1].cumsum(0)[::-1]  # words of each template from a place of the order on
+        self.prefix = self.member & (left >= self.need)
+
+    def words(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Blocks and the distinct template words in them as places of the order, sorted by both, and the text of every block."""
+        at = np.minimum(np.searchsorted(self.vocab, w.h), len(self.vocab) - 1)
+        hit = np.flatnonzero(self.vocab[at] == w.h)
+        if not len(hit):
+            return hit, hit, hit
+        block, number, docs = blocks(w, hit)
+        keys = np.unique(block * len(self.vocab) + self.place[at[hit[number]]])
+        return keys // len(self.vocab), keys % len(self.vocab), docs
+
+    def candidates(self, block: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The pairs that the filters leave, as block x templates + template."""
+        m = np.bincount(block)[block]  # distinct template words of the block
+        e = np.flatnonzero(m >= self.need.min())
+        i, t = np.nonzero(self.prefix[place[e]] & (m[e, None] >= self.need))
+        return np.unique(block[e[i]] * len(self.need) + t)
 
     def join(self, w: Words) -> list[tuple[int, int, float]]:
         """All (text, template, containment) of blocks that meet a template."""
-        lo, hi = np.searchsorted(self.key, w.h, "left"), np.searchsorted(self.key, w.h, "right")
-        hit = np.flatnonzero(hi > lo)
-        if not len(hit):
+        block, place, docs = self.words(w)
+        if not len(block):
             return []
-        line_first = np.concatenate([[True], np.diff(w.line) != 0])
-        line_at = np.flatnonzero(line_first)
-        line_no = np.cumsum(line_first) - 1
-        line_end = np.append(line_at[1:], len(w.h))
-        seen, out = set(), []
-        for i in hit:
-            a, e = int(line_at[line_no[i]]), int(line_end[line_no[i]])
-            step = BLOCK // 2
-            last = max(0, -((a + BLOCK - e) // step))  # the block that reaches the end of the line
-            for b in {min((int(i) - a) // step, last), max(0, min((int(i) - a) // step, last) - 1)}:
-                s, f = a + b * step, min(a + b * step + BLOCK, e)
-                if not s <= i < f:
-                    continue
-                distinct = None
-                for k in range(int(lo[i]), int(hi[i])):
-                    t = int(self.of[k])
-                    if (s, t) in seen or f - s < self.need[t]:
-                        continue
-                    if self.left[k] < self.need[t]:
-                        continue  # as a first common word it would come too late; an earlier one finds the pair
-                    seen.add((s, t))
-                    distinct = np.unique(w.h[s:f]) if distinct is None else distinct
-                    if len(distinct) < self.need[t]:
-                        continue
-                    common = int(np.isin(self.words[t], distinct).sum())
-                    if common >= self.need[t]:
-                        out.append((int(w.doc[i]), t, common / len(self.words[t])))
-        return out
+        pairs = self.candidates(block, place)
+        of, t = pairs // len(self.need), pairs % len(self.need)
+        start = np.searchsorted(block, of)
+        size = np.searchsorted(block, of, "right") - start
+        words = place[np.repeat(start, size) + C.ramp(size)]
+        common = np.bincount(np.repeat(np.arange(len(pairs)), size), self.member[words, np.repeat(t, size)], len(pairs)).astype(np.int64)
+        met = np.flatnonzero(common >= self.need[t])
+        return [(int(docs[of[k]]), int(t[k]), float(common[k] / self.size[t[k]])) for k in met]
 
 
 def template_counts(docs: DataFrame) -> dict[int, int]:

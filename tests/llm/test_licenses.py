@@ -66,6 +66,53 @@ def test_every_block_that_meets_a_template_is_found(spark):
     assert sum("," in r.labels for r in rows) and sum(r.score > 0 for r in rows) > 60
 
 
+WRAPPED = {
+    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+}
+
+
+def whole(text):
+    """Templates met by half-overlapping blocks of the whole text, all pairs compared."""
+    words = [x for line in plain(text) for x in line]
+    met = {}
+    for s in range(0, max(1, len(words) - L.BLOCK + L.BLOCK // 2), L.BLOCK // 2):
+        block = set(words[s : s + L.BLOCK])
+        for t, label in L.TEMPLATES.items():
+            share = len(set(t.split()) & block) / len(set(t.split()))
+            if share >= L.CONTAINED:
+                met[label] = max(share, met.get(label, 0))
+    return met
+
+
+def test_a_notice_over_several_lines_is_met(spark):
+    rng = random.Random(3)
+    texts, labels = [], []
+    for label, notice in WRAPPED.items():
+        for lines in (2, 3):
+            for before in (0, 100, 250, 700):
+                size = -(-len(notice.split()) // lines)
+                rows = [" ".join(notice.split()[i : i + size]) for i in range(0, len(notice.split()), size)]
+                noise = "\n".join(" ".join(f"w{rng.randrange(999)}" for _ in range(10)) for _ in range(before // 10))
+                texts.append(noise + "\n * " + "\n * ".join(rows) + "\n" + noise)
+                labels.append(label)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    rows = L.scan(docs).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        met = whole(texts[r.doc_id])
+        assert labels[r.doc_id] in r.labels.split(",") and r.labels == ",".join(sorted(met)) and r.score == pytest.approx(max(met.values()))
+    # the filters against all pairs, over words that many templates share and lines of any length
+    vocab = sorted({w for t in L.TEMPLATES for w in t.split()} | {f"w{i}" for i in range(40)})
+    texts = ["".join(rng.choice(vocab) + rng.choice("   \n") for _ in range(rng.choice([40, 140, 200, 300, 600]))) for _ in range(60)]
+    got = L.scan_texts(texts, L.Templates({}))
+    for i, text in enumerate(texts):
+        met = {k: max(whole(text).get(k, 0), joined(text).get(k, 0)) for k in {**whole(text), **joined(text)}}
+        assert got["labels"][i] == ",".join(sorted({*base(text)[4], *met}))
+        assert got["score"][i] == pytest.approx(1.0 if base(text)[1] else max(met.values(), default=0.0))
+
+
 def test_awkward_documents(awkward, nothing):
     rows = L.scan(awkward).collect()
     assert len(rows) == awkward.count() and all(r.n_words == 0 and r.labels == "" and r.score == 0 for r in rows if r.doc_id == 0)
