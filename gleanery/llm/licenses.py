@@ -3,9 +3,11 @@
 A block is ``BLOCK`` words of the whole text, whatever lines they stand on, each starting half a block after the one before, so
 that a notice of half a block lies whole in one; lines of more than half a block are cut into such blocks of their own besides.
 A block meets a template if it holds at least ``CONTAINED`` of the template's distinct words. The join is exact: words are
-ordered by how many places they have in the corpus, rarest first (a pass over all documents counts them); if a block meets a
-template, it holds one of the first ``|T| - need + 1`` words of the template (prefix filter), and it has ``need`` distinct words
-at least (length filter; only words of templates count). What passes is counted word by word.
+ordered by how many places they have in the corpus, rarest first (a pass over all documents counts them); words of no template
+come before all others and can't be common, so they are left out. The words of a block are put into the same order, and ``need``
+distinct ones are the least it must have (length filter). The first common word of a pair is one of the first ``|T| - need + 1``
+words of the template and of the first ``|B| - need + 1`` of the block (prefix filter on both sides), for 1 + the smaller number
+of words that follow it on either side bounds the overlap (positional filter). What passes is counted word by word.
 
 Null, empty and word-free texts have no words, no labels and score 0. Repeated rows are scanned each.
 """
@@ -127,7 +129,7 @@ class Templates:
         self.place = np.argsort(np.array(order, np.uint64))  # in the order, of each word of vocab
         self.member = np.array([[h in words for words in own] for h in order])
         left = self.member[::-1].cumsum(0)[::-1]  # words of each template from a place of the order on
-        self.prefix = self.member & (left >= self.need)
+        self.left = np.where(self.member, left, 0)
 
     def words(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Blocks and the distinct template words in them as places of the order, sorted by both, and the text of every block."""
@@ -141,9 +143,10 @@ class Templates:
 
     def candidates(self, block: np.ndarray, place: np.ndarray) -> np.ndarray:
         """The pairs that the filters leave, as block x templates + template."""
-        m = np.bincount(block)[block]  # distinct template words of the block
-        e = np.flatnonzero(m >= self.need.min())
-        i, t = np.nonzero(self.prefix[place[e]] & (m[e, None] >= self.need))
+        m = np.bincount(block)
+        right = m[block] - (np.arange(len(block)) - (np.cumsum(m) - m)[block])  # words of the block from this one on
+        e = np.flatnonzero(right >= self.need.min())
+        i, t = np.nonzero((self.left[place[e]] >= self.need) & (right[e, None] >= self.need))
         return np.unique(block[e[i]] * len(self.need) + t)
 
     def join(self, w: Words) -> list[tuple[int, int, float]]:

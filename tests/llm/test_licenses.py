@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from gleanery.llm import common as C
 from gleanery.llm import licenses as L
@@ -113,6 +114,33 @@ def test_a_notice_over_several_lines_is_met(spark):
         assert got["score"][i] == pytest.approx(1.0 if base(text)[1] else max(met.values(), default=0.0))
 
 
+def test_positions_on_both_sides_prune_pairs():
+    """A block that holds a prefix word of a template too late for enough words to follow is no candidate; none that meets is lost."""
+    templates = L.Templates({})
+    order = templates.vocab[np.argsort(templates.place)]
+    names = {int(L.word_hashes(w)[0]): w for t in L.TEMPLATES for w in t.split()}
+    rng = random.Random(4)
+    texts = []
+    for _ in range(200):
+        at = sorted(rng.sample(range(len(order)), rng.choice([8, 12, 20, 40])))
+        texts.append(" ".join(names[int(order[i])] for i in at))
+    texts += list(L.TEMPLATES)
+    block, place, docs = templates.words(L.Words(texts))
+    left = {divmod(int(x), len(L.TEMPLATES)) for x in templates.candidates(block, place)}
+    pruned = 0
+    for b in range(len(texts)):
+        own = [int(p) for p in place[block == b]]
+        for t, text in enumerate(L.TEMPLATES):
+            words = [i for i, h in enumerate(order) if names[int(h)] in text.split()]
+            need = int(templates.need[t])
+            meets = any(p in words[: len(words) - need + 1] for p in own) and len(own) >= need
+            bound = max((1 + min(len(words) - words.index(p) - 1, len(own) - q - 1) for q, p in enumerate(own) if p in words), default=0)
+            assert ((b, t) in left) == (bound >= need)
+            pruned += meets and (b, t) not in left
+            assert (b, t) in left or len(set(own) & set(words)) < need
+    assert pruned > 0 and list(docs) == list(range(len(texts)))
+
+
 def test_awkward_documents(awkward, nothing):
     rows = L.scan(awkward).collect()
     assert len(rows) == awkward.count() and all(r.n_words == 0 and r.labels == "" and r.score == 0 for r in rows if r.doc_id == 0)
