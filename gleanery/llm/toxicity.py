@@ -5,8 +5,9 @@ and nothing else; ``score = sigmoid(w0 + sum w_i + sum over pairs <v_i, v_j>)``.
 next to whom it is aimed at, and a word that is harmless by itself count only in company; additive weights can't. Weights and
 factors are learned in numpy by stochastic gradient steps on a bounded sample of labelled rows (``FIT_ROWS`` documents, of a
 longer one at most ``FIT_TERMS`` distinct terms). A term takes part if it is in ``LEAST`` sampled documents and its share of
-label 1 is ``APART`` standard errors from that of all: the rest, tens of thousands of words, would only be learned by heart.
-Scoring reads whole texts.
+label 1 is ``APART`` standard errors from that of all, or if it tells in company: with another term, whether that one tells or
+not, its share is further from that of all, and from what both terms give by themselves, than chance would bring about in any
+pair of terms (``in_company``). The rest, tens of thousands of words, would only be learned by heart. Scoring reads whole texts.
 
 Null, empty and word-free texts get the bias alone. Without labels of both classes every score is the share of label 1 (0.5
 without any label). Repeated rows are scored each.
@@ -28,6 +29,8 @@ FIT_TERMS = 4096
 LEAST = 3
 APART = 4.0
 STEMS = (4, 5)
+PAIRS_BY_CHANCE = 0.05
+TERMS_AT_ONCE = 1024
 
 
 def terms(texts: list[str], active: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -108,6 +111,54 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+def _evidence(ones: np.ndarray, n: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """n KL(ones / n, share): chance brings ``ones`` or more (or less) of n about with a probability of at most exp of minus this."""
+    f = np.clip(ones / np.maximum(n, 1), 1e-9, 1 - 1e-9)
+    return n * (f * np.log(f / share) + (1 - f) * np.log((1 - f) / (1 - share)))
+
+
+def in_company(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """Buckets of terms that tell by a pair: all pairs are counted, by products of blocks of the 0/1 matrix of documents and terms.
+
+    Left out beforehand is only what no pair can lift over the bound: too few documents of label 1 and too few of label 0."""
+    ids, counts, share = np.concatenate(rows), [len(r) for r in rows], y.mean()
+    known, ones = np.bincount(ids, minlength=BUCKETS), np.bincount(ids, np.repeat(y, counts), BUCKETS)
+    own = np.flatnonzero(known >= LEAST)
+    least = np.log(max(1, len(own)) ** 2 / 2 / PAIRS_BY_CHANCE)
+    own = own[(ones[own] * -np.log(share) >= least) | ((known - ones)[own] * -np.log(1 - share) >= least)]
+    slot = np.full(BUCKETS, -1, np.int32)
+    slot[own] = np.arange(len(own))
+    row = np.repeat(np.argsort(np.argsort(-y, kind="stable")), counts)  # documents of label 1 first
+    first, at = int(y.sum()), slot[ids]
+    by_term = np.argsort(at, kind="stable")
+    row, at = row[by_term], at[by_term]
+
+    def block(a: int) -> np.ndarray:
+        lo, hi = np.searchsorted(at, [a, a + TERMS_AT_ONCE])
+        there = np.zeros((len(rows), min(TERMS_AT_ONCE, len(own) - a)), np.float32)
+        there[row[lo:hi], at[lo:hi] - a] = 1
+        return there
+
+    odds = np.log((ones[own] + share) / (known[own] - ones[own] + 1 - share))  # log odds of label 1 with each term
+    base, found = np.log(share / (1 - share)), np.zeros(len(own), bool)
+    cuts = range(0, len(own), TERMS_AT_ONCE)
+    for a in cuts:
+        left = block(a).T
+        for b in cuts[a // TERMS_AT_ONCE :]:
+            right = block(b)
+            one = left[:, :first] @ right[:first]
+            n = one + left[:, first:] @ right[first:]
+            # most pairs can't pass the bound whatever they are compared with beyond the share of all
+            i, j = np.nonzero((one * -np.log(share) >= least) | ((n - one) * -np.log(1 - share) >= least))
+            one, n = one[i, j].astype(np.float64), n[i, j].astype(np.float64)
+            i, j = i + a, j + b
+            alone = 1 / (1 + np.exp(-np.clip(odds[i] + odds[j] - base, -20, 20)))
+            high, low = np.maximum(alone, share), np.minimum(alone, share)
+            tells = (i != j) & (((one > n * high) & (_evidence(one, n, high) >= least)) | ((one < n * low) & (_evidence(one, n, low) >= least)))
+            found[i[tells]] = found[j[tells]] = True
+    return own[found]
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = FIT_ROWS) -> Machine:
     """Learn from at most ``rows`` labelled documents: what comes to the driver is bounded by rows x FIT_TERMS numbers."""
     sample = C.labelled(docs, labels, label, rows)
@@ -122,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = FI
     known, share = np.bincount(np.concatenate(rows_), minlength=BUCKETS), y.mean()
     ones = np.bincount(np.concatenate(rows_), np.repeat(y, [len(r) for r in rows_]), BUCKETS)
     apart = np.abs(ones - known * share) / np.sqrt(np.maximum(known, 1) * share * (1 - share))
-    m = Machine(np.flatnonzero((known >= LEAST) & (apart >= APART)))
+    m = Machine(np.union1d(np.flatnonzero((known >= LEAST) & (apart >= APART)), in_company(rows_, y)))
     return m.fit([(s := m.slot[r])[s >= 0] for r in rows_], y)
 
 

@@ -63,6 +63,27 @@ def test_pairs_count_for_more_than_their_parts():
     assert z[0] > 1 and z[3] > 1 and z[1] < -1 and z[2] < -1
 
 
+def test_a_pair_is_learned_from_documents_where_neither_word_tells(spark):
+    """Through fit(): the terms of the pair are chosen among thousands though none of them is associated with the label by itself."""
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    rows = []
+    for i in range(1600):
+        a, b = rng.integers(2), rng.integers(2)
+        words = [*(f"w{k}" for k in rng.integers(3000, size=40)), "zorb" if a else "plimsolls", "kand" if b else "truv"]
+        rows.append((i, " ".join(rng.permutation(words)), int(a == b)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs, docs)
+    z = model.score(["zorb kand", "plimsolls truv", "zorb truv", "plimsolls kand"])
+    assert z[0] > 0.7 and z[1] > 0.7 and z[2] < 0.3 and z[3] < 0.3
+    held = [r for r in toxicity.score(docs, model).collect() if C_crc(r.doc_id) % 4 == 2]
+    assert sum((r.score > 0.5) == r.toxic for r in held) / len(held) > 0.95
+    # where no pair tells, none is chosen
+    drawn = [np.unique(rng.integers(2000, size=40)) for _ in range(1000)]
+    assert len(toxicity.in_company(drawn, (rng.random(1000) < 0.3).astype(float))) == 0
+
+
 def test_language_of_awkward_documents(awkward, nothing):
     net = language.fit(awkward, F.lit(True))
     rows = language.predict(awkward, net).join(awkward.select("doc_id", "text").distinct(), "doc_id").collect()
