@@ -3,9 +3,10 @@
 Pages of a host are ordered by URL path, and each is paired with the neighbour whose path shares more leading segments. Text
 lines of both are aligned by longest common subsequence, and what they share is boilerplate and deleted. A line is the text of
 a block; markup, scripts, styles, forms and what marks itself as menu, header, footer, sidebar, notice, advert or comments
-never becomes one. Lines inside an article or main container are the author's: two pages may quote the same line or be copies
-of each other, so these are kept though the neighbour has them, and where a page has such lines, it is they that count.
-Differencing decides on all lines of pages without such a container.
+never becomes one. Differencing decides on every page, with one exception: lines inside an article or main container are the
+author's, as two pages may quote the same line or be copies of each other. Of the containers of a page (the outermost ones) it is
+the one with most text that the neighbour lacks, and of equal ones with most text, whose shared lines are kept, unless the page
+has more text of its own outside of all containers than all of that container is long: then it is a card beside the body.
 
 Only hashes of lines are brought to the paired page. A null or empty html has an empty text. A page alone on its host, or without
 a host, shares nothing. Of equal paths those with the nearer page_id are neighbours; repeated rows (same page_id and url) get the
@@ -68,11 +69,12 @@ def _marked(name: str, raw: str, in_main: bool) -> tuple[bool, bool]:
     return False, name in MAIN or role in ("main", "article") or a.get("itemprop", "").lower() == "articlebody"
 
 
-def lines(html: str) -> list[tuple[str, bool]]:
-    """Texts of the blocks in page order, each with whether it lies in a main container."""
-    out: list[tuple[str, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, dropped, main: each with what it lies in
+def lines(html: str) -> list[tuple[str, int]]:
+    """Texts of the blocks in page order, each with the number of the outermost main container that it lies in, or 0."""
+    out: list[tuple[str, int]] = []
+    stack: list[tuple[str, bool, int]] = []  # name, dropped, main: each with what it lies in
     text: list[str] = []
+    containers = 0
     at = 0
 
     def flush() -> None:
@@ -80,7 +82,7 @@ def lines(html: str) -> list[tuple[str, bool]]:
             line = " ".join(entities.unescape("".join(text)).split())
             text.clear()
             if line:
-                out.append((line, bool(stack) and stack[-1][2]))
+                out.append((line, stack[-1][2] if stack else 0))
 
     def pop_to(i: int) -> None:
         flush()
@@ -123,8 +125,8 @@ def lines(html: str) -> list[tuple[str, bool]]:
                     break
                 if stack[i][0] in BLOCK:
                     break
-        dropped, main = stack[-1][1:] if stack else (False, False)
-        drop, own = (True, False) if dropped else _marked(name, m[3] or "", main)
+        dropped, main = stack[-1][1:] if stack else (False, 0)
+        drop, own = (True, False) if dropped else _marked(name, m[3] or "", main > 0)
         if name in BLOCK or drop:
             flush()
         if name in RAW:
@@ -133,7 +135,10 @@ def lines(html: str) -> list[tuple[str, bool]]:
             continue
         if m[0].endswith("/>") and name in ("svg", "math", "path"):
             continue
-        stack.append((name, dropped or drop, (main or own) and not drop))
+        if own and not drop and not main:
+            containers += 1
+            main = containers
+        stack.append((name, dropped or drop, 0 if drop else main))
     flush()
     return out
 
@@ -175,46 +180,56 @@ def _hashes(texts: list[str]) -> np.ndarray:
     return C.span_hashes(points, bounds[:-1], bounds[1:] - 1).view(np.int64)
 
 
+def kept(own: list[str], containers: list[int], gone: set[int]) -> list[str]:
+    """Lines of a page without those at the places ``gone``, save in the container that holds the page's text."""
+    unshared, size = [0] * (max(containers, default=0) + 1), [0] * (max(containers, default=0) + 1)
+    for i, (line, c) in enumerate(zip(own, containers, strict=True)):
+        size[c] += len(line)
+        unshared[c] += 0 if i in gone else len(line)
+    best = max(range(1, len(size)), key=lambda c: (unshared[c], size[c]), default=0)
+    if size[best] < unshared[0]:
+        best = 0
+    return [line for i, (line, c) in enumerate(zip(own, containers, strict=True)) if i not in gone or (best and c == best)]
+
+
 def _parse(pages: list[str], part: pa.RecordBatch) -> dict:
     parsed = [lines(p) for p in pages]
     counts = np.array([len(p) for p in parsed])
     every = [t for p in parsed for t, _ in p]
-    of_article = ["\n".join(t for t, own in p if own) for p in parsed]
-    is_open = [not any(own for _, own in p) for p in parsed]
-    rest = [[t for t, _ in p] if o else None for p, o in zip(parsed, is_open, strict=True)]
-    return {"text": of_article, "open": is_open, "lines": pa.array(rest, pa.list_(pa.string())), "hashes": C.lists(_hashes(every) if every else np.zeros(0, np.int64), counts, pa.int64())}
+    inside = np.array([c for p in parsed for _, c in p], np.int32)
+    return {"lines": C.lists(every, counts, pa.string()), "containers": C.lists(inside, counts, pa.int32()), "hashes": C.lists(_hashes(every) if every else np.zeros(0, np.int64), counts, pa.int64())}
 
 
 def pairs(rows: DataFrame) -> DataFrame:
-    """page_id, url and the struct near (page_id, url) of the page of the same host whose path shares more leading segments."""
+    """page_id, url and the struct near (page_id, url) of the page of the same host whose path shares more leading segments; of two that share as many it is the one before."""
     keys = rows.select("page_id", "url").distinct().withColumns({"host": host(F.col("url")), "path": path(F.col("url"))}).filter("host <> ''")
     follow = with_next(keys, ["host", "path", "page_id", "url"]).filter("next.host = host")
     segments = follow.select(F.struct("page_id", "url").alias("a"), F.struct("next.page_id", "next.url").alias("b"), F.split("path", "/").alias("p"), F.split("next.path", "/").alias("q"))
     same = F.aggregate(F.sequence(F.lit(1), F.least(F.size("p"), F.size("q"))), F.lit(0), lambda n, i: F.when((n == i - 1) & (F.element_at("p", i) == F.element_at("q", i)), i).otherwise(n))
     both = segments.select("a", "b", same.alias("common"))
-    every = both.select(F.col("a").alias("page"), F.col("b").alias("near"), "common").unionAll(both.select(F.col("b").alias("page"), F.col("a").alias("near"), "common"))
-    return every.groupBy("page").agg(F.max_by("near", F.struct("common", "near")).alias("near")).select("page.page_id", "page.url", "near")
+    every = both.select(F.col("a").alias("page"), F.col("b").alias("near"), "common", F.lit(0).alias("before")).unionAll(both.select(F.col("b").alias("page"), F.col("a").alias("near"), "common", F.lit(1).alias("before")))
+    return every.groupBy("page").agg(F.max_by("near", F.struct("common", "before")).alias("near")).select("page.page_id", "page.url", "near")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
     pages = pages.select("page_id", "url", "html")
-    parsed = C.settle(C.map_texts(pages, "page_id long, url string, text string, open boolean, lines array<string>, hashes array<long>", _parse, "html"))
-    near = pairs(parsed)
-    hashes = parsed.dropDuplicates(["page_id", "url"]).select(F.struct("page_id", "url").alias("near"), F.col("hashes").alias("near_hashes"))
+    marks = C.settle(C.map_texts(pages, "page_id long, url string, hashes array<long>", _parse, "html"))
+    near = pairs(marks)
+    hashes = marks.dropDuplicates(["page_id", "url"]).select(F.struct("page_id", "url").alias("near"), F.col("hashes").alias("near_hashes"))
     known = near.join(hashes, "near").select(F.struct("page_id", "url").alias("page"), "near_hashes")
-    undecided = parsed.filter("open").withColumn("page", F.struct("page_id", "url")).join(known, "page", "left").select("page_id", "url", "lines", "hashes", "near_hashes")
+    # pages are parsed again, so that their lines are written once, by this join, and not in scratch space too
+    parsed = C.map_texts(pages, "page_id long, url string, lines array<string>, containers array<int>, hashes array<long>", _parse, "html")
+    both = parsed.withColumn("page", F.struct("page_id", "url")).join(known, "page", "left").select("page_id", "url", "lines", "containers", "hashes", "near_hashes")
 
     def difference(batches):
         for b in batches:
             texts = []
-            for own, h, other in zip(b.column("lines").to_pylist(), b.column("hashes").to_pylist(), b.column("near_hashes").to_pylist(), strict=True):
-                gone = shared(h, other) if other else set()
-                texts.append("\n".join(t for i, t in enumerate(own) if i not in gone))
+            for own, inside, h, other in zip(*(b.column(c).to_pylist() for c in ("lines", "containers", "hashes", "near_hashes")), strict=True):
+                texts.append("\n".join(kept(own, inside, shared(h, other) if other else set())))
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
-    decided = undecided.mapInArrow(difference, "page_id long, url string, text string")
-    return parsed.filter(~F.col("open")).select("page_id", "url", "text").unionAll(decided).withColumn("n_chars", F.char_length("text").cast("long"))
+    return both.mapInArrow(difference, "page_id long, url string, text string").withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

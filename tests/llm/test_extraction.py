@@ -79,3 +79,21 @@ def test_shared_lines_go_where_no_container_tells(spark):
     assert texts[4] == "Site menu\nNews of the day\nAlone\nstory\nImprint" and texts[5].startswith("Site menu")
     assert texts[6] == "" and texts[7] == texts[8] == "quoted"
     assert X.extract(pages.limit(0)).count() == 0
+
+
+def test_containers_do_not_silence_the_rest_of_a_page(spark):
+    cards = "<article><p>Related card</p></article>"
+    rows = [
+        (1, "http://h.org/a/1", page("One", "first long story about stones", cards)),
+        (2, "http://h.org/a/2", page("Two", "second long story about rivers", cards)),
+        (3, "http://i.org/a/1", page("Menu of one", "<article><p>quoted by both pages</p><p>a long text of its own</p></article>", "<article><p>Card</p></article>")),
+        (4, "http://i.org/a/2", page("Menu of two", "<article><p>quoted by both pages</p><p>and another long text</p></article>", "<article><p>Card</p></article>")),
+        (5, "http://j.org/a/1", "<div>12:01</div><article><p>an exact copy</p></article>"),
+        (6, "http://j.org/a/2", "<div>12:02</div><main><article><p>an exact copy</p></article></main>"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    texts = {r.page_id: r.text for r in X.extract(pages).collect()}
+    assert texts[1] == "One\nfirst long story about stones" and texts[2] == "Two\nsecond long story about rivers"
+    assert texts[3] == "Menu of one\nquoted by both pages\na long text of its own" and texts[4] == "Menu of two\nquoted by both pages\nand another long text"
+    assert texts[5] == "12:01\nan exact copy" and texts[6] == "12:02\nan exact copy"
+    assert [c for _, c in X.lines("a<article>b<article>c</article>d</article>e<main>f</main>")] == [0, 1, 1, 1, 0, 2]
