@@ -7,7 +7,8 @@ coordinates or more, however long the document is. Windows that agree in one of
 is missed with a chance of about 2e-5); then the share of the item's distinct shingles that the whole document holds decides.
 
 The benchmark is a stated query set: it is taken in blocks of bounded size, each shipped to a pass over the documents. Items
-under five words have no five-word shingle and are not searched. Null and empty texts hold nothing. Repeated rows are searched each.
+under five words have no five-word shingle and are not searched. Items without an id can't be named as leaks, but documents that
+hold one are dropped. Null and empty texts hold nothing. Repeated rows are searched each.
 """
 
 from __future__ import annotations
@@ -48,7 +49,7 @@ class Items:
         self.sizes: dict[int, tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]] = {}
         by_size: dict[int, list[int]] = {}
         for i, s in enumerate(self.shingles):
-            by_size.setdefault(1 << max(3, math.ceil(math.log2(len(s)))), []).append(i)
+            by_size.setdefault(1 << math.ceil(math.log2(len(s))), []).append(i)
         for block, own in sorted(by_size.items()):
             minima = np.stack([[((self.shingles[i] ^ x) * m).min() for x, m in zip(self.xor, self.mul, strict=True)] for i in own])
             sorted_ = []
@@ -95,14 +96,14 @@ class Items:
         return out
 
 
-def item_blocks(benchmark: DataFrame) -> list[Items]:
-    """The benchmark in blocks of about BLOCK_ITEMS items and BLOCK_WORDS words; more items make more blocks, not larger ones."""
-    items = benchmark.filter(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select("item_id", "text")
+def item_blocks(benchmark: DataFrame, named: bool = True) -> list[Items]:
+    """The benchmark in blocks of about BLOCK_ITEMS items and BLOCK_WORDS words; more items make more blocks, not larger ones. With ``named``, only items with an id."""
+    items = benchmark.filter(F.col("text").isNotNull() & (F.col("item_id").isNotNull() | F.lit(not named))).select("item_id", "text")
     n, words = items.agg(F.count("*"), F.sum(F.size(F.split("text", r"\s+")))).first()
     blocks = max(1, math.ceil(n / BLOCK_ITEMS), math.ceil((words or 0) / BLOCK_WORDS))
     out = []
     for b in range(blocks):
-        rows = sorted(items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).distinct().collect())
+        rows = sorted(items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).distinct().collect(), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
         if rows:
             out.append(Items([r[0] for r in rows], [r[1] for r in rows]))
     return out
@@ -131,7 +132,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, contained: float = CONTAINED) -
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, contained: float = CONTAINED) -> DataFrame:
     """docs without the rows that hold a test item; nothing is shuffled."""
-    for items in item_blocks(benchmark):
+    for items in item_blocks(benchmark, named=False):
         kept = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches, kept=kept):

@@ -66,3 +66,21 @@ def test_awkward_documents(spark, awkward, nothing):
     assert D.leaks(nothing, bench).count() == 0
     empty = bench.limit(0)
     assert D.leaks(awkward, empty).count() == 0 and D.without_leaks(awkward, empty).count() == awkward.count()
+
+
+def test_items_of_few_shingles_are_found_in_long_documents():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for size in (5, 6, 8):
+        items = [" ".join(f"i{k}" for k in rng.integers(1 << 40, size=size)) for _ in range(1500)]
+        text = " ".join(" ".join(f"w{k}" for k in rng.integers(5000, size=25)) + " " + item for item in items)
+        found = D.Items(list(range(len(items))), items).search([text], 0.8)
+        assert {i for _, i, _, _ in found} == set(range(len(items)))
+
+
+def test_the_stage_drops_documents_with_an_item_without_an_id(spark):
+    docs = spark.createDataFrame([(1, "so it was that seven red boats left the harbour"), (2, "nothing of the kind is in here at all")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "seven red boats left the harbour"), (4, "quite another text of many words"), (None, None)], "item_id long, text string")
+    assert [r.doc_id for r in D.without_leaks(docs, items).collect()] == [2]
+    assert D.leaks(docs, items).count() == 0
