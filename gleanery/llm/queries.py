@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleanery.llm import decontamination, extraction, fingerprints, language, licenses, neardup, packing, quality, toxicity, urls
+from gleanery.llm import decontamination, extraction, fingerprints, language, licenses, manifest, neardup, ngramjoin, packing, quality, toxicity, urls, whitening
 
 QUERIES = {
     f.__name__: f
@@ -17,7 +17,10 @@ QUERIES = {
         language.op8_language_id,
         decontamination.op9_decontamination,
         urls.op10_url_filters,
+        whitening.op11_embedding_whitening,
+        ngramjoin.op12_ngram_jaccard_join,
+        manifest.op13_merkle_manifest,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_ngram_jaccard_join": ngramjoin.ORACLE, "op13_merkle_manifest": manifest.ORACLE}
