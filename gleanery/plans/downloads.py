@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.outcome import MIN_FILE_BYTES
 from gleanery.operators.keep import first_k, latest
+from gleanery.operators.ordered import blocks, finish, running
 from gleanery.operators.skew import lookup
 
 HAS_DOCUMENT = "documentoUuid is not null and documentoUuid <> ''"
@@ -61,6 +62,28 @@ def next_downloads(plan: DataFrame, n: int) -> DataFrame:
     return plan.where("state = 'pending'").orderBy("indice").limit(n)
 
 
+def reached(plan: DataFrame, n: int) -> DataFrame:
+    """The plan's rows in reading order, as far as a run gets that stops after ``n`` new downloads: with ``reached``, whether it comes to the row.
+
+    A row is reached if fewer than ``n`` downloads come before it, whatever it is itself. The count runs over ranges of the order, so
+    no task sorts the whole plan."""
+    narrow = plan.select("id", "indice", "pagina", "state")
+    counted = running(blocks(narrow, [], ["indice", "id", "state"]), {"_before": ("sum", (F.col("state") == "pending").cast("bigint"))}, inclusive=False)
+    return finish(counted).select("id", "indice", "pagina", "state", (F.col("_before") < n).alias("reached"))
+
+
+def pages_reached(run: DataFrame) -> DataFrame:
+    """Per page that a limited run comes to: rows reached, downloads, whether it is ``complete``, and whether the limit was met in the run.
+
+    A page that the limit cuts is not complete, so a resumed run reads it again. A limit that the very last row meets cuts nothing."""
+    pages = run.groupBy("pagina").agg(
+        F.count_if("reached").alias("rows"), F.count_if(F.col("reached") & (F.col("state") == "pending")).alias("downloads"),
+        F.bool_and("reached").alias("complete"),
+    )
+    met = run.agg(F.bool_or(~F.col("reached")).alias("limit_met"))
+    return pages.where("rows > 0").crossJoin(F.broadcast(met))  # one row
+
+
 def shared_downloads(records: DataFrame) -> DataFrame:
     """Records whose document an earlier record has already brought."""
     with_doc = records.where(HAS_DOCUMENT)

@@ -9,6 +9,7 @@ by key, with partial aggregation before it, so copies of one key are merged earl
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +22,8 @@ from gleanery.operators.positions import first_missing
 from gleanery.operators.skew import null_safe, union_all
 from gleanery.operators.together import together
 from gleanery.sources.control import checkpoint_scan
-from gleanery.sources.jsonl import CORRUPT, scan_whole
+from gleanery.sources.files import probe_hash, probe_stat
+from gleanery.sources.jsonl import CORRUPT, MISTYPED, CorruptLine, scan_whole
 from gleanery.sources.manifest import manifest_scan, queue_scan
 from gleanery.sources.schema import MANIFEST_SCHEMA
 from gleanery.sources.sinks import settle
@@ -121,7 +123,13 @@ def marks(records: DataFrame, spec: SourceSpec, page_size: int) -> DataFrame:
     }
     columns = ["fuente", "id", "indice", "pagina", "documentoUuid"]
     columns += ["expediente", "resolucion"] if spec.blank_rules else []
-    marked = records.withColumn("_issues", spec.issues())
+    for i, check in enumerate(spec.checks):
+        kept |= {f"check_{i}": F.when(good & check.rule(), check.label().cast("string"))} if check.rule else {}
+        kept |= {f"key_{i}": F.when(good, check.key().cast("string"))} if check.key else {}
+    issues = spec.issues()
+    if MISTYPED in records.columns:  # a field of another type reads as NULL, which a rule may allow
+        issues = F.concat(issues, F.transform(MISTYPED, lambda name: F.concat(name, F.lit(": another type"))))
+    marked = records.withColumn("_issues", issues)
     return marked.select(*columns, *[F.coalesce(c, F.lit(False)).alias(n) if n in ("good", "misplaced", "no_year") else c.alias(n) for n, c in kept.items()])
 
 
@@ -135,6 +143,7 @@ def dataset_findings(
 def _sets(valid: DataFrame, spec: SourceSpec) -> DataFrame:
     """Rows per id, position, source and document, all in one shuffle: ``kind, key, n, at, differ``."""
     kinds = [("id", F.col("id")), ("place", F.col("indice").cast("string")), ("source", F.col("fuente"))]
+    kinds += [(f"check_{i}", F.col(f"key_{i}")) for i, c in enumerate(spec.checks) if c.key]
     fields = []
     if spec.blank_rules:
         kinds.append(("document", F.col("documentoUuid")))
@@ -170,6 +179,7 @@ def findings_of_marks(marked: DataFrame, spec: SourceSpec, total: int | None = N
         F.count_if(F.col("good") & ~with_doc).alias("without_doc"),
         F.count_if(F.col("no_year") & with_doc).alias("no_year"),
         *[F.count_if(F.array_contains("blanks", f)).alias(f"blank:{f}") for f in spec.blank_rules],
+        *[F.count(f"check_{i}").alias(f"check_{i}") for i, c in enumerate(spec.checks) if c.rule],
     )
     sets = _sets(valid, spec)
     several = F.col("n") > 1
@@ -186,6 +196,7 @@ def findings_of_marks(marked: DataFrame, spec: SourceSpec, total: int | None = N
     kinds = [("invalid", ~F.col("good"), F.col("issues")),
              ("misplaced", F.col("misplaced"), F.concat_ws(" ", F.lit("index"), "indice", F.lit("page"), "pagina")),
              ("no_year", F.col("no_year") & with_doc, F.col("resolucion") if spec.has_year else F.lit(""))]
+    kinds += [(f"check_{i}", F.col(f"check_{i}").isNotNull(), F.col(f"check_{i}")) for i, c in enumerate(spec.checks) if c.rule]
     here = [
         *[k for k in kinds if n[k[0]]],
         *[("blank", F.array_contains("blanks", f), F.concat("id", F.lit(f":{f}"))) for f, c in blanks.items() if c],
@@ -204,6 +215,9 @@ def findings_of_marks(marked: DataFrame, spec: SourceSpec, total: int | None = N
         nth = F.explode(F.sequence(F.lit(1), F.least(F.col("n") - 1, F.lit(MAX_SAMPLES)).cast("int")))
         twice = sets.where(several & (F.col("kind") == "place")).select("key", "at", nth.alias("nth_row"))
         wanted.append((twice, [("place", every, F.col("key"))], [F.col("at"), F.col("nth_row")]))
+    for i, c in enumerate(spec.checks):
+        if c.key and by.get(f"check_{i}", none)["repeats"]:
+            wanted.append((sets.where(several & (F.col("kind") == f"check_{i}")), [(f"check_{i}", every, F.col("key"))], [F.col("at"), F.col("key")]))
     if missing:
         wanted.append((first_missing(valid, "indice"), [("missing", every, F.col("indice"))], [F.col("indice")]))
     few = _samples(wanted, spark)
@@ -234,6 +248,9 @@ def findings_of_marks(marked: DataFrame, spec: SourceSpec, total: int | None = N
             Finding("documento-compartido", OK, by["document"]["several"], f"{shown(by['document']['several'])} documents reach several records"),
             counted("documento-compartido-heterogeneo", by["document"]["mixed"], "shared documents differ in case or ruling", WARNING, few.get("mixed")),
         ]
+    for i, c in enumerate(spec.checks):
+        cases = by.get(f"check_{i}", none)["repeats"] if c.key else n[f"check_{i}"]
+        found.append(counted(c.name, cases, c.words, c.level, few.get(f"check_{i}")))
     return findings_frame(marked.sparkSession, DATASET, 1, found)
 
 
@@ -420,6 +437,16 @@ def validate(
     return union_all(together(records.sparkSession, sections))
 
 
+def unreadable(e: Exception) -> bool:
+    """Whether an error says that a file's content is not what it should be: a broken line, or a shape that a scan refuses.
+
+    Everything else, a lost executor or a full disk, is no finding and has to end the report."""
+    if isinstance(e, CorruptLine):
+        return True
+    condition = e.getCondition() if isinstance(e, PySparkException) else None
+    return (condition or "").startswith(("USER_RAISED_EXCEPTION", "MALFORMED_RECORD_IN_PARSING")) or "MALFORMED_RECORD_IN_PARSING" in str(e)
+
+
 def validate_files(
     spark: SparkSession,
     spec: SourceSpec,
@@ -428,21 +455,25 @@ def validate_files(
     probe: DataFrame | None = None,
     total: int | None = None,
     site: tuple[DataFrame | None, int | None] | None = None,
+    hashed: bool = False,
 ) -> tuple[DataFrame, list[str]]:
-    """The report over files as a harvest leaves them (``paths``: records, manifest, queue, checkpoint, as ``default_paths`` names
-    them), and notes on what could not be read. Unreadable lines and malformed entries are counted from the scans; a broken
-    queue makes its check not evaluable, a broken resume state is a note.
+    """The report over files as a harvest leaves them (``paths``: records, manifest, queue, checkpoint, documents, as ``default_paths``
+    names them), and notes on what could not be read. Unreadable lines and malformed entries are counted from the scans; a broken
+    queue makes its check not evaluable, a broken resume state is a note. The documents' folder is probed for sizes, or with
+    ``hashed`` read for hashes too; where it is missing, its checks are not evaluable. A probe given is used instead.
     """
     notes: list[str] = []
     scanned = scan_whole(spark, paths["records"], spec.schema)
     entries, malformed = manifest_scan(spark, paths["manifest"])
+    if probe is None and "documents" in paths:
+        probe = probe_hash(spark, paths["documents"]) if hashed else probe_stat(spark, paths["documents"])
 
     def queue_or_none() -> DataFrame | None:
         try:
-            queue = queue_scan(spark, paths["queue"])
-            queue.count()
-            return queue
-        except Exception as e:  # any line of it may be broken in any way
+            return settle(queue_scan(spark, paths["queue"]), "queue")
+        except Exception as e:
+            if not unreadable(e):
+                raise
             notes.append(f"queue unreadable: {str(e).splitlines()[0][:300]}")
             return None
 
@@ -451,11 +482,11 @@ def validate_files(
             state = checkpoint_scan(spark, paths["checkpoint"]).select("fuente", "total", "actualizadoEn").orderBy(F.desc("actualizadoEn")).first()
             return state["total"] if state else None
         except Exception as e:
+            if not unreadable(e):
+                raise
             notes.append(f"checkpoint unreadable: {str(e).splitlines()[0][:300]}")
             return None
 
-    corrupt, invalid, queue, resumed = together(
-        spark, [lambda: scanned.where(F.col(CORRUPT).isNotNull()).count(), lambda: malformed.groupBy("id").count().agg(F.sum("count")).first()[0] or 0, queue_or_none, total_or_none]
-    )
+    corrupt, invalid, queue, resumed = together(spark, [lambda: scanned.where(F.col(CORRUPT).isNotNull()).count(), malformed.count, queue_or_none, total_or_none])
     records = scanned.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return validate(records, spec, page_size, entries, probe, queue, total, corrupt, invalid, site, resumed), notes

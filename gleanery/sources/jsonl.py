@@ -1,15 +1,29 @@
-"""JSON Lines: strict and tolerant scans, torn tails, stored ids."""
+"""JSON Lines: numbered lines, strict and tolerant scans, torn tails, stored ids.
+
+A line is parsed once and judged whole, whichever columns are asked for later. Text that is no JSON is broken. A field of another
+JSON type than its column's is NULL, and its name is in ``MISTYPED``; a required one rejects the line.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType, VariantType
 
 from gleanery.operators.keep import PLACE
 from gleanery.sources.paths import exists
 
 CORRUPT = "_corrupt_record"
+MISTYPED = "_mistyped"
+SAMPLE = 200  # characters of a broken line that its error shows
+
+
+class CorruptLine(ValueError):
+    """The first broken line of a file: ``file``, ``number`` (from 1, blank lines counted) and a ``sample`` of it."""
+
+    def __init__(self, file: str, number: int, sample: str):
+        super().__init__(f"corrupt line {number} of {file}: {sample}")
+        self.file, self.number, self.sample = file, number, sample
 
 
 def _place() -> Column:
@@ -18,12 +32,83 @@ def _place() -> Column:
     return F.struct(m["file_modification_time"].alias("at"), m["file_path"].alias("file"), m["file_block_start"].alias("start"), F.monotonically_increasing_id().alias("row")).alias(PLACE)
 
 
-def _parsed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Lines read whole, whatever is asked for later: ``value``, place, ``_row`` and whether the line is ``_broken``."""
-    wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    lines = spark.read.text(path).select("value", _place()).where(F.trim("value") != "")
-    parsed = lines.withColumn("_row", F.from_json("value", wide, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}))
-    return parsed.withColumn("_broken", F.col("_row").isNull() | F.col(f"_row.{CORRUPT}").isNotNull())
+def _is_json(line: Column) -> Column:
+    """Whether a line is one JSON value and nothing else. Two values on a line, as a write after a torn one leaves them, are none."""
+    text = F.trim(line)
+    closed = F.when(F.startswith(text, F.lit("{")), F.endswith(text, F.lit("}"))).when(F.startswith(text, F.lit("[")), F.endswith(text, F.lit("]"))).otherwise(True)
+    return closed & F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """All lines with their place, blank ones too."""
+    return spark.read.text(path).select("value", _place())
+
+
+def _judged(lines: DataFrame, schema: StructType) -> DataFrame:
+    """Lines that are not blank: ``value``, place, ``_row`` with typed fields, ``_broken``, and the names of mistyped fields."""
+    # Spark reads a number into a text column; a text is told from it by the type that the JSON value has.
+    wide = StructType([StructField(f.name, VariantType() if f.dataType == StringType() else f.dataType) for f in schema.fields])
+    raw = StructType([StructField(f.name, VariantType()) for f in schema.fields if f.dataType != StringType()])
+    parsed = lines.where(F.trim("value") != "").select(
+        "*", (~_is_json(F.col("value"))).alias("_broken"),
+        F.from_json("value", wide, {"mode": "PERMISSIVE"}).alias("_typed"), F.from_json("value", raw, {"mode": "PERMISSIVE"}).alias("_raw"),
+    )
+
+    def kind(v: Column) -> Column:
+        return F.schema_of_variant(v)
+
+    fields, wrong = [], []
+    for f in schema.fields:
+        typed = F.col("_typed")[f.name]
+        if f.dataType == StringType():
+            fields.append(F.when(kind(typed) == "STRING", typed.cast("string")).alias(f.name))
+            wrong.append(F.when(~F.coalesce(kind(typed), F.lit("VOID")).isin("STRING", "VOID"), f.name))
+        else:
+            given = F.coalesce(kind(F.col("_raw")[f.name]), F.lit("VOID")) != "VOID"
+            fields.append(typed.alias(f.name))
+            wrong.append(F.when(typed.isNull() & given, f.name))
+    row = F.when(~F.col("_broken"), F.struct(*fields))
+    return parsed.select("value", PLACE, row.alias("_row"), "_broken", F.when(F.col("_broken"), F.array().cast(ArrayType(StringType()))).otherwise(F.array_compact(F.array(*wrong))).alias(MISTYPED))
+
+
+def _starts(lines: DataFrame, *more: Column) -> DataFrame:
+    """A row per split: its first row's id and the number of lines before it in its file. Splits are joined by prefix sums, lines stay where they are."""
+    at = F.col(PLACE)
+    per = lines.groupBy(at["file"].alias("file"), at["start"].alias("start")).agg(F.min(at["row"]).alias("first"), F.count(F.lit(1)).alias("n"), *more)
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    return per.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+
+
+def _number() -> Column:
+    return F.col("before") + F.col("row") - F.col("first") + 1
+
+
+def numbered(spark: SparkSession, path: str) -> DataFrame:
+    """Every line: ``file``, ``number`` (from 1, blank lines counted) and ``value``; the same however files are split."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], "file string, number bigint, value string")
+    lines = _lines(spark, path)
+    at = lines.select("value", F.col(PLACE)["file"].alias("file"), F.col(PLACE)["start"].alias("start"), F.col(PLACE)["row"].alias("row"))
+    starts = F.broadcast(_starts(lines))  # a row per split of the files
+    return at.join(starts, ["file", "start"]).select("file", _number().alias("number"), "value")
+
+
+def broken_lines(spark: SparkSession, path: str, schema: StructType, strict: bool = True) -> DataFrame:
+    """The first broken line of each file that has one: ``file``, ``number``, ``value``. With ``strict``, a mistyped field breaks its line too."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], "file string, number bigint, value string")
+    lines = _lines(spark, path)
+    judged = _judged(lines, schema).select("value", PLACE, (F.col("_broken") | (F.size(MISTYPED) > 0) if strict else F.col("_broken")).alias("bad"))
+    row = F.col(PLACE)["row"]
+    worst = judged.where("bad").groupBy(F.col(PLACE)["file"].alias("file"), F.col(PLACE)["start"].alias("start")).agg(F.min(row).alias("row"), F.min_by("value", row).alias("value"))
+    found = worst.join(_starts(lines), ["file", "start"]).select("file", _number().alias("number"), "value")
+    return found.groupBy("file").agg(F.min("number").alias("number"), F.min_by("value", "number").alias("value"))
+
+
+def check_lines(spark: SparkSession, path: str, schema: StructType, strict: bool = True) -> None:
+    """Raise the first broken line of the first file that has one."""
+    for r in broken_lines(spark, path, schema, strict).orderBy("file").head(1):
+        raise CorruptLine(r["file"], r["number"], r["value"][:SAMPLE])
 
 
 def _empty(spark: SparkSession, schema: StructType, place: bool) -> DataFrame:
@@ -31,35 +116,45 @@ def _empty(spark: SparkSession, schema: StructType, place: bool) -> DataFrame:
     return none.withColumn(PLACE, F.lit(None).cast("struct<at:timestamp,file:string,start:bigint,row:bigint>")) if place else none
 
 
+def _columns(schema: StructType) -> list[Column]:
+    return [F.col("_row")[f.name].alias(f.name) for f in schema.fields]
+
+
 def scan_strict(spark: SparkSession, path: str, schema: StructType, place: bool = False) -> DataFrame:
-    """Lines as rows. No file is no rows; blank lines are skipped; a broken line is an error that shows it.
+    """Lines as rows. No file is no rows; blank lines are skipped; a broken line or a mistyped field is an error that names file and line.
 
-    A line is read whole and judged whole, so that the outcome does not depend on which columns are asked for.
-    With ``place``, rows keep where their line stands.
+    The files are looked through for their first broken line beforehand, so the error is the same for any size of splits and
+    any columns asked for. A line that breaks between that and the reading is an error too. With ``place``, rows keep where their line stands.
     """
     if not exists(spark, path):
         return _empty(spark, schema, place)
-    parsed = _parsed(spark, path, schema)
-    checked = parsed.where(F.when(F.col("_broken"), F.raise_error(F.concat(F.lit("corrupt line: "), F.substring("value", 1, 2000))).cast("boolean")).otherwise(True))
-    return checked.select(*[F.col("_row")[f.name].alias(f.name) for f in schema.fields], *([PLACE] if place else []))
+    check_lines(spark, path, schema)
+    judged = _judged(_lines(spark, path), schema)
+    broke = F.raise_error(F.concat(F.lit("corrupt line in "), F.col(PLACE)["file"], F.lit(": "), F.substring("value", 1, SAMPLE))).cast("boolean")
+    checked = judged.where(F.when(F.col("_broken") | (F.size(MISTYPED) > 0), broke).otherwise(True))
+    return checked.select(*_columns(schema), *([PLACE] if place else []))
+
 
+def scan_tolerant(spark: SparkSession, path: str, schema: StructType, place: bool = False, required: tuple[str, ...] = ()) -> DataFrame:
+    """As the strict scan, but lines that are broken, or lack a required field in its type, keep their text in ``_corrupt_record``.
 
-def scan_tolerant(spark: SparkSession, path: str, schema: StructType, place: bool = False) -> DataFrame:
-    """As the strict scan, but broken lines stay as rows with their text in ``_corrupt_record``."""
+    A mistyped field that is not required is NULL, and its line counts.
+    """
     wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     if not exists(spark, path):
         return _empty(spark, wide, place)
-    rows = spark.read.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    return rows.select("*", _place()) if place else rows
+    lacking = F.col("_broken")
+    for name in required:
+        lacking = lacking | F.col("_row")[name].isNull()
+    return _judged(_lines(spark, path), schema).select(*_columns(schema), F.when(lacking, F.col("value")).alias(CORRUPT), *([PLACE] if place else []))
 
 
 def scan_whole(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """As the tolerant scan, but each line is judged whole, whichever columns are asked for later."""
-    wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    """As the tolerant scan, with the names of mistyped fields in ``_mistyped``: a rule of the record can judge them."""
+    wide = StructType([*schema.fields, StructField(CORRUPT, StringType()), StructField(MISTYPED, ArrayType(StringType()))])
     if not exists(spark, path):
         return spark.createDataFrame([], wide)
-    line = F.when(F.col("_broken"), F.col("value")).alias(CORRUPT)
-    return _parsed(spark, path, schema).select(*[F.col("_row")[f.name].alias(f.name) for f in schema.fields], line)
+    return _judged(_lines(spark, path), schema).select(*_columns(schema), F.when(F.col("_broken"), F.col("value")).alias(CORRUPT), MISTYPED)
 
 
 def torn_tail(spark: SparkSession, path: str) -> DataFrame:
@@ -100,10 +195,9 @@ def key_index_of(spark: SparkSession, path: str, schema: StructType) -> DataFram
     """Ids stored in files. The last line of a file may be broken, as a write that was cut short leaves it; another one is an error."""
     if not exists(spark, path):
         return key_index(spark.createDataFrame([], schema))
-    parsed = _parsed(spark, path, schema)
-    ends = parsed.groupBy(F.col(f"{PLACE}.file").alias("file")).agg(
-        F.max(PLACE).alias("last"), F.min_by(F.struct(PLACE, "value"), F.when(F.col("_broken"), F.col(PLACE))).alias("first_broken")
-    )
-    for r in ends.where(f"first_broken.{PLACE} < last").select("file", "first_broken.value").head(1):
-        raise ValueError(f"broken line before the end of {r[0]}: {r[1][:2000]}")
-    return key_index(parsed.where("not _broken").select("_row.*"))
+    lines = _lines(spark, path)
+    ends = _starts(lines, F.count(F.lit(1)).alias("here")).groupBy("file").agg(F.max(F.col("before") + F.col("here")).alias("last"))
+    early = broken_lines(spark, path, schema, strict=False).join(ends, "file").where("number < last")
+    for r in early.orderBy("file").head(1):
+        raise CorruptLine(r["file"], r["number"], r["value"][:SAMPLE])
+    return key_index(_judged(lines, schema).where("not _broken").select("_row.*"))

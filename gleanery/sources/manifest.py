@@ -22,13 +22,12 @@ def is_whole(columns: tuple[str, ...] = REQUIRED):
 
 
 def manifest_scan(spark: SparkSession, path: str, required: tuple[str, ...] = REQUIRED) -> tuple[DataFrame, DataFrame]:
-    """Valid entries with their place in the files, and the malformed ones.
+    """Valid entries with their place in the files, and the malformed ones: no JSON, or a required field is missing or of another type.
 
     The report asks for all of ``REQUIRED``; a plan can use an entry that names record, document and file (``NAMED``).
     """
-    scanned = scan_tolerant(spark, path, MANIFEST_SCHEMA, place=True)
-    whole = is_whole(required) & F.col(CORRUPT).isNull()
-    return scanned.where(whole).drop(CORRUPT), scanned.where(~whole)
+    scanned = scan_tolerant(spark, path, MANIFEST_SCHEMA, place=True, required=required)
+    return scanned.where(F.col(CORRUPT).isNull()).drop(CORRUPT), scanned.where(F.col(CORRUPT).isNotNull())
 
 
 def queue_scan(spark: SparkSession, path: str) -> DataFrame:

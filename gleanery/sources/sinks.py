@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -10,11 +10,34 @@ from gleanery.operators.keep import first_occurrence
 from gleanery.sources.paths import children, exists, file_system, scratch_dir
 
 
+BUCKETS = 32
+OF = "of_"  # a stored table's partition column: of_<number of buckets>
+
+
+def bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def buckets_of(spark: SparkSession, path: str) -> int | None:
+    """How many buckets the stored table was made with; None where there is none, or one without buckets."""
+    made = {int(n.split("=")[0][len(OF):]) for n in children(spark, path) if n.startswith(OF)}
+    return min(made) if made else None
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """An appended table; no folder is no rows."""
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def stored_ids(spark: SparkSession, path: str, only: list[int]) -> DataFrame:
+    """Ids stored in the buckets given: a filter on the partition column, so other buckets' files are not opened."""
+    n = buckets_of(spark, path)
+    if n is None or not only:
+        return spark.createDataFrame([], "id string")
+    ids = spark.read.schema(f"id string, {OF}{n} int").parquet(path)
+    return ids.where(F.col(f"{OF}{n}").isin(only)).select("id")
 
 
 def new_records(incoming: DataFrame, stored: DataFrame, order: list[str] | None = None) -> DataFrame:
@@ -26,10 +49,21 @@ def new_records(incoming: DataFrame, stored: DataFrame, order: list[str] | None
     return first.join(stored.select("id").distinct(), "id", "left_anti")
 
 
-def append_new_records(incoming: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """Append the new records of a batch. A second run of the same batch appends nothing."""
-    fresh = new_records(incoming, read_table(incoming.sparkSession, path, incoming.schema), order)
-    fresh.select(*incoming.columns).write.mode("append").parquet(path)
+def append_new_records(incoming: DataFrame, path: str, order: list[str] | None = None, buckets: int = BUCKETS) -> None:
+    """Append the new records of a batch. A second run of the same batch appends nothing.
+
+    Records are stored in buckets of their id's hash, in order of the id, and a batch reads the ids of the buckets that its own
+    ids fall into: a small one looks at few files, whatever is stored. The table keeps the number of buckets that it was
+    made with; give more to a table that will be large. Records and their ids are one write, so a job that dies between leaves no gap.
+    """
+    spark = incoming.sparkSession
+    n = buckets_of(spark, path) or buckets
+    # The batch is looked at three times (its buckets, the join, the write), and may be costly to derive.
+    first = settle(first_occurrence(incoming, "id", [F.col(c) for c in (order or ["indice"])]).withColumn(f"{OF}{n}", bucket(F.col("id"), n)), "batch")
+    touched = [r[0] for r in first.select(f"{OF}{n}").distinct().collect()]  # at most the number of buckets
+    fresh = first.join(stored_ids(spark, path, touched), "id", "left_anti").select(*incoming.columns, f"{OF}{n}")
+    ordered = fresh.repartition(f"{OF}{n}").sortWithinPartitions(f"{OF}{n}", "id")
+    ordered.write.mode("append").partitionBy(f"{OF}{n}").parquet(path)
 
 
 def append_if_any(rows: DataFrame, path: str) -> bool:

@@ -67,6 +67,21 @@ def _typed_id() -> Column:
     return identity.typed_id(*[F.col(f) for f in fields])
 
 
+@dataclass(frozen=True)
+class Check:
+    """A check that a source brings along, as column expressions over its records.
+
+    With ``rule``, every valid record for which it is true is a case, shown as ``label``. With ``key``, every further record of a key is
+    one, and keys are shown. NULL is no case and no key. The report counts them in the jobs that count everything else."""
+
+    name: str
+    words: str
+    rule: Callable[[], Column] | None = None
+    key: Callable[[], Column] | None = None
+    label: Callable[[], Column] = lambda: F.col("id")
+    level: str = "error"
+
+
 @dataclass(frozen=True)
 class SourceSpec:
     """Everything the jobs need to know of a source. Rules and names are column expressions,
@@ -81,6 +96,7 @@ class SourceSpec:
     literal_source: str | None = None  # the only value of ``fuente``, where one is fixed
     blank_rules: dict[str, Callable[[], Column]] = field(default_factory=dict)
     has_year: bool = False
+    checks: tuple[Check, ...] = ()  # of this source alone, after those that every source has
 
     def issues(self) -> Column:
         """List of ``field: rule`` messages; empty for a valid record."""

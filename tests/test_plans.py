@@ -202,3 +202,18 @@ def test_numbering_per_page(spark):
     found = drift.page_findings(lost, spark.createDataFrame([], ROW_DDL), numbered_per_page=True)
     assert sorted((r["numero"], r["kind"]) for r in found.collect()) == [(1, "sin-iterador"), (1, "sin-total"), (2, "sin-filas")]
     assert sorted((r["numero"], r["kind"]) for r in drift.first_sign(found).collect()) == [(1, "sin-iterador"), (2, "sin-filas")]
+
+
+def test_pages_that_a_limit_cuts(spark):
+    from gleanery.plans import downloads
+
+    states = ["present", "pending", "pending", "no-document", "pending", "shared", "pending", "pending"]
+    plan = spark.createDataFrame([(f"r{i}", i, i // 3 + 1, s) for i, s in enumerate(states)], "id string, indice bigint, pagina bigint, state string").repartition(3)
+
+    def pages(n):
+        return [tuple(r) for r in downloads.pages_reached(downloads.reached(plan, n)).orderBy("pagina").collect()]
+
+    assert pages(3) == [(1, 3, 2, True, True), (2, 2, 1, False, True)]
+    assert pages(2) == [(1, 3, 2, True, True)]  # the limit is met where a page ends: the page is complete, the next one not begun
+    assert pages(5) == [(1, 3, 2, True, False), (2, 3, 1, True, False), (3, 2, 2, True, False)]  # met by the very last row
+    assert pages(0) == [] and downloads.reached(plan.limit(0), 3).count() == 0

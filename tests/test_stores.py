@@ -44,6 +44,9 @@ def test_key_index_of_files(spark, tmp_path):
     bad.write_text('{"id":"a"}\nbroken\n{"id":"b"}\n')
     with pytest.raises(ValueError, match="broken"):
         jsonl.key_index_of(spark, str(bad), ROW)
+    ends = tmp_path / "ends.jsonl"
+    ends.write_text('{"id":"a"}\n\n{"id":"b"}\n{"id":"cor')
+    assert sorted(r["id"] for r in jsonl.key_index_of(spark, str(ends), ROW).collect()) == ["a", "b"]
     assert jsonl.key_index_of(spark, str(tmp_path / "none"), ROW).count() == 0
 
 
@@ -254,11 +257,160 @@ def test_stream_health(spark, tmp_path):
     data = [(T0 + dt.timedelta(minutes=20 * i), "throttled" if i % 3 == 0 else "ok", float(i)) for i in range(9)]
     spark.createDataFrame(data, log).write.parquet(src)
     hourly = jobs.health(jobs.arriving(spark, src, spark.createDataFrame([], log).schema, "parquet"))
-    jobs.finished_stream(hourly, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    got = sinks.read_table(spark, str(tmp_path / "out"), hourly.schema).orderBy("start").collect()
-    assert [(r["requests"], r["ok"], r["throttled"], r["p50_approx"]) for r in got] == [(3, 2, 1, 1.0)]  # the next hours are not past by an hour
+    out, landed = str(tmp_path / "out"), lambda: spark.read.parquet(src)
+    want = [(3, 2, 1, 1.0), (3, 2, 1, 4.0), (3, 2, 1, 7.0)]
+
+    def found(windows):
+        return [(r["requests"], r["ok"], r["throttled"], r["p50_approx"]) for r in jobs.with_percentiles(windows).orderBy("start").collect()]
+
+    assert found(jobs.health_now(spark, out, landed())) == want  # before any run of the stream
+    jobs.finished_stream(hourly, out, str(tmp_path / "cp")).awaitTermination()
+    assert found(spark.read.parquet(out)) == want[:1]  # the next hours are not past by an hour
+    assert found(jobs.health_now(spark, out, landed())) == want
+    assert found(jobs.health_spans(jobs.health_now(spark, out, landed()), "1 day")) == [(9, 6, 3, 4.0)]
     more = [(T0 + dt.timedelta(hours=5), "ok", 1.0)]
     spark.createDataFrame(more, log).write.mode("append").parquet(src)
-    jobs.finished_stream(hourly, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    got = sinks.read_table(spark, str(tmp_path / "out"), hourly.schema).orderBy("start").collect()
-    assert [(r["requests"], r["ok"], r["throttled"], r["p50_approx"]) for r in got] == [(3, 2, 1, 1.0), (3, 2, 1, 4.0), (3, 2, 1, 7.0)]
+    jobs.finished_stream(hourly, out, str(tmp_path / "cp")).awaitTermination()
+    assert found(spark.read.parquet(out)) == want
+    assert found(jobs.health_now(spark, out, landed())) == [*want, (1, 1, 0, 1.0)]
+
+
+def test_merged_sketches_stay_within_their_error(spark):
+    log = spark.range(60_000).select((F.lit(T0).cast("timestamp") + F.make_interval(secs=F.col("id") % 86_400)).alias("ts"), F.lit("ok").alias("outcome"), (F.pmod(F.xxhash64("id"), F.lit(10_000)) / 7).alias("latency_ms"))
+    hours = jobs._health(log, "1 hour")
+    r = jobs.with_percentiles(jobs.health_spans(hours, "1 day")).select("requests", "p50_approx", "p95_approx").first()
+    values = sorted(x[0] for x in log.select("latency_ms").collect())
+    for share, got in ((0.5, r["p50_approx"]), (0.95, r["p95_approx"])):
+        assert values[int(60_000 * (share - 2 * jobs.RANK_ERROR))] <= got <= values[min(59_999, int(60_000 * (share + 2 * jobs.RANK_ERROR)))]
+
+
+def test_state_of_a_run_is_let_go(spark, tmp_path):
+    """Copies over several batches and runs; the state holds one run's ids only."""
+    src, seen = str(tmp_path / "in"), schema(run=COUNT, id=TEXT, ends=TIME)
+    sizes = []
+    for run in range(3):
+        for part in range(2):
+            rows_ = [(run, f"k{i}", T0 + dt.timedelta(days=run)) for i in range(part, 20)]
+            spark.createDataFrame(rows_, seen).write.mode("append").parquet(src)
+        first = jobs.dedup_run_stream(jobs.arriving(spark, src, seen, "parquet", files_per_batch=3), "run", "ends")
+        q = first.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(str(tmp_path / "out"))
+        q.awaitTermination()
+        sizes.append(q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"])
+    got = sorted((r["run"], r["id"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == sorted((run, f"k{i}") for run in range(3) for i in range(20))
+    assert sizes[0] == 20 and max(sizes[1:]) <= 40 and sizes[-1] < 60
+
+
+def test_generations(spark, tmp_path):
+    """Read until a whole reading has met one total; a run cut short goes on with its generation."""
+    state, log = str(tmp_path / "state"), []
+    declared = {1: [10, 11], 2: [11, 12], 3: [12, 12]}
+
+    def read(number, total):
+        log.append((number, total))
+        for t in declared[number]:
+            if t != total:
+                raise jobs.TotalChanged(t)
+
+    assert jobs.in_generations(spark, state, 10, read) == (3, 12) and log == [(1, 10), (2, 11), (3, 12)]
+    assert jobs.in_generations(spark, state, 12, read) == (3, 12)  # nothing new is asked for
+    declared[4] = [13]
+    assert jobs.in_generations(spark, state, 13, read) == (4, 13)
+    other = str(tmp_path / "other")
+    with pytest.raises(ZeroDivisionError):
+        jobs.in_generations(spark, other, 10, lambda n, t: read(n, t) if n == 1 else 1 / 0)
+    log.clear()
+    assert jobs.in_generations(spark, other, 10, read) == (3, 12) and log[0] == (2, 11)
+    with pytest.raises(jobs.TotalChanged):
+        jobs.in_generations(spark, str(tmp_path / "never"), 0, lambda n, t: (_ for _ in ()).throw(jobs.TotalChanged(t + 1)), restarts=3)
+    assert jobs.TotalChanged.within(RuntimeError("x TotalChanged: declared total changed to 17 y")).total == 17
+
+
+def test_streams_and_downloads_in_generations(spark, tmp_path):
+    wide = schema(id=TEXT, indice=COUNT, capturadoEn=TIME, descargadoEn=TIME, total=COUNT)
+    for number, totals in ((1, (7, 8)), (2, (8, 8))):
+        for i, total in enumerate(totals):
+            spark.createDataFrame([(f"k{i}", i, T0, T0, total)], wide).write.mode("append").json(str(tmp_path / f"in{number}"))
+    rows_of = lambda n: jobs.arriving(spark, str(tmp_path / f"in{n}"), wide, files_per_batch=1)
+    records, state = str(tmp_path / "records"), str(tmp_path / "state")
+    assert jobs.ingest_generations(spark, rows_of, records, state, 7, "total") == (2, 8)
+    assert sorted(r["id"] for r in sinks.read_table(spark, records, wide).collect()) == ["k0", "k1"]
+    assert paths.children(spark, f"{state}/stream") == ["2"]
+    landed = lambda n: spark.read.schema(wide).json(str(tmp_path / f"in{n}"))
+    noted = str(tmp_path / "manifest")
+    assert jobs.download_generations(spark, landed, noted, str(tmp_path / "s2"), 7, "total") == (2, 8)
+    assert sinks.read_table(spark, noted, wide).count() == 2
+
+
+LINE = '{{"id":"k{}","indice":{}}}\n'
+
+
+def test_line_numbers_over_splits(spark, tmp_path):
+    """Blank lines count; numbers and the first broken line are the same for any size of splits."""
+    a, b = tmp_path / "a.jsonl", tmp_path / "b.jsonl"
+    a.write_text("".join(LINE.format(i, i) + ("\n" if i % 7 == 0 else "") for i in range(900)))
+    text = [LINE.format(i, i) for i in range(900)]
+    text[611] = '{"id":"k","indice":1}{"id":"glued"}\n'
+    text[700] = "no json\n"
+    b.write_text("\n".join(text))
+    want = {(f.name, n, v) for f in (a, b) for n, v in enumerate(f.read_text().split("\n")[:-1], 1)}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1k", "7k", "1g"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = {(r["file"].rsplit("/", 1)[1], r["number"], r["value"]) for r in jsonl.numbered(spark, str(tmp_path)).collect()}
+            assert got == want
+            with pytest.raises(jsonl.CorruptLine, match="glued") as e:
+                jsonl.scan_strict(spark, str(tmp_path), ROW)
+            assert e.value.number == 2 * 611 + 1 and e.value.file.endswith("b.jsonl")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "x.jsonl").write_text('{"id":"a"}\nesto no\n{"id":"c"}\n')
+    with pytest.raises(jsonl.CorruptLine) as e:
+        jsonl.scan_strict(spark, str(tmp_path / "c"), ROW)
+    assert (e.value.number, e.value.sample) == (2, "esto no")
+    assert jsonl.numbered(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_verdict_by_field(spark, tmp_path):
+    """The same rows whatever is selected: a mistyped optional field is NULL, a mistyped required one rejects."""
+    p = tmp_path / "m.jsonl"
+    whole = '"documentoUuid":"u","archivo":"f","bytes":1,"sha256":"h"'
+    lines = [f'{{"id":"a",{whole},"pagina":"zz"}}', f'{{"id":5,{whole}}}', f'{{"id":"b",{whole},"pagina":3}}', f'{{"id":"c",{whole}}}{{"id":"d",{whole}}}',
+             f'{{"id":"e",{whole.replace("1", chr(34) + "1" + chr(34))}}}', f'{{"id":"f","id":"g",{whole}}}', "null", "[1]", f'{{"id":"h",{whole},"nombreServidor":7}}', f'{{"id":"i",{whole}']
+    p.write_text("\n".join(lines) + "\n")
+    for columns in (["id"], ["pagina"], ["id", "pagina"], []):
+        valid, broken = manifest.manifest_scan(spark, str(p))
+        assert valid.select(*columns).count() == 4 and broken.select(*columns).count() == 6
+    valid, _ = manifest.manifest_scan(spark, str(p))
+    got = {r["id"]: (r["pagina"], r["nombreServidor"]) for r in valid.collect()}
+    assert got in ({"a": (None, None), "b": (3, None), "g": (None, None), "h": (None, None)}, {"a": (None, None), "b": (3, None), "f": (None, None), "h": (None, None)})
+
+
+def test_a_small_batch_reads_one_bucket(spark, tmp_path):
+    path = str(tmp_path / "records")
+    sinks.append_new_records(rows(spark, *[(f"k{i}", i) for i in range(300)]), path, buckets=16)
+    assert sinks.buckets_of(spark, path) == 16 and len([n for n in paths.children(spark, path) if n.startswith("of_16=")]) == 16
+    one = spark.createDataFrame([("k7",)], "id string").select(sinks.bucket(F.col("id"), 16)).first()[0]
+    stored = sinks.stored_ids(spark, path, [one])
+    stored.collect()
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(of_16" in plan and f"= {one})" in plan
+    assert 0 < stored.count() < 60 and stored.where("id = 'k7'").count() == 1
+    sinks.append_new_records(rows(spark, ("k7", 7), ("new", 1)), path)  # the table keeps its number of buckets
+    got = sinks.read_table(spark, path, ROW)
+    assert got.columns == ["id", "indice"] and got.count() == 301 and sinks.buckets_of(spark, path) == 16
+    assert sinks.stored_ids(spark, path, []).count() == 0 and sinks.stored_ids(spark, str(tmp_path / "none"), [1]).count() == 0
+
+
+def test_gaps_as_intervals(spark):
+    from gleanery.operators.positions import missing_intervals, missing_positions, missing_total
+
+    far = spark.createDataFrame([(0,), (2,), (3,), (3 * 10**15,), (-4,)], "p bigint")
+    gaps = missing_intervals(far, "p")
+    assert sorted(tuple(r) for r in gaps.collect()) == [(1, 1), (4, 3 * 10**15 - 1)] and missing_total(gaps) == 3 * 10**15 - 3
+    wide = spark.createDataFrame([(5,), (25_000,), (310_000,)], "p bigint")
+    missing = missing_positions(wide, "p")
+    assert missing.count() == 310_001 - 3 == missing.distinct().count() and missing.agg(F.max("p")).first()[0] == 309_999
+    assert missing_total(missing_intervals(far.where("p < 0"), "p")) == 0 and missing_positions(far.where("p < 0"), "p").count() == 0

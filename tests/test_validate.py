@@ -195,9 +195,40 @@ def test_report_over_files(spark, tmp_path):
     (tmp_path / "typed.scrape.checkpoint.json").write_text('{"fuente":"typed","tarea":"scrape","pageSize":10,"total":4,"ultimaPagina":1,"completo":false,"registros":3,"actualizadoEn":"2024-01-01T00:00:00Z"}')
     report, notes = validate_files(spark, TYPED, 10, p)
     got = {r["check"]: (r["level"], r["n"]) for r in report.collect()}
-    assert got["jsonl-ilegible"] == ("error", 2) and got["manifiesto-invalido"] == ("error", 2)
+    assert got["jsonl-ilegible"] == ("error", 1) and got["esquema"] == ("error", 1)  # a position of another type is JSON all the same
+    assert got["manifiesto-invalido"] == ("error", 2)
     assert got["cobertura"] == ("ok", 0) and got["indices-ausentes"] == ("aviso", 1)
     assert got["dlq-pendientes"][0] == "no-evaluable" and len(notes) == 1 and "queue" in notes[0]
     (tmp_path / "typed.scrape.checkpoint.json").write_text('{"fuente":"","total":-1}')
     report, notes = validate_files(spark, TYPED, 10, p)
     assert {r["check"]: r["level"] for r in report.collect()}["cobertura"] == "no-evaluable" and any("checkpoint" in n for n in notes)
+    # The documents' folder is looked at; what is no fault of a file's content ends the report.
+    import hashlib
+
+    (tmp_path / "typed").mkdir()
+    (tmp_path / "typed" / "f").write_bytes(b"abc")
+    entry = '{{"id":"a","documentoUuid":"d","archivo":"{}","bytes":{},"sha256":"{}"}}\n'
+    (tmp_path / "typed.descargas.jsonl").write_text(entry.format("f", 3, hashlib.sha256(b"abd").hexdigest()) + entry.format("gone", 1, "x"))
+    by_size, _ = validate_files(spark, TYPED, 10, p)
+    by_hash, _ = validate_files(spark, TYPED, 10, p, hashed=True)
+    disk = [{r["check"]: (r["level"], r["n"]) for r in x.collect()} for x in (by_size, by_hash)]
+    assert [d["archivo-ausente"] for d in disk] == [("error", 1)] * 2 and [d["tamano-distinto"] for d in disk] == [("ok", 0)] * 2
+    assert [d["hash-distinto"] for d in disk] == [("no-evaluable", 0), ("error", 1)]
+    assert not v.unreadable(OSError("disk full")) and not v.unreadable(RuntimeError("executor lost"))
+
+
+def test_checks_of_a_source(spark):
+    from dataclasses import replace
+
+    from gleanery.sources.spec import Check
+
+    own = replace(TYPED, checks=(
+        Check("a", "odd positions", rule=lambda: F.col("indice") % 2 == 1, label=lambda: F.concat(F.lit("p"), "indice")),
+        Check("b", "sectors repeat", key=lambda: F.col("sector"), level="aviso"),
+        Check("c", "nothing", rule=lambda: F.lit(None).cast("boolean")),
+    ))
+    df = spark.createDataFrame([record(i, id=f"id{i:020d}", sector=f"S{min(i, 3)}") for i in range(6)] + [record(6, id="")], TYPED_SCHEMA)
+    rows = v.dataset_findings(df, own, 10).collect()
+    got = {r["check"]: (r["level"], r["n"], r["samples"]) for r in rows}
+    assert got["a"] == ("error", 3, ["p1", "p3", "p5"]) and got["b"] == ("aviso", 2, ["S3"]) and got["c"] == ("ok", 0, [])
+    assert [r["check"] for r in rows][-3:] == ["a", "b", "c"] and len(rows) == 17

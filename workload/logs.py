@@ -132,7 +132,7 @@ def _(spark, sf):
 
 @query(
     "total_change",
-    f"""WITH {S.LOG}, s AS (SELECT session AS run_id, event_id, k // 20 AS total, lag(k // 20) OVER (PARTITION BY session ORDER BY ts, event_id) AS previous FROM log WHERE request = 'signup')
+    f"""WITH {S.LOG}, s AS (SELECT session AS run_id, event_id, k // 20 AS total, lag(k // 20) OVER (PARTITION BY session ORDER BY ts, event_id) AS previous FROM log)
       SELECT run_id, event_id, CAST(total AS BIGINT) AS total, CAST(previous AS BIGINT) AS previous FROM s WHERE total <> previous""",
 )
 def _(spark, sf):
@@ -171,7 +171,7 @@ def _(spark, sf):
 
 def _reconcile(spark, sf, complete):
     q = T.queue(spark, sf)
-    old, new = q.where("hour(ultimoTs) < 12"), q.where("hour(ultimoTs) >= 12 and tipo = 'pdf' and intentos >= 3")
+    old, new = q.where("hour(ultimoTs) < 12"), q.where("hour(ultimoTs) >= 12")
     resolved = q.where("error = 'documento-magic' and intentos = 2").select("id")
     return retry.reconcile(retry.collapse(old), new, resolved, complete, F.expr("timestamp_ntz'2030-01-01 00:00:00'"))
 
@@ -180,7 +180,7 @@ def _reconcile_sql(complete):
     rest = "error, intentos" if not complete else "'no-encontrado' AS error, intentos + 1 AS intentos"
     when = "ultimoTs" if not complete else "TIMESTAMP '2030-01-01' AS ultimoTs"
     last = "QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1"
-    return f"""WITH {S.QUEUE}, old AS (SELECT * FROM queue WHERE hour(ultimoTs) < 12 {last}), new AS (SELECT * FROM queue WHERE hour(ultimoTs) >= 12 AND tipo = 'pdf' AND intentos >= 3 {last}),
+    return f"""WITH {S.QUEUE}, old AS (SELECT * FROM queue WHERE hour(ultimoTs) < 12 {last}), new AS (SELECT * FROM queue WHERE hour(ultimoTs) >= 12 {last}),
       resolved AS (SELECT id FROM queue WHERE error = 'documento-magic' AND intentos = 2), pending AS (SELECT * FROM old WHERE tipo = 'pdf' AND intentos < 5)
       SELECT id, error, intentos, ultimoTs FROM new WHERE id IN (SELECT id FROM pending)
       UNION ALL SELECT id, {rest}, {when} FROM pending WHERE id NOT IN (SELECT id FROM new) AND id NOT IN (SELECT id FROM resolved)

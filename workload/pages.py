@@ -169,11 +169,11 @@ def _(spark, sf):
 _LINKS = "SELECT page_id, regexp_extract(h, 'href=\"([^\"]*)\"', 1) AS href FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a\\s[^>]*href=\"[^\"]*\"[^>]*>')) AS h FROM pages)"
 
 
-@query("page_links", f"SELECT page_id, count(*) AS n, string_agg(DISTINCT href, ' ' ORDER BY href) AS hrefs FROM ({_LINKS}) GROUP BY page_id")
+@query("page_links", f"SELECT page_id, count(href) AS n, coalesce(string_agg(DISTINCT href, ' ' ORDER BY href), '') AS hrefs FROM pages LEFT JOIN ({_LINKS}) USING (page_id) GROUP BY page_id")
 def _(spark, sf):
     p = extract.page_parts(T.table(spark, sf, "pages"), "html", ["controls"])
     links = F.transform(F.filter("controls", lambda c: (c["tag"] == "a") & c["href"].isNotNull()), lambda c: c["href"])
-    return p.select("page_id", F.size(links).cast("bigint").alias("n"), F.array_join(F.array_sort(F.array_distinct(links)), " ").alias("hrefs")).where("n > 0")
+    return p.select("page_id", F.size(links).cast("bigint").alias("n"), F.array_join(F.array_sort(F.array_distinct(links)), " ").alias("hrefs"))
 
 
 @query("pages_scan", "SELECT page_id, url, CAST(length(html) AS INT) AS chars FROM pages")

@@ -1,14 +1,18 @@
 """Checks, joins and plans over records, manifest and disk."""
 
+from dataclasses import replace
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gleanery.operators import findings as fnd
 from gleanery.operators.keep import first_occurrence, repeats
-from gleanery.operators.positions import missing_positions
+from gleanery.operators.positions import missing_intervals, missing_positions
 from gleanery.plans import downloads, drift, retry, validate
+from gleanery.sources.files import probe_hash
 from gleanery.sources.paths import scratch_dir
 from gleanery.sources.sinks import new_records, settle
-from gleanery.sources.spec import TYPED, default_paths
+from gleanery.sources.spec import TYPED, Check, default_paths
 from workload import sql as S
 from workload import tables as T
 from workload.registry import query
@@ -18,11 +22,13 @@ _AGG = "count(*) AS n"
 
 @query(
     "dataset_profile",
-    f"""WITH {S.RECORDS} SELECT count(*) AS lines, count(*) AS valid, CAST(0 AS BIGINT) AS invalid, count(DISTINCT id) AS distinct_ids,
-      max(indice) AS max_index, count(*) FILTER (pagina <> indice // 10 + 1) AS misplaced FROM records""",
+    f"""WITH {S.RECORDS} SELECT count(*) AS lines, count(*) FILTER (ok) AS valid, count(*) FILTER (NOT ok) AS invalid, count(DISTINCT id) FILTER (ok) AS distinct_ids,
+      max(indice) FILTER (ok) AS max_index, count(*) FILTER (ok AND pagina <> indice // 10 + 1) AS misplaced FROM (SELECT *, coalesce(quality, 1) = 1 AND n_chars % 11 > 0 AS ok FROM records)""",
 )
 def _(spark, sf):
-    return validate.dataset_profile(T.records(spark, sf), TYPED, 10)
+    """Records of low quality lost their id, some others their case."""
+    broken = {"id": F.expr("if(quality = 0, '', id)"), "expediente": F.expr("if(n_chars % 11 > 0, expediente, null)")}
+    return validate.dataset_profile(T.rich_records(spark, sf).withColumns(broken), TYPED, 10)
 
 
 @query("duplicate_ids", f"WITH {S.RECORDS} SELECT id, {_AGG} FROM records GROUP BY id HAVING count(*) > 1")
@@ -150,6 +156,16 @@ def _(spark, sf):
     return missing_positions(kept, "indice")
 
 
+@query(
+    "missing_intervals",
+    f"WITH {S.RECORDS}, kept AS (SELECT max(indice) AS indice FROM records GROUP BY id), far AS (SELECT indice FROM kept UNION ALL SELECT 3000000000000000) SELECT before + 1 AS first, indice - 1 AS last FROM (SELECT indice, lag(indice, 1, -1) OVER (ORDER BY indice) AS before FROM far) WHERE before + 1 < indice",
+)
+def _(spark, sf):
+    """Gaps as intervals; one record stands far beyond all others."""
+    kept = T.records(spark, sf).groupBy("id").agg(F.max("indice").alias("indice"))
+    return missing_intervals(kept.unionByName(spark.range(1).select(F.lit("stray").alias("id"), F.lit(3 * 10**15).alias("indice"))), "indice")
+
+
 @query("manifest_orphans", f"WITH {S.MANIFEST} SELECT id, count(*) AS n, min(indice) AS first_index FROM manifest WHERE id NOT IN (SELECT id FROM records) GROUP BY id")
 def _(spark, sf):
     return validate.manifest_orphans(T.manifest(spark, sf), T.records(spark, sf))
@@ -221,6 +237,17 @@ def _(spark, sf):
     return downloads.next_downloads(_plan(spark, sf), 25).select("indice", "id")
 
 
+@query(
+    "max_downloads_pages",
+    f"""WITH {_plan_sql(False)}, run AS (SELECT *, coalesce(sum(CASE WHEN state = 'pending' THEN 1 ELSE 0 END) OVER (ORDER BY indice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 25 AS reached FROM planned)
+      SELECT r.pagina, count(*) FILTER (r.reached) AS "rows", count(*) FILTER (r.reached AND r.state = 'pending') AS downloads, bool_and(r.reached) AS complete, (SELECT count(*) FROM run WHERE NOT reached) > 0 AS limit_met
+      FROM run r GROUP BY r.pagina HAVING count(*) FILTER (r.reached) > 0""",
+)
+def _(spark, sf):
+    """The pages that a run of 25 downloads gets to: the one it stops in is not complete."""
+    return downloads.pages_reached(downloads.reached(_plan(spark, sf), 25))
+
+
 @query("shared_download", f"WITH {S.RECORDS} SELECT indice, documentoUuid FROM records WHERE documentoUuid <> '' QUALIFY row_number() OVER (PARTITION BY documentoUuid ORDER BY indice) > 1")
 def _(spark, sf):
     return downloads.shared_downloads(T.records(spark, sf)).select("indice", "documentoUuid")
@@ -336,12 +363,16 @@ def _(spark, sf):
     return _report(spark, sf).drop("section_order").withColumn("samples", F.array_join("samples", ", "))
 
 
-_VALID = f"""{S.RECORDS}, lines AS (SELECT *, coalesce(toxic, 0) = 1 AS torn, coalesce(quality, 1) = 0 AS nameless FROM (SELECT * FROM records UNION ALL SELECT * FROM records WHERE n_chars % 13 = 0)),
+_VALID = f"""{S.MANIFEST}, lines AS (SELECT *, coalesce(toxic, 0) = 1 AS torn, coalesce(quality, 1) = 0 AS nameless FROM (SELECT * FROM records UNION ALL SELECT * FROM records WHERE n_chars % 13 = 0)),
   valid AS (SELECT * FROM lines WHERE NOT torn AND NOT nameless), docs2 AS (SELECT documentoUuid, count(*) AS n, count(DISTINCT expediente) > 1 OR count(DISTINCT resolucion) > 1 AS mixed FROM valid WHERE documentoUuid IS NOT NULL GROUP BY 1 HAVING count(*) > 1),
+  lastv AS (SELECT id, documentoUuid AS record_uuid FROM valid QUALIFY row_number() OVER (PARTITION BY id ORDER BY indice DESC) = 1),
+  e AS (SELECT *, indice % 7 = 0 AS gone, CASE WHEN indice % 7 = 0 THEN 'gone-' || (indice % 50) ELSE 'item-' || (indice % (SELECT count(*) FROM benchmark)) END AS file FROM manifest WHERE indice % 5 <> 1),
   f AS (SELECT (SELECT count(*) FROM lines WHERE torn) AS torn, (SELECT count(*) FROM lines WHERE NOT torn AND nameless) AS nameless, count(*) AS valid, count(*) - count(DISTINCT id) AS ids, count(*) - count(DISTINCT indice) AS places,
     count(*) FILTER (pagina <> indice // 10 + 1) AS misplaced, count(DISTINCT fuente) AS sources, max(indice) + 1 - count(DISTINCT indice) AS missing, (SELECT count(*) FROM documents) + 5 AS declared, max(indice) + 1 AS bound,
     count(*) FILTER (trim(sector) = '') AS blanks, count(*) FILTER (documentoUuid IS NOT NULL AND anioResolucion IS NULL) AS no_year, count(*) FILTER (documentoUuid IS NULL) AS no_doc, (SELECT count(*) FROM docs2) AS shared_n, (SELECT count(*) FROM docs2 WHERE mixed) AS mixed,
-    (SELECT count(*) FROM records WHERE labelled AND (doc_id % 5 = 1)) AS malformed, (SELECT count(*) FROM records WHERE labelled AND doc_id % 5 <> 1) AS entries FROM valid)"""
+    (SELECT count(*) FROM manifest WHERE indice % 5 = 1) AS malformed, (SELECT count(*) FROM e) AS entries, (SELECT count(DISTINCT id) FROM e) AS mids, (SELECT count(*) FROM e WHERE id NOT IN (SELECT id FROM valid)) AS orphans,
+    (SELECT count(*) FROM e JOIN lastv USING (id) WHERE e.documentoUuid IS DISTINCT FROM lastv.record_uuid) AS other, (SELECT count(*) FROM (SELECT file FROM e GROUP BY 1 HAVING count(*) > 1)) AS shared_f, (SELECT count(DISTINCT file) FROM e WHERE gone) AS absent,
+    (SELECT count(*) FROM e WHERE NOT gone AND indice % 11 = 0) AS sizes, (SELECT count(*) FROM e WHERE NOT gone AND indice % 13 = 0) AS hashes, (SELECT count(DISTINCT user_id) FROM events WHERE event_type = 'error') AS queued FROM valid)"""
 _FILE_CHECKS = " UNION ALL ".join(
     f"SELECT '{section}' AS section, {order} AS check_order, '{check}' AS \"check\", {level} AS level, CAST({n} AS BIGINT) AS n FROM f"
     for section, order, check, level, n in [
@@ -351,25 +382,62 @@ _FILE_CHECKS = " UNION ALL ".join(
         ("dataset", 9, "cobertura", "CASE WHEN bound = declared THEN 'ok' ELSE 'error' END", "declared - bound"), ("dataset", 10, "campos-vacios", _err("blanks"), "blanks"), ("dataset", 11, "anio-sin-parsear", _err("no_year"), "no_year"),
         ("dataset", 12, "sin-documento", "'ok'", "no_doc"), ("dataset", 13, "documento-compartido", "'ok'", "shared_n"), ("dataset", 14, "documento-compartido-heterogeneo", _err("mixed", "aviso"), "mixed"),
         ("documents", 1, "manifiesto-invalido", _err("malformed"), "malformed"), ("documents", 2, "manifiesto-vacio", "CASE WHEN entries > 0 THEN 'ok' ELSE 'aviso' END", "entries"),
+        ("documents", 3, "manifiesto-duplicado", _err("entries - mids"), "entries - mids"), ("documents", 4, "manifiesto-huerfano", _err("orphans"), "orphans"), ("documents", 5, "manifiesto-uuid", _err("other"), "other"),
+        ("documents", 6, "archivo-compartido", "'ok'", "shared_f"), ("documents", 7, "cobertura-descargas", "'ok'", "mids"), ("documents", 8, "archivo-ausente", _err("absent"), "absent"),
+        ("documents", 9, "tamano-distinto", _err("sizes"), "sizes"), ("documents", 10, "hash-distinto", _err("hashes"), "hashes"), ("documents", 11, "dlq-pendientes", _err("queued", "aviso"), "queued"),
     ]
 )
 
 
 @query("validate_files", f"WITH {_VALID} {_FILE_CHECKS}")
 def _(spark, sf):
-    """Files with torn lines, nameless records, lines that occur twice, entries without a hash, and a total in the resume state."""
+    """Files with torn lines, nameless records, lines that occur twice, entries without a hash, a total in the resume state, a queue, and a
+    folder of files, of which some are gone and some have another size or content than was noted. All 25 checks."""
     r = T.rich_records(spark, sf)
     lines = r.unionByName(r.where("n_chars % 13 = 0")).withColumn("id", F.expr("if(quality = 0, '', id)"))
     whole = F.to_json(F.struct(*T.RECORD))
     root = scratch_dir(spark, "files")
     paths = default_paths(root, "typed", "scrape")
     lines.select(F.when(F.col("toxic") == 1, F.substr(whole, F.lit(1), F.length(whole) - 3)).otherwise(whole).alias("value")).write.text(paths["records"])
-    entries = T.manifest(spark, sf).drop("seq").withColumn("sha256", F.expr("if(indice % 5 = 1, null, sha256)"))
+    items = T.table(spark, sf, "benchmark")
+    items.select(F.concat_ws(" ", "item_id", "text")).write.option("maxRecordsPerFile", 1).text(paths["documents"])
+    found = probe_hash(spark, paths["documents"]).withColumn("item", F.row_number().over(Window.orderBy("archivo")) - 1)  # a row per file
+    entries = T.manifest(spark, sf).drop("seq", "archivo", "bytes", "sha256").withColumn("item", F.col("indice") % items.count())
+    entries = entries.join(found, "item").drop("item").withColumns({
+        "archivo": F.expr("if(indice % 7 = 0, concat('gone-', indice % 50), archivo)"),
+        "bytes": F.expr("if(indice % 11 = 0, bytes + 1, bytes)"),
+        "sha256": F.expr("case when indice % 5 = 1 then null when indice % 13 = 0 then reverse(sha256) else sha256 end"),
+    })
     entries.write.json(paths["manifest"])
+    T.queue(spark, sf).write.json(paths["queue"])
     state = spark.range(1).select(F.lit("typed").alias("fuente"), F.lit("scrape").alias("tarea"), F.lit(10).alias("pageSize"), F.lit(T.table(spark, sf, "documents").count() + 5).alias("total"), F.lit(1).alias("ultimaPagina"), F.lit(False).alias("completo"), F.lit(1).alias("registros"), F.lit("2024-01-01T00:00:00.000Z").alias("actualizadoEn"))
     state.write.json(paths["checkpoint"])
-    report, _ = validate.validate_files(spark, TYPED, 10, paths)
-    return report.where("section = 'dataset' or check_order <= 2").select("section", "check_order", "check", "level", "n")
+    report, notes = validate.validate_files(spark, TYPED, 10, paths, hashed=True)
+    assert not notes, notes
+    return report.select("section", "check_order", "check", "level", "n")
+
+
+_OWN = replace(
+    TYPED, name="own", checks=(
+        Check("fallo-sin-caso", "rulings do not name their case", rule=lambda: F.split_part("resolucion", F.lit("-"), F.lit(1)) != F.split_part("expediente", F.lit("-"), F.lit(2)), label=lambda: F.col("resolucion")),
+        Check("caso-repetido", "records repeat a case", key=lambda: F.col("expediente"), level="aviso"),
+        Check("parte-larga", "records of a source name a long unit", rule=lambda: F.length("unidadFiscalizable") + F.length("fuente") > 6),
+    ),
+)
+
+
+@query(
+    "own_checks",
+    f"""WITH {S.RECORDS}, r AS (SELECT *, CASE WHEN doc_id % 17 = 0 THEN 'x' || resolucion ELSE resolucion END AS ruling FROM records) SELECT 15 AS check_order, 'fallo-sin-caso' AS "check", 'error' AS level, count(*) AS n,
+        array_to_string(list(ruling ORDER BY indice)[:5], ', ') AS samples FROM r WHERE split_part(ruling, '-', 1) <> split_part(expediente, '-', 2)
+      UNION ALL SELECT 16, 'caso-repetido', 'aviso', (SELECT count(*) - count(DISTINCT expediente) FROM r), (SELECT array_to_string(list(expediente ORDER BY first_at, expediente)[:5], ', ') FROM (SELECT expediente, min(indice) AS first_at FROM r GROUP BY 1 HAVING count(*) > 1))
+      UNION ALL SELECT 17, 'parte-larga', CASE WHEN count(*) > 0 THEN 'error' ELSE 'ok' END, count(*), coalesce(array_to_string(list(id ORDER BY indice)[:5], ', '), '') FROM r WHERE length(lang) + length(fuente) > 6""",
+)
+def _(spark, sf):
+    """A third source with checks of its own: a rule on rows, a set key, and a rule that nothing breaks or everything."""
+    r = T.rich_records(spark, sf).withColumn("resolucion", F.expr("if(doc_id % 17 = 0, concat('x', resolucion), resolucion)"))
+    report = validate.dataset_findings(r.select(*T.RECORD), _OWN, 10)
+    return report.where("check_order >= 15").select("check_order", "check", "level", "n", F.array_join("samples", ", ").alias("samples"))
 
 
 @query("level_counts", f"WITH {_FACTS}, report AS ({_REPORT}) SELECT count(*) FILTER (level = 'error') AS errors, count(*) FILTER (level = 'aviso') AS warnings, count(*) FILTER (level = 'ok') AS ok, count(*) FILTER (level = 'no-evaluable') AS not_evaluable, count(*) FILTER (level = 'error') > 0 AS failed FROM report")

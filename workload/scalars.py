@@ -50,21 +50,21 @@ def _(spark, sf):
     return T.table(spark, sf, "documents").select("doc_id", text.slug(F.col("text")).alias("slug"))
 
 
-@query("document_file_name", f"WITH {S.RECORDS} SELECT indice, archivo FROM records WHERE labelled")
+@query("document_file_name", f"WITH {S.RECORDS} SELECT indice, archivo FROM records")
 def _(spark, sf):
-    r = T.rich_records(spark, sf).where("labelled")
-    return r.select("indice", TYPED.file_name().alias("archivo"))
+    """A record without a document has no file."""
+    return T.rich_records(spark, sf).select("indice", F.when(F.col("documentoUuid").isNotNull(), TYPED.file_name()).alias("archivo"))
 
 
 @query(
     "file_name_policy",
     f"""WITH {S.RECORDS} SELECT indice, CASE WHEN lang = 'en' THEN archivo
-      ELSE documentoUuid || coalesce('_' || nullif({S.slug(S.ws('text'))}, ''), '') || '.pdf' END AS archivo FROM records WHERE labelled""",
+      ELSE documentoUuid || coalesce('_' || nullif({S.slug(S.ws('text'))}, ''), '') || '.pdf' END AS archivo FROM records""",
 )
 def _(spark, sf):
-    r = T.rich_records(spark, sf).where("labelled").withColumn("texto", text.normalize_ws(F.col("text")))
+    r = T.rich_records(spark, sf).withColumn("texto", text.normalize_ws(F.col("text")))
     langs = {lang: FREE for lang in ("de", "es", "fr")} | {"en": TYPED}
-    return r.select("indice", file_name_policy(F.col("lang"), langs).alias("archivo"))
+    return r.select("indice", F.when(F.col("documentoUuid").isNotNull(), file_name_policy(F.col("lang"), langs)).alias("archivo"))
 
 
 @query("page_of_index", "SELECT o_orderkey, o_orderkey // 10 + 1 AS page FROM orders")

@@ -31,8 +31,7 @@ DOCS = f"""docs AS (
   SELECT *, CASE WHEN labelled THEN {sha24('text')} END AS documentoUuid,
     source AS fuente, doc_id AS indice, CAST(doc_id // 10 + 1 + coalesce(toxic, 0) AS BIGINT) AS pagina,
     TIMESTAMP '2024-01-01' + to_seconds(doc_id) AS capturadoEn
-  FROM (SELECT *, doc_id % 5 < 2 AS labelled, CASE WHEN doc_id % 5 < 2 THEN CASE WHEN doc_id // 5 % 9 = 0 THEN 1 ELSE 0 END END AS toxic,
-    CASE WHEN doc_id % 5 < 2 THEN CASE WHEN doc_id // 5 % 7 = 0 THEN 0 ELSE 1 END END AS quality FROM documents))"""
+  FROM (SELECT d.*, l.doc_id IS NOT NULL AS labelled, l.toxic, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id))"""
 
 _PARTIES = "list_filter(list_transform(string_split(text, chr(10)), lambda x: " + ws("x") + "), lambda x: x <> '')"
 

@@ -1,5 +1,6 @@
 """Scans, sinks and streams: tables are written to shared scratch space and read back."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -37,6 +38,43 @@ def _(spark, sf):
     return r.select("indice", "id", "fuente", "expediente", "documentoUuid", "anioResolucion", F.size("administrados").alias("parties"))
 
 
+def _gapped_lines(spark, sf):
+    """Records as JSON lines in order of their position over several files; a blank line follows where the text is toxic, some lines lack their end."""
+    r = T.rich_records(spark, sf)
+    line = F.to_json(F.struct("fuente", "id", "indice", "pagina"))
+    line = F.when(F.col("n_chars") % 97 == 1, F.substr(line, F.lit(1), F.length(line) - 3)).otherwise(line)
+    path = scratch_dir(spark, "lines")
+    spread = r.select("indice", F.when(F.col("toxic") == 1, F.concat(line, F.lit("\n"))).otherwise(line).alias("value")).repartitionByRange(4, "indice").sortWithinPartitions("indice")
+    spread.select("value").write.text(path)
+    return path
+
+
+def _offsets(lines):
+    """Lines in the files before each file, by their names."""
+    per = lines.groupBy("file").agg(F.max("number").alias("n"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    return F.broadcast(per.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")))
+
+
+_GAPPED = f"""{S.RECORDS}, g AS (SELECT indice, n_chars, row_number() OVER (ORDER BY indice) + coalesce(sum(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) OVER (ORDER BY indice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS number FROM records)"""
+
+
+@query("jsonl_line_numbers", f"WITH {_GAPPED} SELECT CAST(number AS BIGINT) AS number, indice FROM g")
+def _(spark, sf):
+    """The number of every record's line, blank lines counted."""
+    lines = jsonl.numbered(spark, _gapped_lines(spark, sf))
+    placed = lines.where("trim(value) <> ''").join(_offsets(lines), "file")
+    return placed.select((F.col("number") + F.col("before")).alias("number"), F.regexp_extract("value", '"indice":([0-9]+)', 1).cast("bigint").alias("indice"))
+
+
+@query("jsonl_first_broken", f"WITH {_GAPPED} SELECT CAST(min(number) AS BIGINT) AS number FROM g WHERE n_chars % 97 = 1")
+def _(spark, sf):
+    """The first broken line of all files, as the strict scan names it."""
+    path = _gapped_lines(spark, sf)
+    first = jsonl.broken_lines(spark, path, sch.schema(**sch.BASE)).join(_offsets(jsonl.numbered(spark, path)), "file")
+    return first.agg(F.min(F.col("number") + F.col("before")).alias("number"))
+
+
 @query("jsonl_scan_tolerant", f"WITH {S.RECORDS} SELECT CASE WHEN toxic = 1 THEN NULL ELSE indice END AS indice, coalesce(toxic, 0) = 1 AS broken FROM records")
 def _(spark, sf):
     lines = jsonl.scan_tolerant(spark, _torn_lines(spark, sf), sch.schema(**sch.BASE))
@@ -85,6 +123,19 @@ def _(spark, sf):
     return by_document(valid)
 
 
+@query("manifest_mistyped", f"""WITH {S.MANIFEST} SELECT indice, archivo, CASE WHEN indice % 3 <> 1 THEN pagina END AS pagina FROM manifest WHERE indice % 5 <> 2""")
+def _(spark, sf):
+    """A page of another type is NULL, a size of another type rejects the entry; the same entries whatever is selected."""
+    m = T.manifest(spark, sf).withColumn("bytes", F.expr("if(indice % 5 = 2, 'many', cast(bytes as string))")).withColumn("pagina", F.expr("if(indice % 3 = 1, 'p', cast(pagina as string))"))
+    line = F.to_json(F.struct(*m.columns))
+    line = F.regexp_replace(line, '"(bytes|pagina)":"([0-9]+)"', '"$1":$2')
+    path = scratch_dir(spark, "manifest")
+    m.select(line.alias("value")).write.text(path)
+    valid, broken = manifest.manifest_scan(spark, path)
+    assert valid.select("id").count() + broken.select("id").count() == m.count()
+    return valid.select("indice", "archivo", "pagina")
+
+
 @query("manifest_malformed", f"WITH {S.MANIFEST} SELECT indice, archivo FROM manifest WHERE bytes < 300")
 def _(spark, sf):
     m = T.manifest(spark, sf).withColumn("bytes", F.expr("if(bytes >= 300, bytes, null)"))
@@ -181,12 +232,16 @@ def _(spark, sf):
     return sinks.read_table(spark, f"{root}/records", TYPED.schema).select("id")
 
 
-@query("stream_dedup", f"WITH {S.RECORDS} SELECT DISTINCT id FROM records")
+@query("stream_dedup", f"WITH {S.RECORDS} SELECT DISTINCT id, CAST(indice % 3 AS INT) AS run FROM records")
 def _(spark, sf):
+    """Three runs land one after another, each in several batches; an id counts once for each run, and an ended run's ids are let go."""
     r, root = T.records(spark, sf), scratch_dir(spark, "stream")
-    r.repartition(4, "indice").write.json(f"{root}/in")
-    first = jobs.dedup_stream(jobs.arriving(spark, f"{root}/in", TYPED.schema, files_per_batch=2).select("id", "capturadoEn"), delay="400 days").select("id")
-    first.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(f"{root}/out").awaitTermination()
+    runs = r.select("id", (F.col("indice") % 3).cast("int").alias("run")).withColumn("ends", F.timestamp_seconds(F.col("run") * 86400))
+    for run in range(3):
+        runs.where(F.col("run") == run).repartition(4).write.mode("append").parquet(f"{root}/in")
+        arriving = jobs.arriving(spark, f"{root}/in", runs.schema, "parquet", files_per_batch=2)
+        first = jobs.dedup_run_stream(arriving, "run", "ends").select("id", "run")
+        first.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(f"{root}/out").awaitTermination()
     return sinks.read_table(spark, f"{root}/out", first.schema)
 
 
@@ -200,13 +255,8 @@ def _(spark, sf):
     return jobs.queue_now(spark, f"{root}/queue", sch.QUEUE_SCHEMA).select("id", "seq", "intentos")
 
 
-@query(
-    "stream_health",
-    f"""WITH {S.LOG} SELECT date_trunc('hour', ts) AS start, count(*) AS requests, count(*) FILTER (kind = 'ok') AS ok, count(*) FILTER (kind = 'throttled') AS throttled
-      FROM classified WHERE date_trunc('hour', ts) + INTERVAL 2 HOUR <= (SELECT date_trunc('millisecond', max(ts)) FROM events) GROUP BY 1""",
-)
-def _(spark, sf):
-    """The log arrives in two parts; an hour is written once it is past by an hour."""
+def _watched(spark, sf):
+    """The log arrives in two parts; an hour is written once it is past by an hour. All hours, the log, and its end."""
     from gleanery.plans.requestlog import classify
 
     log, root = classify(T.log(spark, sf)).select("ts", "outcome", "latency_ms"), scratch_dir(spark, "stream")
@@ -217,18 +267,68 @@ def _(spark, sf):
         part.write.mode("append").parquet(f"{root}/in")
         hourly = jobs.health(jobs.arriving(spark, f"{root}/in", schema, "parquet"))
         jobs.finished_stream(hourly, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    out = sinks.read_table(spark, f"{root}/out", hourly.schema)
-    return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "requests", "ok", "throttled")
+    landed = spark.read.schema(schema).parquet(f"{root}/in")
+    return jobs.health_now(spark, f"{root}/out", landed), landed
+
+
+def _near(spans, log, width):
+    """Spans with whether p50 and p95 are where they should be: the share of values up to each, counted in the log, against the sketches' error and the width of one value."""
+    spans = jobs.with_percentiles(spans)
+    timed = log.withColumn("start", F.window("ts", width)["start"])
+    ranks = timed.join(spans.select("start", "p50_approx", "p95_approx"), "start").groupBy("start").agg(
+        *[F.try_divide(F.count_if(F.col("latency_ms") < F.col(p)), F.count("latency_ms")).alias(f"{p}_low") for p in ("p50_approx", "p95_approx")],
+        *[F.try_divide(F.count_if(F.col("latency_ms") <= F.col(p)), F.count("latency_ms")).alias(f"{p}_high") for p in ("p50_approx", "p95_approx")],
+    )
+    slack = 2 * jobs.RANK_ERROR + 1 / F.col("requests")
+    near = [((F.col(f"{p}_low") <= r + slack) & (F.col(f"{p}_high") >= r - slack)).alias(n) for p, r, n in (("p50_approx", 0.5, "p50_near"), ("p95_approx", 0.95, "p95_near"))]
+    return spans.join(ranks, "start").select(F.col("start").cast("timestamp_ntz").alias("start"), "requests", "ok", "throttled", *near)
+
 
+_SPANS = f"""WITH {S.LOG} SELECT date_trunc('{{}}', ts) AS start, count(*) AS requests, count(*) FILTER (kind = 'ok') AS ok, count(*) FILTER (kind = 'throttled') AS throttled, true AS p50_near, true AS p95_near
+  FROM classified GROUP BY 1"""
 
-@query("stream_restart", f"WITH {S.RECORDS} SELECT DISTINCT id, true AS started_over FROM records")
+
+@query("stream_health", _SPANS.format("hour"))
 def _(spark, sf):
-    """A run is cut short, the site then declares another total: the state is dropped, all is read again, nothing is stored twice."""
+    """Every hour of the log: those that the stream has closed, and the ones still open."""
+    hours, log = _watched(spark, sf)
+    return _near(hours, log, "1 hour")
+
+
+@query("stream_health_days", _SPANS.format("day"))
+def _(spark, sf):
+    """The hours merged to days: counters added up, sketches merged."""
+    hours, log = _watched(spark, sf)
+    return _near(jobs.health_spans(hours, "1 day"), log, "1 day")
+
+
+def _generations(spark, sf):
+    """What three generations of a run land: the total is another one half way through the first, and again through the second."""
     r, root = T.records(spark, sf), scratch_dir(spark, "stream")
     wide = StructType([*TYPED.schema.fields, StructField("total", LongType())])
-    r.where("pagina % 2 = 0").withColumn("total", F.lit(10).cast("bigint")).write.json(f"{root}/in")
-    rows = jobs.arriving(spark, f"{root}/in", wide)
-    first = jobs.ingest_or_restart(rows, f"{root}/records", f"{root}/checkpoint", 10, "total")
-    r.where("pagina % 2 = 1").withColumn("total", F.lit(11).cast("bigint")).write.mode("append").json(f"{root}/in")
-    second = jobs.ingest_or_restart(rows, f"{root}/records", f"{root}/checkpoint", 10, "total")
-    return sinks.read_table(spark, f"{root}/records", TYPED.schema).select("id", F.lit(second and not first).alias("started_over"))
+    half = F.col("pagina") % 2 == 0
+    for number, (early, late) in enumerate(((10, 11), (11, 12), (12, 12)), 1):
+        for part, total in ((r.where(half), early), (r.where(~half), late)):
+            part.withColumn("total", F.lit(total).cast("bigint")).write.mode("append").json(f"{root}/in/{number}")
+    return root, wide
+
+
+@query("stream_restart", f"WITH {S.RECORDS} SELECT DISTINCT id, 3 AS generation, 12 AS total FROM records")
+def _(spark, sf):
+    """The total changes twice: each change starts a new reading, and the last one meets one total throughout. Nothing is stored twice."""
+    root, wide = _generations(spark, sf)
+    number, total = jobs.ingest_generations(spark, lambda n: jobs.arriving(spark, f"{root}/in/{n}", wide), f"{root}/records", f"{root}/state", 10, "total")
+    return sinks.read_table(spark, f"{root}/records", TYPED.schema).select("id", F.lit(number).alias("generation"), F.lit(total).alias("total"))
+
+
+@query("download_restart", f"WITH {S.RECORDS} SELECT id, min(documentoUuid) IS NOT NULL AS noted, 3 AS generation FROM records WHERE documentoUuid <> '' GROUP BY id")
+def _(spark, sf):
+    """The same for downloads: entries of a generation are noted once its rows agree on the total."""
+    root, wide = _generations(spark, sf)
+
+    def entries(number):
+        return spark.read.schema(wide).json(f"{root}/in/{number}").where("documentoUuid <> ''").withColumn("descargadoEn", F.col("capturadoEn"))
+
+    number, _ = jobs.download_generations(spark, entries, f"{root}/manifest", f"{root}/state", 10, "total")
+    noted = sinks.read_table(spark, f"{root}/manifest", entries(1).schema)
+    return noted.select("id", F.col("documentoUuid").isNotNull().alias("noted"), F.lit(number).alias("generation"))

@@ -22,16 +22,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents; two of five have a file, some of which are lost or name another document. Nothing is joined: texts stay where they lie."""
-    has_file = F.expr("doc_id % 5 < 2")
-    return table(spark, sf, "documents").withColumns(
-        {
-            "labelled": has_file,
-            "toxic": F.when(has_file, F.expr("if(doc_id div 5 % 9 = 0, 1, 0)")),
-            "quality": F.when(has_file, F.expr("if(doc_id div 5 % 7 = 0, 0, 1)")),
-            "documentoUuid": F.when(has_file, F.substring(F.sha1(F.col("text").cast("binary")), 1, 24)),
-        }
-    )
+    """Documents with their labels; a labelled one has a file, which is lost where it is toxic and names another document where quality is low.
+
+    Texts are hashed before the join, so that what needs a digest only does not carry them through it."""
+    digest = F.substring(F.sha1(F.col("text").cast("binary")), 1, 24)
+    labels = table(spark, sf, "labels").select("doc_id", F.lit(True).alias("labelled"), "toxic", "quality")
+    joined = table(spark, sf, "documents").withColumn("digest", digest).join(labels, "doc_id", "left")
+    return joined.withColumns({"labelled": F.coalesce("labelled", F.lit(False)), "documentoUuid": F.when(F.col("labelled"), F.col("digest"))}).drop("digest")
 
 
 def _by_page(rows: DataFrame, page):
@@ -301,7 +298,8 @@ def resume_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def searches(spark: SparkSession, sf: str) -> DataFrame:
-    return log(spark, sf).where("request = 'signup'").select(F.col("session").alias("run_id"), "ts", "event_id", F.expr("cast(k div 20 as bigint)").alias("total"))
+    """The total that every request of a session showed."""
+    return log(spark, sf).select(F.col("session").alias("run_id"), "ts", "event_id", F.expr("cast(k div 20 as bigint)").alias("total"))
 
 
 def views(spark: SparkSession, sf: str) -> DataFrame:
