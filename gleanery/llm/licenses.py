@@ -9,6 +9,10 @@ distinct ones are the least it must have (length filter). The first common word
 words of the template and of the first ``|B| - need + 1`` of the block (prefix filter on both sides), for 1 + the smaller number
 of words that follow it on either side bounds the overlap (positional filter). What passes is counted word by word.
 
+A block of many words can hold a template's words by chance. So a block that the join has found gets the label only if a stretch of
+it, at most ``STRETCH`` times the template's words long, has ``CONTAINED`` of them in the template's order, and, of a template of less than
+``SHORT`` words, all that tell it from the templates of other labels.
+
 Null, empty and word-free texts have no words, no labels and score 0. Repeated rows are scanned each.
 """
 
@@ -25,6 +29,8 @@ from gleanery.llm import common as C
 
 CONTAINED = 0.8
 BLOCK = 256
+STRETCH = 1.5
+SHORT = 10
 # The phrases and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 # Sentences by which licenses are granted.
@@ -92,7 +98,7 @@ def phrase_places(w: Words) -> dict[str, np.ndarray]:
 
 
 def blocks(w: Words, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each block that one of the words ``hit`` lies in with the number of that word in hit, and the text of every block."""
+    """Each block that one of the words ``hit`` lies in with the number of that word in hit, and of every block its text, first word and end."""
     step = BLOCK // 2
     line_at = np.flatnonzero(np.concatenate([[True], np.diff(w.line) != 0]))
     line_size = np.diff(np.append(line_at, len(w.h)))
@@ -111,9 +117,10 @@ def blocks(w: Words, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
         both = (last > 0) & (offset < (last - 1) * step + BLOCK)
         of += [base[unit] + last, (base[unit] + last - 1)[both]]
         number += [k, k[both]]
-        docs.append(np.repeat(own, n))
+        begin = np.repeat(starts, n) + C.ramp(n) * step
+        docs.append(np.stack([np.repeat(own, n), begin, np.minimum(begin + BLOCK, np.repeat(starts + size, n))]))
         total += int(n.sum())
-    return np.concatenate(of), np.concatenate(number), np.concatenate(docs)
+    return np.concatenate(of), np.concatenate(number), np.concatenate(docs, axis=1)
 
 
 class Templates:
@@ -130,6 +137,28 @@ class Templates:
         self.member = np.array([[h in words for words in own] for h in order])
         left = self.member[::-1].cumsum(0)[::-1]  # words of each template from a place of the order on
         self.left = np.where(self.member, left, 0)
+        self.sequence = [word_hashes(text) for text in TEMPLATES]
+        others = [set().union(*[x for x, label in zip(own, self.labels, strict=True) if label != mine]) for mine in self.labels]
+        self.telling = [np.array(sorted(words - other), np.uint64) if len(seq) < SHORT else np.zeros(0, np.uint64) for words, other, seq in zip(own, others, self.sequence, strict=True)]
+
+    def in_order(self, h: np.ndarray, t: int) -> float:
+        """The largest share of template t that a stretch of the words h has in order; 0 if that is under the threshold or no such stretch has all telling words."""
+        seq, telling = self.sequence[t], self.telling[t]
+        wide = math.ceil(STRETCH * len(seq))
+        match = h[:, None] == seq[None, :]
+        starts = np.flatnonzero(match.any(1))
+        match = np.concatenate([match, np.zeros((wide, len(seq)), bool)])
+        best = np.zeros((len(starts), len(seq) + 1), np.int32)  # longest common subsequence of the stretch so far with each prefix of the template
+        for k in range(wide):
+            best[:, 1:] = np.maximum(best[:, 1:], best[:, :-1] + match[starts + k])
+            np.maximum.accumulate(best, axis=1, out=best)
+        share = best[:, -1] / len(seq)
+        good = share >= CONTAINED - 1e-9
+        for word in telling:
+            at = np.flatnonzero(h == word)
+            following = np.searchsorted(at, starts)
+            good &= (following < len(at)) & (at[np.minimum(following, len(at) - 1)] < starts + wide) if len(at) else False
+        return float(share[good].max(initial=0.0))
 
     def words(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Blocks and the distinct template words in them as places of the order, sorted by both, and the text of every block."""
@@ -150,7 +179,7 @@ class Templates:
         return np.unique(block[e[i]] * len(self.need) + t)
 
     def join(self, w: Words) -> list[tuple[int, int, float]]:
-        """All (text, template, containment) of blocks that meet a template."""
+        """All (text, template, share in order) of blocks that meet a template."""
         block, place, docs = self.words(w)
         if not len(block):
             return []
@@ -161,7 +190,8 @@ class Templates:
         words = place[np.repeat(start, size) + C.ramp(size)]
         common = np.bincount(np.repeat(np.arange(len(pairs)), size), self.member[words, np.repeat(t, size)], len(pairs)).astype(np.int64)
         met = np.flatnonzero(common >= self.need[t])
-        return [(int(docs[of[k]]), int(t[k]), float(common[k] / self.size[t[k]])) for k in met]
+        found = ((int(docs[0, of[k]]), int(t[k]), self.in_order(w.h[docs[1, of[k]] : docs[2, of[k]]], int(t[k]))) for k in met)
+        return [f for f in found if f[2] > 0]
 
 
 def template_counts(docs: DataFrame) -> dict[int, int]:
@@ -206,7 +236,7 @@ def scan_texts(texts: list[str], templates: Templates) -> dict:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """Per document: words, base phrases and the labels of both ways. ``score`` is the largest containment met, 1 for a base phrase."""
+    """Per document: words, base phrases and the labels of both ways. ``score`` is the largest share of a template in order, 1 for a base phrase."""
     docs = docs.select("doc_id", "text")
     templates = docs.sparkSession.sparkContext.broadcast(Templates(template_counts(docs)))  # a fixed set of sentences
     schema = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"

@@ -21,6 +21,28 @@ def base(text):
     return len(w), len(found), min(at, default=None), max(at, default=None), sorted({x for _, x in found})
 
 
+def in_order(words, template):
+    """The largest share of a template that a stretch of the words has in order, with all words that tell a short template from others."""
+    t, label = template.split(), L.TEMPLATES[template]
+    others = {w for x, other in L.TEMPLATES.items() if other != label for w in x.split()}
+    telling, best = {w for w in t if w not in others} if len(t) < 10 else set(), 0.0
+    for i, first in enumerate(words):
+        stretch = words[i : i + -(-len(t) * 3 // 2)]
+        if first not in t or not telling <= set(stretch):
+            continue
+        row = [0] * (len(t) + 1)
+        for word in stretch:
+            row = [0] + [max(a, b, c) for a, b, c in _steps(row, t, word)]
+            for j in range(1, len(row)):
+                row[j] = max(row[j], row[j - 1])
+        best = max(best, row[-1] / len(t))
+    return best if best >= L.CONTAINED - 1e-9 else 0.0
+
+
+def _steps(row, t, word):
+    return [(row[j + 1], row[j] + (w == word), 0) for j, w in enumerate(t)]
+
+
 def joined(text):
     """Templates met by a block, all pairs compared."""
     met = {}
@@ -30,8 +52,8 @@ def joined(text):
             block = set(line[s : s + L.BLOCK])
             for t, label in L.TEMPLATES.items():
                 own = set(t.split())
-                share = len(own & block) / len(own)
-                if share >= L.CONTAINED:
+                share = in_order(line[s : s + L.BLOCK], t) if len(own & block) / len(own) >= L.CONTAINED else 0
+                if share:
                     met[label] = max(share, met.get(label, 0))
     return met
 
@@ -58,7 +80,8 @@ def test_every_block_that_meets_a_template_is_found(spark):
         t = rng.choice(list(L.TEMPLATES)).split()
         kept = [w for w in t if rng.random() < rng.choice([0.7, 0.85, 1.0])]
         noise = [rng.choice(words) for _ in range(rng.choice([0, 5, 300]))]
-        rng.shuffle(kept)
+        if rng.random() < 0.3:
+            rng.shuffle(kept)
         at = rng.randint(0, len(noise))
         texts.append(" ".join(noise[:at] + kept + noise[at:]))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
@@ -81,8 +104,8 @@ def whole(text):
     for s in range(0, max(1, len(words) - L.BLOCK + L.BLOCK // 2), L.BLOCK // 2):
         block = set(words[s : s + L.BLOCK])
         for t, label in L.TEMPLATES.items():
-            share = len(set(t.split()) & block) / len(set(t.split()))
-            if share >= L.CONTAINED:
+            share = in_order(words[s : s + L.BLOCK], t) if len(set(t.split()) & block) / len(set(t.split())) >= L.CONTAINED else 0
+            if share:
                 met[label] = max(share, met.get(label, 0))
     return met
 
@@ -138,10 +161,24 @@ def test_positions_on_both_sides_prune_pairs():
             assert ((b, t) in left) == (bound >= need)
             pruned += meets and (b, t) not in left
             assert (b, t) in left or len(set(own) & set(words)) < need
-    assert pruned > 0 and list(docs) == list(range(len(texts)))
+    assert pruned > 0 and list(docs[0]) == list(range(len(texts)))
 
 
 def test_awkward_documents(awkward, nothing):
     rows = L.scan(awkward).collect()
     assert len(rows) == awkward.count() and all(r.n_words == 0 and r.labels == "" and r.score == 0 for r in rows if r.doc_id == 0)
     assert L.scan(nothing).count() == 0
+
+
+def test_text_that_is_no_license_gets_no_label(spark):
+    """All words of a template, or most, but not its telling ones, not in order, or far apart."""
+    texts = [
+        "The album was released under the label that he had founded, and the driver lost a license.",
+        "It is licensed under the gnu license, version 2.0 of which is old.",
+        "All rights are reserved by no one; this part of the publication may be printed and, without permission of the publisher, be written prior to this and reproduced.",
+        "Permission of the person: any copy, free software and associated files, obtaining this documentation. The charge is granted hereby to a of.",
+        "licensed " + "x " * 20 + "under the apache license " + "y " * 20 + "version 2 0",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [(r.labels.replace("apache", ""), r.score < 1.01) for r in L.scan(docs).orderBy("doc_id").collect()] == [("", True)] * 5
+    assert [L.scan_texts([t], L.Templates({}))["labels"][0] for t in texts] == ["", "", "", "", "apache"]  # the last by the base phrase alone
