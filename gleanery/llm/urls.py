@@ -3,7 +3,8 @@
 A URL is a set of tokens: its host, the last two labels of the host, words of a hyphenated host, first path segment (digits
 as one sign), file extension, and query keys. The label of a URL is that of the document whose number its path ends with:
 ``block`` if it is of low quality or toxic. Spark's FP-growth finds frequent sets of tokens and label; a set with enough
-confidence for ``block`` becomes a rule. Rules are matched by an inverted index: a rule is filed under its rarest token, joined
+confidence for ``block`` becomes a rule. Single tokens and pairs are counted exactly besides, so that a host with few URLs gets the same
+verdict in a table of any size. Rules are matched by an inverted index: a rule is filed under its rarest token, joined
 to the URLs that have this token, and holds if they have all its tokens.
 
 A null url, or one without ``://``, has an empty host and path, no tokens, no rule, and is allowed. Repeated rows (same page_id
@@ -23,7 +24,7 @@ from gleanery.llm import common as C
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 SUPPORT = 0.001
 CONFIDENCE = 0.6
-LEAST_URLS = 5  # labelled URLs that a rule must rest on, however few there are
+LEAST_URLS = 5  # labelled URLs of label block that a rule must rest on, however many there are
 BLOCK = "=block"
 
 
@@ -73,20 +74,34 @@ def labelled(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return pages.withColumn("doc_id", number).filter("doc_id is not null").join(verdicts, "doc_id").select("tokens", "block")
 
 
-def mine(urls: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame | None:
-    """Rules for block: antecedent (array of tokens), key (its rarest token), confidence, support (URLs). None without labelled URLs."""
+def counted(urls: DataFrame) -> DataFrame:
+    """antecedent, all (URLs that have it) and support (those of label block) of every single token and every pair of tokens, counted exactly.
+
+    A URL has some dozen tokens, whatever its length, so a few dozen rows each are summed within the tasks before they are shuffled."""
+    pairs = F.expr("flatten(transform(tokens, (a, i) -> transform(slice(tokens, i + 2, size(tokens)), b -> array_sort(array(a, b)))))")
+    sets = F.concat(F.transform("tokens", lambda t: F.array(t)), pairs)
+    rows = urls.filter(F.size("tokens") > 0).select(F.explode(sets).alias("antecedent"), "block")
+    return rows.groupBy("antecedent").agg(F.count("*").alias("all"), F.sum("block").cast("long").alias("support"))
+
+
+def mine(urls: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, least: int = LEAST_URLS) -> DataFrame | None:
+    """Rules for block: antecedent (array of tokens), key (its rarest token), confidence, support (URLs). None without labelled URLs.
+
+    FP-growth gives sets of any size that a share ``support`` of the labelled URLs has; its bound keeps what it gathers small. Single
+    tokens and pairs, all that a rare host has, are counted for themselves, so a rule of these needs ``least`` URLs at any size of the table."""
     from pyspark.ml.fpm import FPGrowth
 
-    sets = urls.select(F.when(F.col("block") == 1, F.array_append("tokens", F.lit(BLOCK))).otherwise(F.col("tokens")).alias("items")).filter(F.size("items") > 0)
-    sets = C.settle(sets)
-    if sets.isEmpty():
+    urls = C.settle(urls.filter(F.size("tokens") > 0))
+    if urls.isEmpty():
         return None
-    model = FPGrowth(itemsCol="items", minSupport=support).fit(sets)
-    frequent = C.settle(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
-    both = frequent.filter(F.array_contains("items", BLOCK) & (F.size("items") > 1)).select(F.array_remove("items", BLOCK).alias("antecedent"), F.col("freq").alias("support"))
+    sets = urls.select(F.when(F.col("block") == 1, F.array_append("tokens", F.lit(BLOCK))).otherwise(F.col("tokens")).alias("items"))
+    frequent = C.settle(FPGrowth(itemsCol="items", minSupport=support).fit(sets).freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
+    both = frequent.filter(F.array_contains("items", BLOCK) & (F.size("items") > 3)).select(F.array_remove("items", BLOCK).alias("antecedent"), F.col("freq").alias("support"))
     alone = frequent.filter(~F.array_contains("items", BLOCK)).select(F.col("items").alias("antecedent"), F.col("freq").alias("all"))
-    rules = both.join(alone, "antecedent").withColumn("confidence", F.col("support") / F.col("all")).filter((F.col("confidence") >= confidence) & (F.col("support") >= LEAST_URLS))
-    single = frequent.filter(F.size("items") == 1).select(F.element_at("items", 1).alias("token"), "freq")
+    small = C.settle(counted(urls).filter(F.col("all") >= least))
+    rules = both.join(alone, "antecedent").unionByName(small).withColumn("confidence", F.col("support") / F.col("all"))
+    rules = rules.filter((F.col("confidence") >= confidence) & (F.col("support") >= least))
+    single = small.filter(F.size("antecedent") == 1).select(F.element_at("antecedent", 1).alias("token"), F.col("all").alias("freq"))
     rarest = rules.select("antecedent", F.explode("antecedent").alias("token")).join(single, "token").groupBy("antecedent").agg(F.min_by("token", F.struct("freq", "token")).alias("key"))
     return C.settle(rules.join(rarest, "antecedent").select("antecedent", "key", "confidence", "support"))
 

@@ -57,3 +57,32 @@ def test_combinations_are_mined_and_matched(spark):
     for i, u in rows[:600]:
         assert (verdict[i] == "block") == ("b.net/ads" in u)
     assert U.judge(pages.limit(0), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).count() == 0
+
+
+def test_rare_hosts_get_the_same_verdict_in_a_table_of_any_size(spark):
+    """A host with six bad URLs is blocked among two hundred labelled URLs and among eight thousand."""
+    for n in (200, 8000):
+        rows = [(i, f"http://good{i % 7}.net/a/{i}") for i in range(n)] + [(n + i, f"http://seldom.net/a/{n + i}") for i in range(6)]
+        labels = spark.createDataFrame([(i, int(i < n), 0) for i in range(n + 6)], "doc_id long, quality int, toxic int")
+        got = U.judge(spark.createDataFrame(rows, "page_id long, url string"), labels)
+        assert {r.page_id for r in got.filter("verdict = 'block'").collect()} == set(range(n, n + 6))
+
+
+def test_mined_rules_by_brute_force(spark):
+    """Every set of tokens that is frequent and confident enough, found by going through all subsets."""
+    import itertools
+    import random
+
+    rng = random.Random(4)
+    rows = [([f"h:{rng.choice('abc')}", f"p:{rng.choice('xyz')}", f"x:{rng.choice('uv')}", f"q:{rng.choice('mn')}"], 0) for _ in range(400)]
+    rows = [(t, int(("h:a" in t and "p:x" in t) or (rng.random() < 0.1))) for t, _ in rows]
+    sets = [(frozenset(t), b) for t, b in rows]
+    want = {}
+    for size in range(1, 5):
+        for combo in {frozenset(c) for t, _ in rows for c in itertools.combinations(t, size)}:
+            n, bad = sum(combo <= t for t, _ in sets), sum(b for t, b in sets if combo <= t)
+            if bad / n >= 0.6 and bad >= 5 and (size < 3 or bad >= 0.02 * 400):
+                want[tuple(sorted(combo))] = (bad, round(bad / n, 9))
+    got = U.mine(spark.createDataFrame(rows, "tokens array<string>, block int"), support=0.02).collect()
+    assert {tuple(r.antecedent): (r.support, round(r.confidence, 9)) for r in got} == want and len(got) == len(want)
+    assert all(r.key in r.antecedent for r in got)
