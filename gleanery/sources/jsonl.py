@@ -6,6 +6,9 @@ JSON type than its column's is NULL, and its name is in ``MISTYPED``; a required
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType, VariantType
@@ -176,6 +179,63 @@ def torn_tail(spark: SparkSession, path: str) -> DataFrame:
     return per.select("file", torn.alias("torn_bytes"))
 
 
+ADDRESSED = "file string, start bigint, size bigint, local bigint, bytes binary"
+
+
+def addressed(spark: SparkSession, path: str) -> DataFrame:
+    """Every line with its byte address: ``file``, ``offset``, ``bytes`` (without the line break) and the file's ``size``.
+
+    A split counts the bytes from its own first line on, in the order in which it is read; what the splits before it hold, a number for each,
+    is added by prefix sums. Bytes are as stored, also where a character was cut."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], "file string, offset bigint, bytes binary, size bigint")
+    m = F.col("_metadata")
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        m["file_path"].alias("file"), m["file_block_start"].alias("start"), m["file_size"].alias("size"), F.lit(0).cast("bigint").alias("local"), F.col("value").cast("binary").alias("bytes")
+    )
+
+    def run(batches):
+        last, at = None, 0  # the split that is read, and how far it has come
+        for part in batches:
+            files, starts = part.column("file").dictionary_encode(), part.column("start").to_numpy()
+            wide = pc.binary_length(part.column("bytes")).to_numpy().astype(np.int64) + 1
+            code = files.indices.to_numpy()
+            new = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (starts[1:] != starts[:-1])])) if len(code) else []
+            before = np.cumsum(wide) - wide
+            local = np.empty(len(code), np.int64)
+            for i, j in zip(new, [*new[1:], len(code)], strict=True):
+                own = (files.dictionary[code[i]].as_py(), int(starts[i]))
+                at = at if own == last else 0
+                local[i:j] = before[i:j] - before[i] + at
+                last, at = own, at + int(wide[i:j].sum())
+            yield part.set_column(3, "local", pa.array(local))
+
+    per = lines.groupBy("file", "start").agg(F.sum(F.octet_length("bytes") + 1).alias("n"))
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per.select("file", "start", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    placed = lines.mapInArrow(run, ADDRESSED).join(F.broadcast(starts), ["file", "start"])  # a row per split of the files
+    return placed.select("file", (F.col("before") + F.col("local")).alias("offset"), "bytes", "size")
+
+
+def _is_torn() -> Column:
+    """The line is not ended by a break: it reaches the end of its file."""
+    return F.col("offset") + F.octet_length("bytes") >= F.col("size")
+
+
+def torn_lines(spark: SparkSession, path: str) -> DataFrame:
+    """What a write that was cut short left at the end of files: ``file``, ``offset`` and the ``bytes`` themselves. Nothing for a file whose last line is whole."""
+    return addressed(spark, path).where(_is_torn() & (F.octet_length("bytes") > 0)).select("file", "offset", "bytes")
+
+
+def set_aside(spark: SparkSession, path: str, clean: str, torn: str) -> None:
+    """Write the whole lines of ``path`` to ``clean``, in their order, and what is torn to the table ``torn``. The files themselves stay as they are.
+
+    As every line of ``clean`` is ended, what is written next to it starts a line of its own."""
+    lines = addressed(spark, path)
+    lines.where(~_is_torn()).select(F.col("bytes").cast("string").alias("value")).write.text(clean)
+    torn_lines(spark, path).write.parquet(torn)
+
+
 def quarantine(scanned: DataFrame, key: str = "id") -> DataFrame:
     """Broken lines of a tolerant scan, each once, with how often they occur.
 

@@ -414,3 +414,32 @@ def test_gaps_as_intervals(spark):
     missing = missing_positions(wide, "p")
     assert missing.count() == 310_001 - 3 == missing.distinct().count() and missing.agg(F.max("p")).first()[0] == 309_999
     assert missing_total(missing_intervals(far.where("p < 0"), "p")) == 0 and missing_positions(far.where("p < 0"), "p").count() == 0
+
+
+def test_torn_bytes_are_set_aside(spark, tmp_path):
+    """What the end of a file holds after its last break, with its address, for any size of splits."""
+    src = tmp_path / "in"
+    src.mkdir()
+    long = '{"id":"a","x":"' + "x" * 200_000 + '"}'
+    content = {
+        "a": b'{"id":"a"}\n{"id":"b"}\n{"id":"c"', "b": b'{"id":"a"}\n', "c": b"", "d": b'{"id":"a"', "e": long.encode() + b'\n{"id":"cortad',
+        "f": "".join(f'{{"id":"ñ{i}"}}\n' for i in range(3000)).encode() + "ñ".encode()[:1], "g": b"\n\n",
+    }
+    for name, data in content.items():
+        (src / name).write_bytes(data)
+    want = {n: (d.rfind(b"\n") + 1, d[d.rfind(b"\n") + 1 :]) for n, d in content.items() if not d.endswith(b"\n") and d}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("5k", "1g"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = {r["file"].rsplit("/", 1)[1]: (r["offset"], bytes(r["bytes"])) for r in jsonl.torn_lines(spark, str(src)).collect()}
+            assert got == want
+            for r in jsonl.addressed(spark, str(src)).collect():
+                data = content[r["file"].rsplit("/", 1)[1]]
+                assert data[r["offset"] : r["offset"] + len(r["bytes"])] == bytes(r["bytes"]) and r["size"] == len(data)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    jsonl.set_aside(spark, str(src), str(tmp_path / "clean"), str(tmp_path / "torn"))
+    whole = sum(d.count(b"\n") for d in content.values())
+    assert spark.read.text(str(tmp_path / "clean")).count() == whole and spark.read.parquet(str(tmp_path / "torn")).count() == len(want)
+    assert jsonl.torn_lines(spark, str(tmp_path / "none")).count() == 0

@@ -100,6 +100,17 @@ def _(spark, sf):
     return torn.agg(F.min("torn_bytes").alias("least"), F.max("torn_bytes").alias("most"), (F.lit(lines) - F.count("*")).alias("whole_lines"))
 
 
+@query("torn_lines", f"WITH {S.RECORDS} SELECT count(*) AS whole_lines, true AS at_the_end, 1 AS kinds FROM records")
+def _(spark, sf):
+    """Torn tails as rows beside a clean table: where each begins, and its bytes; what is left are the whole lines."""
+    path, root = _cut_files(spark, sf), scratch_dir(spark, "repaired")
+    jsonl.set_aside(spark, path, f"{root}/clean", f"{root}/torn")
+    torn = spark.read.parquet(f"{root}/torn")
+    ends = jsonl.torn_tail(spark, path).join(torn, "file", "left").agg(F.bool_and(F.octet_length("bytes") == F.col("torn_bytes")).alias("at_the_end"), F.count_distinct("bytes").alias("kinds"))
+    whole = spark.read.text(f"{root}/clean").agg(F.count("*").alias("whole_lines"))
+    return whole.crossJoin(ends)  # one row each
+
+
 @query("quarantine", f"WITH {S.RECORDS}, b AS (SELECT '{{\"fuente\":\"' || fuente || '\",\"id\":\"' || id || '\",\"indice\":' || indice || ',\"pagina\":' || pagina || '}}' AS l FROM records WHERE toxic = 1) SELECT substr(l, 1, length(l) - 3) AS line, count(*) AS n FROM b GROUP BY 1")
 def _(spark, sf):
     lines = jsonl.scan_tolerant(spark, _torn_lines(spark, sf), sch.schema(**sch.BASE))
@@ -236,7 +247,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Three runs land one after another, each in several batches; an id counts once for each run, and an ended run's ids are let go."""
     r, root = T.records(spark, sf), scratch_dir(spark, "stream")
-    runs = r.select("id", (F.col("indice") % 3).cast("int").alias("run")).withColumn("ends", F.timestamp_seconds(F.col("run") * 86400))
+    runs = r.select("id", (F.col("indice") % 3).cast("int").alias("run")).withColumn("ends", F.timestamp_seconds((F.col("run") + 1) * 86400))
     for run in range(3):
         runs.where(F.col("run") == run).repartition(4).write.mode("append").parquet(f"{root}/in")
         arriving = jobs.arriving(spark, f"{root}/in", runs.schema, "parquet", files_per_batch=2)
