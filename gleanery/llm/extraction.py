@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import html as entities
 import re
-from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +39,7 @@ BLOCK = frozenset(
 )
 CLOSES_P = BLOCK - {"body", "html", "head", "option", "legend"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+ENDS = {name: ("p", *others) for name, others in SIBLINGS.items()}
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 MARKS = frozenset(
     "nav navbar navigation menu masthead footer sidebar ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended breadcrumb breadcrumbs pagination pager toolbar comments comment commentlist replies reply disqus respond widget banner".split()
@@ -69,10 +69,68 @@ def _marked(name: str, raw: str, in_main: bool) -> tuple[bool, bool]:
     return False, name in MAIN or role in ("main", "article") or a.get("itemprop", "").lower() == "articlebody"
 
 
+class _Open:
+    """The elements that are open. Where the last one of a name stands is known without looking through them, so a tag costs the same however deep it lies.
+
+    An inline element that is closed below others stays as a closed entry until it is on top."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, bool, int]] = []  # name ("" once closed), dropped, main: each with what it lies in
+        self.at: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, name: str, dropped: bool, main: int) -> None:
+        self.at.setdefault(name, []).append(len(self.stack))
+        if name in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append((name, dropped, main))
+
+    def last(self, names) -> int:
+        """Place of the innermost open element of one of the names, or -1."""
+        return max((self.at[n][-1] for n in names if self.at.get(n)), default=-1)
+
+    def outermost(self, names) -> int:
+        return min((self.at[n][0] for n in names if self.at.get(n)), default=-1)
+
+    def cut(self, i: int) -> None:
+        """Close all from place i on."""
+        while len(self.stack) > i:
+            self._pop()
+        self._tidy()
+
+    def close(self, i: int) -> None:
+        """Close the one at place i, the last of its name, alone."""
+        name, dropped, main = self.stack[i]
+        self.at[name].pop()
+        if self.blocks and self.blocks[-1] == i:
+            self.blocks.pop()
+        self.stack[i] = ("", dropped, main)
+        self._tidy()
+
+    def _pop(self) -> None:
+        name = self.stack.pop()[0]
+        if name:
+            self.at[name].pop()
+            if self.blocks and self.blocks[-1] == len(self.stack):
+                self.blocks.pop()
+
+    def _tidy(self) -> None:
+        while self.stack and not self.stack[-1][0]:
+            self.stack.pop()
+
+    @property
+    def dropped(self) -> bool:
+        return bool(self.stack) and self.stack[-1][1]
+
+    @property
+    def main(self) -> int:
+        return self.stack[-1][2] if self.stack else 0
+
+
 def lines(html: str) -> list[tuple[str, int]]:
     """Texts of the blocks in page order, each with the number of the outermost main container that it lies in, or 0."""
     out: list[tuple[str, int]] = []
-    stack: list[tuple[str, bool, int]] = []  # name, dropped, main: each with what it lies in
+    open_ = _Open()
     text: list[str] = []
     containers = 0
     at = 0
@@ -82,16 +140,17 @@ def lines(html: str) -> list[tuple[str, int]]:
             line = " ".join(entities.unescape("".join(text)).split())
             text.clear()
             if line:
-                out.append((line, stack[-1][2] if stack else 0))
+                out.append((line, open_.main))
 
-    def pop_to(i: int) -> None:
-        flush()
-        del stack[i:]
+    def cut(i: int) -> None:
+        if i >= 0:
+            flush()
+            open_.cut(i)
 
     while at < len(html):
         m = TAG.search(html, at)
         end = m.start() if m else len(html)
-        if end > at and not (stack and stack[-1][1]):
+        if end > at and not open_.dropped:
             text.append(html[at:end])
         if not m:
             break
@@ -100,32 +159,24 @@ def lines(html: str) -> list[tuple[str, int]]:
         if not name:
             continue
         if m[1]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    pop_to(i) if name in BLOCK or stack[i][1] else stack.__delitem__(i)
-                    break
+            i = open_.last((name,))
+            if i >= 0:
+                cut(i) if name in BLOCK or open_.stack[i][1] else open_.close(i)
             continue
         if name == "br":
-            text.append(" ") if not (stack and stack[-1][1]) else None
+            text.append(" ") if not open_.dropped else None
             continue
         if name in VOID:
             if name == "hr":
                 flush()
             continue
-        if name in MAIN:  # an article can't lie in a menu: what was left open before it ends
-            for i, s in enumerate(stack):
-                if s[0] in ("nav", "header", "footer", "aside", "head", "menu"):
-                    pop_to(i)
-                    break
+        if name in MAIN:  # an article can't lie in a menu, and a form around one holds the page: what was left open before it ends
+            cut(open_.outermost(("nav", "header", "footer", "aside", "head", "menu", "form")))
         if name in CLOSES_P or name in SIBLINGS:
-            ends = {"p"} | SIBLINGS.get(name, set())
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in ends:
-                    pop_to(i)
-                    break
-                if stack[i][0] in BLOCK:
-                    break
-        dropped, main = stack[-1][1:] if stack else (False, 0)
+            i = open_.last(ENDS.get(name, ("p",)))
+            if i >= (open_.blocks[-1] if open_.blocks else 0):
+                cut(i)
+        dropped, main = open_.dropped, open_.main
         drop, own = (True, False) if dropped else _marked(name, m[3] or "", main > 0)
         if name in BLOCK or drop:
             flush()
@@ -138,13 +189,61 @@ def lines(html: str) -> list[tuple[str, int]]:
         if own and not drop and not main:
             containers += 1
             main = containers
-        stack.append((name, dropped or drop, 0 if drop else main))
+        open_.push(name, dropped or drop, 0 if drop else main)
     flush()
     return out
 
 
+ROOM = 1 << 28  # bits of the rows that an alignment keeps at a time
+
+
+class _Places:
+    """Where each value stands in b[lo:hi], as the bits of a number. Numbers are kept while all of them fit, else made as they are asked for."""
+
+    def __init__(self, b: list[int]):
+        self.size, self.at = len(b), {}
+        for j, v in enumerate(b):
+            self.at.setdefault(v, []).append(j)
+        self.keep = len(self.at) * self.size <= ROOM
+        self.made: dict[int, int] = {}
+
+    def bits(self, v: int) -> int:
+        if v not in self.at:
+            return 0
+        if v in self.made:
+            return self.made[v]
+        there = np.zeros(self.size, np.uint8)
+        there[self.at[v]] = 1
+        x = int.from_bytes(np.packbits(there, bitorder="little").tobytes(), "little")
+        if self.keep:
+            self.made[v] = x
+        return x
+
+
+def _rows(a: list[int], b: list[int]):
+    """Longest common subsequences of ever more of a with all beginnings of b, in one number each: bit j is 0 where b[:j + 1] has one more than b[:j]."""
+    places, every = _Places(b), (1 << len(b)) - 1
+    row = every
+    for v in a:
+        x = row & places.bits(v)
+        row = ((row + x) | (row - x)) & every
+        yield row
+
+
+def _lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Length of the longest common subsequence of a with each beginning of b."""
+    row = (1 << len(b)) - 1
+    for row in _rows(a, b):  # noqa: B007  the last one counts
+        pass
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(b) // 8 + 1, "little"), np.uint8), count=len(b), bitorder="little")
+    return np.concatenate([[0], np.cumsum(1 - bits, dtype=np.int64)])
+
+
 def shared(a: list[int], b: list[int]) -> set[int]:
-    """Places in a that a longest common subsequence with b takes: increasing runs of matching places."""
+    """Places in a that a longest common subsequence with b takes.
+
+    Rows are numbers of len(b) bits, so a step of the alignment is a few operations on them, whatever matches. They are kept to trace the
+    subsequence back; where they would not fit in ``ROOM``, a is halved, and b where both halves together have most (linear space)."""
     lo, hi = 0, min(len(a), len(b))
     while lo < hi and a[lo] == b[lo]:
         lo += 1
@@ -152,26 +251,27 @@ def shared(a: list[int], b: list[int]) -> set[int]:
     while tail < hi - lo and a[-1 - tail] == b[-1 - tail]:
         tail += 1
     found = set(range(lo)) | set(range(len(a) - tail, len(a)))
-    places: dict[int, list[int]] = {}
-    for j in range(len(b) - tail - 1, lo - 1, -1):
-        places.setdefault(b[j], []).append(j)
-    ends: list[int] = []  # smallest end of a run of each length
-    chain: list[tuple[int, int]] = []  # place in a, and the link before
-    last: list[int] = []
-    for i in range(lo, len(a) - tail):
-        for j in places.get(a[i], ()):
-            k = bisect_left(ends, j)
-            chain.append((i, last[k - 1] if k else -1))
-            if k == len(ends):
-                ends.append(j)
-                last.append(len(chain) - 1)
+    todo = [(lo, len(a) - tail, lo, len(b) - tail)]
+    while todo:
+        i, i_end, j, j_end = todo.pop()
+        if i >= i_end or j >= j_end:
+            continue
+        if i_end - i > 1 and (i_end - i) * (j_end - j) > ROOM:
+            half = (i + i_end) // 2
+            both = _lengths(a[i:half], b[j:j_end]) + _lengths(a[half:i_end][::-1], b[j:j_end][::-1])[::-1]
+            cut = j + int(both.argmax())
+            todo += [(i, half, j, cut), (half, i_end, cut, j_end)]
+            continue
+        rows = [(1 << (j_end - j)) - 1, *_rows(a[i:i_end], b[j:j_end])]
+        r, c = len(rows) - 1, j_end - j
+        while r and c:
+            if rows[r] >> (c - 1) & 1:  # b's last line adds nothing
+                c -= 1
             else:
-                ends[k] = j
-                last[k] = len(chain) - 1
-    at = last[-1] if last else -1
-    while at >= 0:
-        found.add(chain[at][0])
-        at = chain[at][1]
+                r -= 1
+                if rows[r] >> (c - 1) & 1:  # it does since this line of a
+                    found.add(i + r)
+                    c -= 1
     return found
 
 

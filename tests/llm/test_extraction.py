@@ -97,3 +97,34 @@ def test_containers_do_not_silence_the_rest_of_a_page(spark):
     assert texts[3] == "Menu of one\nquoted by both pages\na long text of its own" and texts[4] == "Menu of two\nquoted by both pages\nand another long text"
     assert texts[5] == "12:01\nan exact copy" and texts[6] == "12:02\nan exact copy"
     assert [c for _, c in X.lines("a<article>b<article>c</article>d</article>e<main>f</main>")] == [0, 1, 1, 1, 0, 2]
+
+
+def test_long_pages_of_equal_lines_and_open_tags():
+    """Constant work for each tag, and an alignment whose memory does not grow with the number of matches."""
+    import time
+
+    start = time.perf_counter()
+    assert X.lines("<b>" * 20_000 + "</i>" * 20_000 + "x") == [("x", 0)]
+    assert len(X.lines("<i>" * 20_000 + "<b>" * 20_000 + "</i>" * 20_000 + "<p>x" * 20_000)) == 20_000
+    rng = random.Random(1)
+    a, b = ([rng.randrange(3) for _ in range(12_000)] for _ in range(2))
+    found = sorted(X.shared(a, b))
+    rest = iter(b)
+    assert all(any(a[i] == y for y in rest) for i in found) and len(found) > 8_000
+    assert len(X.shared([7] * 30_000, [7] * 20_000)) == 20_000
+    assert time.perf_counter() - start < 30
+
+
+def test_alignment_in_linear_space(monkeypatch):
+    rng = random.Random(6)
+    for room in (1, 20, 100):
+        monkeypatch.setattr(X, "ROOM", room)
+        for _ in range(100):
+            a, b = ([rng.randrange(5) for _ in range(rng.randrange(25))] for _ in range(2))
+            found = sorted(X.shared(a, b))
+            rest = iter(b)
+            assert len(found) == lcs(a, b) and all(any(a[i] == y for y in rest) for i in found)
+
+
+def test_a_form_around_the_page_does_not_drop_its_article():
+    assert X.lines("<form><div>menu</div><article><p>story</p></article></form>") == [("story", 1)]
