@@ -26,19 +26,30 @@ def _count(digits: Column) -> Column:
     return F.regexp_replace(digits, "[.,]", "").try_cast("bigint")
 
 
+# What widgets and phrases of the portals look like.
+WIDGET_TOTAL = r"rowCount:\s*(\d+)"
+WIDGET_PAGE_SIZE = r"paginator:\s*\{[^}]*\brows:\s*(\d+)"
+PAGINATOR_LABEL = r"(?i)(\d+)\s+de\s+([\d.,]+)\s*\(\s*([\d.,]+)\s+registros?\s*\)"
+TOTAL_PHRASES = (
+    r"(?i)(?:se\s+)?encontraron\s+([\d.,]+)",
+    r"(?i)([\d.,]+)\s+resultados?\b",
+    r"(?i)\(\s*([\d.,]+)\s+registros?\s*\)",
+)
+ROW_INDEX = r'data-ri="(\d+)"'
+
+
 def widget_total(html: Column) -> Column:
-    return _capture(html, r"rowCount:\s*(\d+)").try_cast("bigint")
+    return _capture(html, WIDGET_TOTAL).try_cast("bigint")
 
 
 def widget_page_size(html: Column) -> Column:
-    return _capture(html, r"paginator:\s*\{[^}]*\brows:\s*(\d+)").try_cast("bigint")
+    return _capture(html, WIDGET_PAGE_SIZE).try_cast("bigint")
 
 
 def paginator_label(label: Column) -> Column:
     """Page, page count and total of a "page 3 of 176 (1.753 records)" label, or NULL."""
-    pattern = r"(?i)(\d+)\s+de\s+([\d.,]+)\s*\(\s*([\d.,]+)\s+registros?\s*\)"
-    page = _capture(label, pattern, 1).try_cast("bigint")
-    pages, total = _count(_capture(label, pattern, 2)), _count(_capture(label, pattern, 3))
+    page = _capture(label, PAGINATOR_LABEL, 1).try_cast("bigint")
+    pages, total = _count(_capture(label, PAGINATOR_LABEL, 2)), _count(_capture(label, PAGINATOR_LABEL, 3))
     return F.when(
         page.isNotNull(), F.struct(page.alias("page"), pages.alias("pages"), total.alias("total"))
     )
@@ -46,12 +57,7 @@ def paginator_label(label: Column) -> Column:
 
 def text_total(text: Column) -> Column:
     """Total that a results page states in words: the first of three phrases that holds a number."""
-    phrases = [
-        r"(?i)(?:se\s+)?encontraron\s+([\d.,]+)",
-        r"(?i)([\d.,]+)\s+resultados?\b",
-        r"(?i)\(\s*([\d.,]+)\s+registros?\s*\)",
-    ]
-    return F.coalesce(*[_count(_capture(text, p)) for p in phrases])
+    return F.coalesce(*[_count(_capture(text, p)) for p in TOTAL_PHRASES])
 
 
 def is_empty_table(html: Column) -> Column:
@@ -59,7 +65,7 @@ def is_empty_table(html: Column) -> Column:
 
 
 def row_indices(html: Column) -> Column:
-    found = F.regexp_extract_all(html, F.lit(r'data-ri="(\d+)"'), F.lit(1))
+    found = F.regexp_extract_all(html, F.lit(ROW_INDEX), F.lit(1))
     return F.transform(found, lambda d: d.try_cast("bigint"))
 
 

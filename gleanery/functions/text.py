@@ -15,6 +15,11 @@ OTHER_SPACE = "\t\n\x0b\f\r\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u30
 FIRST_YEAR, LAST_YEAR = 1900, 2100
 MAX_SLUG = 80
 
+# How a ruling carries its year, and how a servlet container writes a session id into a path.
+RULING_YEAR = r"-\s*(\d{4})(?!\d)"
+SESSION_TO_DROP = "(?i);jsessionid=[^?/;]*"
+SESSION_TO_MASK = r"(?i);jsessionid=[^?#/\s]*"
+
 
 def normalize_ws(text: Column) -> Column:
     """Collapse every run of white space to one blank and trim the ends.
@@ -36,7 +41,7 @@ def split_multivalue(cell: Column) -> Column:
 def ruling_year(ruling: Column) -> Column:
     """First four-digit group after a dash that is a plausible year, else NULL."""
     years = F.transform(
-        F.regexp_extract_all(ruling, F.lit(r"-\s*(\d{4})(?!\d)"), F.lit(1)), lambda y: y.cast("int")
+        F.regexp_extract_all(ruling, F.lit(RULING_YEAR), F.lit(1)), lambda y: y.cast("int")
     )
     return F.get(F.filter(years, lambda y: y.between(FIRST_YEAR, LAST_YEAR)), F.lit(0))
 
@@ -67,12 +72,12 @@ def slug(text: Column, max_length: int = MAX_SLUG) -> Column:
 
 def strip_session_url(url: Column) -> Column:
     """Drop the session id that a servlet container writes into a path."""
-    return F.regexp_replace(url, "(?i);jsessionid=[^?/;]*", "")
+    return F.regexp_replace(url, SESSION_TO_DROP, "")
 
 
 def redact_url(url: Column) -> Column:
     """Mask the session id in a URL, keeping the fact that there was one."""
-    return F.regexp_replace(url, r"(?i);jsessionid=[^?#/\s]*", ";jsessionid=REDACTED")
+    return F.regexp_replace(url, SESSION_TO_MASK, ";jsessionid=REDACTED")
 
 
 def redact_cookies(headers: Column) -> Column:
@@ -85,7 +90,7 @@ def redact_cookies(headers: Column) -> Column:
 
 def thousands(number: Column) -> Column:
     """``1749`` → ``1.749``."""
-    return F.regexp_replace(number.cast("string"), r"\B(?=(\d{3})+(?!\d))", ".")
+    return F.translate(F.format_number(number, 0), ",", ".")
 
 
 def is_blank(value: Column) -> Column:
