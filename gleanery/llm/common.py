@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
 
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from gleanery.operators import ordered
+
 BLOCK_CHARS = 1 << 19  # a block holds whole texts of so many characters together, or one longer text
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -178,6 +181,33 @@ def group_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - counts]
 
 
+def draw(values: np.ndarray, most: int, doc_id: object) -> np.ndarray:
+    """At most ``most`` of the values, drawn by the document's id: the same whatever rows stand around it."""
+    if len(values) <= most:
+        return values
+    seed = 0 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    return np.random.default_rng(seed).choice(values, most, replace=False)
+
+
+def gathered(rows: DataFrame, *lists: str) -> tuple[np.ndarray, np.ndarray, list[list[tuple[np.ndarray, np.ndarray]]]]:
+    """A bounded sample on the driver: the order of its rows by doc_id, their labels in that order, and for each list column
+    (values, counts) batch by batch as they came. Arrow's table is let go, so a sample is held once."""
+    table = rows.toArrow()
+    ids = table.column("doc_id").to_numpy()
+    y = table.column("label").to_numpy()
+    parts = []
+    for name in lists:
+        own = []
+        for chunk in table.column(name).chunks:
+            ends = chunk.offsets.to_numpy()
+            own.append((chunk.values.to_numpy()[ends[0] : ends[-1]].copy(), np.diff(ends)))
+        parts.append(own)
+    order = np.argsort(ids, kind="stable")
+    del table
+    pa.default_memory_pool().release_unused()
+    return order, y[order], parts
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
     """At most ``rows`` labelled documents to learn from: doc_id, text, label. crc32(doc_id) mod 4 = 2 is held out; the choice goes by a hash of the id."""
     keys = (
@@ -186,3 +216,31 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataF
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
     return docs.select("doc_id", "text").join(F.broadcast(keys), "doc_id")  # at most `rows` short rows
+
+
+def loads(rows: DataFrame, keys: list[str], order: list[str], name: str, most: int) -> DataFrame:
+    """rows with the number of the load they are in: consecutive rows of a key, with ``weight`` of some ``most`` in all."""
+    b = ordered.running(ordered.blocks(rows, keys, order), {"_before": ("sum", F.col("weight"))}, inclusive=False)
+    return ordered.finish(b).withColumn(name, F.floor(F.col("_before") / most).cast("int")).drop("_before")
+
+
+def forest(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+    """Which of the pairs (of numbers under size) join two components that were apart: hook, then compress, until no pair does."""
+    root, kept = np.arange(size), np.zeros(len(a), bool)
+    while True:
+        x, y = root[a], root[b]
+        low, high = np.minimum(x, y), np.maximum(x, y)
+        apart = np.flatnonzero(low < high)
+        if not len(apart):
+            return kept
+        _, first = np.unique(high[apart], return_index=True)  # one pair hooks a root
+        use = apart[first]
+        kept[use] = True
+        root[high[use]] = low[use]
+        while (root[root] != root).any():
+            root = root[root]
+
+
+# SQL for the same words and five-word shingles: (row, doc or item id, words) of a table.
+SQL_WORDS = r"SELECT row_number() OVER () AS r, {id}, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{M}}\p{{N}}]+') AS w FROM {table}"
+SQL_SHINGLES = "list_transform(range(greatest(1, len(w) - 4)), lambda i: array_to_string(w[i + 1:i + 5], ' '))"

@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 
 from gleanery.llm import common as C
 from gleanery.llm.components import components
-from gleanery.operators import ordered
 
 SIMILAR = 80  # hundredths
 SIZE = 5
@@ -76,7 +75,7 @@ def _least(n: Column | np.ndarray, similar: int):
 
 def _more(n: np.ndarray) -> np.ndarray:
     """k of the prefix filter."""
-    return n // 20 + 1
+    return n // 10 + 1
 
 
 def _signed(similar: int):
@@ -127,12 +126,6 @@ def _tokens(texts: list[str], part: pa.RecordBatch) -> dict:
     return {"h": C.lists(h, n, pa.int64())}
 
 
-def _loads(rows: DataFrame, keys: list[str], order: list[str], name: str, most: int) -> DataFrame:
-    """rows with the number of the load they are in: consecutive rows of a key, with ``weight`` of some ``most`` in all."""
-    b = ordered.running(ordered.blocks(rows, keys, order), {"_before": ("sum", F.col("weight"))}, inclusive=False)
-    return ordered.finish(b).withColumn(name, F.floor(F.col("_before") / most).cast("int")).drop("_before")
-
-
 class Trie:
     """Sets of codes (falling frequency first) in a path-compressed trie: node i has the codes flat[start[i]:end[i]] and children first[i]:last[i]."""
 
@@ -235,23 +228,6 @@ class Trie:
         return np.concatenate([none, *out_v]), np.concatenate([none, *out_m])
 
 
-def _forest(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
-    """Which of the pairs (of numbers under size) join two components that were apart: hook, then compress, until no pair does."""
-    root, kept = np.arange(size), np.zeros(len(a), bool)
-    while True:
-        x, y = root[a], root[b]
-        low, high = np.minimum(x, y), np.maximum(x, y)
-        apart = np.flatnonzero(low < high)
-        if not len(apart):
-            return kept
-        _, first = np.unique(high[apart], return_index=True)  # one pair hooks a root
-        use = apart[first]
-        kept[use] = True
-        root[high[use]] = low[use]
-        while (root[root] != root).any():
-            root = root[root]
-
-
 def _join_trees(similar: int):
     def run(table: pa.Table) -> pa.Table:
         own = table.column("member").to_numpy().astype(bool)
@@ -275,7 +251,7 @@ def _join_trees(similar: int):
         other = left != right
         left, right, m = left[other], right[other], m[other]
         names, number = np.unique(np.concatenate([left, right]), return_inverse=True)
-        use = _forest(number[: len(left)], number[len(left) :], len(names))
+        use = C.forest(number[: len(left)], number[len(left) :], len(names))
         sums = np.zeros(len(names), np.int64)
         np.add.at(sums, number[: len(left)], copies[own][m])
         some = np.flatnonzero(sums)
@@ -295,25 +271,26 @@ def linked(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     sets = C.settle(signed.filter("n > 0").groupBy("set", "n").agg(F.min("doc_id").alias("least"), one.alias("one"), F.count("*").alias("copies")))
 
     rows = signed.select(F.explode("prefix").alias("h"), "set", "n").withColumn("at", F.monotonically_increasing_id())  # `at` only spreads equal rows
-    more, need = F.expr("n div 20 + 1"), F.expr(f"n - (({similar} * n + 99) div 100)")
+    more, need = F.expr("n div 10 + 1"), F.expr(f"n - (({similar} * n + 99) div 100)")
     possible = C.settle(_shared(rows).groupBy("set", "n").count().filter(F.col("count") >= F.least("n", more)).select("set").distinct())
     asked = C.settle(sets.join(possible, "set").select("set", "n", "copies", F.col("one.doc_id").alias("id"), F.col("one.of_text").alias("of")))
 
     # The texts are read again, one for each set that is left; repeated rows are made one within the tasks.
-    again = docs.join(asked, docs["doc_id"].eqNullSafe(asked["id"]) & (docs["of_text"] == asked["of"])).groupBy("set").agg(F.any_value("text").alias("text"))
+    # They are shuffled for it at any size, so that what a small table costs tells what a large one will.
+    again = docs.join(asked.hint("merge"), docs["doc_id"].eqNullSafe(asked["id"]) & (docs["of_text"] == asked["of"])).groupBy("set").agg(F.any_value("text").alias("text"))
     tokens = C.settle(C.map_texts(again, "set long, h array<long>", _tokens).select("set", F.explode("h").alias("h")))
-    often = tokens.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
+    often = tokens.groupBy("h").agg(F.count("*").cast("int").alias("df")).filter("df > 1")
     lists = tokens.join(often, "h").groupBy("set").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("h"))
     whole = lists.join(asked.select("set", "n", "copies"), "set").withColumn("q", need + 1 - (F.col("n") - F.size("h"))).filter("q > 0")
     whole = C.settle(whole.withColumn("home", F.array_min(F.transform("h", lambda t: F.xxhash64(t["h"])))).withColumn("weight", F.size("h").cast("long")))
 
-    members = C.settle(_loads(whole.select("home", "n", "set", "weight"), ["home"], ["n", "set"], "tree", TREE))
+    members = C.settle(C.loads(whole.select("home", "n", "set", "weight"), ["home"], ["n", "set"], "tree", TREE))
     prefix = whole.select("set", "n", "weight", F.explode(F.slice("h", F.lit(1), F.col("q").cast("int"))).alias("t")).select("set", "n", "weight", F.col("t.h").alias("h"))
     prefix = C.settle(prefix)
     places = prefix.select("set", "h", "n").join(members.select("set", "home", "tree"), "set").groupBy("h", "home", "tree").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("held"), F.min("set").alias("one"))
     sized = (F.lit(100) * F.col("high") >= F.lit(similar) * F.col("n")) & (F.lit(similar) * F.col("low") <= F.lit(100) * F.col("n"))
     visits = prefix.join(places, "h").filter(sized & ((F.col("held") > 1) | (F.col("one") != F.col("set")))).select("set", "weight", "home", "tree").distinct()
-    visits = C.settle(_loads(visits, ["home", "tree"], ["set"], "chunk", TREE))
+    visits = C.settle(C.loads(visits, ["home", "tree"], ["set"], "chunk", TREE))
     chunks = visits.groupBy("home", "tree").agg(F.max("chunk").alias("most"))
     hosts = members.join(chunks, ["home", "tree"]).select("set", "home", "tree", F.explode(F.sequence(F.lit(0), "most")).alias("chunk"), F.lit(True).alias("member"))
     both = hosts.unionByName(visits.select("set", "home", "tree", "chunk", F.lit(False).alias("member"))).join(whole.select("set", "n", "copies", "h"), "set")
@@ -337,11 +314,12 @@ def op12_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 _AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ORACLE = rf"""
 WITH RECURSIVE words AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_AZ}', '{_AZ.lower()}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
-sets AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(greatest(1, len(w) - {SIZE - 1})), lambda i: array_to_string(w[i + 1:i + {SIZE}], ' '))) END AS s FROM words),
-tokens AS (SELECT r, unnest(s) AS t FROM sets),
-common AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM tokens a JOIN tokens b ON a.t = b.t AND a.r <> b.r GROUP BY ALL),
-links AS (SELECT x, y FROM common JOIN sets a ON x = a.r JOIN sets b ON y = b.r WHERE 100 * c >= {SIMILAR} * (len(a.s) + len(b.s) - c)),
+sets AS MATERIALIZED (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(greatest(1, len(w) - {SIZE - 1})), lambda i: array_to_string(w[i + 1:i + {SIZE}], ' '))) END AS s FROM words),
+tokens AS (SELECT r, hash(unnest(s)) AS t FROM sets),
+common AS MATERIALIZED (SELECT a.r AS x, b.r AS y, count(*) AS c FROM tokens a JOIN tokens b ON a.t = b.t AND a.r < b.r GROUP BY ALL),
+pairs AS (SELECT x, y FROM common JOIN sets a ON x = a.r JOIN sets b ON y = b.r WHERE 100 * c >= {SIMILAR} * (len(a.s) + len(b.s) - c)),
+links AS MATERIALIZED (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
 reach AS (SELECT r AS x, r AS y FROM sets UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
-SELECT s.doc_id, CAST(len(any_value(s.s)) AS BIGINT) AS n_shingles, min(t.doc_id) AS component_id, (SELECT count(*) FROM links WHERE x = s.r) AS n_links
-FROM sets s JOIN reach ON s.r = reach.x JOIN sets t ON t.r = reach.y GROUP BY s.r, s.doc_id
+SELECT s.doc_id, CAST(len(any_value(s.s)) AS BIGINT) AS n_shingles, min(t.doc_id) AS component_id, coalesce(any_value(degree.n), 0) AS n_links
+FROM sets s JOIN reach ON s.r = reach.x JOIN sets t ON t.r = reach.y LEFT JOIN (SELECT x, count(*) AS n FROM links GROUP BY x) degree ON degree.x = s.r GROUP BY s.r, s.doc_id
 """

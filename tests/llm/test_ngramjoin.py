@@ -103,7 +103,7 @@ def test_trie_finds_what_all_pairs_give():
 def test_forest_spans_and_has_no_circle():
     rng = np.random.default_rng(0)
     a, b = rng.integers(0, 200, 900), rng.integers(0, 200, 900)
-    use = N._forest(a, b, 200)
+    use = N.C.forest(a, b, 200)
 
     def parts(x, y):
         root = np.arange(200)
