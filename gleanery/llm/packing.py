@@ -12,11 +12,10 @@ from __future__ import annotations
 
 import zlib
 from functools import cache
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,17 +24,19 @@ from gleanery.llm import common as C
 
 WINDOW = 2048
 END_ID = 1
-KEPT_CHUNKS = 500_000  # chunks whose ids a worker remembers; it starts over beyond that
+KEPT_CHUNKS = 2_000_000  # chunks whose ids a worker remembers, in some 35 bytes each; beyond that the older half is let go
+KEPT_IDS = 16_000_000
 TOGETHER = 20  # new chunks that are tokenized in one call
-# A space before white space is no safe place to cut: such texts are tokenized whole.
-UNSAFE = r" [\s\v\x1c-\x1f\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+# White space as the tokenizer's pattern has it. A space before other than white space is a safe place to cut.
+WHITE = [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 
 class Encoder:
     """Token ids of whole texts, chunk by chunk.
 
     A byte-level tokenizer splits before every single space that is followed by other than white space, whatever stands
-    before it. So the ids of a text are those of its chunks, and a chunk seen before is looked up.
+    before it. So the ids of a text are those of its chunks, and a chunk seen before is looked up: by a 64-bit hash in a sorted
+    array, confirmed by a second one.
     """
 
     def __init__(self, path: str):
@@ -47,67 +48,90 @@ class Encoder:
         self.width = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each token
         for token, i in vocab.items():
             self.width[i] = len(token)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.pool: list[np.ndarray] = []
-        self.size = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, self.dtype)
-        self.first = np.zeros(0, np.int64)
+        self.white = np.zeros(0x110000, bool)
+        self.white[WHITE] = True
+        self.other = C.mix(np.arange(0x110000, dtype=np.uint64))  # code points of the second hash
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)  # sorted by key
+        self.slots = np.zeros(0, np.int32)  # of each key, in the order in which chunks were learned
+        self.first, self.size, self.flat = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, self.dtype)
 
     def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), self.dtype, int(counts.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), self.dtype, int(counts.sum()))
         return flat, counts
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Tokenize chunks that begin with a space, several in one call; the widths of the tokens tell where a chunk ends."""
+    def _spaced(self, chunks: list[str], widths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for chunks that begin with a space, several in one call; the bytes of the tokens, and of the chunks, tell where a chunk ends."""
         flat, _ = self._whole(["".join(chunks[i : i + TOGETHER]) for i in range(0, len(chunks), TOGETHER)])
-        wide = np.cumsum(np.fromiter((len(c.encode()) for c in chunks), np.int64, len(chunks)))
-        ends = np.searchsorted(np.cumsum(self.width[flat]), wide, "left") + 1
-        counts = np.diff(ends, prepend=0)
-        base, n = len(self.flat), len(self.place)
-        self.place.update(zip(chunks, range(n, n + len(chunks)), strict=True))
-        self.flat = np.concatenate([self.flat, flat])
-        self.first = np.concatenate([self.first, base + ends - counts])
-        self.size = np.concatenate([self.size, counts])
+        ends = np.searchsorted(np.cumsum(self.width[flat]), np.cumsum(widths), "left") + 1
+        return flat, np.diff(ends, prepend=0)
+
+    def _forget(self) -> None:
+        """Let go of the older half."""
+        half = len(self.size) // 2
+        keep = self.slots >= half
+        self.keys, self.checks, self.slots = self.keys[keep], self.checks[keep], self.slots[keep] - half
+        base = int(self.first[half])
+        self.flat, self.first, self.size = self.flat[base:].copy(), self.first[half:] - base, self.size[half:].copy()
+
+    def _learn(self, keys: np.ndarray, checks: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """Remember chunks in the order of their ids in ``parts``. The older half may go before, never after."""
+        flat, counts = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        while len(self.size) > 1 and (len(self.size) + len(keys) > KEPT_CHUNKS or len(self.flat) + len(flat) > KEPT_IDS):
+            self._forget()
+        n, base = len(self.size), len(self.flat)
+        at = np.searchsorted(self.keys, keys)
+        order = np.argsort(keys)
+        self.slots = np.insert(self.slots, at[order], (n + order).astype(np.int32))
+        self.checks = np.insert(self.checks, at[order], checks[order])
+        self.keys = np.insert(self.keys, at[order], keys[order])
+        self.flat = np.concatenate([self.flat, flat.astype(self.dtype)])
+        self.first = np.concatenate([self.first, (base + np.cumsum(counts) - counts).astype(np.int32)])
+        self.size = np.concatenate([self.size, counts.astype(np.int32)])
+
+    def _find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Slots of chunks, -1 for those not known (or known by the first hash only)."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where((self.keys[at] == keys) & (self.checks[at] == checks), self.slots[at], -1).astype(np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each text has."""
-        column = pa.array(texts, pa.string())
-        safe = np.flatnonzero(~pc.match_substring_regex(column, UNSAFE).to_numpy(zero_copy_only=False))
-        split = pc.split_pattern(column.take(pa.array(safe)), " ")
-        bounds = split.offsets.to_numpy()
-        coded = split.flatten().dictionary_encode()
-        codes = coded.indices.to_numpy()
-        heads = np.full(len(texts), -1)
-        heads[safe] = bounds[:-1] - bounds[0]
-        first = np.array(texts, object)
-        pieces = split.flatten()
-        first[safe] = pieces.take(pa.array(heads[safe])).to_pylist()  # their first chunks; the other texts whole
-        head_ids, head_n = self._whole(list(first))
-        known = [" " + c for c in coded.dictionary.to_pylist()]
-        if len(self.place) + len(known) > KEPT_CHUNKS:
-            self._forget()
-        new = [c for c in known if c not in self.place]
-        if new:
-            self._learn(new)
-        rest = np.ones(len(codes), bool)
-        rest[heads[safe]] = False
-        slots = np.fromiter((self.place[c] for c in known), np.int64, len(known))[codes[rest]]
-        n_rest = np.zeros(len(texts), np.int64)
-        n_rest[safe] = np.diff(bounds) - 1
-        sizes = self.size[slots]
-        owner = np.repeat(np.arange(len(texts)), n_rest)
-        counts = head_n + np.bincount(owner, sizes, len(texts)).astype(np.int64)
-        out = np.empty(int(counts.sum()), self.dtype)
-        start = np.cumsum(counts) - counts
-        out[np.repeat(start, head_n) + C.ramp(head_n)] = head_ids
-        body = np.repeat(np.arange(len(texts)), counts - head_n)
-        out[start[body] + head_n[body] + C.ramp(counts - head_n)] = self.flat[np.repeat(self.first[slots], sizes) + C.ramp(sizes)]
-        return out, counts
+        points, bounds = C.codepoints(texts)
+        white = self.white[points]
+        white[bounds[1:] - 1] = True  # the end of a text
+        spaced = np.zeros(len(points), bool)
+        spaced[:-1] = (points[:-1] == 32) & ~white[1:]
+        spaced[bounds[1:] - 1] = False
+        begins = spaced.copy()
+        begins[bounds[:-1][np.diff(bounds) > 1]] = True
+        starts = np.flatnonzero(begins)
+        owner = np.searchsorted(bounds, starts, "right") - 1
+        ends = np.minimum(np.append(starts[1:], len(points)), bounds[owner + 1] - 1)
+        hashes, checks = C.span_hashes(points, starts, ends), C.span_hashes(self.other[points], starts, ends)
+        keys, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if (checks[where][inverse] != checks).any():  # two chunks with one hash
+            return self._whole(texts)
+        slots = self._find(keys, checks[where])
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            at = where[new]
+            new = new[np.argsort(~spaced[starts[at]], kind="stable")]  # those that begin with a space first
+            at = where[new]
+            found = [texts[o][s - b : e - b] for o, s, e, b in zip(owner[at], starts[at], ends[at], bounds[owner[at]], strict=True)]
+            cut = int(spaced[starts[at]].sum())
+            total = np.concatenate([[0], np.cumsum(1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000))])  # UTF-8 bytes
+            widths = (total[ends[at]] - total[starts[at]])[:cut]
+            self._learn(keys[new], checks[at], [self._spaced(found[:cut], widths), self._whole(found[cut:])])
+            slots = self._find(keys, checks[where])
+            if (slots < 0).any():  # the block alone has more than is remembered, or chunks with a known one's hash
+                return self._whole(texts)
+        slots = slots[inverse]
+        sizes = self.size[slots].astype(np.int64)
+        counts = np.bincount(owner, sizes, len(texts)).astype(np.int64)
+        return self.flat[np.repeat(self.first[slots].astype(np.int64), sizes) + C.ramp(sizes)], counts
 
 
 @cache
@@ -121,7 +145,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
 
     def run(batches):
         enc, at, part = encoder(path), 0, TaskContext.get().partitionId()
-        for rows, texts in C.text_blocks(batches, most=C.BLOCK_CHARS * 2):
+        for rows, texts in C.text_blocks(batches):
             ids, counts = enc.encode(texts)
             ends = np.cumsum(counts)
             made = [ids[e - n : e].tobytes() + np.array([end_id], enc.dtype).tobytes() for e, n in zip(ends, counts, strict=True)]

@@ -25,7 +25,10 @@ def test_memory_is_bounded(monkeypatch):
     enc = P.Encoder(PATH)
     for i in range(5):
         enc.encode([" ".join(f"w{i}x{j}" for j in range(40))])
-        assert len(enc.place) <= 50
+        assert len(enc.size) == len(enc.keys) <= 80 and (np.diff(enc.keys.astype(object)) > 0).all()  # a block of 40 comes in whole
+    texts = [" ".join(f"w{i}x{j}" for j in range(35, 40)) for i in range(5)]
+    ids, n = enc.encode(texts)
+    assert ids.tolist() == [i for t in texts for i in enc.tokenizer.encode(t, add_special_tokens=False).ids]
 
 
 @pytest.mark.parametrize("window", [2048, 64])
