@@ -7,7 +7,9 @@ coordinates or more, however long the document is. Windows that agree in one of
 is missed with a chance of about 2e-5); then the share of the item's distinct shingles that the whole document holds decides.
 
 The benchmark is a stated query set: it is taken in blocks of bounded size, each shipped to a pass over the documents. Items
-under five words have no five-word shingle and are not searched. Items without an id can't be named as leaks, but documents that
+under five words have no five-word shingle. With ``short`` they are searched as a whole, exactly: a document that has their words
+in a row holds them. Without it, as in the query and the pipeline's stage, they are not searched: a one-word item would take every document that
+has the word. Items without an id can't be named as leaks, but documents that
 hold one are dropped. Null and empty texts hold nothing. Repeated rows are searched each.
 """
 
@@ -36,15 +38,24 @@ def _seeds() -> tuple[np.ndarray, np.ndarray]:
 class Items:
     """A block of test items: their shingles, and for each size their minima by coordinate."""
 
-    def __init__(self, ids: list[int], texts: list[str]):
+    def __init__(self, ids: list[int], texts: list[str], short: bool = False):
         values, counts = C.shingles(texts)
-        long_enough = C.words(texts)[1] >= 5
+        n_words = C.words(texts)[1]
+        long_enough = n_words >= 5
         ends = np.cumsum(counts)
         self.ids, self.shingles = [], []
         for i, (e, n) in enumerate(zip(ends, counts, strict=True)):
             if long_enough[i]:
                 self.ids.append(ids[i])
                 self.shingles.append(np.unique(values[e - n : e]))
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # by number of words: sorted hashes of the whole items, and their numbers
+        for n in range(1, 5) if short else ():
+            own = np.flatnonzero(n_words == n)
+            if len(own):
+                h = C.shingles([texts[i] for i in own], n)[0]
+                order = np.argsort(h, kind="stable")
+                self.short[n] = h[order], len(self.ids) + order
+                self.ids += [ids[i] for i in own]
         self.xor, self.mul = _seeds()
         self.sizes: dict[int, tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]] = {}
         by_size: dict[int, list[int]] = {}
@@ -93,10 +104,16 @@ class Items:
             shared = int(np.isin(self.shingles[i], own, assume_unique=True).sum())
             if shared >= contained * len(self.shingles[i]) - 1e-9:
                 out.append((t, i, shared, shared / len(self.shingles[i])))
+        for n, (keys, numbers) in self.short.items():
+            values, counts = C.shingles(texts, n)
+            lo, hi = np.searchsorted(keys, values, "left"), np.searchsorted(keys, values, "right")
+            item = numbers[np.repeat(lo, hi - lo) + C.ramp(hi - lo)]
+            text = np.repeat(np.repeat(np.arange(len(texts)), counts), hi - lo)
+            out += [(int(t), int(i), 1, 1.0) for t, i in sorted(set(zip(text.tolist(), item.tolist(), strict=True)))]
         return out
 
 
-def item_blocks(benchmark: DataFrame, named: bool = True) -> list[Items]:
+def item_blocks(benchmark: DataFrame, named: bool = True, short: bool = False) -> list[Items]:
     """The benchmark in blocks of about BLOCK_ITEMS items and BLOCK_WORDS words; more items make more blocks, not larger ones. With ``named``, only items with an id."""
     items = benchmark.filter(F.col("text").isNotNull() & (F.col("item_id").isNotNull() | F.lit(not named))).select("item_id", "text")
     n, words = items.agg(F.count("*"), F.sum(F.size(F.split("text", r"\s+")))).first()
@@ -105,15 +122,15 @@ def item_blocks(benchmark: DataFrame, named: bool = True) -> list[Items]:
     for b in range(blocks):
         rows = sorted(items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).distinct().collect(), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
         if rows:
-            out.append(Items([r[0] for r in rows], [r[1] for r in rows]))
+            out.append(Items([r[0] for r in rows], [r[1] for r in rows], short))
     return out
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, contained: float = CONTAINED) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, contained: float = CONTAINED, short: bool = False) -> DataFrame:
     """doc_id, item_id, shared (shingles) and containment of every document that holds a test item."""
     schema, found = "doc_id long, item_id long, shared long, containment double", None
     docs = docs.select("doc_id", "text")
-    for items in item_blocks(benchmark) or [Items([], [])]:
+    for items in item_blocks(benchmark, short=short) or [Items([], [])]:
         kept = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches, kept=kept):
@@ -130,9 +147,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, contained: float = CONTAINED) -
     return found
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, contained: float = CONTAINED) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, contained: float = CONTAINED, short: bool = False) -> DataFrame:
     """docs without the rows that hold a test item; nothing is shuffled."""
-    for items in item_blocks(benchmark, named=False):
+    for items in item_blocks(benchmark, named=False, short=short):
         kept = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches, kept=kept):
@@ -146,3 +163,11 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, contained: float = CONT
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
+
+
+# Without the search: all shingles of documents and items joined.
+ORACLE = f"""
+WITH d AS ({C.SQL_WORDS.format(id="doc_id", table="documents")}), ds AS (SELECT DISTINCT r, doc_id, unnest({C.SQL_SHINGLES}) AS g FROM d WHERE len(w) >= 5),
+i AS ({C.SQL_WORDS.format(id="item_id", table="benchmark")}), xs AS (SELECT DISTINCT r, item_id, unnest({C.SQL_SHINGLES}) AS g FROM i WHERE len(w) >= 5), n AS (SELECT r, count(*) AS n FROM xs GROUP BY r)
+SELECT doc_id, item_id, count(*) AS shared, count(*) / any_value(n.n) AS containment FROM ds JOIN xs USING (g) JOIN n ON xs.r = n.r GROUP BY ds.r, doc_id, xs.r, item_id HAVING 10 * count(*) >= 8 * any_value(n.n)
+"""

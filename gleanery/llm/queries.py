@@ -23,4 +23,9 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {"op12_ngram_jaccard_join": ngramjoin.ORACLE, "op13_merkle_manifest": manifest.ORACLE}
+ORACLES: dict[str, str] = {
+    "op2_minhash_near_dedup": neardup.ORACLE,
+    "op9_decontamination": decontamination.ORACLE,
+    "op12_ngram_jaccard_join": ngramjoin.ORACLE,
+    "op13_merkle_manifest": manifest.ORACLE,
+}

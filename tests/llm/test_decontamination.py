@@ -84,3 +84,18 @@ def test_the_stage_drops_documents_with_an_item_without_an_id(spark):
     items = spark.createDataFrame([(None, "seven red boats left the harbour"), (4, "quite another text of many words"), (None, None)], "item_id long, text string")
     assert [r.doc_id for r in D.without_leaks(docs, items).collect()] == [2]
     assert D.leaks(docs, items).count() == 0
+
+
+def test_short_items_are_searched_whole_where_asked_for(spark):
+    items = [(1, "one"), (2, "two Words"), (3, "a b c d"), (4, "a b c"), (5, ""), (6, None), (7, "two words"), (8, "five words are a shingle")]
+    docs = [(1, "One, two words."), (2, "a b c x"), (3, "b a, b: c d"), (4, ""), (5, None), (6, "Two"), (7, "FIVE words are a shingle one")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    words = {i: plain_words(t or "") for i, t in items}
+    want = set()
+    for d, t in docs:
+        w = plain_words(t or "")
+        want |= {(d, i) for i, x in words.items() if x and any(w[k : k + len(x)] == x for k in range(len(w)))}
+    assert {(r.doc_id, r.item_id) for r in D.leaks(frame, bench, short=True).collect()} == want and len(want) == 8
+    assert {(r.doc_id, r.item_id) for r in D.leaks(frame, bench).collect()} == {(7, 8)}
+    assert {r.doc_id for r in D.without_leaks(frame, bench, short=True).collect()} == {d for d, _ in docs} - {d for d, _ in want}
