@@ -134,10 +134,10 @@ class Network:
 
 
 def _training_rows(texts: list[str], part: pa.RecordBatch) -> dict:
-    rng, made = np.random.default_rng(len(texts)), []
-    for t in texts:
+    made = []
+    for t, d in zip(texts, part.column("doc_id").to_pylist(), strict=True):
         rows = windows(t.encode("utf-8", "surrogatepass"))
-        made.append(rows[rng.choice(len(rows), min(len(rows), FIT_WINDOWS), replace=False)].tobytes())
+        made.append(rows[C.draw(np.arange(len(rows)), FIT_WINDOWS, d)].tobytes())
     return {"windows": pa.array(made, pa.binary())}
 
 

@@ -67,13 +67,12 @@ def _per_text(kinds, t: int, offsets) -> np.ndarray:
 
 
 def _training_rows(texts: list[str], part: pa.RecordBatch) -> dict:
-    rng, groups = np.random.default_rng(len(texts)), []
+    doc_ids, groups = part.column("doc_id").to_pylist(), []
     for kinds in hits(texts):
         offsets = [np.concatenate([[0], np.cumsum(n)]) for _, n in kinds]
         drawn = []
         for t in range(len(texts)):
-            ids = _per_text(kinds, t, offsets)
-            drawn.append(rng.choice(ids, FIT_HITS, replace=False) if len(ids) > FIT_HITS else ids)
+            drawn.append(C.draw(_per_text(kinds, t, offsets), FIT_HITS, doc_ids[t]))
         groups.append(C.lists(np.concatenate(drawn), np.array([len(d) for d in drawn]), pa.int32()))
     return {"w": groups[0], "c": groups[1]}
 
@@ -124,13 +123,13 @@ class Embeddings:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = FIT_ROWS) -> tuple[np.ndarray, float]:
     """Learn from at most ``rows`` labelled documents: what comes to the driver is bounded by rows x 2 x FIT_HITS numbers."""
     sample = C.labelled(docs, labels, label, rows)
-    got = C.map_texts(sample, "doc_id long, label int, w array<int>, c array<int>", _training_rows).toArrow().sort_by([("doc_id", "ascending")])
-    y = got.column("label").to_numpy().astype(np.int64)
+    order, y, parts = C.gathered(C.map_texts(sample, "doc_id long, label int, w array<int>, c array<int>", _training_rows), "w", "c")
+    y = y.astype(np.int64)
     if len(set(y.tolist())) < 2:
         share = y.mean() if len(y) else 0.5
         return np.zeros(BUCKETS, np.float32), float(np.log((share + 1e-6) / (1 - share + 1e-6)))
-    w, c = ([x.values.to_numpy() for x in got.column(k).combine_chunks()] for k in ("w", "c"))
-    return Embeddings().fit(list(zip(w, c, strict=True)), y).logits()
+    w, c = ([v for ids, counts in own for v in np.split(ids, np.cumsum(counts)[:-1])] for own in parts)
+    return Embeddings().fit([(w[i], c[i]) for i in order], y).logits()
 
 
 def score_texts(texts: list[str], logits: np.ndarray, bias: float) -> np.ndarray:

@@ -30,7 +30,7 @@ LEAST = 3
 APART = 4.0
 STEMS = (4, 5)
 PAIRS_BY_CHANCE = 0.05
-TERMS_AT_ONCE = 1024
+TERMS_AT_ONCE = 512
 
 
 def terms(texts: list[str], active: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -55,10 +55,8 @@ def terms(texts: list[str], active: np.ndarray | None = None) -> tuple[np.ndarra
 
 def _training_rows(texts: list[str], part: pa.RecordBatch) -> dict:
     ids, counts = terms(texts)
-    ends, rng, drawn = np.cumsum(counts), np.random.default_rng(len(texts)), []
-    for e, n in zip(ends, counts, strict=True):
-        own = ids[e - n : e]
-        drawn.append(rng.choice(own, FIT_TERMS, replace=False) if n > FIT_TERMS else own)
+    ends = np.cumsum(counts)
+    drawn = [C.draw(ids[e - n : e], FIT_TERMS, d) for e, n, d in zip(ends, counts, part.column("doc_id").to_pylist(), strict=True)]
     return {"terms": C.lists(np.concatenate(drawn), np.array([len(d) for d in drawn]), pa.int32())}
 
 
@@ -117,29 +115,31 @@ def _evidence(ones: np.ndarray, n: np.ndarray, share: np.ndarray) -> np.ndarray:
     return n * (f * np.log(f / share) + (1 - f) * np.log((1 - f) / (1 - share)))
 
 
-def in_company(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """Buckets of terms that tell by a pair: all pairs are counted, by products of blocks of the 0/1 matrix of documents and terms.
+def in_company(terms_: np.ndarray, counts: np.ndarray, y: np.ndarray, known: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """Terms (numbers below len(known)) that tell by a pair: all pairs are counted, by products of blocks of the 0/1 matrix of documents and terms.
 
     Left out beforehand is only what no pair can lift over the bound: too few documents of label 1 and too few of label 0."""
-    ids, counts, share = np.concatenate(rows), [len(r) for r in rows], y.mean()
-    known, ones = np.bincount(ids, minlength=BUCKETS), np.bincount(ids, np.repeat(y, counts), BUCKETS)
-    own = np.flatnonzero(known >= LEAST)
-    least = np.log(max(1, len(own)) ** 2 / 2 / PAIRS_BY_CHANCE)
-    own = own[(ones[own] * -np.log(share) >= least) | ((known - ones)[own] * -np.log(1 - share) >= least)]
-    slot = np.full(BUCKETS, -1, np.int32)
-    slot[own] = np.arange(len(own))
-    row = np.repeat(np.argsort(np.argsort(-y, kind="stable")), counts)  # documents of label 1 first
-    first, at = int(y.sum()), slot[ids]
+    share = y.mean()
+    least = np.log(max(1, len(known)) ** 2 / 2 / PAIRS_BY_CHANCE)
+    own = np.flatnonzero((ones * -np.log(share) >= least) | ((known - ones) * -np.log(1 - share) >= least))
+    slot = np.full(len(known), -1, np.int32)
+    slot[own] = np.arange(len(own), dtype=np.int32)
+    place = np.empty(len(y), np.int32)  # documents of label 1 first
+    place[np.argsort(-y, kind="stable")] = np.arange(len(y), dtype=np.int32)
+    row, at, first = np.repeat(place, counts), slot[terms_], int(y.sum())
+    row, at = row[at >= 0], at[at >= 0]
     by_term = np.argsort(at, kind="stable")
     row, at = row[by_term], at[by_term]
+    del by_term
 
     def block(a: int) -> np.ndarray:
         lo, hi = np.searchsorted(at, [a, a + TERMS_AT_ONCE])
-        there = np.zeros((len(rows), min(TERMS_AT_ONCE, len(own) - a)), np.float32)
+        there = np.zeros((len(y), min(TERMS_AT_ONCE, len(own) - a)), np.float32)
         there[row[lo:hi], at[lo:hi] - a] = 1
         return there
 
-    odds = np.log((ones[own] + share) / (known[own] - ones[own] + 1 - share))  # log odds of label 1 with each term
+    known, ones = known[own], ones[own]
+    odds = np.log((ones + share) / (known - ones + 1 - share))  # log odds of label 1 with each term
     base, found = np.log(share / (1 - share)), np.zeros(len(own), bool)
     cuts = range(0, len(own), TERMS_AT_ONCE)
     for a in cuts:
@@ -160,21 +160,41 @@ def in_company(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = FIT_ROWS) -> Machine:
-    """Learn from at most ``rows`` labelled documents: what comes to the driver is bounded by rows x FIT_TERMS numbers."""
+    """Learn from at most ``rows`` labelled documents: what comes to the driver is bounded by rows x FIT_TERMS numbers.
+
+    The sample is held once, as 32-bit numbers: terms that too few documents have are left out before anything is copied."""
     sample = C.labelled(docs, labels, label, rows)
-    got = C.map_texts(sample, "doc_id long, label int, terms array<int>", _training_rows).toArrow().sort_by([("doc_id", "ascending")])
-    y = got.column("label").to_numpy().astype(np.float64)
-    rows_ = [x.values.to_numpy() for x in got.column("terms").combine_chunks()]
+    order, y, (parts,) = C.gathered(C.map_texts(sample, "doc_id long, label int, terms array<int>", _training_rows), "terms")
+    y = y.astype(np.float64)
     if len(set(y.tolist())) < 2:
         empty = Machine(np.zeros(0, np.int64))
         share = y.mean() if len(y) else 0.5
         empty.w0 = float(np.log((share + 1e-6) / (1 - share + 1e-6)))
         return empty
-    known, share = np.bincount(np.concatenate(rows_), minlength=BUCKETS), y.mean()
-    ones = np.bincount(np.concatenate(rows_), np.repeat(y, [len(r) for r in rows_]), BUCKETS)
-    apart = np.abs(ones - known * share) / np.sqrt(np.maximum(known, 1) * share * (1 - share))
-    m = Machine(np.union1d(np.flatnonzero((known >= LEAST) & (apart >= APART)), in_company(rows_, y)))
-    return m.fit([(s := m.slot[r])[s >= 0] for r in rows_], y)
+    known = np.zeros(BUCKETS, np.int64)
+    for ids, _ in parts:
+        known += np.bincount(ids, minlength=BUCKETS)
+    often = np.flatnonzero(known >= LEAST)
+    slot = np.full(BUCKETS, -1, np.int32)
+    slot[often] = np.arange(len(often), dtype=np.int32)
+    rows_ = []
+    while parts:
+        ids, counts = parts.pop(0)
+        ends = np.cumsum(counts)
+        rows_ += [(s := slot[ids[e - n : e]])[s >= 0] for e, n in zip(ends, counts, strict=True)]
+    rows_ = [rows_[i] for i in order]
+    counts, terms_ = np.array([len(r) for r in rows_]), np.concatenate(rows_)
+    known, share, ones = known[often], y.mean(), np.zeros(len(often))
+    for r, label_of in zip(rows_, y, strict=True):
+        if label_of:
+            ones[r] += 1
+    apart = np.abs(ones - known * share) / np.sqrt(known * share * (1 - share))
+    use = np.union1d(np.flatnonzero(apart >= APART), in_company(terms_, counts, y, known, ones))
+    del terms_
+    m = Machine(often[use])
+    inner = np.full(len(often), -1, np.int32)
+    inner[use] = np.arange(len(use), dtype=np.int32)
+    return m.fit([(s := inner[r])[s >= 0] for r in rows_], y)
 
 
 def score(docs: DataFrame, model: Machine) -> DataFrame:

@@ -81,7 +81,48 @@ def test_a_pair_is_learned_from_documents_where_neither_word_tells(spark):
     assert sum((r.score > 0.5) == r.toxic for r in held) / len(held) > 0.95
     # where no pair tells, none is chosen
     drawn = [np.unique(rng.integers(2000, size=40)) for _ in range(1000)]
-    assert len(toxicity.in_company(drawn, (rng.random(1000) < 0.3).astype(float))) == 0
+    y = (rng.random(1000) < 0.3).astype(float)
+    counts, ids = np.array([len(d) for d in drawn]), np.concatenate(drawn)
+    assert len(toxicity.in_company(ids, counts, y, np.bincount(ids, minlength=2000), np.bincount(ids, np.repeat(y, counts), 2000))) == 0
+
+
+def test_scores_against_plain_loops():
+    """The machine's pair sum against two loops over pairs; the embeddings' logits against the mean vectors and the layer."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    texts = ["one two three one", "", "Zwei drei vier", "x " * 50, "a b c d e f g"]
+    m = toxicity.Machine(np.arange(toxicity.BUCKETS))
+    m.w0, m.w = 0.3, rng.standard_normal(toxicity.BUCKETS).astype(np.float32) * 0.1
+    m.v = rng.standard_normal((toxicity.BUCKETS, toxicity.FACTORS)).astype(np.float32) * 0.3
+    for text, got in zip(texts, m.score(texts), strict=True):
+        own = toxicity.terms([text])[0]
+        z = m.w0 + sum(float(m.w[i]) for i in own) + sum(float(np.dot(m.v[i], m.v[j])) for a, i in enumerate(own) for j in own[:a])
+        assert abs(got - 1 / (1 + np.exp(-z))) < 1e-4
+    net = quality.Embeddings(seed=3)
+    net.w, net.b = rng.standard_normal(net.w.shape).astype(np.float32), rng.standard_normal(2).astype(np.float32)
+    for text, got in zip(texts, quality.score_texts(texts, *net.logits()), strict=True):
+        x = np.zeros(quality.DIM)
+        for kinds in quality.hits([text]):
+            ids = np.concatenate([i for i, _ in kinds])
+            x += net.e[ids].mean(0) if len(ids) else 0
+        z = x @ net.w + net.b
+        assert abs(got - np.exp(z[1]) / np.exp(z).sum()) < 1e-4
+
+
+def test_models_do_not_depend_on_the_layout(spark):
+    """Long texts are drawn from by their id: the same model from one file and from many."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(9000, size=6000 if i % 4 == 0 else 30)), i % 2, i % 2, "en" if i % 3 else "fr") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int, toxic int, lang string")
+    one, many = docs.coalesce(1), docs.repartition(7)
+    assert all(np.array_equal(a, b) for a, b in zip(quality.fit(one, docs), quality.fit(many, docs), strict=True))
+    a, b = toxicity.fit(one, docs), toxicity.fit(many, docs)
+    assert np.array_equal(a.active, b.active) and np.array_equal(a.w, b.w) and np.array_equal(a.v, b.v)
+    a, b = language.fit(one, F.lit(True)), language.fit(many, F.lit(True))
+    assert a.langs == b.langs and np.array_equal(a.out, b.out)
 
 
 def test_language_of_awkward_documents(awkward, nothing):
