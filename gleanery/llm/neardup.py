@@ -11,24 +11,24 @@ equals the similarity. If a coordinate stays empty, the limit is doubled.
 Steps: (1) texts with equal weighted sets are one class from the start, told by a 128-bit sum and the number of shingles. (2) Each
 distinct text is filed under ``BANDS`` bands of ``ROWS`` coordinates (a pair of similarity 0.8 is missed with a chance of 2e-5).
 (3) In a bucket every text is compared with the bucket's first one, a star instead of all pairs. (4) In buckets that still hold
-several classes, texts outside the main class are compared with four of its members: a text that is linked to some of a group
-meets one of those in one of its buckets. (5) What is then left outside the main class of a bucket, texts with few links or none, is compared with the bucket's
-members outside its own class; bits of both signatures, compared inside the join, let only those pairs through that may reach the
-threshold (a true pair is held back with a chance of 3e-5). So a group of copies costs a few comparisons each, and no link that a
-bucket shows is lost. All compared pairs are verified on the whole texts; components of the links are the classes.
+several classes, all texts of different classes are compared, but within tasks: a text is a member of one place, visits the places of the
+texts that it shares a bucket with, and only links leave the task, one for each class that is joined. Signatures decide before texts do:
+four bits of each coordinate let only those pairs through that may reach the threshold (a true pair is held back with a
+chance of 3e-5; one of similarity 0.67 passes in one of a hundred cases), the closest first, and pairs of classes that are joined by
+then are left out. So no link between classes that a bucket shows is lost, and rows follow the number of texts, not of pairs. All links
+are verified on the whole texts; their components are the classes.
 
 Null, empty and word-free texts have no shingles: each row is a class of its own. Texts of one to four words are one shingle.
-Rows with the same id are one document. Rows without an id are left out of the classes (and kept by ``keep_one``).
+Rows with the same id are one document. Rows without an id are left out of the classes; ``keep_one`` tells rows by id and text, and
+treats a row without an id like others. Texts of any length are taken whole; one is held in a task at a time.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.llm import common as C
@@ -38,10 +38,12 @@ SIMILAR = 0.8
 BANDS = 60
 ROWS = 8
 WIDTH = BANDS * ROWS
-SKETCH = -(-WIDTH // 64)
-STARS, TESTS = 4, 64  # further stars in a bucket of several classes, and tests of a text against a class; what they leave is compared in full
-# Agreeing bits that a pair of the least similarity has, less four standard deviations (a bit agrees by chance in half of the rest).
-LEAST_BITS = math.floor(WIDTH * (1 + SIMILAR) / 2 - 4 * math.sqrt(WIDTH * (1 + SIMILAR) * (1 - SIMILAR) / 4))
+BITS = 4  # of each coordinate in a sketch
+SKETCH = -(-WIDTH * BITS // 64)
+PLACE = 1 << 19  # shingles of the members of a place, and of the visitors of a chunk
+# Agreeing coordinates that a pair of the least similarity has, less four standard deviations (by chance one of 16 of the rest agrees).
+_AGREE = SIMILAR + (1 - SIMILAR) / (1 << BITS)
+LEAST_SAME = math.floor(WIDTH * _AGREE - 4 * math.sqrt(WIDTH * _AGREE * (1 - _AGREE)))
 POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(12)])
 
 
@@ -108,9 +110,8 @@ def _sign(texts: list[str], part: pa.RecordBatch) -> dict:
     for r in range(ROWS):
         bands = C.mix(bands * np.uint64(C.BASE) + sig[:, r::ROWS])
     bands = C.mix(bands + np.arange(BANDS, dtype=np.uint64))
-    bits = np.zeros((len(texts), SKETCH * 64), np.uint8)
-    bits[:, :WIDTH] = sig & np.uint64(1)
-    sketch = np.packbits(bits, axis=1, bitorder="little").view("<u8").reshape(len(texts), SKETCH).view(np.int64)
+    nibbles = (sig & np.uint64(15)).astype(np.uint8)
+    sketch = np.ascontiguousarray(nibbles[:, ::2] | (nibbles[:, 1::2] << 4)).view("<i8").reshape(len(texts), SKETCH)
     units = C.mix(elements)
     wide = weights.astype(np.uint64)
     ends = np.cumsum(counts)
@@ -179,51 +180,120 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     tried = C.settle(filed.filter("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct())
     root = components(C.settle(verified(tried, pool, similar)))
     filed = filed.select("bucket", "doc_id")
-    for last in (False, True):
-        placed = filed.join(root.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("root", "doc_id").alias("class"))
-        placed = C.settle(placed)
-        heads = placed.groupBy("bucket").agg(
-            F.mode("class", True).alias("main"), F.min("class").alias("low"), F.max("class").alias("high")
-        )
-        mixed = C.settle(placed.join(heads.filter("low < high").select("bucket", "main"), "bucket"))
-        if mixed.isEmpty():
-            break
-        if not last:
-            pairs = _stars(mixed)
-        else:
-            pairs = _across(mixed.join(signed.select("doc_id", "sketch").dropDuplicates(["doc_id"]), "doc_id"))
-        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        pairs = C.settle(pairs.join(tried, ["a", "b"], "left_anti"))
-        more = C.settle(verified(pairs, pool, similar))
-        if not more.isEmpty():
-            root = components(root.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(more))
-        tried, filed = tried.unionAll(pairs), mixed.select("bucket", "doc_id")
+    placed = C.settle(filed.join(root.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("root", "doc_id").alias("class")))
+    several = placed.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("size")).filter("low < high").select("bucket", "size")
+    mixed = C.settle(placed.join(several, "bucket"))
+    if not mixed.isEmpty():
+        found = C.settle(_within(mixed, texts.select("doc_id", "sketch", F.col("n").alias("weight")), pool, similar))
+        if not found.isEmpty():
+            root = components(root.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(found))
     return rows.join(root.withColumnRenamed("node", "text_id"), "text_id", "left").select("doc_id", "n_shingles", "text_id", F.coalesce("root", "text_id").alias("class_id"))
 
 
-def _stars(mixed: DataFrame) -> DataFrame:
-    """Pairs x, y of a bucket's texts outside its main class with some within: for a text and a class up to TESTS of those it meets."""
-    heads = mixed.filter(F.col("class") == F.col("main")).groupBy("bucket").agg(*[F.min_by("doc_id", F.xxhash64("doc_id", F.lit(i))).alias(f"x{i}") for i in range(STARS)])
-    meets = mixed.filter(F.col("class") != F.col("main")).join(heads, "bucket")
-    met = reduce(DataFrame.unionAll, [meets.select(F.col(f"x{i}").alias("x"), F.col("doc_id").alias("y"), "main") for i in range(STARS)]).distinct()
-    order = Window.partitionBy("y", "main").orderBy(F.xxhash64("x"), "x")
-    return met.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= TESTS).select("x", "y")
+def _within(mixed: DataFrame, texts: DataFrame, pool: DataFrame, similar: float) -> DataFrame:
+    """Links a, b between texts of different classes that share a bucket of ``mixed`` (bucket, doc_id, class, size of the bucket).
+
+    A text is a member of one place, that of the largest of its buckets, so that a family has few of them however large it is; places of more than ``PLACE`` shingles are
+    cut. It visits the places of all texts that it shares a bucket with, and visitors of a place come in chunks of ``PLACE`` shingles. So
+    a text moves to a few places, not to its pairs, a task holds two bounded loads, and pairs exist within tasks only."""
+    home = mixed.groupBy("doc_id").agg(F.first("class").alias("class"), F.max_by("bucket", F.struct("size", "bucket")).alias("home")).join(texts.select("doc_id", "weight"), "doc_id")
+    home = C.settle(home)
+    members = C.settle(C.loads(home.select("doc_id", "home", "weight"), ["home"], ["weight", "doc_id"], "place", PLACE))
+    here = mixed.join(members.select("doc_id", "home", "place"), "doc_id")
+    places = here.groupBy("bucket", "home", "place").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    other = (F.col("low") != F.col("class")) | (F.col("high") != F.col("class"))
+    visits = mixed.join(places, "bucket").filter(other).select("doc_id", "home", "place").distinct()
+    visits = C.settle(C.loads(visits.join(texts.select("doc_id", "weight"), "doc_id"), ["home", "place"], ["doc_id"], "chunk", PLACE))
+    chunks = visits.groupBy("home", "place").agg(F.max("chunk").alias("most"))
+    hosts = members.join(chunks, ["home", "place"]).select("doc_id", "home", "place", F.explode(F.sequence(F.lit(0), "most")).alias("chunk"), F.lit(True).alias("member"))
+    both = hosts.unionByName(visits.select("doc_id", "home", "place", "chunk", F.lit(False).alias("member")))
+    whole = C.settle(home.select("doc_id", "class").join(texts.select("doc_id", "sketch"), "doc_id"))
+    both = both.join(whole, "doc_id").join(pool, "doc_id")
+    return both.groupBy("home", "place", "chunk").applyInArrow(_compare(similar), "a long, b long").distinct()
+
+
+def _nibbles(lists: pa.ListArray) -> np.ndarray:
+    """A sketch's coordinates, four bits each, as bytes."""
+    packed = lists.flatten().to_numpy().view(np.uint8).reshape(-1, WIDTH // 2)
+    out = np.empty((len(packed), WIDTH), np.uint8)
+    out[:, ::2], out[:, 1::2] = packed & 15, packed >> 4
+    return out
 
 
-def _across(mixed: DataFrame) -> DataFrame:
-    """Pairs x, y of a bucket in different classes, one of them outside the bucket's main class, whose sketches allow the threshold."""
-    mixed = C.settle(mixed)
-    x = mixed.filter(F.col("class") != F.col("main")).select(F.col("bucket").alias("bucket_x"), F.col("doc_id").alias("x"), F.col("class").alias("class_x"), F.col("sketch").alias("sketch_x"))
-    y = mixed.select("bucket", F.col("doc_id").alias("y"), "class", "sketch")
-    differing = sum((F.bit_count(F.element_at("sketch", i + 1).bitwiseXOR(F.element_at("sketch_x", i + 1))) for i in range(SKETCH)), F.lit(0))
-    return y.join(x, (F.col("bucket") == F.col("bucket_x")) & (F.col("class") != F.col("class_x")) & (differing <= WIDTH - LEAST_BITS)).select("x", "y")
+def _compare(similar: float):
+    def run(table: pa.Table) -> pa.Table:
+        member = table.column("member").to_numpy()
+        ids, classes_ = table.column("doc_id").to_numpy(), table.column("class").to_numpy()
+        sketch = _nibbles(table.column("sketch").combine_chunks())
+        hosts, guests = np.flatnonzero(member), np.flatnonzero(~member)
+        left, right, same = [], [], []
+        for g in guests:  # a text against all members: signatures decide which pairs may be similar
+            agree = (sketch[hosts] == sketch[g]).sum(1)
+            near = np.flatnonzero((agree >= LEAST_SAME) & (classes_[hosts] != classes_[g]))
+            left.append(np.full(len(near), g))
+            right.append(hosts[near])
+            same.append(agree[near])
+        none = np.zeros(0, np.int64)
+        left, right, same = (np.concatenate([none, *x]) for x in (left, right, same))
+        texts, sets = table.column("text"), {}
+
+        def of(i: int) -> tuple[np.ndarray, np.ndarray]:
+            if i not in sets:
+                sets[i] = weighted([texts[i].as_py()])[:2]
+            return sets[i]
+
+        up = {c: c for c in classes_.tolist()}  # classes that are found to be one
+
+        def top(c: int) -> int:
+            while up[c] != c:
+                up[c] = up[up[c]]
+                c = up[c]
+            return c
+
+        a, b = [], []
+        for k in np.argsort(-same, kind="stable").tolist():  # the closest first: what they link need not be compared again
+            x, y = int(left[k]), int(right[k])
+            cx, cy = top(int(classes_[x])), top(int(classes_[y]))
+            if cx != cy and jaccard(of(x), of(y)) >= similar - 1e-12:
+                up[cx] = cy
+                a.append(min(ids[x], ids[y]))
+                b.append(max(ids[x], ids[y]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
 
 
 def keep_one(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """docs with one row for each class: the one of the least id. Rows without an id stay."""
-    gone = C.settle(classes(docs, similar).filter("doc_id <> class_id").select("doc_id"))
-    return docs.join(gone, "doc_id", "left_anti")
+    """docs with exactly one row for each class: the one of the least id. Rows are told by id and text together, so a text that shares
+    its id with a copy is not taken for it, rows without an id are classed by their texts, and a row repeated whole stays once."""
+    row = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("text", F.lit("")))
+    keyed = docs.select(row.alias("row"), "doc_id", "text")
+    place = classes(keyed.select(F.col("row").alias("doc_id"), "text"), similar).select(F.col("doc_id").alias("row"), "class_id")
+    ids = keyed.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    best = F.min_by(F.struct("row", "copies"), F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best")
+    stay = C.settle(place.join(ids, "row").groupBy("class_id").agg(best).select("best.*"))
+    # Texts are shuffled for it at any size, so that what a small table costs tells what a large one will.
+    kept = docs.withColumn("_row", row).join(stay.select(F.col("row").alias("_row")).hint("merge"), "_row", "left_semi")
+    if stay.filter("copies > 1").isEmpty():
+        return kept.select(docs.columns)
+    alone, again = (stay.filter(c).select(F.col("row").alias("_row")) for c in ("copies = 1", "copies > 1"))
+    kept = kept.select("_row", *docs.columns)
+    return kept.join(alone, "_row", "left_semi").unionByName(kept.join(again, "_row", "left_semi").dropDuplicates(["_row"])).select(docs.columns)
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(C.table(spark, sf_dir, "documents"))
+
+
+# Without signatures: all shingles joined, and components by closure.
+ORACLE = f"""
+WITH RECURSIVE d AS ({C.SQL_WORDS.format(id="doc_id", table="documents")}), tokens AS (SELECT r, g, count(*) AS c FROM (SELECT r, hash(unnest({C.SQL_SHINGLES})) AS g FROM d WHERE len(w) > 0) GROUP BY ALL),
+n AS (SELECT d.r, doc_id, CAST(coalesce(sum(c), 0) AS BIGINT) AS n FROM d LEFT JOIN tokens USING (r) GROUP BY d.r, doc_id),
+common AS MATERIALIZED (SELECT a.r AS x, b.r AS y, sum(least(a.c, b.c)) AS m FROM tokens a JOIN tokens b ON a.g = b.g AND a.r < b.r GROUP BY ALL),
+pairs AS (SELECT x, y, m = a.n AND m = b.n AS equal FROM common JOIN n a ON x = a.r JOIN n b ON y = b.r WHERE 5 * m >= 4 * (a.n + b.n - m)),
+links AS MATERIALIZED (SELECT * FROM pairs UNION ALL SELECT y, x, equal FROM pairs),
+reach AS (SELECT r AS x, r AS y FROM n UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+same AS (SELECT x, min(doc_id) AS least FROM links JOIN n ON y = r WHERE equal GROUP BY x)
+SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, any_value(same.least)) AS text_id, min(other.doc_id) AS class_id
+FROM n JOIN reach ON n.r = reach.x JOIN n other ON reach.y = other.r LEFT JOIN same ON same.x = n.r GROUP BY n.r, n.doc_id, n.n
+"""

@@ -96,5 +96,60 @@ def test_awkward_documents(awkward, nothing):
     docs = {r.doc_id: r.text for r in awkward.collect() if r.doc_id is not None}
     assert len(rows) == len(docs) and got == brute(docs)
     kept = N.keep_one(awkward)
-    assert kept.columns == awkward.columns and {r.doc_id for r in kept.collect()} == {*got.values(), None}
+    stay = [(r.doc_id, r.text) for r in kept.collect()]
+    assert kept.columns == awkward.columns and len(stay) == len(set(got.values())) + 1 and {d for d, _ in stay} == {*got.values(), None}
     assert N.classes(nothing).count() == 0 and N.keep_one(nothing).count() == 0
+
+
+def test_keep_one_keeps_one_row_for_each_class(spark):
+    """Rows repeated whole, copies without an id, and a text that shares its id with a copy."""
+    text = lambda n: " ".join(f"w{n}x{i}" for i in range(30))
+    rows = [(1, text(1)), (1, text(1)), (2, text(1)), (2, text(2)), (None, text(1)), (None, text(3)), (None, text(3)), (5, "!!!"), (5, "!!!"), (6, None), (7, text(3))]
+    kept = N.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((tuple(r) for r in kept), key=str) == sorted([(1, text(1)), (2, text(2)), (7, text(3)), (5, "!!!"), (6, None)], key=str)
+
+
+def test_rows_for_each_text_do_not_grow_with_its_group(spark, monkeypatch):
+    """A family whose members are all near its source and few near each other: the rows of every step that is written are counted."""
+    settle, verified = N.C.settle, N.verified
+    made = []
+
+    def watch(df):
+        out = settle(df)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(N.C, "settle", watch)
+    monkeypatch.setattr(N, "verified", lambda pairs, texts, similar: (made.append(pairs.count()), verified(pairs, texts, similar))[1])
+    most = {}
+    for n in (150, 600):
+        made.clear()
+        rng = random.Random(7)
+        source = [f"w{rng.randrange(10_000)}" for _ in range(150)]
+        rows = []
+        for c in range(n):
+            x = list(source)
+            for _ in range(4):
+                x[rng.randrange(150)] = f"z{rng.randrange(10**9)}"
+            rows.append((c, " ".join(x)))
+        got = {r.doc_id: r.class_id for r in N.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+        most[n] = max(made) / n
+        if n == 150:
+            assert got == brute(dict(rows))
+    assert most[600] < 1.5 * most[150]
+
+
+def test_places_and_chunks_of_any_size_give_the_same(spark, monkeypatch):
+    rng = random.Random(9)
+    source = [f"w{rng.randrange(10_000)}" for _ in range(120)]
+    rows = []
+    for c in range(60):
+        x = list(source)
+        for _ in range(rng.choice([2, 3, 4, 5])):
+            x[rng.randrange(120)] = f"z{rng.randrange(10**9)}"
+        rows.append((c, " ".join(x)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute(dict(rows))
+    assert {r.doc_id: r.class_id for r in N.classes(docs).collect()} == want
+    monkeypatch.setattr(N, "PLACE", 300)
+    assert {r.doc_id: r.class_id for r in N.classes(docs).collect()} == want
