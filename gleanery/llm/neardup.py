@@ -193,12 +193,16 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
 def _within(mixed: DataFrame, texts: DataFrame, pool: DataFrame, similar: float) -> DataFrame:
     """Links a, b between texts of different classes that share a bucket of ``mixed`` (bucket, doc_id, class, size of the bucket).
 
-    A text is a member of one place, that of the largest of its buckets, so that a family has few of them however large it is; places of more than ``PLACE`` shingles are
-    cut. It visits the places of all texts that it shares a bucket with, and visitors of a place come in chunks of ``PLACE`` shingles. So
-    a text moves to a few places, not to its pairs, a task holds two bounded loads, and pairs exist within tasks only."""
-    home = mixed.groupBy("doc_id").agg(F.first("class").alias("class"), F.max_by("bucket", F.struct("size", "bucket")).alias("home")).join(texts.select("doc_id", "weight"), "doc_id")
-    home = C.settle(home)
-    members = C.settle(C.loads(home.select("doc_id", "home", "weight"), ["home"], ["weight", "doc_id"], "place", PLACE))
+    Texts that buckets connect are a family. A text is a member of one place: its family in order of each text's largest bucket, cut at
+    ``PLACE`` shingles, so that a bucket lies in few places however many buckets a family has. It visits the places of all texts that it
+    shares a bucket with, and visitors of a place come in chunks of ``PLACE`` shingles. So a text moves to a few places, not to its
+    pairs, a task holds two bounded loads, and pairs exist within tasks only."""
+    least = mixed.groupBy("bucket").agg(F.min("doc_id").alias("a"))
+    family = components(mixed.join(least, "bucket").select("a", F.col("doc_id").alias("b"))).withColumnRenamed("node", "doc_id")
+    home = mixed.groupBy("doc_id").agg(F.first("class").alias("class"), F.max_by("bucket", F.struct("size", "bucket")).alias("along"))
+    home = home.join(family, "doc_id", "left").withColumn("home", F.coalesce("root", "doc_id")).drop("root")
+    home = C.settle(home.join(texts.select("doc_id", "weight"), "doc_id"))
+    members = C.settle(C.loads(home.select("doc_id", "home", "along", "weight"), ["home"], ["along", "doc_id"], "place", PLACE))
     here = mixed.join(members.select("doc_id", "home", "place"), "doc_id")
     places = here.groupBy("bucket", "home", "place").agg(F.min("class").alias("low"), F.max("class").alias("high"))
     other = (F.col("low") != F.col("class")) | (F.col("high") != F.col("class"))
