@@ -1,5 +1,6 @@
 import datetime as dt
 import hashlib
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -145,6 +146,30 @@ def test_file_probes(spark, tmp_path):
     assert "content" not in scan.split("Project", 1)[1].split("\n")[0]
 
 
+def test_known_files_keep_their_hashes(spark, tmp_path):
+    d, sha = tmp_path / "docs", lambda b: hashlib.sha256(b).hexdigest()
+    d.mkdir()
+    assert files.probe_known(spark, str(tmp_path / "none")) is None
+    for i, name in enumerate(["a.pdf", "b.pdf", "c.pdf"]):
+        (d / name).write_bytes(name.encode())
+        os.utime(d / name, (1000 + i, 1000 + i))
+    first = files.probe_known(spark, str(d))
+    assert {r["archivo"]: r["sha256"] for r in first.collect()} == {n: sha(n.encode()) for n in ("a.pdf", "b.pdf", "c.pdf")}
+    noted = [(r["path"], r["bytes"], r["modified"], "noted" if r["archivo"] != "c.pdf" else None) for r in first.collect()]
+    known = spark.createDataFrame(noted + noted[:1], "path string, bytes bigint, modified timestamp, sha256 string")
+    (d / "b.pdf").write_bytes(b"other")  # the same length, another time
+    os.utime(d / "b.pdf", (2000, 2000))
+    (d / "d.pdf").write_bytes(b"late")
+    os.utime(d / "d.pdf", (1001, 1001))  # new, but older by its time than known ones
+    now = files.probe_known(spark, str(d), known)
+    assert {r["archivo"]: r["sha256"] for r in now.collect()} == {"a.pdf": "noted", "b.pdf": sha(b"other"), "c.pdf": sha(b"c.pdf"), "d.pdf": sha(b"late")}
+    assert "PushedFilters: [GreaterThanOrEqual(modificationTime" in now._jdf.queryExecution().toString().replace("IsNotNull(modificationTime), ", "")
+    settled = spark.createDataFrame(now.where("archivo <> 'd.pdf'").collect(), now.schema)
+    (d / "d.pdf").unlink()
+    again = files.probe_known(spark, str(d), settled)  # nothing is new: contents are not read
+    assert again.count() == 3 and "sha2(" not in again._jdf.queryExecution().optimizedPlan().toString()
+
+
 def rows(spark, *pairs):
     return spark.createDataFrame(list(pairs), ROW)
 
